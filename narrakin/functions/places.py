@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from narrakin.functions.lexicons import CHANNEL_PREFIXES, LOCATION_SUFFIXES, MAJOR_CITIES, longest_first
-from narrakin.functions.text import SPACE, fold_case, squeeze, words
+from narrakin.functions.text import SPACE, fold_case, single_blanks, words
 
 _PREFIX = rf"(?iu)^(?:{'|'.join(longest_first(CHANNEL_PREFIXES))})(?:/|{SPACE})"
 _SUFFIXED = rf"^.{{3,}}(?:{'|'.join(longest_first(LOCATION_SUFFIXES))})$"
@@ -17,8 +17,8 @@ def location_text(c: Column, keep_long_alpha_words: bool = False) -> Column:
     code = r"(?=[a-z]*[0-9])[a-z0-9]{10,}" if keep_long_alpha_words else r"[a-z0-9]{10,}"
     parts = F.regexp_replace(
         F.regexp_replace(fold_case(c), _PREFIX, ""), rf"(?:[/\-_]|{SPACE})+", " ")
-    return squeeze(F.regexp_replace(
-        parts, rf"(?iu)(?<!\S)(?:\S{{1,2}}|\S{{50,}}|\p{{Nd}}+|{code})(?!\S)", ""))
+    return single_blanks(F.regexp_replace(
+        F.trim(parts), rf"(?iu)(?:^|(?<= ))(?:[^ ]{{1,2}}|[^ ]{{50,}}|\p{{Nd}}+|{code})(?= |$)", ""))
 
 
 def suffix_locations(loc_text: Column) -> Column:

@@ -176,31 +176,24 @@ def partial_ratio(a: Column, b: Column) -> Column:
             .otherwise(best_window(a, b)))
 
 
-def _sorted_words(c: Column) -> Column:
-    return F.array_join(F.array_sort(F.filter(F.split(c, " "), lambda w: w != "")), " ")
+def words_of(c: Column) -> Column:
+    return F.filter(F.split(c, " "), lambda w: w != "")
 
 
-def token_sort_ratio(a: Column, b: Column) -> Column:
-    return indel_ratio(_sorted_words(a), _sorted_words(b))
+def word_set_ratio(shared: Column, only_a: Column, only_b: Column) -> Column:
+    """Best ratio among the shared words and each side's shared plus own words.
 
-
-def token_set_ratio(a: Column, b: Column) -> Column:
-    """Compare shared words with each side's own words."""
-    ta, tb = (F.array_distinct(F.filter(F.split(c, " "), lambda w: w != "")) for c in (a, b))
-    shared = F.array_join(F.array_intersect(ta, tb), " ")
-    only_a = F.array_join(F.array_sort(F.array_except(ta, tb)), " ")
-    only_b = F.array_join(F.array_sort(F.array_except(tb, ta)), " ")
+    The arguments are the joined words both texts have and those only one has.
+    """
     n, na, nb = F.length(shared), F.length(only_a), F.length(only_b)
     gap = F.when(n > 0, 1).otherwise(0)
     left, right = n + gap + na, n + gap + nb
-    indel = na + nb - 2 * lcs_length(only_a, only_b)
 
     def kept(total: Column, dist: Column) -> Column:
         return F.lit(100.0) * (total - dist) / total
 
-    rest = kept(left + right, indel)
-    ends = F.greatest(rest, kept(n + left, gap + na), kept(n + right, gap + nb))
-    return (F.when((F.size(ta) == 0) | (F.size(tb) == 0), F.lit(0.0))
+    rest = kept(left + right, na + nb - 2 * lcs_length(only_a, only_b))
+    return (F.when((n + na == 0) | (n + nb == 0), F.lit(0.0))
             .when((n > 0) & ((na == 0) | (nb == 0)), F.lit(100.0))
-            .when(n > 0, ends)
+            .when(n > 0, F.greatest(rest, kept(n + left, gap + na), kept(n + right, gap + nb)))
             .otherwise(rest))

@@ -48,6 +48,11 @@ def squeeze(c: Column) -> Column:
     return F.trim(F.regexp_replace(c, rf"{SPACE}+", " "))
 
 
+def single_blanks(c: Column) -> Column:
+    """As squeeze, for text whose only white space is the blank."""
+    return F.trim(F.regexp_replace(c, "  +", " "))
+
+
 def as_text(c: Column) -> Column:
     """Null and empty become the empty string; anything else is trimmed text."""
     return strip(F.coalesce(c.cast("string"), F.lit("")))
@@ -62,7 +67,7 @@ def drop_noise(c: Column) -> Column:
 
 
 def drop_accounts(c: Column) -> Column:
-    return F.regexp_replace(c, ACCOUNT, " ")
+    return F.when(c.contains("***"), F.regexp_replace(c, ACCOUNT, " ")).otherwise(c)
 
 
 def drop_codes(c: Column, keep_long_alpha_words: bool = False) -> Column:
@@ -92,12 +97,12 @@ def _bank_word_runs() -> list[str]:
     return both + two + three + one
 
 
-BANK_RUN = r"(?<!\S)(?:" + "|".join(_bank_word_runs()) + r")(?!\S)"
+BANK_RUN = "(?:^|(?<= ))(?:" + "|".join(_bank_word_runs()) + ")(?= |$)"
 
 
 def drop_banks(c: Column) -> Column:
     """Remove bank names of one to three words, scanning words from the left."""
-    return squeeze(F.regexp_replace(squeeze(c), BANK_RUN, ""))
+    return single_blanks(F.regexp_replace(squeeze(c), BANK_RUN, ""))
 
 
 def punctuation_to_space(c: Column) -> Column:
@@ -107,7 +112,7 @@ def punctuation_to_space(c: Column) -> Column:
 def drop_short_words(c: Column) -> Column:
     """Drop words of one or two characters unless they are company suffixes."""
     kept = "|".join(w for w in COMPANY_SUFFIXES if len(w) <= 2)
-    return squeeze(F.regexp_replace(c, rf"(?<!\S)(?!(?:{kept})(?!\S))\S{{1,2}}(?!\S)", ""))
+    return single_blanks(F.regexp_replace(squeeze(c), f"(?:^|(?<= ))(?!(?:{kept})(?: |$))[^ ]{{1,2}}(?= |$)", ""))
 
 
 def clean_narration(c: Column, filtering: bool = True, keep_long_alpha_words: bool = False) -> Column:

@@ -22,6 +22,7 @@ QUERY_BLOCK = 2048
 TARGET_BLOCK = 4096
 SCORE_CELLS = 1 << 20
 DECIMALS = 9
+HALF_UNIT = 0.5 * 10.0 ** -DECIMALS
 
 
 def best_targets(scores: np.ndarray, targets: np.ndarray, k: int, floor: float):
@@ -30,10 +31,15 @@ def best_targets(scores: np.ndarray, targets: np.ndarray, k: int, floor: float):
     Scores are rounded before ranking so that equal sums added up in another order
     tie, and ties go to the smaller target.
     """
-    bound = np.full(len(scores), floor)
-    if scores.shape[1] > k:
-        bound = np.maximum(np.partition(scores, -k, axis=1)[:, -k], floor)
-    rows, cols = np.nonzero(scores >= bound[:, None] - 1e-9)
+    kept = []
+    for row in scores:
+        hits = np.flatnonzero(row >= floor - HALF_UNIT)
+        if len(hits) > k:
+            values = row[hits]
+            hits = hits[values >= np.partition(values, -k)[-k] - 2 * HALF_UNIT]
+        kept.append(hits)
+    rows = np.repeat(np.arange(len(kept)), [len(hits) for hits in kept])
+    cols = np.concatenate(kept)
     values = np.round(scores[rows, cols], DECIMALS)
     keep = values >= floor
     rows, cols, values = rows[keep], cols[keep], values[keep]
@@ -52,7 +58,7 @@ class SparseTargets:
         flat = np.concatenate(grams).astype(np.int64)
         order = np.argsort(flat, kind="stable")
         self.size = len(sizes)
-        self.owner = np.repeat(np.arange(self.size, dtype=np.int32), sizes)[order]
+        self.owner = np.repeat(np.arange(self.size), sizes)[order]
         self.weight = np.concatenate(weights)[order]
         self.codes, self.start = np.unique(flat[order], return_index=True)
         self.stop = np.append(self.start[1:], len(flat))
@@ -61,9 +67,11 @@ class SparseTargets:
         out = np.zeros((len(grams), self.size))
         for row, code, weight in zip(out, grams, weights, strict=True):
             at = np.minimum(np.searchsorted(self.codes, code), len(self.codes) - 1)
-            for i in np.nonzero(self.codes[at] == code)[0]:
-                a, b = self.start[at[i]], self.stop[at[i]]
-                row[self.owner[a:b]] += weight[i] * self.weight[a:b]
+            lists = [(slice(self.start[at[i]], self.stop[at[i]]), weight[i])
+                     for i in np.flatnonzero(self.codes[at] == code)]
+            if lists:
+                row[:] = np.bincount(np.concatenate([self.owner[s] for s, _ in lists]),
+                                     np.concatenate([self.weight[s] * w for s, w in lists]), self.size)
         return out
 
 

@@ -7,17 +7,36 @@ from pyspark.sql import functions as F
 
 from narrakin.functions import similarity as sim
 
-RATIOS = {
-    "ratio": sim.indel_ratio,
-    "partial_ratio": sim.partial_ratio,
-    "token_sort_ratio": sim.token_sort_ratio,
-    "token_set_ratio": sim.token_set_ratio,
-}
+RATIOS = ("ratio", "partial_ratio", "token_sort_ratio", "token_set_ratio")
 
 
 def with_ratios(pairs: DataFrame, left: str, right: str, *names: str) -> DataFrame:
-    """Add the named ratios of two text columns."""
-    return pairs.withColumns({n: RATIOS[n](F.col(left), F.col(right)) for n in names or RATIOS})
+    """Add the named ratios of two text columns, all four by default.
+
+    Word lists, then the strings to compare, then the ratios: each step is its own
+    projection so that nothing is worked out twice.
+    """
+    names = names or RATIOS
+    a, b = F.col(left), F.col(right)
+    work = pairs
+    if {"token_sort_ratio", "token_set_ratio"} & set(names):
+        work = work.withColumns({"_a": sim.words_of(a), "_b": sim.words_of(b)})
+    if "token_sort_ratio" in names:
+        work = work.withColumns({"_sorted_a": F.array_join(F.array_sort("_a"), " "),
+                                 "_sorted_b": F.array_join(F.array_sort("_b"), " ")})
+    if "token_set_ratio" in names:
+        work = work.withColumns({
+            "_shared": F.array_join(F.array_intersect("_a", "_b"), " "),
+            "_only_a": F.array_join(F.array_sort(F.array_except("_a", "_b")), " "),
+            "_only_b": F.array_join(F.array_sort(F.array_except("_b", "_a")), " ")})
+    ratios = {
+        "ratio": lambda: sim.indel_ratio(a, b),
+        "partial_ratio": lambda: sim.partial_ratio(a, b),
+        "token_sort_ratio": lambda: sim.indel_ratio(F.col("_sorted_a"), F.col("_sorted_b")),
+        "token_set_ratio": lambda: sim.word_set_ratio(
+            F.col("_shared"), F.col("_only_a"), F.col("_only_b")),
+    }
+    return work.select(*[F.col(c) for c in pairs.columns], *[ratios[n]().alias(n) for n in names])
 
 
 def with_fuzzy_score(pairs: DataFrame, left: str, right: str) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from narrakin.operators.blocks import (
     DenseTargets, SparseTargets, broadcast_search, bucket_search,
 )
-from narrakin.session import settle
+from narrakin.session import settle, spread
 
 SPARSE = ["grams", "weights"]
 SEED_GRAMS = 3
@@ -21,7 +21,7 @@ SLACK = 1e-9
 def keep_best(found: DataFrame, key: str, target: str, k: int) -> DataFrame:
     """Rank candidates by similarity, ties by id, and keep the first k."""
     order = Window.partitionBy(key).orderBy(F.desc("similarity"), F.asc(target))
-    return (found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    return (spread(found, key).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
             .select(key, target, "similarity", "rank"))
 
 

@@ -11,7 +11,7 @@ from narrakin.operators import fuzzy, locations, ranking, topk, vectors
 from narrakin.operators.preprocess import preprocess_companies, preprocess_narrations
 from narrakin.operators.skew import fan_out_join
 from narrakin.options import MatchOptions
-from narrakin.session import scratch_path, settle, ship_package, tune
+from narrakin.session import scratch_path, settle, ship_package, spread, spread_small, tune
 from narrakin.sources import files
 
 MENTION = ["match_text", "loc_text"]
@@ -53,11 +53,12 @@ def build_company_index(companies: DataFrame, opts: MatchOptions = MatchOptions(
     text_col = text_col or files.company_text_column(companies, opts.company_column)
     if id_col is None:
         companies, id_col = files.with_ordinal(companies, [text_col]), "company_id"
-    table = settle(preprocess_companies(companies, id_col, text_col, opts), "companies", f"{path}/companies")
+    table = settle(preprocess_companies(spread_small(companies, id_col), id_col, text_col, opts),
+                   "companies", f"{path}/companies")
     texts, members = topk.company_texts(table, opts.max_candidates)
     members = settle(members, "members", f"{path}/members")
     texts = settle(texts, "texts", f"{path}/texts")
-    counts = vectors.gram_counts(texts)
+    counts = vectors.gram_counts(spread(texts, "match_text"))
     frequencies = settle(vectors.gram_frequencies(counts), "frequencies", f"{path}/frequencies")
     rows = vectors.tfidf(counts, frequencies, frequencies.count(), texts.count())
     packed = settle(vectors.pack(rows).join(texts, "match_text").drop("match_text"), "packed", f"{path}/packed")
@@ -78,13 +79,14 @@ def load_company_index(spark: SparkSession, path: str) -> CompanyIndex:
 
 
 def query_vectors(texts: DataFrame, index: CompanyIndex) -> DataFrame:
-    """Packed sparse vectors of distinct query texts, weighted by the company side."""
+    """Packed sparse vectors of the distinct query texts, weighted by the company side."""
+    distinct = spread(texts.select("match_text"), "match_text").distinct()
     return vectors.pack(vectors.tfidf(
-        vectors.gram_counts(texts), index.frequencies, index.n_grams, index.n_texts))
+        vectors.gram_counts(distinct), index.frequencies, index.n_grams, index.n_texts))
 
 
 def sparse_candidates(texts: DataFrame, index: CompanyIndex, opts: MatchOptions) -> DataFrame:
-    """(match_text, company_id, similarity, rank) for distinct matching texts."""
+    """(match_text, company_id, similarity, rank) for the distinct matching texts."""
     return topk.sparse_topk(query_vectors(texts, index), index.packed, index.members, index.postings,
                             opts.max_candidates, opts.similarity_floor, opts.index_postings)
 
@@ -138,9 +140,9 @@ def match_transactions(txns: DataFrame, index: CompanyIndex, opts: MatchOptions
     text_col = text_col or files.narration_text_column(txns, opts.narration_column)
     if txn_id is None:
         txns, txn_id = files.with_ordinal(txns, [text_col], "txn_id"), "txn_id"
-    rows = preprocess_narrations(
-        txns.select(F.col(txn_id).alias("txn_id"), F.col(text_col).alias("transaction_text")),
-        "transaction_text", opts)
+    raw = txns.select(F.col(txn_id).alias("txn_id"), F.col(text_col).alias("transaction_text"))
+    rows = settle(preprocess_narrations(spread_small(raw, "txn_id"), "transaction_text", opts)
+                  .select("txn_id", "transaction_text", *MENTION), "narrations")
     by_vector = txn_vectors is not None and opts.search != "sparse"
     keys = ["txn_id", *MENTION] if by_vector else MENTION
     mentions = settle(rows.groupBy(*keys).agg(F.count("*").alias("n_rows")), "mentions")
@@ -150,7 +152,7 @@ def match_transactions(txns: DataFrame, index: CompanyIndex, opts: MatchOptions
         pairs = candidates.join(mentions.select("txn_id", "match_text"), "txn_id")
         join_on = ["txn_id", "match_text"]
     else:
-        candidates, backend = sparse_candidates(mentions.select("match_text").distinct(), index, opts), "sparse"
+        candidates, backend = sparse_candidates(mentions, index, opts), "sparse"
         pairs, join_on = candidates, ["match_text"]
     pairs = fuzzy.with_fuzzy_score(
         attach_companies(pairs, index.companies, cities), "match_text", "company_text")
@@ -161,10 +163,9 @@ def match_transactions(txns: DataFrame, index: CompanyIndex, opts: MatchOptions
     outcome = ranking.complete(placed, winners.drop("cities"), keys, backend)
     outcome = settle(outcome, "outcome")
     if by_vector:
-        results = rows.select(*keys, "transaction_text").join(outcome, keys)
+        results = rows.join(outcome, keys)
     else:
-        results = fan_out_join(rows.select("txn_id", *MENTION, "transaction_text"), outcome,
-                               mentions, MENTION, salt_on=["txn_id"])
+        results = fan_out_join(rows, outcome, mentions, MENTION, salt_on=["txn_id"])
     return MatchRun(ranking.apply_confidence(results.drop(*MENTION), opts), dictionary)
 
 

@@ -57,6 +57,23 @@ def settle(df, name: str, path: str | None = None):
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(df, key: str):
+    """Hash rows over at least as many partitions as there are cores.
+
+    For rows that are small to move but slow to work on, where a size-based number
+    of partitions would leave cores idle.
+    """
+    spark = df.sparkSession
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return df.repartition(n, key)
+
+
+def spread_small(df, key: str):
+    """As spread, but only for inputs read in fewer partitions than there are cores."""
+    few = df.rdd.getNumPartitions() < df.sparkSession.sparkContext.defaultParallelism
+    return spread(df, key) if few else df
+
+
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the Python workers of the session, once."""
     sc = spark.sparkContext
