@@ -2,8 +2,10 @@
 
 Both sides carry a bucket: a shared text piece, a hash of a vector, or one constant
 for an exhaustive search. Only rows of one bucket meet. A bucket is cut into parts
-on both sides by hashing row keys, and each pair of parts is one small task group
-that returns at most k lines per query, so no bucket is ever held or emitted whole.
+on both sides by hashing row keys, and each pair of parts is one small group that
+returns at most k lines per query, so no bucket is ever held or emitted whole. Buckets
+that need no cutting share groups, because a group of a few rows costs as much time
+as one of thousands.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from narrakin.operators.skew import lookup_join
+from narrakin.session import settle
 
 QUERY_BLOCK = 2048
 TARGET_BLOCK = 4096
@@ -90,16 +93,15 @@ class DenseTargets:
         return _unit_rows(vectors) @ self.matrix.T
 
 
-def search(queries: pd.DataFrame, key: str, payload: list[str], targets, target_ids: np.ndarray,
-           k: int, floor: float) -> Iterator[pd.DataFrame]:
-    """Best targets of a block of queries, a slice of bounded size at a time."""
+def search(payload: list[list], targets, target_ids: np.ndarray, k: int, floor: float):
+    """Query rows, targets and similarities of a block, a slice of bounded size at a time."""
     step = max(1, SCORE_CELLS // max(targets.size, 1))
-    for start in range(0, len(queries), step):
-        part = queries.iloc[start:start + step]
-        scores = targets.scores(*[part[c].tolist() for c in payload])
+    found = []
+    for start in range(0, len(payload[0]), step):
+        scores = targets.scores(*[p[start:start + step] for p in payload])
         rows, cols, values = best_targets(scores, target_ids, k, floor)
-        yield pd.DataFrame({
-            key: part[key].to_numpy()[rows], "target": target_ids[cols], "similarity": values})
+        found.append((rows + start, target_ids[cols], values))
+    return [np.concatenate(column) for column in zip(*found, strict=True)]
 
 
 def _result_schema(queries: DataFrame, key: str) -> T.StructType:
@@ -115,27 +117,43 @@ def bucket_search(queries: DataFrame, targets: DataFrame, key: str, payload: lis
     ``queries`` has bucket, key and payload columns, ``targets`` bucket, target and
     the same payload columns.
     """
-    def parts(df: DataFrame, block: int, name: str) -> DataFrame:
-        return df.groupBy("bucket").agg(F.ceil(F.count("*") / block).cast("int").alias(name))
-
-    grid = parts(queries, QUERY_BLOCK, "q_parts").join(parts(targets, TARGET_BLOCK, "t_parts"), "bucket")
-    n_buckets = grid.count()
+    def rows(df: DataFrame, name: str) -> DataFrame:
+        return df.groupBy("bucket").agg(F.count("*").alias(name))
+
+    grid = settle(rows(queries, "q_rows").join(rows(targets, "t_rows"), "bucket").select(
+        "bucket", F.ceil(F.col("q_rows") / QUERY_BLOCK).cast("int").alias("q_parts"),
+        F.ceil(F.col("t_rows") / TARGET_BLOCK).cast("int").alias("t_parts"),
+        (F.col("q_rows") + F.col("t_rows")).alias("n")), "grid")
+    whole = (F.col("q_parts") == 1) & (F.col("t_parts") == 1)
+    sizes = grid.agg(F.count("*").alias("buckets"), F.sum(F.when(whole, F.col("n"))).alias("rows")).first()
+    shared = max(4 * queries.sparkSession.sparkContext.defaultParallelism,
+                 -(-(sizes["rows"] or 0) // (QUERY_BLOCK + TARGET_BLOCK)))
 
     def place(df: DataFrame, row: str, own: str, other: str) -> DataFrame:
-        df = lookup_join(df, grid, ["bucket"], n_buckets, salt_on=[row])
-        return (df.withColumn(own, F.pmod(F.xxhash64(row), F.col(f"{own}s")).cast("int"))
+        df = lookup_join(df, grid.drop("n"), ["bucket"], sizes["buckets"], salt_on=[row])
+        return (df.withColumn("bin", F.when(whole, F.pmod(F.xxhash64("bucket"), F.lit(shared)))
+                              .otherwise(-1 - F.col("bucket")))
+                .withColumn(own, F.pmod(F.xxhash64(row), F.col(f"{own}s")).cast("int"))
                 .withColumn(other, F.explode(F.sequence(F.lit(0), F.col(f"{other}s") - 1)))
                 .drop("q_parts", "t_parts"))
 
     def match(q: pd.DataFrame, t: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({key: [], "target": [], "similarity": []})
-        if q.empty or t.empty:
-            return empty
-        prepared = make_targets(*[t[c].tolist() for c in payload])
-        found = list(search(q, key, payload, prepared, t["target"].to_numpy(), k, floor))
-        return pd.concat(found) if found else empty
-
-    block = ["bucket", "q_part", "t_part"]
+        found = []
+        t_rows = t.groupby("bucket").indices
+        for bucket, q_at in q.groupby("bucket").indices.items():
+            t_at = t_rows.get(bucket)
+            if t_at is None:
+                continue
+            prepared = make_targets(*[t[c].to_numpy()[t_at] for c in payload])
+            at, ids, values = search([q[c].to_numpy()[q_at] for c in payload], prepared,
+                                     t["target"].to_numpy()[t_at], k, floor)
+            found.append((q[key].to_numpy()[q_at[at]], ids, values))
+        if not found:
+            return pd.DataFrame({key: [], "target": [], "similarity": []})
+        names, ids, values = [np.concatenate(column) for column in zip(*found, strict=True)]
+        return pd.DataFrame({key: names, "target": ids, "similarity": values})
+
+    block = ["bin", "q_part", "t_part"]
     return (place(queries, key, "q_part", "t_part").groupBy(*block)
             .cogroup(place(targets, "target", "t_part", "q_part").groupBy(*block))
             .applyInPandas(match, _result_schema(queries, key)))
@@ -149,11 +167,14 @@ def broadcast_search(queries: DataFrame, targets: DataFrame, key: str, payload:
     if len(ids) == 0:
         return queries.sparkSession.createDataFrame([], _result_schema(queries, key))
     lists = [[np.asarray(v) for v in table[c].to_numpy()] for c in payload]
-    shared = queries.sparkSession.sparkContext.broadcast((ids, make_targets(*lists)))
+    index = queries.sparkSession.sparkContext.broadcast((ids, make_targets(*lists)))
 
     def match(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        target_ids, prepared = shared.value
+        target_ids, prepared = index.value
         for batch in batches:
-            yield from search(batch, key, payload, prepared, target_ids, k, floor)
+            if batch.empty:
+                continue
+            at, ids, values = search([batch[c].tolist() for c in payload], prepared, target_ids, k, floor)
+            yield pd.DataFrame({key: batch[key].to_numpy()[at], "target": ids, "similarity": values})
 
     return queries.select(key, *payload).mapInPandas(match, _result_schema(queries, key))

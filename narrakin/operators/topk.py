@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -107,6 +109,11 @@ def dense_topk(queries: DataFrame, companies: DataFrame, k: int, floor: float,
     return keep_best(found.withColumnRenamed("target", company_id), query_id, company_id, k)
 
 
+def lsh_bits(n_companies: int) -> int:
+    """Bits that leave about a thousand vectors per bucket, and at least 16 buckets."""
+    return max(4, round(math.log2(max(n_companies, 1) / 1024)))
+
+
 def sign_buckets(tables: int, bits: int, seed: int):
     """For each table, which sides of random planes through the origin a vector is on."""
     @F.pandas_udf(T.ArrayType(T.LongType()))

@@ -32,7 +32,7 @@ class MatchOptions:
     search: str = "auto"
     exact_vector_rows: int = 75_000
     lsh_tables: int = 12
-    lsh_bits: int = 8
+    lsh_bits: int | None = None
     lsh_seed: int = 42
     index_postings: int = 4_000_000
     confidence_threshold: float | None = None

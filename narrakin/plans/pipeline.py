@@ -97,7 +97,8 @@ def vector_candidates(queries: DataFrame, index: CompanyIndex, opts: MatchOption
         opts.search == "auto" and index.n_companies > opts.exact_vector_rows)
     k, floor = opts.max_candidates, opts.similarity_floor
     if approximate:
-        return topk.lsh_topk(queries, index.vectors, k, floor, opts.lsh_tables, opts.lsh_bits, opts.lsh_seed), "lsh"
+        bits = opts.lsh_bits or topk.lsh_bits(index.n_companies)
+        return topk.lsh_topk(queries, index.vectors, k, floor, opts.lsh_tables, bits, opts.lsh_seed), "lsh"
     return topk.dense_topk(queries, index.vectors, k, floor), "exact"
 
 
