@@ -130,6 +130,7 @@ def bucket_search(queries: DataFrame, targets: DataFrame, key: str, payload: lis
                  -(-(sizes["rows"] or 0) // (QUERY_BLOCK + TARGET_BLOCK)))
 
     def place(df: DataFrame, row: str, own: str, other: str) -> DataFrame:
+        df = df.select(*[F.col(c).alias(c) for c in df.columns])  # both sides may be one table
         df = lookup_join(df, grid.drop("n"), ["bucket"], sizes["buckets"], salt_on=[row])
         return (df.withColumn("bin", F.when(whole, F.pmod(F.xxhash64("bucket"), F.lit(shared)))
                               .otherwise(-1 - F.col("bucket")))
