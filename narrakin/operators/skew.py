@@ -7,8 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# 500,000 short keys with a few numbers are some tens of megabytes.
+from narrakin.session import settle
+
+# 500,000 keys of a few characters, with a few numbers, are some tens of megabytes.
 BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 64 << 20
 SALTS = 64
 HOT_SHARE = 0.001
 
@@ -28,11 +31,11 @@ def lookup_join(left: DataFrame, right: DataFrame, keys: Sequence[str], right_ro
 
 
 def fan_out_join(rows: DataFrame, results: DataFrame, counts: DataFrame, keys: Sequence[str],
-                 salt_on: Sequence[str]) -> DataFrame:
-    """Give every row the result computed for its group of equal rows.
+                 salt_on: Sequence[str], how: str = "left") -> DataFrame:
+    """Give every row what is known about its key.
 
-    ``results`` has one line per key and ``counts`` the number of rows per key in
-    ``n_rows``. A key is hot when it holds more than HOT_SHARE of all rows, so there
+    ``results`` has a few lines per key at most and ``counts`` the number of rows per
+    key in ``n_rows``. A key is hot when it holds more than HOT_SHARE of all rows, so there
     are at most 1 / HOT_SHARE hot keys and broadcasting them is safe at any size.
     Their results are repeated per salt; all other keys use salt 0.
     """
@@ -50,4 +53,14 @@ def fan_out_join(rows: DataFrame, results: DataFrame, counts: DataFrame, keys: S
              .withColumn("_salt", F.explode(F.sequence(
                  F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1)))
              .drop("_salts"))
-    return left.join(right, [*keys, "_salt"], "left").drop("_salt")
+    return left.join(right, [*keys, "_salt"], how).drop("_salt")
+
+
+def company_join(rows: DataFrame, companies: DataFrame, key: str, n_bytes: int,
+                 salt_on: Sequence[str]) -> DataFrame:
+    """Inner join to a company table of known size, whose favourites may be hot."""
+    if n_bytes <= BROADCAST_BYTES:
+        return rows.join(F.broadcast(companies), key)
+    rows = settle(rows, "rows")
+    counts = rows.groupBy(key).agg(F.count("*").alias("n_rows"))
+    return fan_out_join(rows, companies, counts, [key], salt_on, "inner")

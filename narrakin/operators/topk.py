@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from narrakin.operators.blocks import (
     DenseTargets, SparseTargets, broadcast_search, bucket_search,
 )
+from narrakin.operators.skew import company_join
 from narrakin.session import settle, spread
 
 SPARSE = ["grams", "weights"]
@@ -43,12 +44,10 @@ def company_texts(companies: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
     return texts, members.select("target", "company_id")
 
 
-def _by_piece(packed: DataFrame, key: str) -> DataFrame:
-    entry = F.explode(F.arrays_zip(
-        "grams", "masses", "dfs", F.sequence(F.lit(0), F.size("grams") - 1).alias("place")))
-    return packed.select(key, *SPARSE, entry.alias("e")).select(
-        key, *SPARSE, F.col("e.grams").alias("bucket"), F.col("e.masses").alias("mass"),
-        F.col("e.dfs").alias("df"), F.col("e.place").alias("place"))
+def _by_piece(packed: DataFrame, key: str, *extra: str) -> DataFrame:
+    """One line per text and piece, the whole vector on each line; place 0 is the rarest."""
+    return packed.select(key, *SPARSE, "masses", *extra, F.posexplode("grams").alias("place", "bucket")).select(
+        key, *SPARSE, *extra, "bucket", "place", F.get("masses", "place").alias("mass"))
 
 
 def sparse_bucket_search(queries: DataFrame, targets: DataFrame, k: int, floor: float,
@@ -62,10 +61,12 @@ def sparse_bucket_search(queries: DataFrame, targets: DataFrame, k: int, floor:
     t for the second pass.
     """
     base = floor * floor - SLACK
+    unseen = F.size(F.filter("dfs", lambda n: n == 0))
+    queries = settle(queries.withColumn("unseen", unseen), "query-vectors")
     t_side = _by_piece(targets, "target").filter(F.col("mass") >= base).select("bucket", "target", *SPARSE)
-    q_side = _by_piece(queries, key).filter((F.col("mass") >= base) & (F.col("df") > 0))
-    in_order = Window.partitionBy(key).orderBy("place")
-    q_side = q_side.withColumn("turn", F.row_number().over(in_order))
+    q_side = _by_piece(queries, key, "unseen").filter(
+        (F.col("mass") >= base) & (F.col("place") >= F.col("unseen")))
+    is_seed = F.col("place") < F.col("unseen") + SEED_GRAMS
 
     def run(rows: DataFrame) -> DataFrame:
         return bucket_search(rows.select("bucket", key, *SPARSE), t_side, key, SPARSE,
@@ -75,17 +76,17 @@ def sparse_bucket_search(queries: DataFrame, targets: DataFrame, k: int, floor:
         distinct = found.groupBy(key, "target").agg(F.max("similarity").alias("similarity"))
         return keep_best(distinct, key, "target", k).select(key, "target", "similarity")
 
-    seed = settle(merged(run(q_side.filter(F.col("turn") <= SEED_GRAMS))), "seed")
+    seed = settle(merged(run(q_side.filter(is_seed))), "seed")
     reached = (seed.groupBy(key).agg(F.count("*").alias("n"), F.min("similarity").alias("least"))
                .filter(F.col("n") >= k).select(key, "least"))
     bar = F.coalesce("least", F.lit(floor))
-    rest = (q_side.filter(F.col("turn") > SEED_GRAMS).join(reached, key, "left")
+    rest = (q_side.filter(~is_seed).join(reached, key, "left")
             .filter(F.col("mass") >= bar * bar - SLACK))
     return merged(seed.unionByName(run(rest)))
 
 
 def sparse_topk(queries: DataFrame, targets: DataFrame, members: DataFrame, postings: int,
-                k: int, floor: float, index_postings: int, key: str = "match_text") -> DataFrame:
+                member_bytes: int, k: int, floor: float, index_postings: int, key: str = "match_text") -> DataFrame:
     """Exact top-k companies per query text: (key, company_id, similarity, rank).
 
     ``postings`` is the measured number of text pieces on the company side; up to
@@ -95,13 +96,14 @@ def sparse_topk(queries: DataFrame, targets: DataFrame, members: DataFrame, post
         found = broadcast_search(queries, targets, key, SPARSE, SparseTargets, k, floor)
     else:
         found = sparse_bucket_search(queries, targets, k, floor, key)
-    return keep_best(found.join(members, "target").drop("target"), key, "company_id", k)
+    return keep_best(company_join(found, members, "target", member_bytes, [key]).drop("target"), key, "company_id", k)
 
 
 def dense_topk(queries: DataFrame, companies: DataFrame, k: int, floor: float,
                query_id: str = "txn_id", company_id: str = "company_id",
                vector: str = "vector") -> DataFrame:
     """Exact top-k over supplied vectors: every block of one side meets every block of the other."""
+    queries, companies = (df.filter(F.col(vector).isNotNull()) for df in (queries, companies))
     found = bucket_search(
         queries.select(F.lit(0).alias("bucket"), query_id, vector),
         companies.select(F.lit(0).alias("bucket"), F.col(company_id).alias("target"), vector),
@@ -138,7 +140,7 @@ def lsh_topk(queries: DataFrame, companies: DataFrame, k: int, floor: float, tab
     hashed = sign_buckets(tables, bits, seed)
 
     def bucketed(df: DataFrame, own_id: str, name: str) -> DataFrame:
-        return df.select(F.explode(hashed(F.col(vector))).alias("bucket"),
+        return df.filter(F.col(vector).isNotNull()).select(F.explode(hashed(F.col(vector))).alias("bucket"),
                          F.col(own_id).alias(name), vector)
 
     found = bucket_search(bucketed(queries, query_id, query_id), bucketed(companies, company_id, "target"),

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from narrakin.session import spread_small
+
 # Word pools of the derived company names.
 NAMES = ("KUMARAN GANESH INDIRA RAMCO LAKSHMI SUNDAR BHARAT OMEGA VIJAY MERCURY ANAND PRIYA DEEPAK "
          "NOVA SURYA ROYAL MODERN STAR GOLDEN UNITED").split()
@@ -62,7 +64,8 @@ def narrations(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(full)
     )
     code = F.upper(F.substring(F.md5(n.cast("string")), 1, 14))
-    return table(spark, sf_dir, "orders").select(
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
+    return spread_small(orders, "o_orderkey").select(
         n.alias("txn_id"), k.alias("true_company_id"), F.col("o_orderdate").alias("txn_date"),
         F.col("o_totalprice").alias("amount"),
         F.concat_ws("/", _pick(CHANNELS, n % 5), code, body).alias("narration"))

@@ -208,6 +208,23 @@ BASE = """CASE WHEN similarity * 100.0::DOUBLE >= 80 THEN similarity * 100.0::DO
 FINAL = """least(100.0::DOUBLE, CASE WHEN base_score >= 60 THEN base_score + city_boost
   WHEN base_score >= 40 THEN base_score + city_boost * 0.5::DOUBLE ELSE base_score + city_boost * 0.2::DOUBLE END)"""
 
+def _scored(rows: str) -> str:
+    return f"""SELECT *, {FINAL} AS final_score FROM (SELECT *, {BASE} AS base_score FROM ({rows}))"""
+
+
+def _results(winner: str, backend: str) -> str:
+    return f"""SELECT t.txn_id, w.company_id, t.narration AS transaction_text,
+      coalesce(w.company_name, 'NO_MATCH') AS company_name,
+      round_even(coalesce(w.similarity, 0.0::DOUBLE), 2) AS embedding_similarity,
+      round_even(coalesce(w.fuzzy_score, 0.0::DOUBLE), 2) AS fuzzy_score,
+      round_even(coalesce(w.city_boost, 0.0::DOUBLE), 2) AS city_boost,
+      round_even(coalesce(w.final_score, 0.0::DOUBLE), 2) AS final_score,
+      '{backend}' AS backend_used, array_to_string(m.cities, '|') AS txn_cities,
+      coalesce(array_to_string(w.company_cities, '|'), '') AS company_cities,
+      CASE WHEN w.company_id IS NULL THEN t.match_text ELSE {_detected('t.match_text')} END AS detected_company_name
+      FROM t JOIN mentions m USING (match_text, loc_text) LEFT JOIN {winner}"""
+
+
 # Common tables by name, each with the tables it reads.
 CTES: dict[str, tuple[list[str], str]] = {
     "companies": ([], f"SELECT c_custkey AS company_id, {_name('c_custkey')} AS company_name FROM customer"),
@@ -270,24 +287,39 @@ CTES: dict[str, tuple[list[str], str]] = {
     "boosts": (["mentions", "pairs", "cities"], f"""SELECT mine, theirs, {_boost('mine', 'theirs')} AS city_boost FROM (
       SELECT DISTINCT m.cities AS mine, y.cities AS theirs FROM mentions m JOIN pairs p USING (match_text)
       JOIN cities y ON y.loc_text = p.company_loc)"""),
-    "scored": (["mentions", "pair_ratios", "cities", "boosts"], f"""SELECT *, {FINAL} AS final_score FROM (
-      SELECT *, {BASE} AS base_score FROM (
+    "scored": (["mentions", "pair_ratios", "cities", "boosts"], _scored(f"""
         SELECT m.match_text, m.loc_text, p.company_id, p.company_name, p.similarity,
                {FUZZY} AS fuzzy_score, b.city_boost, b.theirs AS company_cities
         FROM mentions m JOIN pair_ratios p USING (match_text) JOIN cities y ON y.loc_text = p.company_loc
-        JOIN boosts b ON b.mine = m.cities AND b.theirs = y.cities))"""),
+        JOIN boosts b ON b.mine = m.cities AND b.theirs = y.cities""")),
     "winners": (["scored"], """SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY match_text, loc_text
       ORDER BY final_score DESC, similarity DESC, company_id) = 1"""),
-    "results": (["t", "mentions", "winners"], f"""SELECT t.txn_id, w.company_id, t.narration AS transaction_text,
-      coalesce(w.company_name, 'NO_MATCH') AS company_name,
-      round_even(coalesce(w.similarity, 0.0::DOUBLE), 2) AS embedding_similarity,
-      round_even(coalesce(w.fuzzy_score, 0.0::DOUBLE), 2) AS fuzzy_score,
-      round_even(coalesce(w.city_boost, 0.0::DOUBLE), 2) AS city_boost,
-      round_even(coalesce(w.final_score, 0.0::DOUBLE), 2) AS final_score,
-      'sparse' AS backend_used, array_to_string(m.cities, '|') AS txn_cities,
-      coalesce(array_to_string(w.company_cities, '|'), '') AS company_cities,
-      CASE WHEN w.company_id IS NULL THEN t.match_text ELSE {_detected('t.match_text')} END AS detected_company_name
-      FROM t JOIN mentions m USING (match_text, loc_text) LEFT JOIN winners w USING (match_text, loc_text)"""),
+    "results": (["t", "mentions", "winners"], _results("winners w USING (match_text, loc_text)", "sparse")),
+    "near": ([], f"""SELECT q.vec_id AS mine, k.vec_id AS theirs, round(list_cosine_similarity(q.v, k.v), 9) AS similarity
+      FROM (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings) q,
+           (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings) k"""),
+    "near_companies": (["near", "c"], f"""SELECT * FROM (
+      SELECT mine, company_id, similarity, match_text AS company_text, original_name AS company_name,
+             loc_text AS company_loc,
+             row_number() OVER (PARTITION BY mine ORDER BY similarity DESC, company_id) AS rank
+      FROM near JOIN c ON c.company_id % (SELECT count(*) FROM embeddings) = near.theirs
+      WHERE similarity >= {FLOOR}::DOUBLE) WHERE rank <= {MATCHES}"""),
+    "near_rows": (["near_companies", "t", "cities"], """SELECT t.txn_id, t.match_text, x.cities AS mine,
+      y.cities AS theirs, k.company_id, k.similarity, k.company_text, k.company_name
+      FROM t JOIN near_companies k ON t.true_company_id % (SELECT count(*) FROM embeddings) = k.mine
+      JOIN cities x ON x.loc_text = t.loc_text JOIN cities y ON y.loc_text = k.company_loc"""),
+    "near_pairs": (["near_rows"], "SELECT DISTINCT match_text AS a, company_text AS b FROM near_rows"),
+    "near_ratios": (["near_pairs"], _ratios("near_pairs")),
+    "near_boosts": (["near_rows"], f"""SELECT mine, theirs, {_boost('mine', 'theirs')} AS city_boost
+      FROM (SELECT DISTINCT mine, theirs FROM near_rows)"""),
+    "near_scored": (["near_rows", "near_ratios", "near_boosts"], _scored(f"""
+      SELECT n.txn_id, n.company_id, n.company_name, n.similarity, {FUZZY} AS fuzzy_score, b.city_boost,
+             n.theirs AS company_cities
+      FROM near_rows n JOIN near_ratios r ON r.a = n.match_text AND r.b = n.company_text
+      JOIN near_boosts b USING (mine, theirs)""")),
+    "near_winners": (["near_scored"], """SELECT * FROM near_scored QUALIFY row_number() OVER (
+      PARTITION BY txn_id ORDER BY final_score DESC, similarity DESC, company_id) = 1"""),
+    "near_results": (["t", "mentions", "near_winners"], _results("near_winners w USING (txn_id)", "exact")),
 }
 
 
@@ -316,8 +348,8 @@ _N = "narration"
 _PIPE = "array_to_string({}, '|')"
 _CANDIDATES = sql("SELECT match_text, company_id, similarity, rank FROM candidates", "candidates")
 _ROWS = "txn_id, coalesce(company_id, -1) AS company_id, transaction_text, company_name"
-_FULL = sql(f"""SELECT {_ROWS}, embedding_similarity, fuzzy_score, city_boost, final_score, backend_used,
-  txn_cities, company_cities, detected_company_name FROM results""", "results")
+_ALL = f"""SELECT {_ROWS}, embedding_similarity, fuzzy_score, city_boost, final_score, backend_used,
+  txn_cities, company_cities, detected_company_name FROM"""
 
 ORACLES = {
     "clean_noise": _text(_noise(_fold(_N))),
@@ -397,7 +429,8 @@ ORACLES = {
       count(*) FILTER (company_id IS NOT NULL AND final_score >= 60 AND final_score < 80) AS medium_scores,
       count(*) FILTER (company_id IS NOT NULL AND final_score < 60) AS low_scores,
       (SELECT count(*) FROM dictionary) AS discovered_locations FROM results""", "results", "dictionary"),
-    "full_match": _FULL,
+    "full_match": sql(f"{_ALL} results", "results"),
+    "match_by_vectors": sql(f"{_ALL} near_results", "near_results"),
     "run_files": sql("SELECT txn_id, company_name, final_score FROM results", "results"),
     "assign_ordinal": sql("""SELECT company_name, row_number() OVER (ORDER BY company_name) - 1 AS ordinal
       FROM companies""", "companies"),

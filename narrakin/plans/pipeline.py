@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from narrakin.operators import fuzzy, locations, ranking, topk, vectors
 from narrakin.operators.preprocess import preprocess_companies, preprocess_narrations
-from narrakin.operators.skew import fan_out_join
+from narrakin.operators.skew import company_join, fan_out_join
 from narrakin.options import MatchOptions
-from narrakin.session import scratch_path, settle, ship_package, spread, spread_small, tune
+from narrakin.session import scratch_path, settle, ship_package, spread, tune
 from narrakin.sources import files
 
 MENTION = ["match_text", "loc_text"]
@@ -28,15 +28,18 @@ class CompanyIndex:
     n_texts: int
     n_grams: int
     postings: int
+    n_companies: int
+    company_bytes: int
     vectors: DataFrame | None = None
-    n_companies: int = 0
 
 
 def _sized(companies: DataFrame, members: DataFrame, frequencies: DataFrame, packed: DataFrame,
            dense: DataFrame | None) -> CompanyIndex:
-    sizes = packed.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.size("grams")), F.lit(0)).alias("p")).first()
-    return CompanyIndex(companies, members, frequencies, packed, sizes["n"], frequencies.count(),
-                        sizes["p"], dense, companies.count())
+    sparse = packed.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.size("grams")), F.lit(0)).alias("p")).first()
+    width = sum(F.octet_length(c) for c in ("original_name", "match_text", "loc_text")) + 64
+    table = companies.agg(F.count("*").alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("b")).first()
+    return CompanyIndex(companies, members, frequencies, packed, sparse["n"], frequencies.count(),
+                        sparse["p"], table["n"], table["b"], dense)
 
 
 def build_company_index(companies: DataFrame, opts: MatchOptions = MatchOptions(),
@@ -53,7 +56,7 @@ def build_company_index(companies: DataFrame, opts: MatchOptions = MatchOptions(
     text_col = text_col or files.company_text_column(companies, opts.company_column)
     if id_col is None:
         companies, id_col = files.with_ordinal(companies, [text_col]), "company_id"
-    table = settle(preprocess_companies(spread_small(companies, id_col), id_col, text_col, opts),
+    table = settle(preprocess_companies(companies, id_col, text_col, opts),
                    "companies", f"{path}/companies")
     texts, members = topk.company_texts(table, opts.max_candidates)
     members = settle(members, "members", f"{path}/members")
@@ -88,7 +91,7 @@ def query_vectors(texts: DataFrame, index: CompanyIndex) -> DataFrame:
 def sparse_candidates(texts: DataFrame, index: CompanyIndex, opts: MatchOptions) -> DataFrame:
     """(match_text, company_id, similarity, rank) for the distinct matching texts."""
     return topk.sparse_topk(query_vectors(texts, index), index.packed, index.members, index.postings,
-                            opts.max_candidates, opts.similarity_floor, opts.index_postings)
+                            index.company_bytes, opts.max_candidates, opts.similarity_floor, opts.index_postings)
 
 
 def vector_candidates(queries: DataFrame, index: CompanyIndex, opts: MatchOptions) -> tuple[DataFrame, str]:
@@ -102,13 +105,23 @@ def vector_candidates(queries: DataFrame, index: CompanyIndex, opts: MatchOption
     return topk.dense_topk(queries, index.vectors, k, floor), "exact"
 
 
-def attach_companies(candidates: DataFrame, companies: DataFrame, company_cities: DataFrame | None = None) -> DataFrame:
+def attach_companies(candidates: DataFrame, index: CompanyIndex, company_cities: DataFrame | None = None,
+                     salt_on: str = "match_text") -> DataFrame:
     """Candidates with name, matching text and cities; unknown ids are dropped."""
-    side = companies.select("company_id", F.col("original_name").alias("company_name"),
-                            F.col("match_text").alias("company_text"), "loc_text")
+    side = index.companies.select("company_id", F.col("original_name").alias("company_name"),
+                                  F.col("match_text").alias("company_text"), "loc_text")
     if company_cities is not None:
         side = side.join(company_cities.withColumnRenamed("cities", "company_cities"), "loc_text", "left")
-    return candidates.join(side.drop("loc_text"), "company_id")
+    return company_join(candidates, side.drop("loc_text"), "company_id", index.company_bytes, [salt_on])
+
+
+def fuzzy_pairs(pairs: DataFrame) -> DataFrame:
+    """Fuzzy score of each row, worked out once per distinct pair of texts."""
+    texts = ["match_text", "company_text"]
+    pairs = settle(pairs, "pairs")
+    counts = pairs.groupBy(*texts).agg(F.count("*").alias("n_rows"))
+    scored = fuzzy.with_fuzzy_score(counts.select(*texts), *texts)
+    return fan_out_join(pairs, scored, counts, texts, ["txn_id"])
 
 
 def find_locations(texts: list[DataFrame], opts: MatchOptions, prior: DataFrame | None = None,
@@ -142,7 +155,7 @@ def match_transactions(txns: DataFrame, index: CompanyIndex, opts: MatchOptions
     if txn_id is None:
         txns, txn_id = files.with_ordinal(txns, [text_col], "txn_id"), "txn_id"
     raw = txns.select(F.col(txn_id).alias("txn_id"), F.col(text_col).alias("transaction_text"))
-    rows = settle(preprocess_narrations(spread_small(raw, "txn_id"), "transaction_text", opts)
+    rows = settle(preprocess_narrations(raw, "transaction_text", opts)
                   .select("txn_id", "transaction_text", *MENTION), "narrations")
     by_vector = txn_vectors is not None and opts.search != "sparse"
     keys = ["txn_id", *MENTION] if by_vector else MENTION
@@ -150,13 +163,14 @@ def match_transactions(txns: DataFrame, index: CompanyIndex, opts: MatchOptions
     dictionary, cities = find_locations([mentions, index.companies], opts, prior_locations, gazetteer)
     if by_vector:
         candidates, backend = vector_candidates(txn_vectors, index, opts)
-        pairs = candidates.join(mentions.select("txn_id", "match_text"), "txn_id")
+        named = candidates.join(mentions.select("txn_id", "match_text"), "txn_id")
+        pairs = fuzzy_pairs(attach_companies(named, index, cities, "txn_id"))
         join_on = ["txn_id", "match_text"]
     else:
         candidates, backend = sparse_candidates(mentions, index, opts), "sparse"
-        pairs, join_on = candidates, ["match_text"]
-    pairs = fuzzy.with_fuzzy_score(
-        attach_companies(pairs, index.companies, cities), "match_text", "company_text")
+        pairs = fuzzy.with_fuzzy_score(
+            attach_companies(candidates, index, cities), "match_text", "company_text")
+        join_on = ["match_text"]
     placed = mentions.drop("n_rows").join(cities, "loc_text", "left")
     scored = placed.join(pairs, join_on).withColumn(
         "city_boost", locations.city_boost(F.col("cities"), F.col("company_cities")))

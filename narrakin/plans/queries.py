@@ -12,7 +12,7 @@ from narrakin.operators import fuzzy, locations, ranking, topk, vectors
 from narrakin.operators.preprocess import preprocess_companies, preprocess_narrations
 from narrakin.options import MatchOptions
 from narrakin.plans import fixtures, pipeline
-from narrakin.session import scratch_path, settle, ship_package, spread_small, tune
+from narrakin.session import scratch_path, settle, ship_package, tune
 from narrakin.sources import files
 
 OPTS = MatchOptions()
@@ -33,7 +33,7 @@ def _companies(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _ready_narrations(spark: SparkSession, sf: str, opts: MatchOptions = OPTS) -> DataFrame:
-    return preprocess_narrations(spread_small(_narrations(spark, sf), "txn_id"), "narration", opts)
+    return preprocess_narrations(_narrations(spark, sf), "narration", opts)
 
 
 def _query_texts(spark: SparkSession, sf: str) -> DataFrame:
@@ -237,7 +237,7 @@ def topk_lsh(spark: SparkSession, sf: str) -> DataFrame:
 def candidates_enriched(spark: SparkSession, sf: str) -> DataFrame:
     index = _index(spark, sf)
     found = pipeline.sparse_candidates(_query_texts(spark, sf), index, OPTS)
-    return pipeline.attach_companies(found, index.companies).select(
+    return pipeline.attach_companies(found, index).select(
         "match_text", "company_id", "similarity", "rank", "company_name", "company_text")
 
 

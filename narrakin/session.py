@@ -69,7 +69,7 @@ def spread(df, key: str):
 
 
 def spread_small(df, key: str):
-    """As spread, but only for inputs read in fewer partitions than there are cores."""
+    """As spread, but only for a plain file scan in fewer partitions than there are cores."""
     few = df.rdd.getNumPartitions() < df.sparkSession.sparkContext.defaultParallelism
     return spread(df, key) if few else df
 

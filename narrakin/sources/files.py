@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,14 +12,15 @@ from narrakin.functions.lexicons import NARRATION_COLUMNS
 from narrakin.session import shared_dir
 
 
-def read_csv(spark: SparkSession, path: str) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """CSV with a header line, every column as text.
 
     The header of one file decides the names, so a file of any size is read once.
+    Texts with line breaks need ``multi_line``, which reads each file in one task.
     """
-    header = spark.read.option("header", True).csv(path).columns
-    schema = T.StructType([T.StructField(name, T.StringType()) for name in header])
-    return spark.read.option("header", True).option("escape", '"').schema(schema).csv(path)
+    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in reader.csv(path).columns])
+    return reader.schema(schema).csv(path)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -52,10 +53,8 @@ def with_ordinal(df: DataFrame, order_by: Sequence[str], name: str = "company_id
     part = F.shiftright("_place", 33)
     row = F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))
     sizes = placed.groupBy(part.alias("_part")).count()
-    offsets = (sizes.alias("a")
-               .join(sizes.alias("b"), F.col("b._part") < F.col("a._part"), "left")
-               .groupBy(F.col("a._part").alias("_part"))
-               .agg(F.coalesce(F.sum("b.count"), F.lit(0)).alias("_before")))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_before"))
     return (placed.withColumn("_part", part)
             .join(F.broadcast(offsets), "_part")
             .withColumn(name, F.col("_before") + row)
