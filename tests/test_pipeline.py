@@ -112,3 +112,35 @@ def test_true_companies_are_found(spark):
         F.col("txn_id") % 8 != 7)
     hit = known.agg(F.avg((F.col("company_id") == F.col("true_company_id")).cast("int")).alias("p")).first().p
     assert hit > 0.98
+
+
+def test_shuffle_plans_give_the_broadcast_results(spark, monkeypatch):
+    """A third of the narrations equal, and no side small enough to broadcast."""
+    hot = [(i, "UPI/ZZ/RAMCO SYSTEMS VELLORE" if i % 3 == 0 else f"NEFT/Q/KUMARAN HARDWARE {i % 50}")
+           for i in range(600)]
+    plain = run(spark, narrations=hot).results.orderBy("txn_id").collect()
+    monkeypatch.setattr("narrakin.operators.skew.BROADCAST_ROWS", 0)
+    monkeypatch.setattr("narrakin.operators.skew.BROADCAST_BYTES", 0)
+    monkeypatch.setattr("narrakin.operators.blocks.QUERY_BLOCK", 9)
+    monkeypatch.setattr("narrakin.operators.blocks.TARGET_BLOCK", 2)
+    shuffled = run(spark, MatchOptions(index_postings=0), hot).results.orderBy("txn_id").collect()
+    assert len(plain) == 600 and plain == shuffled
+
+
+def test_gazetteer_reaches_the_results(spark):
+    companies = spark.createDataFrame([(1, "ALPHA FOODS ERODE")], "id long, name string")
+    txns = spark.createDataFrame([(1, "UPI/1/ALPHA FOODS ERODE")], "txn_id long, Narration string")
+    places = spark.createDataFrame([("erode",)], "location string")
+    for detect, boost in ((True, 3.0), (False, 0.0)):
+        opts = MatchOptions(enable_automated_city_detection=detect)
+        index = pipeline.build_company_index(companies, opts, "id", "name")
+        row = pipeline.match_transactions(txns, index, opts, "txn_id", gazetteer=places).results.first()
+        assert row.city_boost == boost
+
+
+def test_rows_without_an_id_are_numbered(spark):
+    companies = spark.createDataFrame([("ALPHA FOODS",), ("BETA MOTORS",)], "name string")
+    txns = spark.createDataFrame([("BETA MOTORS",), ("ALPHA FOODS",)], "Narration string")
+    index = pipeline.build_company_index(companies)
+    got = {r.transaction_text: (r.txn_id, r.company_id) for r in pipeline.match_transactions(txns, index).results.collect()}
+    assert got == {"ALPHA FOODS": (0, 0), "BETA MOTORS": (1, 1)}
