@@ -70,11 +70,13 @@ class SparseTargets:
         out = np.zeros((len(grams), self.size))
         for row, code, weight in zip(out, grams, weights, strict=True):
             at = np.minimum(np.searchsorted(self.codes, code), len(self.codes) - 1)
-            lists = [(slice(self.start[at[i]], self.stop[at[i]]), weight[i])
-                     for i in np.flatnonzero(self.codes[at] == code)]
-            if lists:
-                row[:] = np.bincount(np.concatenate([self.owner[s] for s, _ in lists]),
-                                     np.concatenate([self.weight[s] * w for s, w in lists]), self.size)
+            known = np.flatnonzero(self.codes[at] == code)
+            if len(known):
+                first, last = self.start[at[known]], self.stop[at[known]]
+                lists = [slice(a, b) for a, b in zip(first, last, strict=True)]
+                shares = np.concatenate([self.weight[s] for s in lists])
+                shares *= np.repeat(weight[known], last - first)
+                row[:] = np.bincount(np.concatenate([self.owner[s] for s in lists]), shares, self.size)
         return out
 
 

@@ -111,10 +111,16 @@ def attach_companies(candidates: DataFrame, index: CompanyIndex, company_cities:
     side = index.companies.select("company_id", F.col("original_name").alias("company_name"),
                                   F.col("match_text").alias("company_text"), "loc_text")
     if company_cities is not None:
-        side = side.join(company_cities.withColumnRenamed("cities", "company_cities"), "loc_text", "left")
+        side = with_cities(side, company_cities, "company_id").withColumnRenamed("cities", "company_cities")
     return company_join(candidates, side.drop("loc_text"), "company_id", index.company_bytes, [salt_on])
 
 
+def with_cities(rows: DataFrame, cities: DataFrame, salt_on: str) -> DataFrame:
+    """Rows with the cities of their location text, which may be the same for many rows."""
+    counts = rows.groupBy("loc_text").agg(F.count("*").alias("n_rows"))
+    return fan_out_join(rows, cities, counts, ["loc_text"], [salt_on])
+
+
 def fuzzy_pairs(pairs: DataFrame) -> DataFrame:
     """Fuzzy score of each row, worked out once per distinct pair of texts."""
     texts = ["match_text", "company_text"]
@@ -171,7 +177,7 @@ def match_transactions(txns: DataFrame, index: CompanyIndex, opts: MatchOptions
         pairs = fuzzy.with_fuzzy_score(
             attach_companies(candidates, index, cities), "match_text", "company_text")
         join_on = ["match_text"]
-    placed = mentions.drop("n_rows").join(cities, "loc_text", "left")
+    placed = settle(with_cities(mentions.drop("n_rows"), cities, keys[0]), "placed")
     scored = placed.join(pairs, join_on).withColumn(
         "city_boost", locations.city_boost(F.col("cities"), F.col("company_cities")))
     winners = ranking.best_candidate(ranking.with_scores(scored, opts), *keys)

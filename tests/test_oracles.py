@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from narrakin.plans import queries
 
 SF = "/root/testdata/sf0.001"
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
@@ -18,6 +19,25 @@ def duck():
     return con
 
 
+@pytest.fixture(scope="module", autouse=True)
+def shared_steps():
+    """Build company tables and matches once per set of options instead of once per query."""
+    def once(step):
+        done = {}
+
+        def cached(spark, sf, opts=queries.OPTS):
+            key = repr(opts)
+            if key not in done:
+                done[key] = step(spark, sf, opts)
+            return done[key]
+        return cached
+
+    with pytest.MonkeyPatch.context() as patch:
+        for name in ("_index", "_match"):
+            patch.setattr(queries, name, once(getattr(queries, name)))
+        yield
+
+
 def lines(rows, columns):
     order = [columns.index(c) for c in sorted(columns)]
     return sorted(repr([round(r[i], 10) if isinstance(r[i], float) else r[i] for i in order]) for r in rows)
