@@ -1,9 +1,8 @@
-"""Language shares of each document, by expectation-maximisation over its words."""
+"""Language shares of each document, by expectation-maximisation over its tokens."""
 
 from __future__ import annotations
 
 import re
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -15,20 +14,22 @@ from pyspark.sql import functions as F
 
 from narrakin.session import ship_package
 
-#: Slots for hashed letter n-grams.
-SLOTS = 1 << 15
-GRAMS = (1, 2, 3)
+#: Slots for hashed n-grams of bytes.
+SLOTS = 1 << 16
+GRAMS = (1, 2, 3, 4)
 #: The model is fitted on about so many labelled documents of each language, chosen by hash.
-SAMPLE_PER_LANGUAGE = 3000
+SAMPLE_PER_LANGUAGE = 2000
 MAX_LANGUAGES = 500
-ROUNDS = 12
+ROUNDS = 10
 #: Most languages in the set of one document.
 MOST = 3
 UNKNOWN = "und"
-_WORD = re.compile(r"[^\W\d_]{1,40}")
-#: Words whose likelihoods a task remembers.
-_MEMORY = 400_000
-#: Words that one step of the expectation-maximisation holds.
+_LETTERS = re.compile(r"[^\W\d_]+")
+#: Longest token taken as one; longer ones, as in scripts without spaces, are cut.
+_TOKEN = 48
+#: Tokens whose likelihoods a task remembers.
+_MEMORY = 200_000
+#: Tokens of the documents that are worked on together.
 _STEP = 100_000
 
 
@@ -39,14 +40,38 @@ class LanguageModel:
     weights: np.ndarray
 
 
-def words(text: str) -> list[str]:
-    """Runs of letters, lower-cased; runs of over 40 letters are cut into pieces of 40."""
-    return [w for w in _WORD.findall(text.lower()) if w.isalpha() or any(map(str.isalpha, w))]
-
-
-def slots(word: str) -> list[int]:
-    padded = f" {word} "
-    return [zlib.crc32(padded[i:i + n].encode()) % SLOTS for n in GRAMS for i in range(len(padded) - n + 1)]
+def tokens(text: str) -> list[str]:
+    """What white space parts; tokens of over 48 characters are cut into pieces of 48."""
+    found = text.split()
+    if max(map(len, found), default=0) > _TOKEN:
+        return [t[i:i + _TOKEN] for t in found for i in range(0, len(t), _TOKEN)]
+    return found
+
+
+def letters(token: str) -> str:
+    """The lower-cased runs of letters of a token, joined by spaces."""
+    token = token.lower()
+    if token.isalpha():
+        return token
+    runs = [r if r.isalpha() else "".join(filter(str.isalpha, r)) for r in _LETTERS.findall(token)]
+    return " ".join(filter(None, runs))
+
+
+def gram_slots(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Slots of all n-grams of bytes of the words, each padded by spaces, and the word of each."""
+    data = np.frombuffer((" " + "  ".join(words) + " ").encode(), np.uint8).astype(np.uint64)
+    sizes = np.fromiter((len(w.encode()) + 2 for w in words), np.int64, len(words))
+    word = np.repeat(np.arange(len(words)), sizes)
+    slots, owners = [], []
+    code = np.zeros(len(data), np.uint64)
+    for n in range(1, max(GRAMS) + 1):
+        code = code[: len(data) - n + 1] * np.uint64(257) + data[n - 1:] + np.uint64(1)
+        if n in GRAMS:
+            inside = word[: len(code)] == word[n - 1:]
+            mixed = code[inside] * np.uint64(0x9E3779B97F4A7C15)
+            slots.append((mixed >> np.uint64(48)).astype(np.int64) % SLOTS)
+            owners.append(word[: len(code)][inside])
+    return np.concatenate(slots), np.concatenate(owners)
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -55,16 +80,18 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         seen: dict[str, Counter] = {}
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-            seen.setdefault(lang, Counter()).update(words(text.as_py() or ""))
+            seen.setdefault(lang, Counter()).update(tokens(text.as_py() or ""))
         for lang, found in seen.items():
-            total = counts.setdefault(lang, np.zeros(SLOTS, np.int64))
-            for word, n in found.items():
-                for slot in slots(word):
-                    total[slot] += n
+            total = counts.setdefault(lang, np.zeros(SLOTS))
+            some = [(w, n) for w, n in ((letters(t), n) for t, n in found.items()) if w]
+            if some:
+                slots, owner = gram_slots([w for w, _ in some])
+                total += np.bincount(slots, np.array([n for _, n in some], float)[owner], SLOTS)
     for lang, total in counts.items():
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays(
-            [pa.array([lang] * len(used), pa.string()), pa.array(used, pa.int64()), pa.array(total[used])], names=["lang", "slot", "n"])
+            [pa.array([lang] * len(used), pa.string()), pa.array(used, pa.int64()), pa.array(total[used].astype(np.int64))],
+            names=["lang", "slot", "n"])
 
 
 def fit(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> LanguageModel:
@@ -92,94 +119,111 @@ def fit(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> LanguageMod
     return LanguageModel(languages, np.log(table / table.sum(0)))
 
 
-def shares(likelihood: np.ndarray, counts: np.ndarray, starts: np.ndarray, allowed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Mixture shares and log-likelihood of each document over its allowed languages.
+def shares(likelihood: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, float]:
+    """Mixture shares of the languages in one document, and its log-likelihood.
 
-    likelihood: words x languages; counts: how often each word stands in its document; starts: the
-    first word of each document; allowed: documents x languages.
+    likelihood: tokens x languages; counts: how often each token stands in the document.
     """
-    sizes = np.diff(np.append(starts, len(counts)))
-    doc = np.repeat(np.arange(len(starts)), sizes)
-    total = np.add.reduceat(counts, starts)
-    pi = allowed / allowed.sum(1, keepdims=True)
+    total = counts.sum()
+    pi = np.full(likelihood.shape[1], 1 / likelihood.shape[1])
     for _ in range(ROUNDS):
-        joint = likelihood * pi[doc]
-        joint *= (counts / joint.sum(1))[:, None]
-        pi = np.add.reduceat(joint, starts, axis=0) / total[:, None]
-        pi = np.maximum(pi, 1e-9) * allowed
-        pi /= pi.sum(1, keepdims=True)
-    return pi, np.add.reduceat(counts * np.log((likelihood * pi[doc]).sum(1)), starts)
+        old = pi
+        pi = np.maximum(pi * ((counts / (likelihood @ pi)) @ likelihood) / total, 1e-9)
+        if np.abs(pi - old).max() < 1e-4:
+            break
+    return pi / pi.sum(), float(counts @ np.log(likelihood @ pi))
 
 
-def choose(likelihood: np.ndarray, counts: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The shares over each document's language set, and the size of the set.
+def choose(likelihood: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, int]:
+    """The shares over the document's language set, and the size of the set.
 
     Languages are ranked by their shares over all of them; of the sets of the first one, two, three
-    ..., the one with the highest likelihood less the Bayesian penalty for its size is taken.
+    ..., the one with the highest likelihood less the Bayesian penalty for its size is taken. The
+    likelihood over all languages bounds that of every set, so sets of two and more are tried only
+    where that bound beats the single language by more than the least penalty.
     """
-    n, k = len(starts), likelihood.shape[1]
-    total = np.add.reduceat(counts, starts)
-    pi, _ = shares(likelihood, counts, starts, np.ones((n, k)))
-    rank = np.argsort(np.argsort(-pi, axis=1, kind="stable"), axis=1)
-    best, best_pi, best_size = np.full(n, -np.inf), pi, np.ones(n, np.int64)
-    for size in range(1, min(MOST, k) + 1):
-        part, fit_ = shares(likelihood, counts, starts, (rank < size).astype(float))
-        worth = fit_ - 0.5 * (size - 1) * np.log(total + 1) * 2
-        better = worth > best
-        best, best_size = np.where(better, worth, best), np.where(better, size, best_size)
-        best_pi = np.where(better[:, None], part, best_pi)
+    pi, bound = shares(likelihood, counts)
+    rank = np.argsort(-pi, kind="stable")
+    best = float(counts @ np.log(likelihood[:, rank[0]]))
+    best_pi, best_size = np.zeros(len(pi)), 1
+    best_pi[rank[0]] = 1
+    penalty = np.log(counts.sum() + 1)
+    if bound - best > penalty:
+        for size in range(2, min(MOST, len(pi)) + 1):
+            part, fitted = shares(np.ascontiguousarray(likelihood[:, rank[:size]]), counts)
+            if fitted - (size - 1) * penalty > best:
+                best, best_size = fitted - (size - 1) * penalty, size
+                best_pi = np.zeros(len(pi))
+                best_pi[rank[:size]] = part
     return best_pi, best_size
 
 
+class _Places(dict):
+    """A place for every token; new tokens are numbered and noted as they come."""
+
+    def __init__(self):
+        super().__init__()
+        self.fresh: list[str] = []
+
+    def __missing__(self, token: str) -> int:
+        self.fresh.append(token)
+        place = self[token] = len(self)
+        return place
+
+
 class Predictor:
-    """Predicts whole Arrow columns of texts; remembers the likelihoods of words."""
+    """Predicts whole Arrow columns of texts; remembers the likelihoods of tokens."""
 
     def __init__(self, model: LanguageModel):
-        self.model, self.memory = model, {}
-        self.rows = np.zeros((1024, len(model.languages)))
-
-    def _spot(self, word: str) -> int:
-        spot = self.memory.get(word)
-        if spot is None:
-            spot = self.memory[word] = len(self.memory)
-            if spot >= len(self.rows):
-                self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
-            total = self.model.weights[slots(word)].mean(0) * (len(word) + 1)
-            self.rows[spot] = np.maximum(np.exp(total - total.max()), 1e-12)
-        return spot
-
-    def __call__(self, texts: pa.Array) -> tuple[list[str], list[float], list[float]]:
+        self.model = model
+        self._forget()
+
+    def _forget(self) -> None:
+        self.places = _Places()
+        #: By place: likelihoods scaled to 1 at the likeliest language, and whether there are letters.
+        self.rows, self.spelt = np.empty((0, len(self.model.languages))), np.empty(0, bool)
+
+    def _learn(self) -> None:
+        words = [letters(t) for t in self.places.fresh]
+        self.places.fresh = []
+        n = len(words)
+        slots, owner = gram_slots(words)
+        grams = np.bincount(owner, minlength=n)
+        size = np.fromiter(map(len, words), float, n) + 1
+        logs = np.stack([np.bincount(owner, self.model.weights[slots, j], n) for j in range(len(self.model.languages))], 1)
+        logs *= (size / grams)[:, None]
+        self.rows = np.concatenate([self.rows, np.maximum(np.exp(logs - logs.max(1, keepdims=True)), 1e-12)])
+        self.spelt = np.concatenate([self.spelt, size > 1])
+
+    def __call__(self, texts: pa.Array) -> tuple[list[str], list[float], list[int]]:
         """Language, score and the number of languages in the set, for each text."""
-        langs, scores, sizes = [UNKNOWN] * len(texts), [0.0] * len(texts), [0] * len(texts)
-        if not self.model.languages:
-            return langs, scores, sizes
-        docs, flat, held = [], [], 0
-        for i, text in enumerate(texts):
-            found = Counter(words(text.as_py() or ""))
-            if found:
-                if len(self.memory) > _MEMORY:
-                    self._solve(docs, flat, langs, scores, sizes)
-                    docs, flat, held, self.memory = [], [], 0, {}
-                flat.append((np.fromiter(map(self._spot, found), np.int64, len(found)), np.fromiter(found.values(), np.float64, len(found))))
-                docs.append(i)
-                held += len(found)
-            if held > _STEP:
-                self._solve(docs, flat, langs, scores, sizes)
-                docs, flat, held = [], [], 0
-        self._solve(docs, flat, langs, scores, sizes)
-        return langs, scores, sizes
-
-    def _solve(self, docs, flat, langs, scores, sizes) -> None:
-        if not docs:
-            return
-        counts = np.concatenate([c for _, c in flat])
-        starts = np.concatenate([[0], np.cumsum([len(c) for _, c in flat])[:-1]]).astype(np.int64)
-        pi, size = choose(self.rows[np.concatenate([s for s, _ in flat])], counts, starts)
-        total = np.add.reduceat(counts, starts)
-        top = pi.argmax(1)
-        share = (pi[np.arange(len(docs)), top] * total + 1 / pi.shape[1]) / (total + 1)
-        for i, t, s, n in zip(docs, top.tolist(), share.tolist(), size.tolist()):
-            langs[i], scores[i], sizes[i] = self.model.languages[t], min(1.0, s), n
+        out = ([UNKNOWN] * len(texts), [0.0] * len(texts), [0] * len(texts))
+        if self.model.languages:
+            held, size = [], 0
+            for i, text in enumerate(texts):
+                found = Counter(tokens(text.as_py() or ""))
+                n = len(found)
+                held.append((i, np.fromiter(map(self.places.__getitem__, found), np.int64, n), np.fromiter(found.values(), np.float64, n)))
+                size += n
+                if size > _STEP:
+                    self._solve(held, out)
+                    held, size = [], 0
+            self._solve(held, out)
+        return out
+
+    def _solve(self, held: list[tuple[int, np.ndarray, np.ndarray]], out: tuple[list, list, list]) -> None:
+        if self.places.fresh:
+            self._learn()
+        for i, spot, counts in held:
+            used = self.spelt[spot]
+            if used.any():
+                spot, counts = spot[used], counts[used]
+                pi, size = choose(self.rows[spot], counts)
+                top, total = int(pi.argmax()), counts.sum()
+                out[0][i], out[2][i] = self.model.languages[top], size
+                out[1][i] = float(min(1.0, (pi[top] * total + 1 / len(pi)) / (total + 1)))
+        if len(self.places) > _MEMORY:
+            self._forget()
 
 
 def predictor(spark: SparkSession, model: LanguageModel):

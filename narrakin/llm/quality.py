@@ -19,7 +19,7 @@ LABELLED_SAMPLE = 20_000
 BINS = 10
 RIDGE = 3.0
 #: Documents whose final probability of good quality is below this are rejected.
-THRESHOLD = 0.5
+THRESHOLD = 0.4
 #: Site rates are broadcast up to so many bytes, counted before; larger tables are joined by shuffle.
 BROADCAST_BYTES = 8 << 20
 _SPACES = frozenset(b" \t\n\r\x0b\x0c")
