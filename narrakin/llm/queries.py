@@ -8,12 +8,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from narrakin.llm import langid, packing, quality, simhash, wordpiece
+from narrakin.llm import fingerprints, langid, packing, pieces, quality, simhash, wordpiece
 from narrakin.llm.tables import table
 
 PIECES = "piece_bpe_32k.model"
 
 
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(spark, table(spark, sf_dir, "documents"))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wordpiece.token_counts(spark, table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
 
@@ -22,6 +26,10 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(spark, table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
 
 
+def op6_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encoded_digests(spark, table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality.score(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return found.select("_row.doc_id", "_q.*")
@@ -37,6 +45,6 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_token_counts, op5_packing, op7_quality, op9_simhash, op10_language)
+    f.__name__: f for f in (op1_fingerprints, op3_token_counts, op5_packing, op6_pieces, op7_quality, op9_simhash, op10_language)
 }
 ORACLES: dict[str, str] = {}
