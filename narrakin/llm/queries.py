@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from narrakin.llm import fingerprints, langid, packing, pieces, quality, simhash, wordpiece
+from narrakin.llm import fingerprints, langid, packing, pieces, quality, simhash, vectors, wordpiece
 from narrakin.llm.tables import table
 
 PIECES = "piece_bpe_32k.model"
@@ -18,6 +18,10 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprints(spark, table(spark, sf_dir, "documents"))
 
 
+def op2_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_vectors(spark, table(spark, sf_dir, "embeddings"))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wordpiece.token_counts(spark, table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
 
@@ -45,6 +49,23 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_fingerprints, op3_token_counts, op5_packing, op6_pieces, op7_quality, op9_simhash, op10_language)
+    f.__name__: f for f in (op1_fingerprints, op2_vectors, op3_token_counts, op5_packing, op6_pieces, op7_quality, op9_simhash, op10_language)
 }
-ORACLES: dict[str, str] = {}
+
+_OP2_SQL = """
+WITH RECURSIVE sound AS (
+    SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, x -> x <> 0)) > 0),
+links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM sound a JOIN sound b
+    ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.95),
+reach(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+counted AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a),
+lowest AS (SELECT a AS vec_id, min(b) AS low FROM reach GROUP BY a)
+SELECT v.vec_id, coalesce(n, 0)::BIGINT AS n_links, least(v.vec_id, coalesce(low, v.vec_id)) AS component_id,
+       v.vec_id = least(v.vec_id, coalesce(low, v.vec_id)) AS kept
+FROM embeddings v LEFT JOIN counted USING (vec_id) LEFT JOIN lowest USING (vec_id)
+"""
+
+ORACLES: dict[str, str] = {"op2_vectors": _OP2_SQL}
