@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from narrakin.llm import fingerprints, langid, packing, pieces, quality, simhash, vectors, wordpiece
+from narrakin.llm import fingerprints, html, langid, packing, pieces, quality, simhash, vectors, wordpiece
 from narrakin.llm.tables import table
 
 PIECES = "piece_bpe_32k.model"
@@ -26,6 +26,10 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wordpiece.token_counts(spark, table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
 
 
+def op4_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(spark, table(spark, sf_dir, "pages"))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(spark, table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
 
@@ -49,7 +53,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_fingerprints, op2_vectors, op3_token_counts, op5_packing, op6_pieces, op7_quality, op9_simhash, op10_language)
+    f.__name__: f for f in (op1_fingerprints, op2_vectors, op3_token_counts, op4_html, op5_packing, op6_pieces, op7_quality, op9_simhash, op10_language)
 }
 
 _OP2_SQL = """
