@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from narrakin.llm import fingerprints, html, langid, packing, pieces, quality, simhash, vectors, wordpiece
+from narrakin.llm import fingerprints, html, langid, packing, pieces, quality, simhash, urls, vectors, wordpiece
 from narrakin.llm.tables import table
 
 PIECES = "piece_bpe_32k.model"
@@ -43,6 +43,10 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("_row.doc_id", "_q.*")
 
 
+def op8_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(spark, table(spark, sf_dir, "pages"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(spark, table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex16(F.col("fp")).alias("fingerprint"), "component_id")
@@ -53,14 +57,14 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_fingerprints, op2_vectors, op3_token_counts, op4_html, op5_packing, op6_pieces, op7_quality, op9_simhash, op10_language)
+    f.__name__: f for f in (op1_fingerprints, op2_vectors, op3_token_counts, op4_html, op5_packing, op6_pieces, op7_quality, op8_urls, op9_simhash, op10_language)
 }
 
 _OP2_SQL = """
 WITH RECURSIVE sound AS (
     SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
-    WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-      AND len(list_filter(embedding, x -> x <> 0)) > 0),
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
 links AS (
     SELECT a.vec_id AS a, b.vec_id AS b FROM sound a JOIN sound b
     ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.95),
@@ -72,4 +76,31 @@ SELECT v.vec_id, coalesce(n, 0)::BIGINT AS n_links, least(v.vec_id, coalesce(low
 FROM embeddings v LEFT JOIN counted USING (vec_id) LEFT JOIN lowest USING (vec_id)
 """
 
-ORACLES: dict[str, str] = {"op2_vectors": _OP2_SQL}
+_OP8_SQL = """
+WITH RECURSIVE rules(verdict, h, p) AS (VALUES
+    ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'),
+    ('allow', 'com', '/fr/'), ('block', 'com', '/de/')),
+canonical AS (
+    SELECT url AS a, unnest(regexp_extract_all(html, '(?is)<link[^>]*rel="canonical"[^>]*href="([^"]*://[^"]*)"', 1)) AS b FROM pages),
+urls AS (SELECT url FROM pages UNION SELECT b FROM canonical),
+parts AS (
+    SELECT url, lower(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1)) AS host,
+           regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path,
+           regexp_extract(url, '(?s)^[^#]*?://[^?#]*(\\?[^#]*)', 1) AS query FROM urls),
+ruled AS (
+    SELECT url, any_value(host) AS host, any_value(path) AS path,
+           any_value(CASE WHEN host <> '' THEN host || CASE WHEN path = '' THEN '/' ELSE path END || query END) AS node,
+           arg_max(h || p, length(h || p)) FILTER (h IS NOT NULL) AS rule, arg_max(verdict, length(h || p)) FILTER (h IS NOT NULL) AS verdict
+    FROM parts LEFT JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY url),
+links AS (
+    SELECT x.node AS a, y.node AS b FROM canonical c JOIN ruled x ON c.a = x.url JOIN ruled y ON c.b = y.url
+    UNION SELECT y.node, x.node FROM canonical c JOIN ruled x ON c.a = x.url JOIN ruled y ON c.b = y.url),
+reach(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+decided AS (
+    SELECT a AS node, max(verdict = 'allow') AS allowed FROM reach JOIN ruled ON reach.b = ruled.node WHERE verdict IS NOT NULL GROUP BY a)
+SELECT p.page_id, coalesce(r.host, '') AS host, coalesce(r.path, '') AS path, r.rule,
+       coalesce(r.verdict, CASE WHEN NOT d.allowed THEN 'block' ELSE 'allow' END) AS verdict
+FROM pages p LEFT JOIN ruled r ON p.url = r.url LEFT JOIN decided d ON r.node = d.node
+"""
+
+ORACLES: dict[str, str] = {"op2_vectors": _OP2_SQL, "op8_urls": _OP8_SQL}
