@@ -17,7 +17,7 @@ from narrakin.session import settle, ship_package
 #: The document classifier is fitted on at most so many labelled documents.
 LABELLED_SAMPLE = 20_000
 BINS = 10
-RIDGE = 3.0
+RIDGE = 1.0
 #: Documents whose final probability of good quality is below this are rejected.
 THRESHOLD = 0.4
 #: Site rates are broadcast up to so many bytes, counted before; larger tables are joined by shuffle.

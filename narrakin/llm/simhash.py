@@ -153,13 +153,14 @@ def _span(hits: list[tuple[int, int, int]], start: int) -> list[tuple[int, int]]
         waiting &= ~(1 << root)
         queue = [root]
         while queue:
-            fresh = linked[queue.pop()] & waiting
+            near_to = queue.pop()
+            fresh = linked[near_to] & waiting
             waiting &= ~fresh
             while fresh:
                 bit = fresh & -fresh
                 fresh ^= bit
                 spot = bit.bit_length() - 1
-                edges.append((start + spot, start + root))
+                edges.append((start + spot, start + near_to))
                 queue.append(spot)
     return edges
 
