@@ -28,25 +28,20 @@ DECIMALS = 9
 HALF_UNIT = 0.5 * 10.0 ** -DECIMALS
 
 
-def best_targets(scores: np.ndarray, targets: np.ndarray, k: int, floor: float):
+def best_targets(scores: np.ndarray, order: np.ndarray, k: int, floor: float):
     """Rows, columns and rounded scores of the k best targets of each row.
 
     Scores are rounded before ranking so that equal sums added up in another order
-    tie, and ties go to the smaller target.
+    tie, and ties go to the target that comes first in ``order``.
     """
-    kept = []
-    for row in scores:
-        hits = np.flatnonzero(row >= floor - HALF_UNIT)
-        if len(hits) > k:
-            values = row[hits]
-            hits = hits[values >= np.partition(values, -k)[-k] - 2 * HALF_UNIT]
-        kept.append(hits)
-    rows = np.repeat(np.arange(len(kept)), [len(hits) for hits in kept])
-    cols = np.concatenate(kept)
+    least = np.full(len(scores), floor - HALF_UNIT)
+    if scores.shape[1] > k:
+        least = np.maximum(least, np.partition(scores, -k, axis=1)[:, -k] - 2 * HALF_UNIT)
+    rows, cols = np.nonzero(scores >= least[:, None])
     values = np.round(scores[rows, cols], DECIMALS)
     keep = values >= floor
     rows, cols, values = rows[keep], cols[keep], values[keep]
-    order = np.lexsort((targets[cols], -values, rows))
+    order = np.lexsort((order[cols], -values, rows))
     rows, cols, values = rows[order], cols[order], values[order]
     place = np.arange(len(rows)) - np.searchsorted(rows, rows, side="left")
     first = place < k
@@ -96,20 +91,24 @@ class DenseTargets:
 
 
 def search(payload: list[list], targets, target_ids: np.ndarray, k: int, floor: float):
-    """Query rows, targets and similarities of a block, a slice of bounded size at a time."""
+    """Query rows, targets and similarities of a block, a slice of bounded size at a time.
+
+    Target ids may be of any type that can be put in order.
+    """
+    order = np.unique(target_ids, return_inverse=True)[1]
     step = max(1, SCORE_CELLS // max(targets.size, 1))
     found = []
     for start in range(0, len(payload[0]), step):
         scores = targets.scores(*[p[start:start + step] for p in payload])
-        rows, cols, values = best_targets(scores, target_ids, k, floor)
+        rows, cols, values = best_targets(scores, order, k, floor)
         found.append((rows + start, target_ids[cols], values))
     return [np.concatenate(column) for column in zip(*found, strict=True)]
 
 
-def _result_schema(queries: DataFrame, key: str) -> T.StructType:
+def _result_schema(queries: DataFrame, targets: DataFrame, key: str) -> T.StructType:
     return T.StructType([
         T.StructField(key, queries.schema[key].dataType),
-        T.StructField("target", T.LongType()), T.StructField("similarity", T.DoubleType())])
+        T.StructField("target", targets.schema["target"].dataType), T.StructField("similarity", T.DoubleType())])
 
 
 def bucket_search(queries: DataFrame, targets: DataFrame, key: str, payload: list[str],
@@ -159,7 +158,7 @@ def bucket_search(queries: DataFrame, targets: DataFrame, key: str, payload: lis
     block = ["bin", "q_part", "t_part"]
     return (place(queries, key, "q_part", "t_part").groupBy(*block)
             .cogroup(place(targets, "target", "t_part", "q_part").groupBy(*block))
-            .applyInPandas(match, _result_schema(queries, key)))
+            .applyInPandas(match, _result_schema(queries, targets, key)))
 
 
 def broadcast_search(queries: DataFrame, targets: DataFrame, key: str, payload: list[str],
@@ -168,7 +167,7 @@ def broadcast_search(queries: DataFrame, targets: DataFrame, key: str, payload:
     table = targets.select("target", *payload).toArrow()
     ids = table["target"].to_numpy()
     if len(ids) == 0:
-        return queries.sparkSession.createDataFrame([], _result_schema(queries, key))
+        return queries.sparkSession.createDataFrame([], _result_schema(queries, targets, key))
     lists = [[np.asarray(v) for v in table[c].to_numpy()] for c in payload]
     index = queries.sparkSession.sparkContext.broadcast((ids, make_targets(*lists)))
 
@@ -180,4 +179,4 @@ def broadcast_search(queries: DataFrame, targets: DataFrame, key: str, payload:
             at, ids, values = search([batch[c].tolist() for c in payload], prepared, target_ids, k, floor)
             yield pd.DataFrame({key: batch[key].to_numpy()[at], "target": ids, "similarity": values})
 
-    return queries.select(key, *payload).mapInPandas(match, _result_schema(queries, key))
+    return queries.select(key, *payload).mapInPandas(match, _result_schema(queries, targets, key))

@@ -27,13 +27,34 @@ def distinct_location_texts(*tables: DataFrame) -> DataFrame:
     })
 
 
+def _fit_names(names: DataFrame, column: str) -> DataFrame:
+    return names.filter((F.length(column) > 2) & (F.length(column) < 30))
+
+
+def entity_locations(rows: DataFrame, entities: str, key: str = "loc_text") -> DataFrame:
+    """Locations that rows name themselves in a list column, by location text, in order.
+
+    Names are trimmed and lower-cased, and kept if they have 3 to 29 characters. Rows of one text put
+    their names together. The result can take the place of gazetteer_hits.
+    """
+    named = rows.select(key, F.posexplode(entities).alias("at", "name")).select(
+        key, "at", F.lower(F.trim("name")).alias("name"))
+    first = _fit_names(named, "name").groupBy(key, "name").agg(F.min("at").alias("at"))
+    ordered = F.array_sort(F.collect_list(F.struct("at", "name")))
+    return first.groupBy(key).agg(ordered.getField("name").alias("gazetteer_locations"))
+
+
 def gazetteer_hits(texts: DataFrame, gazetteer: DataFrame, key: str = "loc_text") -> DataFrame:
-    """Phrases of one to three words that a supplied location table lists, in text order."""
-    names = gazetteer.select(F.lower(F.trim("location")).alias("phrase")).filter(
-        (F.length("phrase") > 2) & (F.length("phrase") < 30)).distinct()
+    """Phrases that a supplied location table lists, in text order.
+
+    Entries have 3 to 29 characters; the longest of them in words sets the length of the runs of
+    words that are looked up.
+    """
+    names = _fit_names(gazetteer.select(F.lower(F.trim("location")).alias("phrase")), "phrase").distinct()
+    longest = names.agg(F.max(F.size(F.split("phrase", " ")))).first()[0] or 1
     token = text.words(F.col(key))
     runs = F.flatten(F.transform(token, lambda w, i: F.transform(
-        F.filter(F.sequence(F.lit(1), F.lit(3)), lambda n: i + n <= F.size(token)),
+        F.filter(F.sequence(F.lit(1), F.lit(longest)), lambda n: i + n <= F.size(token)),
         lambda n: F.struct(i.alias("at"), n.alias("words"),
                            F.array_join(F.slice(token, i + 1, n), " ").alias("phrase")))))
     phrases = (texts.select(key, F.explode(runs).alias("run"))

@@ -13,6 +13,8 @@ from narrakin.session import settle
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 << 20
 SALTS = 64
+# A hot key is spread over one salt for so many of its rows.
+SALT_ROWS = 200_000
 HOT_SHARE = 0.001
 
 
@@ -37,15 +39,16 @@ def fan_out_join(rows: DataFrame, results: DataFrame, counts: DataFrame, keys: S
     ``results`` has a few lines per key at most and ``counts`` the number of rows per
     key in ``n_rows``. A key is hot when it holds more than HOT_SHARE of all rows, so there
     are at most 1 / HOT_SHARE hot keys and broadcasting them is safe at any size.
-    Their results are repeated per salt; all other keys use salt 0.
+    Their results are repeated per salt, of which there are more the more rows a key
+    has; all other keys use salt 0.
     """
     keys = list(keys)
     total = counts.agg(F.sum("n_rows").alias("_total"))
     hot = F.broadcast(
         counts.select(*keys, "n_rows").join(F.broadcast(total), F.lit(True))
         .filter(F.col("n_rows") > F.col("_total") * HOT_SHARE)
-        .select(*keys, F.lit(SALTS).alias("_salts")))
-    spread = F.pmod(F.xxhash64(*salt_on), F.lit(SALTS)).cast("int")
+        .select(*keys, F.greatest(F.lit(SALTS), F.ceil(F.col("n_rows") / SALT_ROWS)).cast("int").alias("_salts")))
+    spread = F.pmod(F.xxhash64(*salt_on), F.col("_salts")).cast("int")
     left = (rows.join(hot, keys, "left")
             .withColumn("_salt", F.when(F.col("_salts").isNotNull(), spread).otherwise(0))
             .drop("_salts"))

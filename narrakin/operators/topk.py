@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -13,11 +15,14 @@ from pyspark.sql import types as T
 from narrakin.operators.blocks import (
     DenseTargets, SparseTargets, broadcast_search, bucket_search,
 )
-from narrakin.operators.skew import company_join
+from narrakin.operators.skew import company_join, fan_out_join
 from narrakin.session import settle, spread
 
 SPARSE = ["grams", "weights"]
 SEED_GRAMS = 3
+PART_ROWS = 100_000
+#: Numbers of company vectors that one search broadcasts; more are searched in several rounds.
+BROADCAST_NUMBERS = 8_000_000
 SLACK = 1e-9
 
 
@@ -28,20 +33,20 @@ def keep_best(found: DataFrame, key: str, target: str, k: int) -> DataFrame:
             .select(key, target, "similarity", "rank"))
 
 
-def company_texts(companies: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
-    """Distinct matching texts under their smallest company id, and their members.
+def company_texts(companies: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Distinct matching texts under their smallest company id, and all their members.
 
-    No query can use more than the first k companies of one text, because all of
-    them tie, so only those are kept as members.
+    A member's place counts the smaller ids of its text that were dealt to the same
+    part; a text of many companies is dealt to several parts, so that no task ranks
+    it whole. The first k members of a text are among those with place k or less.
     """
-    order = Window.partitionBy("match_text").orderBy("company_id")
-    first = (companies.select("match_text", "company_id")
-             .withColumn("place", F.row_number().over(order)).filter(F.col("place") <= k))
-    members = first.select(
-        "match_text", "company_id",
-        F.min("company_id").over(Window.partitionBy("match_text")).alias("target"))
-    texts = members.filter(F.col("company_id") == F.col("target")).select("match_text", "target")
-    return texts, members.select("target", "company_id")
+    texts = companies.groupBy("match_text").agg(F.min("company_id").alias("target"), F.count("*").alias("n_rows"))
+    counts = texts.select("match_text", "n_rows")
+    placed = fan_out_join(companies.select("match_text", "company_id"), texts, counts, ["match_text"], ["company_id"])
+    part = F.pmod(F.xxhash64("company_id"), F.ceil(F.col("n_rows") / PART_ROWS)).alias("part")
+    order = Window.partitionBy("target", "part").orderBy("company_id")
+    members = placed.select("target", "company_id", part).withColumn("place", F.row_number().over(order))
+    return texts.select("match_text", "target"), members.select("target", "company_id", "place")
 
 
 def _by_piece(packed: DataFrame, key: str, *extra: str) -> DataFrame:
@@ -96,33 +101,54 @@ def sparse_topk(queries: DataFrame, targets: DataFrame, members: DataFrame, post
         found = broadcast_search(queries, targets, key, SPARSE, SparseTargets, k, floor)
     else:
         found = sparse_bucket_search(queries, targets, k, floor, key)
-    return keep_best(company_join(found, members, "target", member_bytes, [key]).drop("target"), key, "company_id", k)
+    first = members.filter(F.col("place") <= k).select("target", "company_id")
+    return keep_best(company_join(found, first, "target", member_bytes, [key]).drop("target"), key, "company_id", k)
 
 
 def dense_topk(queries: DataFrame, companies: DataFrame, k: int, floor: float,
                query_id: str = "txn_id", company_id: str = "company_id",
-               vector: str = "vector") -> DataFrame:
-    """Exact top-k over supplied vectors: every block of one side meets every block of the other."""
+               vector: str = "vector", numbers: int = BROADCAST_NUMBERS) -> DataFrame:
+    """Exact top-k over supplied vectors, for company sides of any size.
+
+    The company side is cut into blocks of at most about ``numbers`` numbers, by counts,
+    and each block is broadcast past the queries, which are never shuffled; the k best
+    of each block are merged.
+    """
     queries, companies = (df.filter(F.col(vector).isNotNull()) for df in (queries, companies))
-    found = bucket_search(
-        queries.select(F.lit(0).alias("bucket"), query_id, vector),
-        companies.select(F.lit(0).alias("bucket"), F.col(company_id).alias("target"), vector),
-        query_id, [vector], DenseTargets, k, floor)
-    return keep_best(found.withColumnRenamed("target", company_id), query_id, company_id, k)
+    targets = companies.select(F.col(company_id).alias("target"), vector)
+    blocks = -(-(targets.agg(F.sum(F.size(vector).cast("long"))).first()[0] or 0) // numbers) or 1
+    part = F.pmod(F.xxhash64("target"), F.lit(blocks))
+    found = [broadcast_search(queries, targets.filter(part == n), query_id, [vector], DenseTargets, k, floor)
+             for n in range(blocks)]
+    return keep_best(reduce(DataFrame.unionByName, found).withColumnRenamed("target", company_id), query_id, company_id, k)
 
 
-def lsh_bits(n_companies: int) -> int:
-    """Bits that leave about a thousand vectors per bucket, and at least 16 buckets."""
-    return max(4, round(math.log2(max(n_companies, 1) / 1024)))
+def lsh_tables(bits: int, floor: float, recall: float) -> int:
+    """Tables that let a pair at the floor share a bucket with probability ``recall``, at any size.
+
+    One plane leaves two vectors at angle a on one side with probability 1 - a/pi.
+    """
+    together = (1 - math.acos(floor) / math.pi) ** bits
+    return max(1, math.ceil(math.log(1 - recall) / math.log(1 - together)))
+
+
+def sign_planes(size: int, planes: int, seed: int) -> np.ndarray:
+    """Planes with components 1 or -1 by the first hex digit of md5('seed|plane|dimension')."""
+    digit = [[hashlib.md5(f"{seed}|{p}|{d}".encode()).hexdigest()[0] for p in range(planes)] for d in range(size)]
+    return np.where(np.array(digit) < "8", 1.0, -1.0)
 
 
 def sign_buckets(tables: int, bits: int, seed: int):
-    """For each table, which sides of random planes through the origin a vector is on."""
+    """For each table, which sides of the planes through the origin a vector is on."""
+    known: dict[int, np.ndarray] = {}
+
     @F.pandas_udf(T.ArrayType(T.LongType()))
     def buckets(vectors: pd.Series) -> pd.Series:
         matrix = np.stack(vectors.tolist()).astype(np.float64)
-        planes = np.random.default_rng(seed).standard_normal((matrix.shape[1], tables * bits))
-        above = ((matrix @ planes) > 0).reshape(len(matrix), tables, bits)
+        size = matrix.shape[1]
+        if size not in known:
+            known[size] = sign_planes(size, tables * bits, seed)
+        above = ((matrix @ known[size]) > 0).reshape(len(matrix), tables, bits)
         codes = above @ (1 << np.arange(bits)) + (np.arange(tables) << bits)
         return pd.Series(list(codes.astype(np.int64)))
 
@@ -134,8 +160,8 @@ def lsh_topk(queries: DataFrame, companies: DataFrame, k: int, floor: float, tab
              vector: str = "vector") -> DataFrame:
     """Approximate top-k: only vectors that share a bucket in some table are compared.
 
-    More tables find more true neighbours, more bits make buckets smaller. The
-    similarity of every returned pair is exact.
+    More tables find more true neighbours, more bits make buckets smaller; see
+    ``lsh_tables``. The similarity of every returned pair is exact.
     """
     hashed = sign_buckets(tables, bits, seed)
 

@@ -17,7 +17,11 @@ class MatchOptions:
 
     ``search`` picks the similarity join: ``sparse`` (n-gram TF-IDF, exact),
     ``exact`` or ``lsh`` over supplied vectors, or ``auto``: sparse without
-    supplied vectors, and with them exact up to ``exact_vector_rows`` companies.
+    supplied vectors, and with them exact, at any size. ``lsh`` is approximate and
+    taken only when named; unless ``lsh_tables`` is set, there are so many tables that
+    a pair at the similarity floor is compared with probability ``lsh_recall``.
+
+    ``keep_input_columns`` returns all columns of the narration table with the results.
     """
 
     company_column: tuple[str, ...] = ()
@@ -30,14 +34,15 @@ class MatchOptions:
     high_similarity: float = 80.0
     medium_similarity: float = 60.0
     search: str = "auto"
-    exact_vector_rows: int = 75_000
-    lsh_tables: int = 12
-    lsh_bits: int | None = None
+    lsh_recall: float = 0.9
+    lsh_tables: int | None = None
+    lsh_bits: int = 4
     lsh_seed: int = 42
     index_postings: int = 4_000_000
     confidence_threshold: float | None = None
     drop_below_threshold: bool = False
     sort_by_score: bool = True
+    keep_input_columns: bool = False
     output_columns: Mapping[str, bool] = field(default_factory=dict)
 
     def shows(self, column: str) -> bool:

@@ -23,10 +23,16 @@ def tune(spark: SparkSession) -> SparkSession:
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.sql.codegen.hugeMethodLimit": "8000",
     }.items():
-        spark.conf.set(key, value)
+        if not _set_by_user(spark, key):
+            spark.conf.set(key, value)
     return spark
 
 
+def _set_by_user(spark: SparkSession, key: str) -> bool:
+    """Whether the caller's configuration names this setting."""
+    return spark.sparkContext.getConf().contains(key)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors can reach, as named by spark.checkpoint.dir.
 
