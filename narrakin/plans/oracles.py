@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from narrakin.functions import lexicons as L
 from narrakin.functions.text import _bank_word_runs
+from narrakin.operators.topk import lsh_tables
+from narrakin.options import MatchOptions
 from narrakin.plans import fixtures as X
 
 MATCHES = 10
@@ -244,13 +246,15 @@ CTES: dict[str, tuple[list[str], str]] = {
       FROM (SELECT loc_text, {_suffixed('loc_text')} AS suffixed
             FROM (SELECT loc_text FROM c UNION SELECT loc_text FROM t))"""),
     "dictionary": (["locs"], "SELECT DISTINCT location FROM (SELECT unnest(suffixed) AS location FROM locs)"),
-    "gazetteer": (["companies"], r"SELECT DISTINCT lower(regexp_extract(company_name, '\S+$')) AS location FROM companies"),
+    "gazetteer": (["companies"], """SELECT DISTINCT array_to_string(list_slice(w, len(w) - n + 1, len(w)), ' ') AS location
+      FROM (SELECT string_split(lower(company_name), ' ') AS w FROM companies), (SELECT unnest(range(1, 7)) AS n)
+      WHERE n <= len(w) AND length(array_to_string(list_slice(w, len(w) - n + 1, len(w)), ' ')) BETWEEN 3 AND 29"""),
     "listed": (["locs", "gazetteer"], f"""SELECT loc_text, list(location ORDER BY spot, n) AS listed FROM (
       SELECT loc_text, location, spot, n,
              row_number() OVER (PARTITION BY loc_text, location ORDER BY spot, n) AS again
       FROM (SELECT loc_text, spot, n, array_to_string(list_slice(w, spot, spot + n - 1), ' ') AS location
             FROM (SELECT loc_text, {_words('loc_text')} AS w, unnest(range(1, len({_words('loc_text')}) + 1)) AS spot
-                  FROM locs), (SELECT unnest([1, 2, 3]) AS n)
+                  FROM locs), (SELECT unnest(range(1, 7)) AS n)
             WHERE spot + n - 1 <= len(w)) JOIN gazetteer USING (location))
       WHERE again = 1 GROUP BY loc_text"""),
     "known": (["locs", "dictionary"], """SELECT loc_text, list(location ORDER BY location) AS known
@@ -264,13 +268,14 @@ CTES: dict[str, tuple[list[str], str]] = {
     "n_texts": (["c"], "SELECT count(DISTINCT match_text) AS n FROM c"),
     "cw": (["cg", "df", "n_texts"], _weights("cg")),
     "tw": (["tg", "df", "n_texts"], _weights("tg")),
-    "candidates": (["cw", "tw", "c"], f"""SELECT * FROM (
+    "wide_candidates": (["cw", "tw", "c"], f"""SELECT * FROM (
       SELECT match_text, company_id, similarity, CAST(row_number() OVER (
                PARTITION BY match_text ORDER BY similarity DESC, company_id) AS INTEGER) AS rank
       FROM (SELECT q.match_text, k.match_text AS company_text, round(sum(q.weight * k.weight), 9) AS similarity
             FROM tw q JOIN cw k USING (gram) GROUP BY ALL)
            JOIN (SELECT match_text AS company_text, company_id FROM c) USING (company_text)
-      WHERE similarity >= {FLOOR}::DOUBLE) WHERE rank <= {MATCHES}"""),
+      WHERE similarity >= {FLOOR}::DOUBLE) WHERE rank <= 20"""),
+    "candidates": (["wide_candidates"], f"SELECT * FROM wide_candidates WHERE rank <= {MATCHES}"),
     "enriched": (["candidates", "c"], """SELECT k.*, c.original_name AS company_name, c.match_text AS company_text,
       c.loc_text AS company_loc FROM candidates k JOIN c USING (company_id)"""),
     "true_pairs": (["t", "c"], """SELECT t.txn_id, c.company_id, t.match_text, t.loc_text AS txn_loc,
@@ -351,6 +356,26 @@ _ROWS = "txn_id, coalesce(company_id, -1) AS company_id, transaction_text, compa
 _ALL = f"""SELECT {_ROWS}, embedding_similarity, fuzzy_score, city_boost, final_score, backend_used,
   txn_cities, company_cities, detected_company_name FROM"""
 
+def _lsh_sql() -> str:
+    """Neighbours that share a bucket, with the planes made anew from their hashes."""
+    opts = MatchOptions()
+    tables = lsh_tables(opts.lsh_bits, FLOOR, opts.lsh_recall)
+    return f"""WITH planes AS MATERIALIZED (
+        SELECT p, d, CASE WHEN substring(md5('{opts.lsh_seed}|' || p || '|' || d), 1, 1) < '8' THEN 1.0::DOUBLE ELSE -1.0::DOUBLE END AS s
+        FROM (SELECT unnest(range({tables * opts.lsh_bits})) AS p),
+             (SELECT unnest(range((SELECT max(len(embedding)) FROM embeddings))) AS d)),
+      parts AS (SELECT vec_id, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) - 1 AS d FROM embeddings),
+      sides AS MATERIALIZED (SELECT vec_id, p, sum(x * s) > 0 AS above FROM parts JOIN planes USING (d) GROUP BY vec_id, p),
+      buckets AS MATERIALIZED (
+        SELECT vec_id, p // {opts.lsh_bits} AS t, sum(CASE WHEN above THEN 1 << (p % {opts.lsh_bits})::INTEGER ELSE 0 END) AS code
+        FROM sides GROUP BY vec_id, p // {opts.lsh_bits}),
+      met AS (SELECT DISTINCT a.vec_id AS q, b.vec_id AS k FROM buckets a JOIN buckets b USING (t, code)),
+      near AS (SELECT q, k, round(list_cosine_similarity(x.embedding::DOUBLE[], y.embedding::DOUBLE[]), 9) AS similarity
+        FROM met JOIN embeddings x ON x.vec_id = q JOIN embeddings y ON y.vec_id = k)
+      SELECT * FROM (SELECT q AS txn_id, k AS company_id, similarity, CAST(row_number() OVER (
+        PARTITION BY q ORDER BY similarity DESC, k) AS INTEGER) AS rank FROM near WHERE similarity >= {FLOOR}::DOUBLE) WHERE rank <= {MATCHES}"""
+
+
 ORACLES = {
     "clean_noise": _text(_noise(_fold(_N))),
     "clean_codes_dates": _text(_codes(_fold(_N))),
@@ -376,6 +401,12 @@ ORACLES = {
     "suffix_locations": sql(f"SELECT loc_text, {_PIPE.format('suffixed')} AS suffix_locations FROM locs", "locs"),
     "major_cities": sql(f"SELECT loc_text, {_PIPE.format('major')} AS major_cities FROM locs", "locs"),
     "gazetteer_lookup": sql(f"SELECT loc_text, {_PIPE.format('listed')} AS gazetteer_locations FROM listed", "listed"),
+    "named_locations": sql(f"""SELECT loc_text, array_to_string(list(name ORDER BY spot, name), '|') AS gazetteer_locations FROM (
+        SELECT loc_text, name, min(spot) AS spot FROM (
+          SELECT loc_text, lower(w[spot]) AS name, spot FROM (
+            SELECT loc_text, w, unnest(range(1, len(w) + 1)) AS spot FROM (
+              SELECT loc_text, string_split({_name('true_company_id')}, ' ') AS w FROM t)))
+        WHERE length(name) BETWEEN 3 AND 29 GROUP BY loc_text, name) GROUP BY loc_text""", "t"),
     "discovered_lookup": sql(f"SELECT loc_text, {_PIPE.format('known')} AS known_locations FROM known", "known"),
     "location_dictionary": sql("SELECT location FROM dictionary", "dictionary"),
     "location_dictionary_learned": sql("""SELECT location FROM dictionary
@@ -392,11 +423,14 @@ ORACLES = {
     "fuzzy_token_set": sql("SELECT txn_id, token_set_ratio FROM true_ratios", "true_ratios"),
     "fuzzy_max": sql(f"SELECT txn_id, {FUZZY} AS fuzzy_score FROM true_ratios", "true_ratios"),
     "fuzzy_parts": "SELECT p_partkey, ratio, partial_ratio, token_sort_ratio, token_set_ratio FROM (" + _ratios(
-        "(SELECT p_partkey, p_name AS a, lower(concat_ws(' ', p_type, p_brand, p_name)) AS b FROM part)") + ")",
+        """(SELECT x.p_partkey, lower(concat_ws(' ', x.p_name, x.p_type, x.p_brand)) AS a,
+                 lower(concat_ws(' ', y.p_name, y.p_type, y.p_brand)) AS b
+            FROM part x JOIN part y ON y.p_partkey = (x.p_partkey * 7 + 3) % (SELECT count(*) FROM part))""") + ")",
     "tfidf_vectors": sql("SELECT match_text, gram, round(weight, 6) AS weight FROM cw", "cw"),
     "topk_sparse": _CANDIDATES,
     "topk_sparse_joined": _CANDIDATES,
     "stored_index": _CANDIDATES,
+    "stored_index_wider_k": sql("SELECT match_text, company_id, similarity, rank FROM wide_candidates", "wide_candidates"),
     "topk_dense": f"""SELECT * FROM (
       SELECT txn_id, company_id, similarity, CAST(row_number() OVER (
                PARTITION BY txn_id ORDER BY similarity DESC, company_id) AS INTEGER) AS rank
@@ -431,7 +465,12 @@ ORACLES = {
       (SELECT count(*) FROM dictionary) AS discovered_locations FROM results""", "results", "dictionary"),
     "full_match": sql(f"{_ALL} results", "results"),
     "match_by_vectors": sql(f"{_ALL} near_results", "near_results"),
-    "run_files": sql("SELECT txn_id, company_name, final_score FROM results", "results"),
+    "run_files": sql(f"""{_ALL} results""".replace("detected_company_name FROM", """detected_company_name,
+      CAST(CAST(o.o_orderdate AS DATE) AS VARCHAR) AS txn_date, CAST(o.o_totalprice AS VARCHAR) AS amount FROM""")
+      + " JOIN orders o ON o.o_orderkey = txn_id", "results"),
+    "match_text_ids": sql("""SELECT 'TXN' || lpad(CAST(txn_id AS VARCHAR), 9, '0') AS txn_id,
+      coalesce('EC' || lpad(CAST(company_id AS VARCHAR), 9, '0'), 'none') AS company_id, company_name, final_score
+      FROM results""", "results"),
     "assign_ordinal": sql("""SELECT company_name, row_number() OVER (ORDER BY company_name) - 1 AS ordinal
       FROM companies""", "companies"),
     "csv_roundtrip": sql("""SELECT CAST(txn_id AS VARCHAR) AS txn_id, CAST(amount AS VARCHAR) AS amount, narration
@@ -440,7 +479,8 @@ ORACLES = {
         count(p_name) AS filled FROM part
       UNION ALL SELECT 'customer', 'Details', 'c_custkey', count(c_name) FROM customer
       UNION ALL SELECT 'supplier', 's_suppkey', 's_suppkey', count(s_suppkey) FROM supplier""",
-    "company_table_roundtrip": sql(f"""SELECT company_id, original_name, cleaned_text,
-      match_text AS normalized_text, CAST(len({_cities('loc_text')}) AS INTEGER) AS n_cities,
-      CAST(len({_words('match_text')}) AS INTEGER) AS n_tokens FROM c""", "c"),
+    "company_table_roundtrip": sql(f"""SELECT company_id, original_name, cleaned_text, match_text AS normalized_text,
+      {_PIPE.format('cities')} AS cities, {_PIPE.format(_words('match_text'))} AS tokens
+      FROM c JOIN cities USING (loc_text)""", "c", "cities"),
+    "topk_lsh": _lsh_sql(),
 }

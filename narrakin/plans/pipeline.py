@@ -44,21 +44,26 @@ def _sized(companies: DataFrame, members: DataFrame, frequencies: DataFrame, pac
 
 def build_company_index(companies: DataFrame, opts: MatchOptions = MatchOptions(),
                         id_col: str | None = None, text_col: str | None = None,
-                        vectors_table: DataFrame | None = None, path: str | None = None) -> CompanyIndex:
+                        vectors_table: DataFrame | None = None, path: str | None = None,
+                        gazetteer: DataFrame | None = None) -> CompanyIndex:
     """Preprocess, vectorise and store a company master.
 
     Without an id column rows are numbered in the order of the text column.
-    ``vectors_table`` may supply (company_id, vector).
+    ``vectors_table`` may supply (company_id, vector). The manifest is written last, so a
+    folder without one is not complete.
     """
     spark = tune(companies.sparkSession)
     ship_package(spark)
     path = (path or scratch_path(spark, "companies")).rstrip("/")
     text_col = text_col or files.company_text_column(companies, opts.company_column)
+    made_of = manifest(companies, opts, id_col, text_col, vectors_table)
     if id_col is None:
         companies, id_col = files.with_ordinal(companies, [text_col]), "company_id"
-    table = settle(preprocess_companies(companies, id_col, text_col, opts),
-                   "companies", f"{path}/companies")
-    texts, members = topk.company_texts(table, opts.max_candidates)
+    files.remove(spark, f"{path}/manifest")
+    table = settle(preprocess_companies(companies, id_col, text_col, opts), "companies-plain")
+    _, cities = find_locations([table], opts, gazetteer=gazetteer)
+    table = settle(with_cities(table, cities, "company_id"), "companies", f"{path}/companies")
+    texts, members = topk.company_texts(table)
     members = settle(members, "members", f"{path}/members")
     texts = settle(texts, "texts", f"{path}/texts")
     counts = vectors.gram_counts(spread(texts, "match_text"))
@@ -68,17 +73,50 @@ def build_company_index(companies: DataFrame, opts: MatchOptions = MatchOptions(
     dense = None
     if vectors_table is not None:
         dense = settle(vectors_table.select("company_id", "vector"), "vectors", f"{path}/vectors")
+    settle(made_of, "manifest", f"{path}/manifest")
     return _sized(table, members, frequencies, packed, dense)
 
 
+def manifest(companies: DataFrame, opts: MatchOptions, id_col: str | None, text_col: str,
+             vectors_table: DataFrame | None = None) -> DataFrame:
+    """One row that tells what stored company tables were made of: options, rows and their checksum."""
+    def mark(df: DataFrame, *columns: str) -> tuple[int, str]:
+        total = F.sum(F.xxhash64(*columns).cast("decimal(38,0)"))
+        n, checksum = df.agg(F.count("*"), total.cast("string")).first()
+        return n, checksum or ""
+
+    n, checksum = mark(companies, *([id_col] if id_col else []), text_col)
+    dense = mark(vectors_table, "company_id", "vector") if vectors_table is not None else (-1, "")
+    return companies.sparkSession.createDataFrame(
+        [(opts.keep_long_alpha_words, opts.enable_automated_city_detection, n, checksum, *dense)],
+        "keep_long_alpha_words boolean, city_detection boolean, n_companies long, companies string, n_vectors long, vectors string")
+
+
+def stored_index_fits(spark: SparkSession, path: str, opts: MatchOptions, wanted: DataFrame | None) -> bool:
+    """Whether the folder holds complete company tables, made with these options of this source.
+
+    ``wanted`` is the manifest of the source, or none if there is no source to compare with.
+    """
+    folder = f"{path.rstrip('/')}/manifest"
+    if not files.path_exists(spark, f"{folder}/_SUCCESS"):
+        return False
+    stored = spark.read.parquet(folder).first()
+    if wanted is not None:
+        return stored == wanted.first()
+    return (stored.keep_long_alpha_words, stored.city_detection) == (
+        opts.keep_long_alpha_words, opts.enable_automated_city_detection)
+
+
 def load_company_index(spark: SparkSession, path: str) -> CompanyIndex:
     """Company tables stored by build_company_index."""
     ship_package(tune(spark))
     path = path.rstrip("/")
+    if not files.path_exists(spark, f"{path}/manifest/_SUCCESS"):
+        raise ValueError(f"{path} holds no complete company tables")
     dense = f"{path}/vectors"
     return _sized(files.read_companies(spark, f"{path}/companies"),
                   *[spark.read.parquet(f"{path}/{t}") for t in ("members", "frequencies", "packed")],
-                  spark.read.parquet(dense) if files.path_exists(spark, dense) else None)
+                  spark.read.parquet(dense) if spark.read.parquet(f"{path}/manifest").first().n_vectors >= 0 else None)
 
 
 def query_vectors(texts: DataFrame, index: CompanyIndex) -> DataFrame:
@@ -96,12 +134,11 @@ def sparse_candidates(texts: DataFrame, index: CompanyIndex, opts: MatchOptions)
 
 def vector_candidates(queries: DataFrame, index: CompanyIndex, opts: MatchOptions) -> tuple[DataFrame, str]:
     """(txn_id, company_id, similarity, rank) from supplied vectors, and the search used."""
-    approximate = opts.search == "lsh" or (
-        opts.search == "auto" and index.n_companies > opts.exact_vector_rows)
+    queries = settle(queries, "query-vectors")
     k, floor = opts.max_candidates, opts.similarity_floor
-    if approximate:
-        bits = opts.lsh_bits or topk.lsh_bits(index.n_companies)
-        return topk.lsh_topk(queries, index.vectors, k, floor, opts.lsh_tables, bits, opts.lsh_seed), "lsh"
+    if opts.search == "lsh":
+        tables = opts.lsh_tables or topk.lsh_tables(opts.lsh_bits, floor, opts.lsh_recall)
+        return topk.lsh_topk(queries, index.vectors, k, floor, tables, opts.lsh_bits, opts.lsh_seed), "lsh"
     return topk.dense_topk(queries, index.vectors, k, floor), "exact"
 
 
@@ -156,20 +193,25 @@ def match_transactions(txns: DataFrame, index: CompanyIndex, opts: MatchOptions
     Equal narrations are scored once. With ``txn_vectors`` (txn_id, vector) the
     candidates come from the vectors, narration by narration.
     """
-    spark = txns.sparkSession
+    if opts.search in ("exact", "lsh") and txn_vectors is None:
+        raise ValueError(f"search={opts.search!r} needs txn_vectors")
+    if txn_vectors is not None and opts.search != "sparse" and index.vectors is None:
+        raise ValueError("the company index was built without vectors_table")
     text_col = text_col or files.narration_text_column(txns, opts.narration_column)
     if txn_id is None:
         txns, txn_id = files.with_ordinal(txns, [text_col], "txn_id"), "txn_id"
-    raw = txns.select(F.col(txn_id).alias("txn_id"), F.col(text_col).alias("transaction_text"))
-    rows = settle(preprocess_narrations(raw, "transaction_text", opts)
-                  .select("txn_id", "transaction_text", *MENTION), "narrations")
+    given = [F.struct(*[F.col(f"`{c}`") for c in txns.columns]).alias("_input")] if opts.keep_input_columns else []
+    raw = txns.select(F.col(f"`{txn_id}`").alias("txn_id"), F.col(f"`{text_col}`").alias("transaction_text"), *given)
+    rows = settle(preprocess_narrations(raw, "transaction_text", opts).select(
+        "txn_id", "transaction_text", *MENTION, *(["_input"] if given else [])), "narrations")
     by_vector = txn_vectors is not None and opts.search != "sparse"
     keys = ["txn_id", *MENTION] if by_vector else MENTION
     mentions = settle(rows.groupBy(*keys).agg(F.count("*").alias("n_rows")), "mentions")
     dictionary, cities = find_locations([mentions, index.companies], opts, prior_locations, gazetteer)
     if by_vector:
         candidates, backend = vector_candidates(txn_vectors, index, opts)
-        named = candidates.join(mentions.select("txn_id", "match_text"), "txn_id")
+        asked = mentions.select(F.col("txn_id").alias("asked_id"), "match_text")
+        named = candidates.join(asked, F.col("txn_id").eqNullSafe(F.col("asked_id"))).drop("asked_id")
         pairs = fuzzy_pairs(attach_companies(named, index, cities, "txn_id"))
         join_on = ["txn_id", "match_text"]
     else:
@@ -184,10 +226,25 @@ def match_transactions(txns: DataFrame, index: CompanyIndex, opts: MatchOptions
     outcome = ranking.complete(placed, winners.drop("cities"), keys, backend)
     outcome = settle(outcome, "outcome")
     if by_vector:
-        results = rows.join(outcome, keys)
+        results = fan_out_join(_keyed(rows), _keyed(outcome).drop("txn_id"), _keyed(mentions), [*MENTION, *_KEY], salt_on=["txn_id"]).drop(*_KEY)
     else:
         results = fan_out_join(rows, outcome, mentions, MENTION, salt_on=["txn_id"])
-    return MatchRun(ranking.apply_confidence(results.drop(*MENTION), opts), dictionary)
+    results = ranking.apply_confidence(results.drop(*MENTION), opts)
+    if given:
+        taken = {c.lower() for c in results.columns}
+        more = [c for c in txns.columns if c.lower() not in taken and c not in (text_col, txn_id)]
+        results = results.select("*", *[F.col("_input").getField(c).alias(c) for c in more]).drop("_input")
+    return MatchRun(results, dictionary)
+
+
+_KEY = ["_id", "_no_id"]
+
+
+def _keyed(df: DataFrame) -> DataFrame:
+    """The narration id as a key that also joins rows without one."""
+    none = df.schema["txn_id"].dataType
+    blank = F.lit("" if none.simpleString() == "string" else 0).cast(none)
+    return df.withColumns({"_id": F.coalesce("txn_id", blank), "_no_id": F.col("txn_id").isNull()})
 
 
 def finish(run: MatchRun, opts: MatchOptions) -> DataFrame:
@@ -199,15 +256,26 @@ def finish(run: MatchRun, opts: MatchOptions) -> DataFrame:
 def run(spark: SparkSession, companies_path: str, transactions_path: str, results_path: str,
         opts: MatchOptions = MatchOptions(), index_path: str | None = None,
         locations_path: str | None = None, company_id: str | None = None,
-        txn_id: str | None = None, gazetteer: DataFrame | None = None) -> str:
-    """Whole run over files: stored company tables and known locations are reused."""
-    if index_path and files.path_exists(spark, f"{index_path.rstrip('/')}/packed"):
+        txn_id: str | None = None, gazetteer: DataFrame | None = None,
+        vectors_table: DataFrame | None = None, txn_vectors: DataFrame | None = None) -> str:
+    """Whole run over files: stored company tables and known locations are reused.
+
+    Stored tables that are not complete, or were made with other options or of other companies or
+    vectors, are made anew; they are taken as they are if the company file is no longer there.
+    """
+    source = wanted = None
+    if files.path_exists(spark, companies_path):
+        source = files.read_table(spark, companies_path)
+        text_col = files.company_text_column(source, opts.company_column)
+        wanted = manifest(source, opts, company_id, text_col, vectors_table) if index_path else None
+    if index_path and stored_index_fits(spark, index_path, opts, wanted):
         index = load_company_index(spark, index_path)
     else:
-        index = build_company_index(files.read_table(spark, companies_path), opts, company_id, path=index_path)
+        source = source if source is not None else files.read_table(spark, companies_path)
+        index = build_company_index(source, opts, company_id, vectors_table=vectors_table, path=index_path, gazetteer=gazetteer)
     prior = files.read_locations(spark, locations_path) if locations_path else None
     done = match_transactions(files.read_table(spark, transactions_path), index, opts, txn_id,
-                              prior_locations=prior, gazetteer=gazetteer)
+                              prior_locations=prior, gazetteer=gazetteer, txn_vectors=txn_vectors)
     files.write_results(finish(done, opts), results_path)
     if locations_path:
         files.write_locations(done.locations, locations_path)

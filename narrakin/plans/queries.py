@@ -102,9 +102,10 @@ def major_cities(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _gazetteer(spark: SparkSession, sf: str) -> DataFrame:
-    """A supplied location table: the last word of every company name."""
-    return _companies(spark, sf).select(
-        F.lower(F.element_at(F.split("company_name", " "), -1)).alias("location")).distinct()
+    """A supplied location table: the last one to six words of company names."""
+    words = F.split(F.lower("company_name"), " ")
+    last = F.transform(F.sequence(F.lit(1), F.least(F.lit(6), F.size(words))), lambda n: F.array_join(F.slice(words, -n, n), " "))
+    return _companies(spark, sf).select(F.explode(last).alias("location")).distinct()
 
 
 def gazetteer_lookup(spark: SparkSession, sf: str) -> DataFrame:
@@ -112,6 +113,12 @@ def gazetteer_lookup(spark: SparkSession, sf: str) -> DataFrame:
     return hits.select("loc_text", _joined("gazetteer_locations"))
 
 
+def named_locations(spark: SparkSession, sf: str) -> DataFrame:
+    """Locations that the rows name themselves: the words of each narration's company."""
+    named = _ready_narrations(spark, sf).withColumn("entities", F.split(fixtures.company_name(F.col("true_company_id")), " "))
+    return locations.entity_locations(named, "entities").select("loc_text", _joined("gazetteer_locations"))
+
+
 def location_dictionary(spark: SparkSession, sf: str) -> DataFrame:
     return locations.location_dictionary(_location_texts(spark, sf))
 
@@ -188,11 +195,14 @@ def fuzzy_max(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def fuzzy_parts(spark: SparkSession, sf: str) -> DataFrame:
-    """All ratios between each part's name and its own description."""
+    """All ratios between each part's description and that of another part."""
     ship_package(tune(spark))
     parts = fixtures.table(spark, sf, "part").select(
-        "p_partkey", "p_name", F.lower(F.concat_ws(" ", "p_type", "p_brand", "p_name")).alias("described"))
-    return fuzzy.with_ratios(parts, "p_name", "described").select("p_partkey", *fuzzy.RATIOS)
+        "p_partkey", F.lower(F.concat_ws(" ", "p_name", "p_type", "p_brand")).alias("a"))
+    n = parts.count()
+    other = parts.select(F.col("p_partkey").alias("other"), F.col("a").alias("b"))
+    pairs = parts.withColumn("other", (F.col("p_partkey") * 7 + 3) % n).join(other, "other")
+    return fuzzy.with_ratios(pairs, "a", "b").select("p_partkey", *fuzzy.RATIOS)
 
 
 def _index(spark: SparkSession, sf: str, opts: MatchOptions = OPTS) -> pipeline.CompanyIndex:
@@ -229,9 +239,9 @@ def topk_dense(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def topk_lsh(spark: SparkSession, sf: str) -> DataFrame:
-    stored = _vectors(spark, sf, "company_id")
-    return topk.lsh_topk(_vectors(spark, sf, "txn_id"), stored, OPTS.max_candidates, OPTS.similarity_floor,
-                         OPTS.lsh_tables, topk.lsh_bits(stored.count()), OPTS.lsh_seed)
+    tables = topk.lsh_tables(OPTS.lsh_bits, OPTS.similarity_floor, OPTS.lsh_recall)
+    return topk.lsh_topk(_vectors(spark, sf, "txn_id"), _vectors(spark, sf, "company_id"), OPTS.max_candidates,
+                         OPTS.similarity_floor, tables, OPTS.lsh_bits, OPTS.lsh_seed)
 
 
 def candidates_enriched(spark: SparkSession, sf: str) -> DataFrame:
@@ -351,11 +361,11 @@ def resolve_columns(spark: SparkSession, sf: str) -> DataFrame:
 def company_table_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """Company tables stored as Parquet and read back, with lists as pipe text on the way."""
     path = scratch_path(spark, "master")
-    listed = _ready_companies(spark, sf).withColumn("cities", places.major_cities(F.col("loc_text")))
+    _, cities = pipeline.find_locations([_ready_narrations(spark, sf), _ready_companies(spark, sf)], OPTS)
+    listed = pipeline.with_cities(_ready_companies(spark, sf), cities, "company_id")
     files.write_companies(files.list_columns_to_text(listed, ["cities", "tokens"]), path)
     stored = files.text_columns_to_lists(files.read_companies(spark, path), ["cities", "tokens"])
-    return stored.select("company_id", "original_name", "cleaned_text", "normalized_text",
-                         F.size("cities").alias("n_cities"), F.size("tokens").alias("n_tokens"))
+    return stored.select("company_id", "original_name", "cleaned_text", "normalized_text", _joined("cities"), _joined("tokens"))
 
 
 def stored_index(spark: SparkSession, sf: str) -> DataFrame:
@@ -366,17 +376,42 @@ def stored_index(spark: SparkSession, sf: str) -> DataFrame:
         _query_texts(spark, sf), pipeline.load_company_index(spark, path), OPTS)
 
 
+def stored_index_wider_k(spark: SparkSession, sf: str) -> DataFrame:
+    """Twenty candidates from company tables that were stored with options for ten."""
+    path = scratch_path(spark, "index")
+    pipeline.build_company_index(_companies(spark, sf), OPTS, "company_id", "company_name", path=path)
+    return pipeline.sparse_candidates(
+        _query_texts(spark, sf), pipeline.load_company_index(spark, path), replace(OPTS, max_candidates=20))
+
+
 def run_files(spark: SparkSession, sf: str) -> DataFrame:
-    """The whole run from CSV files to a CSV result."""
+    """The whole run from CSV files to a CSV result, with all columns of the narration file."""
     base = scratch_path(spark, "run")
     files.write_results(_companies(spark, sf), f"{base}/companies.csv")
-    files.write_results(_narrations(spark, sf).select("txn_id", F.col("narration").alias("Narration")),
+    files.write_results(_narrations(spark, sf).select(
+        "txn_id", F.to_date("txn_date").alias("txn_date"), "amount", F.col("narration").alias("Narration")),
                         f"{base}/transactions.csv")
-    opts = replace(OPTS, company_column=("company_name",))
+    opts = replace(OPTS, company_column=("company_name",), keep_input_columns=True)
     out = pipeline.run(spark, f"{base}/companies.csv", f"{base}/transactions.csv", f"{base}/matches.csv",
                        opts, f"{base}/index", f"{base}/locations.txt", "company_id", "txn_id")
+    number = lambda c, kind: F.col(c).cast(kind).alias(c)
+    return files.read_table(spark, out).select(
+        number("txn_id", "long"), F.coalesce(F.col("company_id").cast("long"), F.lit(-1)).alias("company_id"), "transaction_text",
+        "company_name", *[number(c, "double") for c in ranking.SCORES], "backend_used",
+        *[F.coalesce(c, F.lit("")).alias(c) for c in ("txn_cities", "company_cities", "detected_company_name")], "txn_date", "amount")
+
+
+def match_text_ids(spark: SparkSession, sf: str) -> DataFrame:
+    """Ids that are text, through CSV files and the whole run."""
+    base = scratch_path(spark, "run")
+    coded = lambda c, head: F.concat(F.lit(head), F.lpad(F.col(c).cast("string"), 9, "0")).alias(c)
+    files.write_results(_companies(spark, sf).select(coded("company_id", "EC"), "company_name"), f"{base}/companies.csv")
+    files.write_results(_narrations(spark, sf).select(coded("txn_id", "TXN"), F.col("narration").alias("Narration")), f"{base}/transactions.csv")
+    opts = replace(OPTS, company_column=("company_name",))
+    out = pipeline.run(spark, f"{base}/companies.csv", f"{base}/transactions.csv", f"{base}/matches.csv", opts,
+                       company_id="company_id", txn_id="txn_id")
     return files.read_table(spark, out).select(
-        F.col("txn_id").cast("long"), F.col("company_name"), F.col("final_score").cast("double"))
+        "txn_id", F.coalesce("company_id", F.lit("none")).alias("company_id"), "company_name", F.col("final_score").cast("double"))
 
 
 QUERIES = {
@@ -397,6 +432,7 @@ QUERIES = {
     "suffix_locations": suffix_locations,
     "major_cities": major_cities,
     "gazetteer_lookup": gazetteer_lookup,
+    "named_locations": named_locations,
     "discovered_lookup": discovered_lookup,
     "location_dictionary": location_dictionary,
     "location_dictionary_learned": location_dictionary_learned,
@@ -430,5 +466,7 @@ QUERIES = {
     "resolve_columns": resolve_columns,
     "company_table_roundtrip": company_table_roundtrip,
     "stored_index": stored_index,
+    "stored_index_wider_k": stored_index_wider_k,
     "run_files": run_files,
+    "match_text_ids": match_text_ids,
 }

@@ -100,6 +100,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this package has written, if it is there."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def write_locations(locations: DataFrame, path: str, file_format: str = "text") -> None:
     """Sorted dictionary, one location per line under comment lines, or as Parquet."""
     if file_format == "parquet":
@@ -108,9 +114,9 @@ def write_locations(locations: DataFrame, path: str, file_format: str = "text")
     head = locations.agg(F.count("*").alias("n")).select(
         F.lit(0).alias("kind"),
         F.explode(F.array(
-            F.lit("# Automatically Discovered Locations"),
-            F.concat(F.lit("# Total count: "), F.col("n")),
-            F.concat(F.lit("# Last updated: "), F.date_format(F.now(), "yyyy-MM-dd HH:mm:ss")),
+            F.lit("# Places found in names and narrations, one per line"),
+            F.concat(F.lit("# Places: "), F.col("n")),
+            F.concat(F.lit("# Written: "), F.date_format(F.now(), "yyyy-MM-dd HH:mm:ss")),
         )).alias("value"))
     lines = locations.select(F.lit(1).alias("kind"), F.col("location").alias("value"))
     head.union(lines).orderBy("kind", "value").select("value").write.mode("overwrite").text(path)
