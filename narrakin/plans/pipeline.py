@@ -158,13 +158,13 @@ def with_cities(rows: DataFrame, cities: DataFrame, salt_on: str) -> DataFrame:
     return fan_out_join(rows, cities, counts, ["loc_text"], [salt_on])
 
 
-def fuzzy_pairs(pairs: DataFrame) -> DataFrame:
+def fuzzy_pairs(pairs: DataFrame, salt_on: str) -> DataFrame:
     """Fuzzy score of each row, worked out once per distinct pair of texts."""
     texts = ["match_text", "company_text"]
     pairs = settle(pairs, "pairs")
     counts = pairs.groupBy(*texts).agg(F.count("*").alias("n_rows"))
     scored = fuzzy.with_fuzzy_score(counts.select(*texts), *texts)
-    return fan_out_join(pairs, scored, counts, texts, ["txn_id"])
+    return fan_out_join(pairs, scored, counts, texts, [salt_on])
 
 
 def find_locations(texts: list[DataFrame], opts: MatchOptions, prior: DataFrame | None = None,
@@ -184,6 +184,16 @@ class MatchRun:
     locations: DataFrame
 
 
+_KEY = ["_id", "_no_id"]
+
+
+def _keyed(df: DataFrame) -> DataFrame:
+    """The narration id as a key that also joins rows without one."""
+    kind = df.schema["txn_id"].dataType
+    blank = F.lit("" if kind.simpleString() == "string" else 0).cast(kind)
+    return df.withColumns({"_id": F.coalesce("txn_id", blank), "_no_id": F.col("txn_id").isNull()})
+
+
 def match_transactions(txns: DataFrame, index: CompanyIndex, opts: MatchOptions = MatchOptions(),
                        txn_id: str | None = None, text_col: str | None = None,
                        prior_locations: DataFrame | None = None, gazetteer: DataFrame | None = None,
@@ -202,18 +212,17 @@ def match_transactions(txns: DataFrame, index: CompanyIndex, opts: MatchOptions
         txns, txn_id = files.with_ordinal(txns, [text_col], "txn_id"), "txn_id"
     given = [F.struct(*[F.col(f"`{c}`") for c in txns.columns]).alias("_input")] if opts.keep_input_columns else []
     raw = txns.select(F.col(f"`{txn_id}`").alias("txn_id"), F.col(f"`{text_col}`").alias("transaction_text"), *given)
-    rows = settle(preprocess_narrations(raw, "transaction_text", opts).select(
-        "txn_id", "transaction_text", *MENTION, *(["_input"] if given else [])), "narrations")
+    rows = settle(_keyed(preprocess_narrations(raw, "transaction_text", opts)).select(
+        "txn_id", "transaction_text", *_KEY, *MENTION, *(["_input"] if given else [])), "narrations")
     by_vector = txn_vectors is not None and opts.search != "sparse"
-    keys = ["txn_id", *MENTION] if by_vector else MENTION
+    keys = [*_KEY, *MENTION] if by_vector else MENTION
     mentions = settle(rows.groupBy(*keys).agg(F.count("*").alias("n_rows")), "mentions")
     dictionary, cities = find_locations([mentions, index.companies], opts, prior_locations, gazetteer)
     if by_vector:
         candidates, backend = vector_candidates(txn_vectors, index, opts)
-        asked = mentions.select(F.col("txn_id").alias("asked_id"), "match_text")
-        named = candidates.join(asked, F.col("txn_id").eqNullSafe(F.col("asked_id"))).drop("asked_id")
-        pairs = fuzzy_pairs(attach_companies(named, index, cities, "txn_id"))
-        join_on = ["txn_id", "match_text"]
+        named = _keyed(candidates).drop("txn_id").join(mentions.select(*_KEY, "match_text"), _KEY)
+        pairs = fuzzy_pairs(attach_companies(named, index, cities, _KEY[0]), _KEY[0])
+        join_on = [*_KEY, "match_text"]
     else:
         candidates, backend = sparse_candidates(mentions, index, opts), "sparse"
         pairs = fuzzy.with_fuzzy_score(
@@ -225,10 +234,7 @@ def match_transactions(txns: DataFrame, index: CompanyIndex, opts: MatchOptions
     winners = ranking.best_candidate(ranking.with_scores(scored, opts), *keys)
     outcome = ranking.complete(placed, winners.drop("cities"), keys, backend)
     outcome = settle(outcome, "outcome")
-    if by_vector:
-        results = fan_out_join(_keyed(rows), _keyed(outcome).drop("txn_id"), _keyed(mentions), [*MENTION, *_KEY], salt_on=["txn_id"]).drop(*_KEY)
-    else:
-        results = fan_out_join(rows, outcome, mentions, MENTION, salt_on=["txn_id"])
+    results = fan_out_join(rows, outcome, mentions, keys, salt_on=["txn_id"]).drop(*_KEY)
     results = ranking.apply_confidence(results.drop(*MENTION), opts)
     if given:
         taken = {c.lower() for c in results.columns}
@@ -237,16 +243,6 @@ def match_transactions(txns: DataFrame, index: CompanyIndex, opts: MatchOptions
     return MatchRun(results, dictionary)
 
 
-_KEY = ["_id", "_no_id"]
-
-
-def _keyed(df: DataFrame) -> DataFrame:
-    """The narration id as a key that also joins rows without one."""
-    none = df.schema["txn_id"].dataType
-    blank = F.lit("" if none.simpleString() == "string" else 0).cast(none)
-    return df.withColumns({"_id": F.coalesce("txn_id", blank), "_no_id": F.col("txn_id").isNull()})
-
-
 def finish(run: MatchRun, opts: MatchOptions) -> DataFrame:
     """Chosen columns, sorted if asked for."""
     shown = ranking.project(run.results, opts)

@@ -58,3 +58,14 @@ def test_dictionary_adds_to_prior_knowledge(spark):
     prior = spark.createDataFrame([("oldtown",), ("jaipur",)], "location string")
     got = {r.location for r in locations.location_dictionary(texts, prior).collect()}
     assert got == {"tirupur", "jaipur", "oldtown"}
+
+
+def test_gazetteer_entries_of_any_number_of_words(spark):
+    texts = spark.createDataFrame([("to the andaman and nicobar islands by sea",)], "loc_text string")
+    listed = spark.createDataFrame([("Andaman and Nicobar Islands",), ("sea",), ("by",)], "location string")
+    assert locations.gazetteer_hits(texts, listed).first().gazetteer_locations == ["andaman and nicobar islands", "sea"]
+
+
+def test_locations_that_rows_name(spark):
+    rows = spark.createDataFrame([("a", [" Erode ", "ab", "ERODE", None]), ("a", ["Salem"]), ("b", None), ("b", ["x" * 30])], "loc_text string, e array<string>")
+    assert [tuple(r) for r in locations.entity_locations(rows, "e").collect()] == [("a", ["erode", "salem"])]

@@ -144,3 +144,82 @@ def test_rows_without_an_id_are_numbered(spark):
     index = pipeline.build_company_index(companies)
     got = {r.transaction_text: (r.txn_id, r.company_id) for r in pipeline.match_transactions(txns, index).results.collect()}
     assert got == {"ALPHA FOODS": (0, 0), "BETA MOTORS": (1, 1)}
+
+
+def test_text_ids_are_kept_apart(spark):
+    companies = spark.createDataFrame([("01", "ALPHA FOODS"), ("1", "BETA MOTORS"), ("EC00002", "GAMMA STEELS")], "id string, name string")
+    txns = spark.createDataFrame([("TXN1", "UPI/1/BETA MOTORS"), ("TXN01", "UPI/1/ALPHA FOODS"), ("x", "GAMMA STEELS")], "t string, Narration string")
+    for postings in (MatchOptions().index_postings, 0):
+        opts = MatchOptions(index_postings=postings)
+        index = pipeline.build_company_index(companies, opts, "id", "name")
+        got = {r.txn_id: r.company_id for r in pipeline.match_transactions(txns, index, opts, "t").results.collect()}
+        assert got == {"TXN1": "1", "TXN01": "01", "x": "EC00002"}
+
+
+def test_all_input_columns_are_returned(spark):
+    companies = spark.createDataFrame([(1, "ALPHA FOODS")], "id long, name string")
+    txns = spark.createDataFrame([(7, "UPI/1/ALPHA FOODS", "2024-05-26", 3.5, "99")], "t long, Narration string, Date string, `A.mount` double, final_score string")
+    opts = MatchOptions(keep_input_columns=True)
+    index = pipeline.build_company_index(companies, opts, "id", "name")
+    row = pipeline.finish(pipeline.match_transactions(txns, index, opts, "t"), opts).first()
+    assert (row["Date"], row["A.mount"], row["company_id"], row["txn_id"]) == ("2024-05-26", 3.5, 1, 7)
+
+
+def test_stale_and_half_written_indexes_are_made_anew(spark):
+    base = scratch_path(spark, "stale-test")
+    path = f"{base}/index"
+    first = spark.createDataFrame([(1, "ALPHA FOODS")], "id long, name string")
+    pipeline.build_company_index(first, MatchOptions(), "id", "name", path=path)
+    same = pipeline.manifest(first, MatchOptions(), "id", "name")
+    assert pipeline.stored_index_fits(spark, path, MatchOptions(), same)
+    assert not pipeline.stored_index_fits(spark, path, MatchOptions(keep_long_alpha_words=True), None)
+    other = spark.createDataFrame([(1, "ALPHA FOODS"), (2, "BETA MOTORS")], "id long, name string")
+    assert not pipeline.stored_index_fits(spark, path, MatchOptions(), pipeline.manifest(other, MatchOptions(), "id", "name"))
+    files.write_results(other, f"{base}/c.csv")
+    files.write_results(spark.createDataFrame([(1, "BETA MOTORS")], "t long, Narration string"), f"{base}/t.csv")
+    opts = MatchOptions(company_column=("name",))
+    out = pipeline.run(spark, f"{base}/c.csv", f"{base}/t.csv", f"{base}/o.csv", opts, path, company_id="id", txn_id="t")
+    assert files.read_table(spark, out).first()["company_name"] == "BETA MOTORS"
+    files.remove(spark, f"{path}/manifest")
+    with pytest.raises(ValueError):
+        pipeline.load_company_index(spark, path)
+
+
+def test_more_candidates_than_the_index_was_built_with(spark):
+    companies = spark.createDataFrame([(i, "STAR FOODS") for i in range(30)], "id long, name string")
+    index = pipeline.build_company_index(companies, MatchOptions(max_candidates=3), "id", "name")
+    texts = spark.createDataFrame([("star foods",)], "match_text string")
+    got = pipeline.sparse_candidates(texts, index, MatchOptions(max_candidates=20)).collect()
+    assert sorted(r.company_id for r in got) == list(range(20))
+
+
+def test_vectors_are_worked_out_once_and_null_ids_stay(spark):
+    counted = spark.sparkContext.accumulator(0)
+
+    @F.udf("array<double>")
+    def encode(n):
+        counted.add(1)
+        return [1.0, float(n)]
+
+    companies = spark.createDataFrame([(i, f"FIRM {i} FOODS") for i in range(5)], "id long, name string")
+    vectors = companies.select(F.col("id").alias("company_id"), F.array(F.lit(1.0), F.col("id").cast("double")).alias("vector"))
+    txns = spark.createDataFrame([(None, "FIRM ONE"), (1, "FIRM TWO"), (2, "FIRM TWO")], "t long, Narration string")
+    asked = spark.createDataFrame([(None, 3), (1, 4), (2, 0)], "txn_id long, n int").select("txn_id", encode("n").alias("vector"))
+    for search, tag in (("auto", "exact"), ("lsh", "lsh")):
+        opts = MatchOptions(search=search)
+        index = pipeline.build_company_index(companies, opts, "id", "name", vectors)
+        counted.value = 0
+        rows = pipeline.match_transactions(txns, index, opts, "t", txn_vectors=asked).results.collect()
+        assert counted.value == 3
+        assert {r.txn_id for r in rows} == {None, 1, 2} and {r.backend_used for r in rows} == {tag}
+        assert all(r.company_id is not None for r in rows)
+
+
+def test_a_vector_search_without_vectors_is_refused(spark):
+    companies = spark.createDataFrame([(1, "ALPHA FOODS")], "id long, name string")
+    txns = spark.createDataFrame([(1, "ALPHA FOODS")], "t long, Narration string")
+    index = pipeline.build_company_index(companies, MatchOptions(), "id", "name")
+    with pytest.raises(ValueError):
+        pipeline.match_transactions(txns, index, MatchOptions(search="exact"), "t")
+    with pytest.raises(ValueError):
+        pipeline.match_transactions(txns, index, MatchOptions(), "t", txn_vectors=spark.createDataFrame([(1, [1.0])], "txn_id long, vector array<double>"))

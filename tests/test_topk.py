@@ -117,3 +117,16 @@ def test_model_vectors(spark):
 
     got = {r.t: r.vector for r in vectors.with_model_vectors(df, "t", load).collect()}
     assert got == {"ab": [2.0, 1.0], "abcd": [4.0, 1.0]}
+
+
+def test_dense_blocks_give_the_result_of_one(spark):
+    rng = np.random.default_rng(3)
+    left = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rng.normal(size=(40, 6)))], "txn_id long, vector array<double>")
+    right = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rng.normal(size=(90, 6)))], "company_id long, vector array<double>")
+    whole = topk.dense_topk(left, right, K, FLOOR).orderBy("txn_id", "rank").collect()
+    assert whole and whole == topk.dense_topk(left, right, K, FLOOR, numbers=100).orderBy("txn_id", "rank").collect()
+
+
+def test_tables_follow_from_bits_and_recall():
+    assert topk.lsh_tables(4, 0.3, 0.9) == 17
+    assert topk.lsh_tables(8, 0.3, 0.9) > 100 > topk.lsh_tables(8, 0.8, 0.9)
