@@ -139,25 +139,20 @@ def best_window(a: pd.Series, b: pd.Series) -> pd.Series:
 def closest_names(left: pd.Series, right: pd.Series) -> pd.Series:
     """Highest indel ratio between a name of one list and a name of the other.
 
-    A null list on either side gives 0.
+    A null list on either side gives 0. Equal pairs of lists, and of names, are worked out once.
     """
-    a, b, row = [], [], []
+    rows: dict[tuple, list[int]] = {}
     for i, (xs, ys) in enumerate(zip(left, right, strict=True)):
-        if xs is None or ys is None:
-            continue
-        for x in xs:
-            for y in ys:
-                a.append(x)
-                b.append(y)
-                row.append(i)
+        if xs is not None and ys is not None:
+            rows.setdefault((tuple(xs), tuple(ys)), []).append(i)
+    pairs = list(dict.fromkeys((x, y) for xs, ys in rows for x in xs for y in ys))
     best = np.zeros(len(left))
-    if a:
-        pairs = list(zip(a, b, strict=True))
-        distinct = {pair: n for n, pair in enumerate(dict.fromkeys(pairs))}
-        xs, ys = [list(side) for side in zip(*distinct, strict=True)]
-        total = np.fromiter((len(x) + len(y) for x, y in zip(xs, ys, strict=True)), np.int64, len(xs))
-        ratio = 200.0 * lcs_lengths(xs, ys) / np.maximum(total, 1)
-        np.maximum.at(best, np.array(row), ratio[[distinct[pair] for pair in pairs]])
+    if pairs:
+        xs, ys = [list(side) for side in zip(*pairs, strict=True)]
+        total = np.fromiter((len(x) + len(y) for x, y in pairs), np.int64, len(pairs))
+        ratio = dict(zip(pairs, 200.0 * lcs_lengths(xs, ys) / np.maximum(total, 1), strict=True))
+        for (xs, ys), at in rows.items():
+            best[at] = max((ratio[x, y] for x in xs for y in ys), default=0.0)
     return pd.Series(best)
 
 

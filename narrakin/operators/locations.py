@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from narrakin.functions import places, text
 from narrakin.functions.similarity import closest_names
-from narrakin.operators.skew import lookup_join
+from narrakin.operators.skew import lookup_join, lookup_rows
 
 _NONE = "array<string>"
 
@@ -59,7 +59,7 @@ def gazetteer_hits(texts: DataFrame, gazetteer: DataFrame, key: str = "loc_text"
                            F.array_join(F.slice(token, i + 1, n), " ").alias("phrase")))))
     phrases = (texts.select(key, F.explode(runs).alias("run"))
                .select(key, "run.at", "run.words", "run.phrase"))
-    found = lookup_join(phrases, names, ["phrase"], names.count(), salt_on=[key])
+    found = lookup_join(phrases, names, ["phrase"], lookup_rows(names), salt_on=[key])
     ordered = F.array_sort(F.collect_list(F.struct("at", "words", "phrase")))
     return found.groupBy(key).agg(F.array_distinct(ordered.getField("phrase")).alias("gazetteer_locations"))
 
@@ -89,7 +89,7 @@ def dictionary_hits(texts: DataFrame, dictionary: DataFrame, key: str = "loc_tex
                .agg(F.min_by("piece", F.struct("n", "piece")).alias("piece")))
     found = lookup_join(
         texts.filter(F.length(key) > 3).select(key, F.explode(pieces(F.col(key))).alias("piece")),
-        anchors, ["piece"], names.count(), salt_on=[key])
+        anchors, ["piece"], lookup_rows(names), salt_on=[key])
     return (found.filter(F.col(key).contains(F.col("location")))
             .groupBy(key).agg(F.array_sort(F.collect_set("location")).alias("known_locations")))
 

@@ -18,6 +18,13 @@ SALT_ROWS = 200_000
 HOT_SHARE = 0.001
 
 
+def lookup_rows(names: DataFrame) -> int:
+    """Rows of a table of names for lookup_join, or more than it broadcasts if their bytes are many."""
+    size = sum(F.octet_length(F.col(c).cast("string")) for c in names.columns) + 32
+    rows, size = names.agg(F.count("*"), F.sum(F.coalesce(size, F.lit(32)))).first()
+    return rows if (size or 0) <= BROADCAST_BYTES else max(rows, BROADCAST_ROWS + 1)
+
+
 def lookup_join(left: DataFrame, right: DataFrame, keys: Sequence[str], right_rows: int,
                 salt_on: Sequence[str], how: str = "inner") -> DataFrame:
     """Join to a dictionary-like table whose row count is known.

@@ -356,6 +356,21 @@ _ROWS = "txn_id, coalesce(company_id, -1) AS company_id, transaction_text, compa
 _ALL = f"""SELECT {_ROWS}, embedding_similarity, fuzzy_score, city_boost, final_score, backend_used,
   txn_cities, company_cities, detected_company_name FROM"""
 
+def _bank_scan() -> str:
+    """Bank names removed by a scan over the words, one step at a time."""
+    known = f"list_contains({_list(L.BANKS)}, {{}})"
+    step = f"""SELECT txn_id, w, i, kept, {known.format("w[i]")} AS one,
+        i + 1 <= len(w) AND {known.format("w[i] || ' ' || w[i + 1]")} AS two FROM scan WHERE i <= len(w)"""
+    step = f"""SELECT *, CASE WHEN two THEN i + 1 ELSE i END AS j FROM ({step})"""
+    step = f"""SELECT *, j + 2 <= len(w) AND {known.format("w[i] || ' ' || w[j + 1] || ' ' || w[j + 2]")} AS three FROM ({step})"""
+    step = f"""SELECT txn_id, w, CASE WHEN three THEN j + 3 ELSE j + 1 END,
+        CASE WHEN one OR two OR three THEN kept ELSE list_append(kept, w[i]) END FROM ({step})"""
+    start = f"SELECT txn_id, string_split({_squeeze(_fold(_N))}, ' '), 1, []::VARCHAR[] FROM narrations"
+    scan = f"scan(txn_id, w, i, kept) AS ({start} UNION ALL {step})"
+    return sql("@", "narrations").replace("WITH ", "WITH RECURSIVE ", 1).replace(
+        "\n@", f",\n{scan}\nSELECT txn_id, array_to_string(kept, ' ') AS text FROM scan WHERE i > len(w)")
+
+
 def _lsh_sql() -> str:
     """Neighbours that share a bucket, with the planes made anew from their hashes."""
     opts = MatchOptions()
@@ -381,7 +396,7 @@ ORACLES = {
     "clean_codes_dates": _text(_codes(_fold(_N))),
     "clean_punct": _text(_punct(_fold(_N))),
     "clean_short_words": _text(_short(_punct(_fold(_N)))),
-    "remove_banks": _text(_banks(_fold(_N))),
+    "remove_banks": _bank_scan(),
     "clean_narration": _text(_clean(_N)),
     "clean_narration_off": _text(f"trim({_N})"),
     "clean_documents": "SELECT doc_id, lower(trim(regexp_replace(regexp_replace(text, "

@@ -11,7 +11,7 @@ from narrakin.operators import fuzzy, locations, ranking, topk, vectors
 from narrakin.operators.preprocess import preprocess_companies, preprocess_narrations
 from narrakin.operators.skew import company_join, fan_out_join
 from narrakin.options import MatchOptions
-from narrakin.session import scratch_path, settle, ship_package, spread, tune
+from narrakin.session import scratch_path, settle, ship_package, spread, temporary_tables, tune
 from narrakin.sources import files
 
 MENTION = ["match_text", "loc_text"]
@@ -258,21 +258,23 @@ def run(spark: SparkSession, companies_path: str, transactions_path: str, result
 
     Stored tables that are not complete, or were made with other options or of other companies or
     vectors, are made anew; they are taken as they are if the company file is no longer there.
+    Scratch tables are deleted at the end.
     """
-    source = wanted = None
-    if files.path_exists(spark, companies_path):
-        source = files.read_table(spark, companies_path)
-        text_col = files.company_text_column(source, opts.company_column)
-        wanted = manifest(source, opts, company_id, text_col, vectors_table) if index_path else None
-    if index_path and stored_index_fits(spark, index_path, opts, wanted):
-        index = load_company_index(spark, index_path)
-    else:
-        source = source if source is not None else files.read_table(spark, companies_path)
-        index = build_company_index(source, opts, company_id, vectors_table=vectors_table, path=index_path, gazetteer=gazetteer)
-    prior = files.read_locations(spark, locations_path) if locations_path else None
-    done = match_transactions(files.read_table(spark, transactions_path), index, opts, txn_id,
-                              prior_locations=prior, gazetteer=gazetteer, txn_vectors=txn_vectors)
-    files.write_results(finish(done, opts), results_path)
-    if locations_path:
-        files.write_locations(done.locations, locations_path)
+    with temporary_tables(spark):
+        source = wanted = None
+        if files.path_exists(spark, companies_path):
+            source = files.read_table(spark, companies_path)
+            text_col = files.company_text_column(source, opts.company_column)
+            wanted = manifest(source, opts, company_id, text_col, vectors_table) if index_path else None
+        if index_path and stored_index_fits(spark, index_path, opts, wanted):
+            index = load_company_index(spark, index_path)
+        else:
+            source = source if source is not None else files.read_table(spark, companies_path)
+            index = build_company_index(source, opts, company_id, vectors_table=vectors_table, path=index_path, gazetteer=gazetteer)
+        prior = files.read_locations(spark, locations_path) if locations_path else None
+        done = match_transactions(files.read_table(spark, transactions_path), index, opts, txn_id,
+                                  prior_locations=prior, gazetteer=gazetteer, txn_vectors=txn_vectors)
+        files.write_results(finish(done, opts), results_path)
+        if locations_path:
+            files.write_locations(done.locations, locations_path)
     return results_path

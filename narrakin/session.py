@@ -5,6 +5,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from pathlib import Path
 
 from pyspark.sql import SparkSession
@@ -53,9 +56,28 @@ def shared_dir(spark: SparkSession) -> str:
     return configured
 
 
+_given_out: ContextVar[list[str] | None] = ContextVar("scratch paths of a run", default=None)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if _given_out.get() is not None:
+        _given_out.get().append(path)
+    return path
+
+
+@contextmanager
+def temporary_tables(spark: SparkSession) -> Iterator[None]:
+    """Delete the scratch tables made within this block when it ends."""
+    token = _given_out.set([])
+    try:
+        yield
+    finally:
+        for path in _given_out.get():
+            target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+        _given_out.reset(token)
 
 
 def settle(df, name: str, path: str | None = None):

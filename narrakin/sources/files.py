@@ -44,12 +44,14 @@ def narration_text_column(df: DataFrame, wanted: Sequence[str] = ()) -> str:
 def with_ordinal(df: DataFrame, order_by: Sequence[str], name: str = "company_id") -> DataFrame:
     """Number rows from 0 in the order of the given columns, without one big task.
 
-    Rows are range-sorted and checkpointed, so that a lost executor cannot move
+    Equal rows are numbered as they lie in the input, which also lets them be sorted by several
+    tasks. Rows are range-sorted and checkpointed, so that a lost executor cannot move
     them; each partition then adds the number of rows before it. The offsets are
     one row per partition.
     """
     shared_dir(df.sparkSession)
-    placed = df.orderBy(*order_by).withColumn("_place", F.monotonically_increasing_id()).checkpoint()
+    lying = df.withColumn("_lies", F.monotonically_increasing_id())
+    placed = lying.orderBy(*order_by, "_lies").drop("_lies").withColumn("_place", F.monotonically_increasing_id()).checkpoint()
     part = F.shiftright("_place", 33)
     row = F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))
     sizes = placed.groupBy(part.alias("_part")).count()
