@@ -13,11 +13,16 @@ from narrakin.session import settle
 #: A sketch has three rows of cells; each digest goes into one cell of each row. Cells of a row in
 #: the first sketch, which is the fingerprint.
 ROWS, WIDTH = 3, 8
-#: Rounds of peeling, each over the three rows in turn.
-ROUNDS = 4
+#: Most digests of both sides that the first sketch is tried with.
+FIRST = 12
+#: Rounds of peeling, each over the three rows in turn. The digests left over after each row are
+#: about the square of those before it, as a share, so six rows empty any sketch that can be emptied.
+ROUNDS = 2
 #: Later sketches have, in a row, so many cells for each digest of both sides. If none can be
 #: peeled, the few digests that are left over are compared as they are.
 RETRIES = (1, 16, 256)
+#: Pairs to try again are found by broadcast up to so many, of two numbers each.
+BROADCAST_PAIRS = 1_000_000
 #: Digests that one task peels.
 TASK_DIGESTS = 150_000
 #: Documents of one piece of the order by doc_id, and most pieces that the order is cut into.
@@ -91,54 +96,52 @@ def peeled(cells: DataFrame, by: list[str]) -> DataFrame:
                                   (F.max(F.when(F.col("row") < ROWS, 1).otherwise(0)) == 0).alias("ok"))
 
 
-def _difference(pairs: DataFrame, first: bool, factor: int, tasks: int) -> DataFrame:
+def _difference(rows: DataFrame, factor: int, tasks: int) -> DataFrame:
     """id, side, n, ok: digests that only one of a pair has, from its subtracted sketches.
 
-    pairs: id, side, left, right (arrays of digests). Cells are summed by key on the side of Spark,
-    the right's with the opposite sign, so equal digests cancel before anything is peeled.
+    rows: id, pairs: array of struct(side, left, right). Cells are summed by key where the rows are
+    dealt to, the right's with the opposite sign, so equal digests cancel before anything is peeled.
     """
+    pair = rows.repartition(tasks, "id").select("id", F.explode("pairs").alias("p")).select("id", "p.*")
     total = (F.size("left") + F.size("right")).cast("long")
-    width = F.lit(WIDTH).cast("long") if first else F.least(
-        F.lit(1 << 20), F.pow(F.lit(2.0), F.ceil(F.log2(F.greatest(total, F.lit(WIDTH)) * factor))).cast("long"))
+    large = F.least(F.lit(1 << 20), F.pow(F.lit(2.0), F.ceil(F.log2(F.greatest(total, F.lit(WIDTH)) * factor))).cast("long"))
+    width = F.when(total <= FIRST, F.lit(WIDTH).cast("long")).otherwise(large) if factor == RETRIES[0] else large
     sign = lambda keys, s: F.transform(keys, lambda k: F.struct(F.lit(s).cast("long").alias("n"), k.alias("k")))
-    dealt = pairs.repartition(tasks, "id").select(
-        "id", "side", width.alias("width"), F.explode(F.concat(sign(F.col("left"), 1), sign(F.col("right"), -1))).alias("x"))
+    dealt = pair.select("id", "side", width.alias("width"), F.explode(F.concat(sign(F.col("left"), 1), sign(F.col("right"), -1))).alias("x"))
     digest = dealt.select("id", "side", "width", "x.n", "x.k", _check(F.col("x.k")).alias("c"))
-    rows = F.explode(F.array(*[F.struct(F.lit(r).alias("row"), _place(F.col("k"), r).bitwiseAND(F.col("width") - 1).alias("cell"))
-                               for r in range(ROWS)]))
-    celled = digest.select("*", rows.alias("at")).select("id", "side", "width", "at.row", "at.cell", "n", "k", "c")
+    rows_ = F.explode(F.array(*[F.struct(F.lit(r).alias("row"), _place(F.col("k"), r).bitwiseAND(F.col("width") - 1).alias("cell"))
+                                for r in range(ROWS)]))
+    celled = digest.select("*", rows_.alias("at")).select("id", "side", "width", "at.row", "at.cell", "n", "k", "c")
     cells = celled.groupBy("id", "side", "width", "row", "cell").agg(
         F.sum("n").alias("n"), F.bit_xor("k").alias("k"), F.bit_xor("c").alias("c")).where("n <> 0 OR k <> 0 OR c <> 0")
     return peeled(cells, ["id", "side"])
 
 
-def differences(pairs: DataFrame) -> DataFrame:
-    """id, side, n: how many digests only one of each pair has.
+def differences(rows: DataFrame) -> DataFrame:
+    """id, side, n: how many digests only one of each pair has; pairs without a difference are left out.
 
-    pairs: id long, side int, left, right: arrays of distinct digests, unique by id and side. Pairs
-    whose number of digests differs by no more than the first sketch can hold are tried with it
-    first; those that it fails, and the others, with sketches that grow until they can be peeled.
-    Pairs without a difference are left out.
+    rows: id long, unique, and pairs: array of struct(side int, left, right), arrays of distinct
+    digests. Small sets are tried with the first sketch, larger ones with a sketch for their size;
+    pairs that cannot be peeled are tried again with sketches many times as wide.
     """
-    done, todo = None, pairs
-    close = F.abs(F.size("left") - F.size("right")) <= WIDTH
-    for attempt in range(len(RETRIES) + 1):
-        size, rows = todo.agg(F.sum(F.size("left") + F.size("right")), F.count("*")).first()
-        if not rows:
-            break
-        tasks = max(int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions")), (size or 0) // TASK_DIGESTS)
-        now = todo.where(close & (F.size("left") + F.size("right") <= 4 * ROWS * WIDTH)) if attempt == 0 else todo
-        got = settle(_difference(now, attempt == 0, RETRIES[max(0, attempt - 1)], tasks), "peeled")
-        right = got.where("ok").select("id", "side", "n")
-        done = right if done is None else done.unionByName(right)
-        failed = got.where("NOT ok").select("id", "side")
-        if attempt == 0:
-            todo = todo.join(failed, ["id", "side"], "left_semi").unionByName(todo.where(~(close & (F.size("left") + F.size("right") <= 4 * ROWS * WIDTH))))
-        else:
-            todo = todo.join(failed, ["id", "side"], "left_semi")
-        todo = settle(todo, "unpeeled") if attempt else todo
-    rest = todo.select("id", "side", (F.size(F.array_except("left", "right")) + F.size(F.array_except("right", "left"))).cast("long").alias("n"))
-    return rest if done is None else done.unionByName(rest)
+    spark = rows.sparkSession
+    done = spark.createDataFrame([], "id long, side int, n long")
+    todo = rows
+    for factor in RETRIES:
+        size = todo.agg(F.sum(F.aggregate("pairs", F.lit(0), lambda a, p: a + F.size(p["left"]) + F.size(p["right"])))).first()[0]
+        if size is None:
+            return done
+        tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // TASK_DIGESTS)
+        got = settle(_difference(todo, factor, tasks), "peeled")
+        done = done.unionByName(got.where("ok").select("id", "side", "n"))
+        failed = got.where("NOT ok").groupBy("id").agg(F.collect_set("side").alias("failed"))
+        failed = settle(failed, "unpeeled")
+        failed = F.broadcast(failed) if failed.count() <= BROADCAST_PAIRS else failed
+        todo = settle(todo.join(failed, "id").select(
+            "id", F.filter("pairs", lambda p: F.array_contains("failed", p["side"])).alias("pairs")), "unpeeled")
+    pair = todo.select("id", F.explode("pairs").alias("p")).select("id", "p.*")
+    apart = F.size(F.array_except("left", "right")) + F.size(F.array_except("right", "left"))
+    return done.unionByName(pair.select("id", "side", apart.cast("long").alias("n")))
 
 
 def edited_text(text: Column, following: Column) -> Column:
@@ -210,7 +213,7 @@ def fingerprints(spark: SparkSession, docs: DataFrame, piece_rows: int = PIECE_R
         F.monotonically_increasing_id().alias("id"), "doc_id", F.length("text").cast("long").alias("n_chars"),
         F.sha2("edited", 256).alias("edited_sha256"), "keys", "edited_keys", "next_keys"), "fingerprint-rows")
     side = lambda number, right: F.struct(F.lit(number).alias("side"), F.col("keys").alias("left"), F.col(right).alias("right"))
-    pairs = base.select("id", F.explode(F.array(side(0, "edited_keys"), side(1, "next_keys"))).alias("p")).select("id", "p.*")
+    pairs = base.select("id", F.array(side(0, "edited_keys"), side(1, "next_keys")).alias("pairs"))
     found = differences(pairs).groupBy("id").agg(
         *[F.sum(F.when(F.col("side") == s, F.col("n"))).alias(f"n{s}") for s in (0, 1)])
     joined = base.join(found, "id", "left")

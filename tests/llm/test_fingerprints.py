@@ -48,7 +48,8 @@ def test_small_differences_are_peeled_from_the_first_sketch_and_large_ones_later
         (3, 0, [], []),
         (3, 1, [1], []),
     ]
-    frame = spark.createDataFrame([(i, s, _spread(a), _spread(b)) for i, s, a, b in sets], "id long, side int, left array<bigint>, right array<bigint>")
+    rows = [(i, [(s, _spread(a), _spread(b)) for j, s, a, b in sets if j == i]) for i in (1, 2, 3)]
+    frame = spark.createDataFrame(rows, "id long, pairs array<struct<side: int, left: array<bigint>, right: array<bigint>>>")
     got = {(r["id"], r["side"]): r["n"] for r in fingerprints.differences(frame).collect() if r["n"]}
     assert got == {(1, 1): 2, (2, 0): 5000, (2, 1): 3000, (3, 1): 1}
 
