@@ -26,20 +26,34 @@ PARTS = (11, 11, 11, 11, 10, 10)
 TILE = 2048
 #: 64-lane words compared in one step.
 _STEP = 1 << 15
-
-
-def fingerprint(data: bytes, shingle: int = SHINGLE) -> int:
-    """64-bit SimHash of UTF-8 text: a bit is one if it is set in over half of the shingle hashes."""
-    words = data.lower().split()
+#: Near copies of documents: word shingles, and the least likeness (Jaccard, as a fraction) of their sets.
+COPY_SHINGLE = 5
+COPY_LIKENESS = (4, 5)
+#: Fingerprints of sets alike by 0.8 differ in 9.7 bits of 64 on average, by a standard deviation of
+#: 2.9; 22 is over four of them away. What is within it is compared exactly.
+COPY_RADIUS = 22
+#: Buckets of such documents: BANDS keys of BAND_MINIMA minima each. Sets alike by 0.8 share no bucket
+#: with a probability of (1 - 0.8^4)^24, 3 in a million.
+BANDS, BAND_MINIMA = 24, 4
+#: Documents to compare exactly are found by broadcast up to so many, of three numbers each.
+BROADCAST_ROWS = 500_000
+
+
+def shingle_hashes(words: list[bytes], shingle: int) -> np.ndarray:
+    """XXH64 of every word shingle, repeats included; of the whole sequence if it is shorter."""
     if not words:
-        return 0
+        return np.empty(0, np.uint64)
     joined = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])
     width = min(shingle, len(words))
     pairs = zip(starts[: len(words) - width + 1].tolist(), ends[width - 1:].tolist())
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(joined[s:e], SEED) for s, e in pairs], np.uint64)
+    return np.array([digest(joined[s:e], SEED) for s, e in pairs], np.uint64)
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits that are set in over half of the hashes; zero for none."""
     ones = np.zeros(64, np.int64)
     for at in range(0, len(hashes), 1 << 16):
         part = hashes[at:at + (1 << 16)].view(np.uint8).reshape(-1, 8)
@@ -47,6 +61,11 @@ def fingerprint(data: bytes, shingle: int = SHINGLE) -> int:
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view(np.uint64)[0])
 
 
+def fingerprint(data: bytes, shingle: int = SHINGLE) -> int:
+    """64-bit SimHash of UTF-8 text: a bit is one if it is set in over half of the shingle hashes."""
+    return majority(shingle_hashes(data.lower().split(), shingle))
+
+
 @F.arrow_udf(T.LongType())
 def fingerprint_column(texts: pa.Array) -> pa.Array:
     values = np.array([fingerprint(t.as_py().encode()) for t in texts], np.uint64)
@@ -68,13 +87,13 @@ def _keys(fp: Column) -> list[Column]:
             for n, (i, j) in enumerate(pairs)]
 
 
-def near(groups: np.ndarray, prints: np.ndarray, radius: int = RADIUS) -> list[tuple[int, int]]:
-    """Spanning edges (positions) of the links within each run of equal group numbers.
+def _within(groups: np.ndarray, prints: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Links within each run of equal group numbers: position, first position of 64 others, mask of those linked.
 
     Each group's fingerprints are turned into 64 bit planes, 64 fingerprints to a word. A query
     fingerprint is compared with a whole word at once: the differing bits of each plane are added
-    to three counter planes by carry-save steps, and a word is abandoned as soon as every lane of
-    it has passed the radius.
+    to counter planes by carry-save steps, and a word is abandoned as soon as every lane of it has
+    passed the radius.
     """
     bounds = np.flatnonzero(np.concatenate([[True], groups[1:] != groups[:-1], [True]]))
     sizes = np.diff(bounds)
@@ -92,7 +111,6 @@ def near(groups: np.ndarray, prints: np.ndarray, radius: int = RADIUS) -> list[t
     filled = np.packbits(used, bitorder="little").view(np.uint64)
     per_row = words[group_of]
     row_ends = np.cumsum(per_row)
-    found: dict[int, list[tuple[int, int, int]]] = {}
     begin = 0
     while begin < len(prints):
         end = max(begin + 1, int(np.searchsorted(row_ends, (row_ends[begin - 1] if begin else 0) + _STEP, "right")))
@@ -101,42 +119,60 @@ def near(groups: np.ndarray, prints: np.ndarray, radius: int = RADIUS) -> list[t
         word = first_word[:-1][group_of[row]] + offset
         own = np.where(lane[row] // 64 == offset, np.uint64(1) << (lane[row] % 64).astype(np.uint64), np.uint64(0))
         alive = filled[word] & ~own
-        low, mid, high = (np.zeros(len(row), np.uint64) for _ in range(3))
+        counters = [np.zeros(len(row), np.uint64) for _ in range(radius.bit_length())]
         for plane in range(64):
             query = np.uint64(0) - ((prints[row] >> np.uint64(plane)) & np.uint64(1))
-            differs = planes[plane][word] ^ query
-            carry = low & differs
-            low ^= differs
-            differs = mid & carry
-            mid ^= carry
-            alive &= ~(high & differs)
-            high ^= differs
+            carry = planes[plane][word] ^ query
+            for i, counter in enumerate(counters):
+                counters[i], carry = counter ^ carry, counter & carry
+            alive &= ~carry
             if plane % 4 == 3:
-                alive &= ~_over(low, mid, high, radius)
+                alive &= ~_over(counters, radius)
                 stay = alive != 0
                 if not stay.all():
                     row, word, offset, alive = row[stay], word[stay], offset[stay], alive[stay]
-                    low, mid, high = low[stay], mid[stay], high[stay]
+                    counters = [c[stay] for c in counters]
                     if not len(row):
                         break
-        for r, o, mask in zip(row.tolist(), offset.tolist(), alive.tolist()):
-            found.setdefault(int(group_of[r]), []).append((r, o, mask))
+        yield row, bounds[:-1][group_of[row]] + 64 * offset, alive
         begin = end
+
+
+def near(groups: np.ndarray, prints: np.ndarray, radius: int = RADIUS) -> list[tuple[int, int]]:
+    """Spanning edges (positions) of the links within each run of equal group numbers."""
+    starts = np.flatnonzero(np.concatenate([[True], groups[1:] != groups[:-1]])) if len(groups) else np.empty(0, np.int64)
+    found: dict[int, list[tuple[int, int, int]]] = {}
+    for row, first, alive in _within(groups, prints, radius):
+        start = starts[np.searchsorted(starts, row, "right") - 1]
+        for s, r, o, mask in zip(start.tolist(), row.tolist(), ((first - start) // 64).tolist(), alive.tolist()):
+            found.setdefault(s, []).append((r, o, mask))
     edges = []
-    for group, hits in found.items():
-        edges += _span(hits, int(bounds[group]))
+    for start, hits in found.items():
+        edges += _span(hits, start)
     return edges
 
 
-def _over(low: np.ndarray, mid: np.ndarray, high: np.ndarray, radius: int) -> np.ndarray:
-    """Lanes whose three-bit count is above the radius."""
-    over = np.zeros_like(low)
-    for count in range(radius + 1, 8):
-        lanes = ~np.uint64(0)
-        for place, plane in enumerate((low, mid, high)):
-            lanes = lanes & (plane if count >> place & 1 else ~plane)
-        over |= lanes
-    return over
+def near_pairs(groups: np.ndarray, prints: np.ndarray, sets: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All links (positions, the smaller first) within each run of equal group numbers between different sets."""
+    for row, first, alive in _within(groups, prints, radius):
+        lanes = np.unpackbits(np.ascontiguousarray(alive).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        hit, lane = np.nonzero(lanes)
+        a, b = row[hit], first[hit] + lane
+        new = (a < b) & (sets[a] != sets[b])
+        yield a[new], b[new]
+
+
+def _over(counters: list[np.ndarray], radius: int) -> np.ndarray:
+    """Lanes whose count is above the radius: by comparison from the highest counter plane down."""
+    above = np.zeros_like(counters[0])
+    equal = ~above
+    for place in reversed(range(len(counters))):
+        if radius >> place & 1:
+            equal = equal & counters[place]
+        else:
+            above |= equal & counters[place]
+            equal = equal & ~counters[place]
+    return above
 
 
 def _span(hits: list[tuple[int, int, int]], start: int) -> list[tuple[int, int]]:
@@ -165,28 +201,53 @@ def _span(hits: list[tuple[int, int, int]], start: int) -> list[tuple[int, int]]
     return edges
 
 
-def _link_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (g, fp) come ordered by bucket g; a bucket may go on in the next batch."""
-    rest_g, rest_f = np.empty(0, np.int64), np.empty(0, np.uint64)
+def _whole_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
+    """Columns of rows that come ordered by the first, their bucket, with all rows of a bucket together.
+
+    Rows that are alone in their bucket are left out.
+    """
+    rest: list[np.ndarray] | None = None
     for batch in _and_last(batches):
         if batch is None:
-            g, f, whole = rest_g, rest_f, len(rest_g)
+            columns, whole = rest, len(rest[0]) if rest else 0
         else:
-            g = np.concatenate([rest_g, batch.column(0).to_numpy()])
-            f = np.concatenate([rest_f, batch.column(1).to_numpy().view(np.uint64)])
+            columns = [c.to_numpy() for c in batch.columns]
+            columns = [np.concatenate(pair) for pair in zip(rest, columns)] if rest else columns
+            g = columns[0]
             whole = int(np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]]))[-1]) if len(g) else 0
-        rest_g, rest_f = g[whole:], f[whole:]
-        g, f = g[:whole], f[:whole]
-        if not len(g):
+        if columns is None:
             continue
+        rest = [c[whole:] for c in columns]
+        g = columns[0][:whole]
         same = g[1:] == g[:-1]
-        several = np.concatenate([same, [False]]) | np.concatenate([[False], same])
-        g, f = g[several], f[several]
-        if len(g):
-            edges = np.array(near(g, f), np.int64).reshape(-1, 2)
-            signed = f.view(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(signed[edges[:, 0]]), pa.array(signed[edges[:, 1]])], names=["a", "b"])
+        several = np.concatenate([same, [False]]) | np.concatenate([[False], same]) if whole else np.zeros(0, bool)
+        if several.any():
+            yield [c[:whole][several] for c in columns]
+
+
+def _link_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Spanning edges of the buckets of fingerprints: rows (g, fp)."""
+    for g, prints in _whole_buckets(batches):
+        edges = np.array(near(g, prints.view(np.uint64)), np.int64).reshape(-1, 2)
+        yield pa.RecordBatch.from_arrays([pa.array(prints[edges[:, 0]]), pa.array(prints[edges[:, 1]])], names=["a", "b"])
+
+
+def _edge_batch(g: np.ndarray, ids: np.ndarray, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(g[a]), pa.array(ids[a]), pa.array(ids[b])], names=["g", "a", "b"])
+
+
+def _span_copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Spanning edges of the buckets of documents that may be copies: rows (g, id, fp)."""
+    for g, ids, prints in _whole_buckets(batches):
+        edges = np.array(near(g, prints.view(np.uint64), COPY_RADIUS), np.int64).reshape(-1, 2)
+        yield _edge_batch(g, ids, edges[:, 0], edges[:, 1])
+
+
+def _pair_copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All links between documents of different sets: rows (g, id, fp, set)."""
+    for g, ids, prints, sets in _whole_buckets(batches):
+        for a, b in near_pairs(g, prints.view(np.uint64), sets, COPY_RADIUS):
+            yield _edge_batch(g, ids, a, b)
 
 
 def _and_last(batches):
@@ -194,28 +255,44 @@ def _and_last(batches):
     yield None
 
 
-def link_fingerprints(spark: SparkSession, prints: DataFrame, tile: int = TILE) -> DataFrame:
-    """Edges a, b that join all fingerprints (fp long, distinct) within the radius of each other.
+def _dealt(keyed: DataFrame, tile: int) -> DataFrame:
+    """Rows (key, ...) as (g, ...), dealt to the buckets g and ordered by all columns.
 
-    Every two fingerprints within the radius share a bucket of two equal parts. A bucket of more
-    than `tile` fingerprints is dealt into tiles by hash and every pair of tiles is compared in a
-    group of its own, so nothing is left out and no group outgrows two tiles.
+    A bucket of more than `tile` rows is dealt into tiles by the hash of its second column and every pair of
+    tiles becomes a bucket of its own, so nothing is left out and no bucket outgrows two tiles.
     """
-    keyed = prints.select("fp", F.explode(F.array(*_keys(F.col("fp")))).alias("key")).select("fp", "key.t", "key.k")
-    full = keyed.groupBy("t", "k").agg(F.count("*").alias("n")).where(F.col("n") > tile).select(
-        "t", "k", F.ceil(F.col("n") / tile).cast("int").alias("tiles"))
-    full = settle(full, "buckets")
+    rest = [c for c in keyed.columns if c != "key"]
+    full = settle(keyed.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > tile).select(
+        "key", F.ceil(F.col("n") / tile).cast("int").alias("tiles")), "buckets")
     if full.isEmpty():
-        grouped = keyed.select(F.shiftleft(F.col("t").cast("long"), 32).bitwiseOR(F.col("k")).alias("g"), "fp")
+        grouped = keyed.select(F.col("key").alias("g"), *rest)
     else:
-        own = F.pmod(F.xxhash64("fp", F.lit(7)), F.col("tiles")).cast("int")
+        own = F.pmod(F.xxhash64(rest[0], F.lit(7)), F.col("tiles")).cast("int")
         pairs = F.when(F.col("tiles").isNull(), F.array(F.struct(F.lit(0).alias("i"), F.lit(0).alias("j")))).otherwise(
             F.transform(F.filter(F.sequence(F.lit(0), F.col("tiles") - 1), lambda o: o != own),
                         lambda o: F.struct(F.least(o, own).alias("i"), F.greatest(o, own).alias("j"))))
-        grouped = keyed.join(full, ["t", "k"], "left").select("fp", "t", "k", F.explode(pairs).alias("p")).select(
-            F.xxhash64("t", "k", "p.i", "p.j").alias("g"), "fp")
-    dealt = grouped.repartition("g").sortWithinPartitions("g", "fp")
-    return dealt.mapInArrow(_link_buckets, "a long, b long").distinct()
+        grouped = keyed.join(full, "key", "left").select("key", *rest, F.explode(pairs).alias("p")).select(
+            F.xxhash64("key", "p.i", "p.j").alias("g"), *rest)
+    return grouped.repartition("g").sortWithinPartitions("g", *rest)
+
+
+def link_fingerprints(spark: SparkSession, prints: DataFrame, tile: int = TILE) -> DataFrame:
+    """Edges a, b that join all fingerprints (fp long, distinct) within the radius of each other.
+
+    Every two fingerprints within the radius share a bucket of two equal parts.
+    """
+    keyed = prints.select("fp", F.explode(F.array(*_keys(F.col("fp")))).alias("key")).select(
+        F.shiftleft(F.col("key.t").cast("long"), 32).bitwiseOR(F.col("key.k")).alias("key"), "fp")
+    return _dealt(keyed, tile).mapInArrow(_link_buckets, "a long, b long").distinct()
+
+
+def _grouped(spark: SparkSession, marked: DataFrame, classes: DataFrame, key: str, links: DataFrame) -> DataFrame:
+    """doc_id, text_hash, root, component_id and the key of every marked row, by the links between keys."""
+    linked = connected_components(spark, links).select(F.col("node").alias(key), "component")
+    found = settle(classes.join(linked, key, "left").withColumn("component", F.coalesce("component", key)), "simhash-found")
+    lowest = settle(found.groupBy("component").agg(F.min("first_id").alias("component_id")), "simhash-lowest")
+    groups = settle(found.join(lowest, "component").select(key, F.col("component").alias("root"), "component_id"), "simhash-groups")
+    return marked.join(groups, key).select("doc_id", "text_hash", key, "root", "component_id")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
@@ -232,22 +309,119 @@ def near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
         F.col("doc_id").alias("doc_id"), F.xxhash64(text_or_empty()).alias("text_hash"),
         fingerprint_column(text_or_empty()).alias("fp")), "simhash")
     classes = settle(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-classes")
-    linked = connected_components(spark, link_fingerprints(spark, classes.select("fp"))).select(
-        F.col("node").alias("fp"), "component")
-    found = settle(classes.join(linked, "fp", "left").withColumn("component", F.coalesce("component", "fp")), "simhash-found")
-    lowest = settle(found.groupBy("component").agg(F.min("first_id").alias("component_id")), "simhash-lowest")
-    groups = settle(found.join(lowest, "component").select("fp", F.col("component").alias("root"), "component_id"),
-                    "simhash-groups")
-    return marked.join(groups, "fp").select("doc_id", "text_hash", "fp", "root", "component_id")
+    return _grouped(spark, marked, classes, "fp", link_fingerprints(spark, classes.select("fp")))
+
+
+_MIXERS = np.random.default_rng(SEED).integers(0, 1 << 63, (2, BANDS * BAND_MINIMA), np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def band_keys(hashes: np.ndarray) -> np.ndarray:
+    """A key for each band from the minima of a set of hashes; none for sets too small to have a near copy."""
+    if len(hashes) < COPY_LIKENESS[0]:
+        return np.empty(0, np.int64)
+    least = np.full(BANDS * BAND_MINIMA, (1 << 64) - 1, np.uint64)
+    for at in range(0, len(hashes), 1024):
+        np.minimum(least, ((hashes[at:at + 1024, None] ^ _MIXERS[0]) * _MIXERS[1]).min(0), out=least)
+    key = np.arange(BANDS, dtype=np.uint64)
+    for minimum in least.reshape(BAND_MINIMA, BANDS):
+        key = (key ^ minimum) * np.uint64(0x9E3779B97F4A7C15)
+        key ^= key >> np.uint64(29)
+    return key.view(np.int64)
+
+
+@F.arrow_udf(T.StructType().add("words", T.LongType()).add("fp", T.LongType()).add("bands", T.ArrayType(T.LongType())))
+def copy_profile(texts: pa.Array) -> pa.Array:
+    """Hash of the words, fingerprint and band keys of the set of shingles of each text."""
+    words, prints, bands = [], [], []
+    for text in texts:
+        found = text.as_py().encode().lower().split()
+        hashes = np.unique(shingle_hashes(found, COPY_SHINGLE))
+        words.append(xxhash.xxh64_intdigest(b" ".join(found), SEED))
+        prints.append(majority(hashes))
+        bands.append(band_keys(hashes))
+    signed = lambda values: pa.array(np.array(values, np.uint64).view(np.int64))
+    return pa.StructArray.from_arrays(
+        [signed(words), signed(prints), pa.array(bands, pa.list_(pa.int64()))], names=["words", "fp", "bands"])
+
+
+@F.arrow_udf(T.ArrayType(T.LongType()))
+def shingle_set(texts: pa.Array) -> pa.Array:
+    return pa.array([np.unique(shingle_hashes(t.as_py().encode().lower().split(), COPY_SHINGLE)).view(np.int64) for t in texts],
+                    pa.list_(pa.int64()))
+
+
+def _few(df: DataFrame) -> DataFrame:
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
+def _compared(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """a, b, alike: whether the shingle sets of two classes of documents are alike by COPY_LIKENESS.
+
+    The text of a class is that of one of its rows. Sets are made for the classes in pairs only.
+    """
+    asked = settle(pairs.select(F.explode(F.array("a", "b")).alias("words")).distinct().join(classes, "words").select("words", "first.*"), "asked")
+    texts = docs.select(F.coalesce("doc_id", F.lit(0)).alias("_id"), F.col("doc_id").isNull().alias("_none"),
+                        F.xxhash64(text_or_empty()).alias("_hash"), text_or_empty().alias("text"))
+    one = texts.join(_few(asked), ["_id", "_none", "_hash"]).select("words", shingle_set("text").alias("shingles"))
+    sets = settle(one.groupBy("words").agg(F.any_value("shingles").alias("shingles")), "shingle-sets")
+    side = lambda name, value: sets.select(F.col("words").alias(name), F.col("shingles").alias(value))
+    both = pairs.join(side("a", "x"), "a").join(side("b", "y"), "b")
+    common = F.size(F.array_intersect("x", "y"))
+    part, whole = COPY_LIKENESS
+    return settle(both.select("a", "b", (whole * common >= part * (F.size("x") + F.size("y") - common)).alias("alike")), "compared")
+
+
+def _copy_links(spark: SparkSession, docs: DataFrame, classes: DataFrame, tile: int) -> DataFrame:
+    """Edges a, b between classes that join all pairs of a bucket that are near copies.
+
+    First the spanning edges of the fingerprints within the radius are compared exactly; where all
+    hold, the bucket is done. In buckets where one failed, every pair within the radius that is not
+    yet joined is compared.
+    """
+    keyed = classes.select(F.explode("bands").alias("key"), F.col("words").alias("id"), "fp")
+    dealt = _dealt(keyed, tile)
+    edges = settle(dealt.mapInArrow(_span_copies, "g long, a long, b long"), "copy-edges")
+    tested = _compared(settle(edges.select("a", "b").distinct(), "copy-pairs"), classes, docs)
+    links, failed = tested.where("alike").select("a", "b"), tested.where("NOT alike").select("a", "b")
+    if failed.isEmpty():
+        return links
+    joined = settle(connected_components(spark, links).select(F.col("node").alias("id"), "component"), "copy-groups")
+    again = settle(edges.join(failed, ["a", "b"], "left_semi").select("g").distinct(), "copy-buckets")
+    rows = dealt.join(_few(again), "g", "left_semi").join(joined, "id", "left").select(
+        "g", "id", "fp", F.coalesce("component", "id").alias("set"))
+    pairs = rows.repartition("g").sortWithinPartitions("g", "id").mapInArrow(_pair_copies, "g long, a long, b long")
+    more = settle(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(
+        failed.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"), "copy-pairs")
+    return links.unionByName(_compared(more, classes, docs).where("alike").select("a", "b"))
+
+
+def similar_documents(spark: SparkSession, docs: DataFrame, tile: int = TILE) -> DataFrame:
+    """Group documents whose sets of five-word shingles are alike by 0.8 or more, directly or through others.
+
+    docs: doc_id, text; other columns are ignored. Returns one row per input row: doc_id, text_hash,
+    words (hash of the lower-cased words), root, component_id as in near_duplicates. Candidates share
+    a band of set minima and have fingerprints within COPY_RADIUS; each is then compared exactly by
+    its sets. Texts with the same words are one class, compared once; so are all texts without words,
+    null ones included. Texts of fewer than five words are copies of equal ones only.
+    """
+    ship_package(spark)
+    marked = settle(docs.select(
+        F.col("doc_id").alias("doc_id"), F.xxhash64(text_or_empty()).alias("text_hash"),
+        copy_profile(text_or_empty()).alias("p")).select("doc_id", "text_hash", "p.*"), "copies")
+    first = F.struct(F.col("doc_id").isNull().alias("_none"), F.coalesce("doc_id", F.lit(0)).alias("_id"), F.col("text_hash").alias("_hash"))
+    classes = settle(marked.groupBy("words").agg(
+        F.min("doc_id").alias("first_id"), F.min(first).alias("first"), F.any_value("fp").alias("fp"), F.any_value("bands").alias("bands")), "copy-classes")
+    links = _copy_links(spark, docs, classes, tile)
+    return _grouped(spark, marked.select("doc_id", "text_hash", "words"), classes.select("words", "first_id"), "words", links)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """One whole row of each group: that with the smallest doc_id, of repeated rows any one.
+    """One whole row of each group of similar documents: that with the smallest doc_id, of repeated rows any one.
 
     All columns of docs are returned. A row without doc_id stays only if its group has no id.
     """
     key = F.struct(F.coalesce("doc_id", "text_hash").alias("_id"), F.col("doc_id").isNull().alias("_none"), F.col("text_hash").alias("_hash"))
-    groups = near_duplicates(spark, docs).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    groups = similar_documents(spark, docs).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     stay = settle(groups.groupBy("root").agg(F.min(key).alias("k")).select("k.*"), "simhash-stay")
     rows = docs.select(F.struct("*").alias("_row"), "doc_id", F.xxhash64(text_or_empty()).alias("text_hash"))
     joined = rows.select("_row", key.alias("k")).select("_row", "k.*").join(stay, ["_id", "_none", "_hash"])

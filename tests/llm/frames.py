@@ -30,3 +30,27 @@ def odd_docs(spark):
 
 def no_docs(spark):
     return spark.createDataFrame([], DOCS)
+
+
+def alike_groups(rows):
+    """doc_id -> smallest doc_id it reaches by links of five-word shingle sets alike by 0.8, pair by pair."""
+    words = {r["doc_id"]: (r["text"] or "").encode().lower().split() for r in rows}
+    sets = {d: {tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))} for d, w in words.items()}
+    found = {}
+    for start in sorted(sets):
+        if start in found:
+            continue
+        found[start], queue = start, [start]
+        while queue:
+            at = queue.pop()
+            for other in sets:
+                if other not in found:
+                    small, large = sorted((len(sets[at]), len(sets[other])))
+                    if 5 * small >= 4 * large and 5 * len(sets[at] & sets[other]) >= 4 * len(sets[at] | sets[other]):
+                        found[other] = start
+                        queue.append(other)
+    return found
+
+
+def first_of_alike(rows):
+    return {d for d, first in alike_groups(rows).items() if d == first}

@@ -2,11 +2,11 @@ import random
 from collections import defaultdict
 
 import public_tokenizers
-from frames import no_docs, odd_docs
+from frames import first_of_alike, no_docs, odd_docs
 
 import __spark_entry__
 import corpus_pipeline
-from narrakin.llm import langid, packing, quality, simhash, wordpiece
+from narrakin.llm import langid, packing, quality, wordpiece
 from narrakin.llm.tables import table
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -73,7 +73,7 @@ def test_pipeline_equals_its_stages_done_plainly(spark):
     first = docs.where(docs.doc_id.isin(sorted(good)))
     known = {r["doc_id"] for r in langid.identify(spark, first).collect() if r["lang_pred"] != "und" and r["score"] >= 0.5}
     second = docs.where(docs.doc_id.isin(sorted(known)))
-    single = {r["doc_id"] for r in simhash.near_duplicates(spark, second).collect() if r["doc_id"] == r["component_id"]}
+    single = first_of_alike(second.select("doc_id", "text").collect())
     rows = corpus_pipeline.run(spark, SF).collect()
     assert {r["doc_id"] for r in rows} == single
     check_bins(rows, packing.CAPACITIES)

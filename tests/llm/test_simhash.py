@@ -3,7 +3,8 @@ import re
 
 import numpy as np
 import xxhash
-from frames import no_docs, odd_docs
+from frames import alike_groups, no_docs, odd_docs
+from pyspark.sql import Row
 
 from narrakin.llm import components, simhash
 from narrakin.llm.tables import table
@@ -107,3 +108,44 @@ def test_components_of_chains_stars_and_loops(spark):
     want = {i: 100 for i in range(100, 161)} | {7: 7, 8: 7} | {x: 500 for x in range(500, 600)}
     assert got == want
     assert components.connected_components(spark, frame.limit(0)).count() == 0
+
+
+def test_wide_radius_finds_every_link():
+    random_ = random.Random(7)
+    prints = np.array([noisy(random_, random_.getrandbits(64) if i % 10 == 0 else 0x0F0F3C3C5A5A9669, random_.randint(0, 24)) for i in range(150)], np.uint64)
+    groups = np.repeat([3, 8], [20, 130])
+    for radius in (1, 4, 15, 16, 22):
+        want = {(j, i) for i in range(150) for j in range(i) if groups[i] == groups[j] and (int(prints[i]) ^ int(prints[j])).bit_count() <= radius}
+        got = {(int(a), int(b)) for part in simhash.near_pairs(groups, prints, np.arange(150), radius) for a, b in zip(*part)}
+        assert got == want
+
+
+def varied(random_, words, share):
+    """The words with about such a share of the shingles changed."""
+    words = list(words)
+    for i in random_.sample(range(len(words)), max(1, round(len(words) * share / 5))):
+        words[i] = f"w{random_.getrandbits(40)}"
+    return words
+
+
+def test_similar_documents_equal_brute_force(spark):
+    random_ = random.Random(3)
+    texts = []
+    for size in (1, 4, 5, 6, 9, 30, 200, 1500):
+        base = [f"w{random_.getrandbits(12)}" for _ in range(size)]
+        texts += [base, base, base + ["x"], base + ["x", "y"], base[1:]]
+        for share in (0.02, 0.1, 0.16, 0.2, 0.25, 0.35, 0.5):
+            one = varied(random_, base, share)
+            texts += [one, varied(random_, one, 0.05)]
+    rows = [Row(doc_id=i, text=" ".join(t)) for i, t in enumerate(texts)]
+    want = alike_groups(rows)
+    for tile in (simhash.TILE, 3):
+        got = simhash.similar_documents(spark, spark.createDataFrame(rows, "doc_id long, text string"), tile).collect()
+        assert {r["doc_id"]: r["component_id"] for r in got} == want
+
+
+def test_similar_documents_of_the_given_table(spark):
+    docs = table(spark, SF, "documents")
+    got = {r["doc_id"]: r["component_id"] for r in simhash.similar_documents(spark, docs).collect()}
+    assert got == alike_groups(docs.select("doc_id", "text").collect())
+    assert {r["doc_id"] for r in simhash.one_of_each_group(spark, docs).collect()} == {d for d, first in got.items() if d == first}
