@@ -35,6 +35,8 @@ COPY_RADIUS = 22
 #: Buckets of such documents: BANDS keys of BAND_MINIMA minima each. Sets alike by 0.8 share no bucket
 #: with a probability of (1 - 0.8^4)^24, 3 in a million.
 BANDS, BAND_MINIMA = 24, 4
+#: Shingles of a family that one tile holds.
+TILE_SHINGLES = 2_000_000
 #: Documents to compare exactly are found by broadcast up to so many, of three numbers each.
 BROADCAST_ROWS = 500_000
 
@@ -152,14 +154,32 @@ def near(groups: np.ndarray, prints: np.ndarray, radius: int = RADIUS) -> list[t
     return edges
 
 
-def near_pairs(groups: np.ndarray, prints: np.ndarray, sets: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """All links (positions, the smaller first) within each run of equal group numbers between different sets."""
-    for row, first, alive in _within(groups, prints, radius):
-        lanes = np.unpackbits(np.ascontiguousarray(alive).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        hit, lane = np.nonzero(lanes)
-        a, b = row[hit], first[hit] + lane
-        new = (a < b) & (sets[a] != sets[b])
-        yield a[new], b[new]
+def join_alike(sets: np.ndarray, shingles: list[np.ndarray]) -> list[tuple[int, int]]:
+    """Edges (positions) that join the sets of all pairs alike by COPY_LIKENESS; `sets` tells what is joined already.
+
+    shingles: distinct numbers of each. Of two that are not joined yet at least one is outside the
+    largest set, so each of those is compared with all by way of who has its shingles.
+    """
+    n = len(sets)
+    sizes = np.fromiter(map(len, shingles), np.int64, n)
+    _, codes = np.unique(np.concatenate(shingles), return_inverse=True)
+    holders = np.repeat(np.arange(n), sizes)[np.argsort(codes, kind="stable")]
+    ends = np.cumsum(np.bincount(codes))
+    own_ends = np.cumsum(sizes)
+    _, label = np.unique(sets, return_inverse=True)
+    part, whole = COPY_LIKENESS
+    edges = []
+    for i in np.flatnonzero(label != np.bincount(label).argmax()).tolist():
+        own = codes[own_ends[i] - sizes[i]:own_ends[i]]
+        begins = np.where(own > 0, ends[own - 1], 0)
+        with_it = [holders[b:e] for b, e in zip(begins.tolist(), ends[own].tolist())]
+        common = np.bincount(np.concatenate(with_it), minlength=n)
+        alike = (whole * common >= part * (sizes[i] + sizes - common)) & (label != label[i])
+        for j in np.flatnonzero(alike).tolist():
+            if label[i] != label[j]:
+                edges.append((i, j))
+                label[label == label[j]] = label[i]
+    return edges
 
 
 def _over(counters: list[np.ndarray], radius: int) -> np.ndarray:
@@ -211,7 +231,7 @@ def _whole_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarra
         if batch is None:
             columns, whole = rest, len(rest[0]) if rest else 0
         else:
-            columns = [c.to_numpy() for c in batch.columns]
+            columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
             columns = [np.concatenate(pair) for pair in zip(rest, columns)] if rest else columns
             g = columns[0]
             whole = int(np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]]))[-1]) if len(g) else 0
@@ -232,22 +252,20 @@ def _link_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays([pa.array(prints[edges[:, 0]]), pa.array(prints[edges[:, 1]])], names=["a", "b"])
 
 
-def _edge_batch(g: np.ndarray, ids: np.ndarray, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(g[a]), pa.array(ids[a]), pa.array(ids[b])], names=["g", "a", "b"])
-
-
 def _span_copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Spanning edges of the buckets of documents that may be copies: rows (g, id, fp)."""
     for g, ids, prints in _whole_buckets(batches):
         edges = np.array(near(g, prints.view(np.uint64), COPY_RADIUS), np.int64).reshape(-1, 2)
-        yield _edge_batch(g, ids, edges[:, 0], edges[:, 1])
+        yield pa.RecordBatch.from_arrays([pa.array(ids[edges[:, 0]]), pa.array(ids[edges[:, 1]])], names=["a", "b"])
 
 
-def _pair_copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All links between documents of different sets: rows (g, id, fp, set)."""
-    for g, ids, prints, sets in _whole_buckets(batches):
-        for a, b in near_pairs(g, prints.view(np.uint64), sets, COPY_RADIUS):
-            yield _edge_batch(g, ids, a, b)
+def _join_families(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Edges that join what is alike in each family: rows (g, id, set, shingles)."""
+    for g, ids, sets, shingles in _whole_buckets(batches):
+        bounds = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1], [True]]))
+        for begin, end in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+            edges = np.array(join_alike(sets[begin:end], list(shingles[begin:end])), np.int64).reshape(-1, 2) + begin
+            yield pa.RecordBatch.from_arrays([pa.array(ids[edges[:, 0]]), pa.array(ids[edges[:, 1]])], names=["a", "b"])
 
 
 def _and_last(batches):
@@ -255,15 +273,16 @@ def _and_last(batches):
     yield None
 
 
-def _dealt(keyed: DataFrame, tile: int) -> DataFrame:
-    """Rows (key, ...) as (g, ...), dealt to the buckets g and ordered by all columns.
+def _dealt(keyed: DataFrame, tile: int, weight: Column | None = None) -> DataFrame:
+    """Rows (key, ...) as (g, ...), dealt to the buckets g and ordered by them.
 
-    A bucket of more than `tile` rows is dealt into tiles by the hash of its second column and every pair of
-    tiles becomes a bucket of its own, so nothing is left out and no bucket outgrows two tiles.
+    A bucket of more than `tile` rows, or that much weight, is dealt into tiles by the hash of its
+    second column and every pair of tiles becomes a bucket of its own, so nothing is left out and no
+    bucket outgrows two tiles.
     """
     rest = [c for c in keyed.columns if c != "key"]
-    full = settle(keyed.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > tile).select(
-        "key", F.ceil(F.col("n") / tile).cast("int").alias("tiles")), "buckets")
+    full = settle(keyed.groupBy("key").agg(F.sum(F.lit(1) if weight is None else weight).alias("n")).where(F.col("n") > tile).select(
+        "key", F.greatest(F.lit(2), F.ceil(F.col("n") / tile)).cast("int").alias("tiles")), "buckets")
     if full.isEmpty():
         grouped = keyed.select(F.col("key").alias("g"), *rest)
     else:
@@ -273,7 +292,7 @@ def _dealt(keyed: DataFrame, tile: int) -> DataFrame:
                         lambda o: F.struct(F.least(o, own).alias("i"), F.greatest(o, own).alias("j"))))
         grouped = keyed.join(full, "key", "left").select("key", *rest, F.explode(pairs).alias("p")).select(
             F.xxhash64("key", "p.i", "p.j").alias("g"), *rest)
-    return grouped.repartition("g").sortWithinPartitions("g", *rest)
+    return grouped.repartition("g").sortWithinPartitions("g", rest[0])
 
 
 def link_fingerprints(spark: SparkSession, prints: DataFrame, tile: int = TILE) -> DataFrame:
@@ -354,48 +373,45 @@ def _few(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
-def _compared(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
-    """a, b, alike: whether the shingle sets of two classes of documents are alike by COPY_LIKENESS.
-
-    The text of a class is that of one of its rows. Sets are made for the classes in pairs only.
-    """
+def _shingle_sets(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """words, shingles of the classes in pairs; the text of a class is that of one of its rows."""
     asked = settle(pairs.select(F.explode(F.array("a", "b")).alias("words")).distinct().join(classes, "words").select("words", "first.*"), "asked")
     texts = docs.select(F.coalesce("doc_id", F.lit(0)).alias("_id"), F.col("doc_id").isNull().alias("_none"),
                         F.xxhash64(text_or_empty()).alias("_hash"), text_or_empty().alias("text"))
     one = texts.join(_few(asked), ["_id", "_none", "_hash"]).select("words", shingle_set("text").alias("shingles"))
-    sets = settle(one.groupBy("words").agg(F.any_value("shingles").alias("shingles")), "shingle-sets")
+    return settle(one.groupBy("words").agg(F.any_value("shingles").alias("shingles")), "shingle-sets")
+
+
+def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """a, b of each pair of classes whose shingle sets are alike by COPY_LIKENESS."""
     side = lambda name, value: sets.select(F.col("words").alias(name), F.col("shingles").alias(value))
     both = pairs.join(side("a", "x"), "a").join(side("b", "y"), "b")
     common = F.size(F.array_intersect("x", "y"))
     part, whole = COPY_LIKENESS
-    return settle(both.select("a", "b", (whole * common >= part * (F.size("x") + F.size("y") - common)).alias("alike")), "compared")
+    return settle(both.where(whole * common >= part * (F.size("x") + F.size("y") - common)).select("a", "b"), "compared")
 
 
-def _copy_links(spark: SparkSession, docs: DataFrame, classes: DataFrame, tile: int) -> DataFrame:
-    """Edges a, b between classes that join all pairs of a bucket that are near copies.
+def _copy_links(spark: SparkSession, docs: DataFrame, classes: DataFrame, tile: int, tile_shingles: int) -> DataFrame:
+    """Edges a, b between classes that join all candidates that are near copies.
 
-    First the spanning edges of the fingerprints within the radius are compared exactly; where all
-    hold, the bucket is done. In buckets where one failed, every pair within the radius that is not
-    yet joined is compared.
+    The spanning edges of the fingerprints within the radius, bucket by bucket, are compared
+    exactly. What they join, right or not, is a family. A family that falls apart because some of
+    its edges failed is compared as a whole, in tiles: each task keeps its pairs to itself and
+    returns no more edges than documents.
     """
     keyed = classes.select(F.explode("bands").alias("key"), F.col("words").alias("id"), "fp")
-    dealt = _dealt(keyed, tile)
-    edges = settle(dealt.mapInArrow(_span_copies, "g long, a long, b long"), "copy-edges")
-    tested = _compared(settle(edges.select("a", "b").distinct(), "copy-pairs"), classes, docs)
-    links, failed = tested.where("alike").select("a", "b"), tested.where("NOT alike").select("a", "b")
-    if failed.isEmpty():
-        return links
-    joined = settle(connected_components(spark, links).select(F.col("node").alias("id"), "component"), "copy-groups")
-    again = settle(edges.join(failed, ["a", "b"], "left_semi").select("g").distinct(), "copy-buckets")
-    rows = dealt.join(_few(again), "g", "left_semi").join(joined, "id", "left").select(
-        "g", "id", "fp", F.coalesce("component", "id").alias("set"))
-    pairs = rows.repartition("g").sortWithinPartitions("g", "id").mapInArrow(_pair_copies, "g long, a long, b long")
-    more = settle(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(
-        failed.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"), "copy-pairs")
-    return links.unionByName(_compared(more, classes, docs).where("alike").select("a", "b"))
-
-
-def similar_documents(spark: SparkSession, docs: DataFrame, tile: int = TILE) -> DataFrame:
+    pairs = settle(_dealt(keyed, tile).mapInArrow(_span_copies, "a long, b long").distinct(), "copy-pairs")
+    sets = _shingle_sets(pairs, classes, docs)
+    links = _compared(pairs, sets)
+    joined = settle(connected_components(spark, links).select(F.col("node").alias("id"), F.col("component").alias("set")), "copy-groups")
+    family = connected_components(spark, pairs).select(F.col("node").alias("id"), F.col("component").alias("key"))
+    member = settle(family.join(joined, "id", "left").select("key", "id", F.coalesce("set", "id").alias("set")), "copy-families")
+    apart = settle(member.groupBy("key").agg(F.min("set").alias("low"), F.max("set").alias("high")).where("low <> high").select("key"), "copy-apart")
+    rows = member.join(apart, "key").join(sets.withColumnRenamed("words", "id"), "id").select("key", "id", "set", "shingles")
+    return links.unionByName(_dealt(rows, tile_shingles, F.size("shingles")).mapInArrow(_join_families, "a long, b long"))
+
+
+def similar_documents(spark: SparkSession, docs: DataFrame, tile: int = TILE, tile_shingles: int = TILE_SHINGLES) -> DataFrame:
     """Group documents whose sets of five-word shingles are alike by 0.8 or more, directly or through others.
 
     docs: doc_id, text; other columns are ignored. Returns one row per input row: doc_id, text_hash,
@@ -411,7 +427,7 @@ def similar_documents(spark: SparkSession, docs: DataFrame, tile: int = TILE) ->
     first = F.struct(F.col("doc_id").isNull().alias("_none"), F.coalesce("doc_id", F.lit(0)).alias("_id"), F.col("text_hash").alias("_hash"))
     classes = settle(marked.groupBy("words").agg(
         F.min("doc_id").alias("first_id"), F.min(first).alias("first"), F.any_value("fp").alias("fp"), F.any_value("bands").alias("bands")), "copy-classes")
-    links = _copy_links(spark, docs, classes, tile)
+    links = _copy_links(spark, docs, classes, tile, tile_shingles)
     return _grouped(spark, marked.select("doc_id", "text_hash", "words"), classes.select("words", "first_id"), "words", links)
 
 

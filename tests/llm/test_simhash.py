@@ -115,9 +115,22 @@ def test_wide_radius_finds_every_link():
     prints = np.array([noisy(random_, random_.getrandbits(64) if i % 10 == 0 else 0x0F0F3C3C5A5A9669, random_.randint(0, 24)) for i in range(150)], np.uint64)
     groups = np.repeat([3, 8], [20, 130])
     for radius in (1, 4, 15, 16, 22):
-        want = {(j, i) for i in range(150) for j in range(i) if groups[i] == groups[j] and (int(prints[i]) ^ int(prints[j])).bit_count() <= radius}
-        got = {(int(a), int(b)) for part in simhash.near_pairs(groups, prints, np.arange(150), radius) for a, b in zip(*part)}
-        assert got == want
+        links = [(j, i) for i in range(150) for j in range(i) if groups[i] == groups[j] and (int(prints[i]) ^ int(prints[j])).bit_count() <= radius]
+        got = simhash.near(groups, prints, radius)
+        assert {tuple(sorted(e)) for e in got} <= set(links)
+        assert plain_components(150, got) == plain_components(150, links)
+
+
+def test_join_alike_joins_all_pairs():
+    random_ = np.random.default_rng(4)
+    base = random_.choice(10_000, 60, replace=False)
+    shingles = [np.unique(np.where(random_.random(60) < share, random_.integers(0, 10_000, 60), base)) for share in random_.uniform(0, 0.2, 80)]
+    links = [(i, j) for i in range(80) for j in range(i) if 5 * len(set(shingles[i]) & set(shingles[j])) >= 4 * len(set(shingles[i]) | set(shingles[j]))]
+    sets = np.arange(80)
+    for i, j in links[:5]:
+        sets[sets == sets[i]] = sets[j]
+    got = plain_components(80, simhash.join_alike(sets, shingles) + links[:5])
+    assert got == plain_components(80, links)
 
 
 def varied(random_, words, share):
@@ -139,8 +152,8 @@ def test_similar_documents_equal_brute_force(spark):
             texts += [one, varied(random_, one, 0.05)]
     rows = [Row(doc_id=i, text=" ".join(t)) for i, t in enumerate(texts)]
     want = alike_groups(rows)
-    for tile in (simhash.TILE, 3):
-        got = simhash.similar_documents(spark, spark.createDataFrame(rows, "doc_id long, text string"), tile).collect()
+    for tiles in ((simhash.TILE, simhash.TILE_SHINGLES), (3, 500)):
+        got = simhash.similar_documents(spark, spark.createDataFrame(rows, "doc_id long, text string"), *tiles).collect()
         assert {r["doc_id"]: r["component_id"] for r in got} == want
 
 
