@@ -335,9 +335,14 @@ _MIXERS = np.random.default_rng(SEED).integers(0, 1 << 63, (2, BANDS * BAND_MINI
 
 
 def band_keys(hashes: np.ndarray) -> np.ndarray:
-    """A key for each band from the minima of a set of hashes; none for sets too small to have a near copy."""
-    if len(hashes) < COPY_LIKENESS[0]:
+    """A key for each band from the minima of a set of distinct hashes.
+
+    Sets of fewer than four are alike only if they are equal, so theirs is one key of the whole set.
+    """
+    if not len(hashes):
         return np.empty(0, np.int64)
+    if len(hashes) < COPY_LIKENESS[0]:
+        return np.array([xxhash.xxh64_intdigest(np.sort(hashes).tobytes(), SEED)], np.uint64).view(np.int64)
     least = np.full(BANDS * BAND_MINIMA, (1 << 64) - 1, np.uint64)
     for at in range(0, len(hashes), 1024):
         np.minimum(least, ((hashes[at:at + 1024, None] ^ _MIXERS[0]) * _MIXERS[1]).min(0), out=least)

@@ -157,6 +157,17 @@ def test_similar_documents_equal_brute_force(spark):
         assert {r["doc_id"]: r["component_id"] for r in got} == want
 
 
+def test_repeated_words_of_unequal_length_are_copies(spark):
+    units = [("spam",), ("buy", "now"), ("one", "two", "three"), ("a", "b", "c", "d"), ("now", "buy")]
+    texts = [" ".join(unit * n) for unit in units for n in (40, 60, 75)] + ["spam spam", "buy now buy", "", "spam " * 5, "spam " * 6]
+    rows = [Row(doc_id=i, text=t) for i, t in enumerate(texts)]
+    want = alike_groups(rows)
+    assert want[1] == want[2] == 0 and want[4] == want[5] == 3 and want[15] == 15
+    for tile in (simhash.TILE, 2):
+        got = simhash.similar_documents(spark, spark.createDataFrame(rows, "doc_id long, text string"), tile).collect()
+        assert {r["doc_id"]: r["component_id"] for r in got} == want
+
+
 def test_similar_documents_of_the_given_table(spark):
     docs = table(spark, SF, "documents")
     got = {r["doc_id"]: r["component_id"] for r in simhash.similar_documents(spark, docs).collect()}
