@@ -21,8 +21,6 @@ GRAMS = (1, 2, 3, 4)
 SAMPLE_PER_LANGUAGE = 2000
 MAX_LANGUAGES = 500
 ROUNDS = 10
-#: Most languages in the set of one document.
-MOST = 3
 UNKNOWN = "und"
 _LETTERS = re.compile(r"[^\W\d_]+")
 #: Longest token taken as one; longer ones, as in scripts without spaces, are cut.
@@ -134,27 +132,35 @@ def shares(likelihood: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, floa
     return pi / pi.sum(), float(counts @ np.log(likelihood @ pi))
 
 
+def highest(likelihood: np.ndarray, counts: np.ndarray, pi: np.ndarray) -> float:
+    """No shares have a higher log-likelihood: that of the shares pi and what is left by its slope, as it is concave."""
+    mixed = likelihood @ pi
+    return float(counts @ np.log(mixed) + ((counts / mixed) @ likelihood).max() - counts.sum())
+
+
 def choose(likelihood: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, int]:
     """The shares over the document's language set, and the size of the set.
 
     Languages are ranked by their shares over all of them; of the sets of the first one, two, three
     ..., the one with the highest likelihood less the Bayesian penalty for its size is taken. The
-    likelihood over all languages bounds that of every set, so sets of two and more are tried only
-    where that bound beats the single language by more than the least penalty.
+    highest likelihood over all languages bounds that of every set, so larger sets are tried only
+    while that bound less their penalty beats the best set.
     """
-    pi, bound = shares(likelihood, counts)
+    pi, _ = shares(likelihood, counts)
+    bound = highest(likelihood, counts, pi)
     rank = np.argsort(-pi, kind="stable")
     best = float(counts @ np.log(likelihood[:, rank[0]]))
     best_pi, best_size = np.zeros(len(pi)), 1
     best_pi[rank[0]] = 1
     penalty = np.log(counts.sum() + 1)
-    if bound - best > penalty:
-        for size in range(2, min(MOST, len(pi)) + 1):
-            part, fitted = shares(np.ascontiguousarray(likelihood[:, rank[:size]]), counts)
-            if fitted - (size - 1) * penalty > best:
-                best, best_size = fitted - (size - 1) * penalty, size
-                best_pi = np.zeros(len(pi))
-                best_pi[rank[:size]] = part
+    for size in range(2, len(pi) + 1):
+        if bound - (size - 1) * penalty <= best:
+            break
+        part, fitted = shares(np.ascontiguousarray(likelihood[:, rank[:size]]), counts)
+        if fitted - (size - 1) * penalty > best:
+            best, best_size = fitted - (size - 1) * penalty, size
+            best_pi = np.zeros(len(pi))
+            best_pi[rank[:size]] = part
     return best_pi, best_size
 
 

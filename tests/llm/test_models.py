@@ -32,6 +32,22 @@ def test_mixture_of_two_languages():
     assert size == 1 and pi[0] == 1
 
 
+def test_mixtures_of_four_and_more_languages():
+    for known, mixed in ((4, 4), (9, 6)):
+        likelihood = np.repeat(np.where(np.eye(known) > 0, 1.0, 0.01)[:mixed], 100, axis=0)
+        pi, size = langid.choose(likelihood, np.ones(100 * mixed))
+        assert size == mixed and np.allclose(pi[:mixed], 1 / mixed, atol=0.02) and not pi[mixed:].any()
+
+
+def test_no_shares_pass_the_highest_likelihood():
+    random = np.random.default_rng(1)
+    for _ in range(20):
+        likelihood, counts = random.random((50, 7)) ** 3 + 1e-6, random.integers(1, 5, 50).astype(float)
+        top = langid.highest(likelihood, counts, langid.shares(likelihood, counts)[0])
+        assert all(counts @ np.log(likelihood @ random.dirichlet(np.full(7, 0.3))) <= top for _ in range(50))
+        assert all(langid.shares(likelihood[:, random.permutation(7)[:k]], counts)[1] <= top for k in range(1, 8))
+
+
 def test_odd_languages(spark):
     docs = odd_docs(spark)
     got = langid.identify(spark, docs).collect()
