@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 
 from narrakin.session import settle, ship_package
 
-#: A subtree is a template of its host if it stands on at least LEAST_PAGES pages with different main
-#: texts, and on LEAST_SHARE of the host's pages or MANY_PAGES.
-LEAST_PAGES, LEAST_SHARE, MANY_PAGES = 4, 0.05, 100
+#: A subtree outside article and main is a template of its host if it stands on at least LEAST_PAGES
+#: pages with different main texts, and on LEAST_SHARE of the host's pages.
+LEAST_PAGES, LEAST_SHARE = 4, 0.05
 #: Template tables are broadcast up to so many bytes, counted before; beyond that pages are shuffled.
 BROADCAST_BYTES = 16 << 20
 
@@ -73,7 +73,7 @@ class _Open:
 def read_page(html: str, templates: frozenset[int] = frozenset()) -> tuple[str, list[int]]:
     """Main text of a page, without the subtrees in `templates`, and the hashes of its subtrees.
 
-    Text is that of the article or main element if the page has one, else of the body; blocks are
+    Subtrees that hold an article or main, or stand in one, are not templates and have no hash. Text is that of the article or main element if the page has one, else of the body; blocks are
     parted by \\n. Unclosed and misnested elements are closed as their next block or parent ends.
     """
     blocks: list[tuple[bool, str]] = []
@@ -94,7 +94,7 @@ def read_page(html: str, templates: frozenset[int] = frozenset()) -> tuple[str,
             node = stack.pop()
             if node.tag not in _INLINE:
                 flush(node.outside, node.main)
-            if node.tag in _SUBTREES and not node.holds_main:
+            if node.tag in _SUBTREES and not node.holds_main and not node.main:
                 mark = xxhash.xxh3_64_intdigest(" ".join(_TAG_ONLY.sub(r"<\1>", html[node.begin:end]).split())) - (1 << 63)
                 hashes.append(mark)
                 if mark in templates:
@@ -202,8 +202,7 @@ def templates(pages: DataFrame) -> DataFrame:
     seen = pages.mapInArrow(_subtrees, "host string, subtree long, page long").distinct()
     counts = settle(seen.groupBy("host", "subtree").agg(F.count("*").alias("n")).where(f"n >= {LEAST_PAGES}"), "subtrees")
     sizes = counts.where("subtree = 0").select("host", F.col("n").alias("pages"))
-    many = counts.where("subtree <> 0").join(sizes, "host").where(
-        (F.col("n") >= MANY_PAGES) | (F.col("n") >= LEAST_SHARE * F.col("pages")))
+    many = counts.where("subtree <> 0").join(sizes, "host").where(F.col("n") >= LEAST_SHARE * F.col("pages"))
     return many.groupBy("host").agg(F.sort_array(F.collect_set("subtree")).alias("marks"))
 
 

@@ -53,6 +53,22 @@ def test_subtrees_repeated_on_a_site_go(spark):
     assert all(got[40 + i] == "the same page" for i in range(8))
 
 
+def test_near_copies_of_an_article_keep_what_they_share(spark):
+    shared = "<table><tr><td>a</td><td>1</td></tr></table><div><ul><li>first</li><li>second</li></ul></div>"
+    rows = [(i, f"http://a.example/{i}", f"<body><nav><ul><li>Home</li></ul></nav><article><p>version {i}</p>{shared}</article></body>") for i in range(6)]
+    rows += [(10 + i, f"http://b.example/{i}", f"<body><main><p>version {i}</p>{shared}</main></body>") for i in range(6)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in html.extract(spark, pages).collect()}
+    assert all(got[at + i] == f"version {i}\na\n1\nfirst\nsecond" for i in range(6) for at in (0, 10))
+
+
+def test_templates_take_the_same_share_of_hosts_of_every_size(spark):
+    rows = [(host, f"<div>{'seldom' if i % 25 == 0 else i}</div><ul><li>{'often' if i % 10 == 0 else i}</li></ul><p>{i}</p>")
+            for host, pages in (("small", 250), ("large", 3000)) for i in range(1, pages + 1)]
+    found = {r["host"]: r["marks"] for r in html.templates(spark.createDataFrame(rows, "host string, html string")).collect()}
+    assert found["small"] == found["large"] == html.read_page("<ul><li>often</li></ul>")[1]
+
+
 def test_odd_pages(spark):
     rows = [(1, None, "<p>a</p>"), (2, "http://x.example/", None), (None, "nohost", "<p>b</p>"), (2, "http://x.example/", None), (3, "", "")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
