@@ -40,48 +40,63 @@ _ITEMS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td
 _OUTSIDE = frozenset(
     "nav header footer aside form noscript template button select datalist fieldset svg canvas object audio video dialog menu head script style "
     "textarea title iframe noembed noframes xmp".split())
-#: Words in class, id or role of such elements.
+#: Classes, ids and roles of such elements, alone or put together of several (cookie-notice).
 _OUTSIDE_NAMES = frozenset(
     "nav navbar navigation menu breadcrumb breadcrumbs masthead footer contentinfo sidebar aside complementary widget ad ads adbox advert adverts "
     "advertisement adsense banner sponsor sponsored promo promotion cookie cookies consent gdpr notice alert popup modal overlay newsletter "
     "subscribe subscription signup login search social share sharing related recommended recommendations comment comments disqus respond reply "
     "replies pagination pager toolbar".split())
-#: Elements of this kind that may wrap a whole page by mistake; an article in them counts.
+#: Elements of this kind that may wrap a whole page by mistake; an article in them counts, as it does
+#: in elements that are outside only by their names.
 _WRAPPERS = frozenset("nav header form fieldset".split())
 #: Elements whose subtrees are looked for across pages.
 _SUBTREES = frozenset("div section nav header footer aside form ul ol dl table menu figure details".split())
 
 
-def _outside(tag: str, attributes: str, in_main: bool) -> bool:
+#: How an element is outside: not by itself; as a wrapper or by name, but an article in it counts; whatever it holds.
+_IN, _WRAPS, _SHUT = 0, 1, 2
+#: Where a block stands: in the body, a main element, an article that is a guest there, an article.
+_BODY, _MAIN, _GUEST, _ARTICLE = 0, 1, 2, 3
+
+
+def _outside(tag: str, attributes: str, in_main: bool) -> int:
     if tag == "header" and in_main:
-        return False
+        return _IN
     if tag in _OUTSIDE:
-        return True
+        return _WRAPS if tag in _WRAPPERS else _SHUT
     if not attributes or tag in ("html", "body", "main"):
-        return False
-    names = {w.lower() for found in _NAMES.findall(attributes) for w in _WORDS.findall("".join(found))}
-    return not names.isdisjoint(_OUTSIDE_NAMES) or bool(_HIDDEN.search(attributes))
+        return _IN
+    if _HIDDEN.search(attributes):
+        return _SHUT
+    names = [name for found in _NAMES.findall(attributes) for name in unescape("".join(found)).split()]
+    return _WRAPS if any(_named_outside(name) for name in names) else _IN
+
+
+def _named_outside(name: str) -> bool:
+    words = [w.lower() for w in _WORDS.findall(name)]
+    return bool(words) and _OUTSIDE_NAMES.issuperset(words)
 
 
 class _Open:
-    __slots__ = ("tag", "outside", "main", "begin", "first", "holds_main")
+    __slots__ = ("tag", "own", "outside", "main", "begin", "first", "holds_main")
 
-    def __init__(self, tag: str, outside: bool, main: bool, begin: int, first: int):
-        self.tag, self.outside, self.main, self.begin, self.first, self.holds_main = tag, outside, main, begin, first, False
+    def __init__(self, tag: str, own: int, outside: bool, main: int, begin: int, first: int):
+        self.tag, self.own, self.outside, self.main, self.begin, self.first, self.holds_main = tag, own, outside, main, begin, first, False
 
 
 def read_page(html: str, templates: frozenset[int] = frozenset()) -> tuple[str, list[int]]:
     """Main text of a page, without the subtrees in `templates`, and the hashes of its subtrees.
 
-    Subtrees that hold an article or main, or stand in one, are not templates and have no hash. Text is that of the article or main element if the page has one, else of the body; blocks are
+    Subtrees that hold an article or main, or stand in one, are not templates and have no hash. Text is that of the article or main element if the page has one, else of the body. An article in
+    a part of another that is outside it, such as its comments, counts only if the page has no other; blocks are
     parted by \\n. Unclosed and misnested elements are closed as their next block or parent ends.
     """
-    blocks: list[tuple[bool, str]] = []
+    blocks: list[tuple[int, str]] = []
     piece: list[str] = []
     stack: list[_Open] = []
     hashes: list[int] = []
 
-    def flush(outside: bool, main: bool) -> None:
+    def flush(outside: bool, main: int) -> None:
         if piece:
             if not outside:
                 text = " ".join(unescape("".join(piece)).split())
@@ -114,7 +129,7 @@ def read_page(html: str, templates: frozenset[int] = frozenset()) -> tuple[str,
         if not tag:
             continue
         tag = tag.lower()
-        outside, main = (top.outside, top.main) if top else (False, False)
+        outside, main = (top.outside, top.main) if top else (False, _BODY)
         if ends:
             if tag not in _INLINE:
                 flush(outside, main)
@@ -143,28 +158,36 @@ def read_page(html: str, templates: frozenset[int] = frozenset()) -> tuple[str,
                     if not (tag in _ITEMS and kind in ("tr", "td", "th", "li", "dt", "dd")):
                         break
             top = stack[-1] if stack else None
-            outside, main = (top.outside, top.main) if top else (False, False)
-        is_main = tag in ("article", "main") and not _outside(tag, attributes, main)
+            outside, main = (top.outside, top.main) if top else (False, _BODY)
+        own = _outside(tag, attributes, bool(main))
+        is_main = tag in ("article", "main") and not own
         if is_main:
+            guest = False
             if outside and all(n.tag in _WRAPPERS for n in stack if _began_outside(stack, n)):
                 outside = False
+            elif outside and all(n.own != _SHUT for n in stack):
+                outside, guest = False, bool(main)
             if not outside:
-                main = True
+                if guest or main == _GUEST:
+                    main = _GUEST
+                else:
+                    main = _ARTICLE if tag == "article" or main == _ARTICLE else _MAIN
                 for node in stack:
                     node.holds_main = True
-        outside = outside or _outside(tag, attributes, main)
+        outside = outside or own != _IN
         if tag in _RAW:
             end = re.compile(rf"</{tag}\b[^>]*>?", re.I).search(html, pos)
             pos = end.end() if end else size
             continue
         if not attributes.endswith("/") or tag not in ("svg", "path", "use", "circle", "rect"):
-            node = _Open(tag, outside, main, start, len(blocks))
+            node = _Open(tag, own, outside, main, start, len(blocks))
             node.holds_main = is_main
             stack.append(node)
     close(0, size)
-    flush(False, False)
-    chosen = [t for m, t in blocks if m] if any(m for m, _ in blocks) else [t for _, t in blocks]
-    return "\n".join(chosen), hashes
+    flush(False, _BODY)
+    places = {m for m, _ in blocks}
+    counted = {_MAIN, _ARTICLE} if _ARTICLE in places else places - {_BODY} or places
+    return "\n".join(t for m, t in blocks if m in counted), hashes
 
 
 def _began_outside(stack: list[_Open], node: _Open) -> bool:

@@ -53,6 +53,28 @@ def test_subtrees_repeated_on_a_site_go(spark):
     assert all(got[40 + i] == "the same page" for i in range(8))
 
 
+def test_names_of_wrappers_do_not_hide_an_article():
+    names = "has-sidebar no-sidebar comments-open with-banner withComments layout_sidebar_right sidebar social share banner cookie-notice".split()
+    for name in names:
+        for tag in ("div", "section", "span", "td"):
+            for inner in ("article", "main"):
+                page = f"<body><{tag} class='page {name}'><div id={name}><{inner}><h1>Title</h1><p>Text</{inner}></div></{tag}><p>beside</body>"
+                assert html.read_page(page)[0] == "Title\nText"
+    assert html.read_page("<article><div class='comments-open'>Kept</div><div class='ad'>Buy</div></article>")[0] == "Kept"
+    assert html.read_page("<main><h1>Title</h1><div class=social><article>Text</article></div></main>")[0] == "Title\nText"
+    assert html.read_page("<div class='cookie-notice'>We use cookies</div><div class=siteHeader>Text</div>")[0] == "Text"
+
+
+def test_articles_that_stay_outside():
+    own = "<article><p>Text</p></article>"
+    for other in ("<section id=comments><article>First!</article></section>", "<aside><article>teaser</article></aside>",
+                  "<div class=sidebar><aside><article>teaser</article></aside></div>", "<div class=banner hidden><article>no</article></div>"):
+        assert html.read_page(f"<main>{own}{other}</main>")[0] == "Text"
+    assert html.read_page("<article><p>Text</p><div class=comments><article>First!</article></div></article>")[0] == "Text"
+    assert html.read_page(f"<div class=promo>{own}</div>{own}")[0] == "Text\nText"
+    assert html.read_page(f"<main><form>{own}</form>{own}</main>")[0] == "Text\nText"
+
+
 def test_near_copies_of_an_article_keep_what_they_share(spark):
     shared = "<table><tr><td>a</td><td>1</td></tr></table><div><ul><li>first</li><li>second</li></ul></div>"
     rows = [(i, f"http://a.example/{i}", f"<body><nav><ul><li>Home</li></ul></nav><article><p>version {i}</p>{shared}</article></body>") for i in range(6)]
