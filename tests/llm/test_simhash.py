@@ -168,6 +168,19 @@ def test_repeated_words_of_unequal_length_are_copies(spark):
         assert {r["doc_id"]: r["component_id"] for r in got} == want
 
 
+def test_short_copies_with_distant_fingerprints_are_found(spark):
+    random_ = random.Random(12)
+    print_of = lambda words: simhash.majority(simhash.shingle_hashes([w.encode() for w in words], simhash.COPY_SHINGLE))
+    texts = []
+    while len(texts) < 6:
+        words = [f"w{random_.getrandbits(40)}" for _ in range(9)]
+        if (print_of(words) ^ print_of(words[:8])).bit_count() > 22:
+            texts += [words, words[:8]]
+    rows = [Row(doc_id=i, text=" ".join(t)) for i, t in enumerate(texts)]
+    got = simhash.similar_documents(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == {i: i - i % 2 for i in range(6)}
+
+
 def test_similar_documents_of_the_given_table(spark):
     docs = table(spark, SF, "documents")
     got = {r["doc_id"]: r["component_id"] for r in simhash.similar_documents(spark, docs).collect()}
