@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from narrakin.llm import fingerprints, html, langid, packing, pieces, quality, simhash, urls, vectors, wordpiece
+from narrakin.llm import brown, fingerprints, html, langid, negatives, packing, pieces, quality, simhash, urls, vectors, whitening, wordpiece
 from narrakin.llm.tables import table
 
 PIECES = "piece_bpe_32k.model"
@@ -56,8 +56,23 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(spark, table(spark, sf_dir, "documents"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(spark, table(spark, sf_dir, "embeddings"))
+
+
+def op12_class_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return brown.class_scores(spark, table(spark, sf_dir, "documents"))
+
+
+def op13_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").withColumn("label", moved)
+    return negatives.hard_negatives(spark, rows, F.col("vec_id") % 100 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_fingerprints, op2_vectors, op3_token_counts, op4_html, op5_packing, op6_pieces, op7_quality, op8_urls, op9_simhash, op10_language)
+    f.__name__: f for f in (op1_fingerprints, op2_vectors, op3_token_counts, op4_html, op5_packing, op6_pieces, op7_quality, op8_urls, op9_simhash,
+                            op10_language, op11_whitening, op12_class_scores, op13_negatives)
 }
 
 _OP2_SQL = """
@@ -103,4 +118,23 @@ SELECT p.page_id, coalesce(r.host, '') AS host, coalesce(r.path, '') AS path, r.
 FROM pages p LEFT JOIN ruled r ON p.url = r.url LEFT JOIN decided d ON r.node = d.node
 """
 
-ORACLES: dict[str, str] = {"op2_vectors": _OP2_SQL, "op8_urls": _OP8_SQL}
+_OP13_SQL = """
+WITH rows_in AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+    SELECT a.vec_id AS anchor_id, a.label AS own, b.vec_id, b.label, list_inner_product(a.e, b.e)::BIGINT AS score
+    FROM rows_in a JOIN rows_in b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+positives AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE own = label
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+ranked AS (
+    SELECT p.anchor_id, p.positive_id, s.vec_id AS negative_id, p.positive_score, s.score AS negative_score,
+           row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id) AS rank
+    FROM positives p JOIN scored s ON p.anchor_id = s.anchor_id AND s.own <> s.label
+     AND 30 * p.positive_score <= 100 * s.score AND 100 * s.score <= 90 * p.positive_score)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 10
+"""
+
+ORACLES: dict[str, str] = {"op2_vectors": _OP2_SQL, "op8_urls": _OP8_SQL, "op13_negatives": _OP13_SQL}
