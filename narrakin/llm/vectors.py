@@ -19,10 +19,8 @@ THRESHOLD = 0.95
 SAMPLE_NUMBERS = 2_000_000
 #: Distinct vectors aimed at per cell, and most cells.
 CELL, MOST_CELLS = 64, 4096
-#: A vector is also compared in cells whose centre it is nearly as close to as to its own's: by this
-#: much in cosine. A link is missed only if both its ends are further from the other's cell; over
-#: all pairs at cosine 0.95 in random directions that is fewer than one in a thousand.
-MARGIN = 0.1
+#: What is added to the bound on visits for rounding.
+ROUNDING = 1e-9
 #: Vectors of one side of a block.
 TILE = 512
 
@@ -53,7 +51,21 @@ def unit(rows: np.ndarray) -> np.ndarray:
     return rows / np.linalg.norm(rows, axis=1, keepdims=True)
 
 
-def _assigner(centres, margin: float):
+def visits(rows: np.ndarray, centres: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """The cell of each unit vector, and all cells it is compared in, as a mask.
+
+    Of two vectors at home in A and B, if u (A - B) > s |A - B| and v (B - A) > s |B - A|, then
+    |u - v| > 2 s. Linked ones are at most sqrt(2 - 2 threshold) apart, so with s half of that at
+    least one of the two visits the other's cell, and no link is lost.
+    """
+    near = rows @ centres.T
+    home = near.argmax(1)
+    apart = np.sqrt(np.maximum(0.0, 2.0 - 2.0 * (centres[home] @ centres.T)))
+    behind = near[np.arange(len(rows)), home][:, None] - near
+    return home, behind <= np.sqrt(max(0.0, (1.0 - threshold) / 2.0)) * apart + ROUNDING
+
+
+def _assigner(centres, threshold: float):
     """(cid, embedding, m) -> (cid, m, dim, home, visits, vec): own cell, all cells to be compared in."""
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -65,10 +77,8 @@ def _assigner(centres, margin: float):
                 for part in np.array_split(at, max(1, len(at) // 2048)):
                     rows = unit(flat[(ends[part] - dim)[:, None] + np.arange(dim)])
                     if dim == centres.value.shape[1] and len(centres.value):
-                        near = rows @ centres.value.T
-                        top = near.max(1)
-                        home, visits = near.argmax(1), near >= (top - margin)[:, None]
-                        visited, offsets = np.nonzero(visits)[1], np.concatenate([[0], np.cumsum(visits.sum(1))])
+                        home, mask = visits(rows, centres.value, threshold)
+                        visited, offsets = np.nonzero(mask)[1], np.concatenate([[0], np.cumsum(mask.sum(1))])
                     else:
                         home, visited, offsets = np.zeros(len(part), np.int64), np.zeros(len(part), np.int64), np.arange(len(part) + 1)
                     yield pa.RecordBatch.from_arrays([
@@ -145,8 +155,7 @@ def _dealt(placed: DataFrame, tile: int) -> DataFrame:
     return left.unionByName(right)
 
 
-def near_vectors(spark: SparkSession, vectors: DataFrame, threshold: float = THRESHOLD, margin: float = MARGIN,
-                 cell: int = CELL, tile: int = TILE) -> DataFrame:
+def near_vectors(spark: SparkSession, vectors: DataFrame, threshold: float = THRESHOLD, cell: int = CELL, tile: int = TILE) -> DataFrame:
     """Link vectors whose cosine, in double precision, is at least the threshold, and group them.
 
     vectors: vec_id long, embedding array of numbers; other columns are ignored. Returns one row per
@@ -165,12 +174,12 @@ def near_vectors(spark: SparkSession, vectors: DataFrame, threshold: float = THR
     if sizes is None:
         return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
     dim, n = sizes
-    some = bounded_sample(classes.where(F.size("embedding") == dim), F.col("embedding"), max(1, SAMPLE_NUMBERS // dim)).select("embedding").toArrow()
+    some = bounded_sample(classes.where(F.size("embedding") == dim), F.col("embedding"), max(1, SAMPLE_NUMBERS // dim), n).select("embedding").toArrow()
     sample = unit(_matrix(some.column(0), dim))
     cells = int(min(MOST_CELLS, max(1, n // cell), max(1, len(sample) // 8)))
     centres = spark.sparkContext.broadcast(fit_cells(sample, cells))
     placed = settle(classes.select("cid", "embedding", "m").mapInArrow(
-        _assigner(centres, margin), "cid long, m long, dim long, home long, visits array<long>, vec array<double>"), "vectors-placed")
+        _assigner(centres, threshold), "cid long, m long, dim long, home long, visits array<long>, vec array<double>"), "vectors-placed")
     blocks = _dealt(placed, tile).groupBy("dim", "cell", "i", "j")
     links = settle(blocks.applyInArrow(_comparer(threshold), "a long, b long, n long"), "vector-links")
     counts = links.where("b IS NULL").groupBy(F.col("a").alias("cid")).agg(F.sum("n").alias("n"))

@@ -2,6 +2,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from narrakin.llm import vectors
+from narrakin.llm.tables import bounded_sample
 
 
 def plain(rows, threshold=0.95):
@@ -45,19 +46,43 @@ def test_links_equal_brute_force_in_many_cells_and_tiles(spark):
         assert all(r["kept"] == (r["vec_id"] == r["component_id"]) for r in got)
 
 
-def test_recall_at_the_threshold():
-    """Pairs at cosine 0.95 in random directions: at least 99 of 100 share a compared cell."""
+def test_one_end_of_every_link_visits_the_others_cell():
+    """Pairs at the threshold in random directions, and along the line between two centres."""
     random = np.random.default_rng(7)
     data = vectors.unit(random.normal(size=(4000, 64)))
     centres = vectors.fit_cells(data, 64)
     v = data[:2000]
     w = random.normal(size=v.shape)
     w = vectors.unit(w - (w * v).sum(1, keepdims=True) * v)
-    u = 0.95 * v + np.sqrt(1 - 0.95 ** 2) * w
-    near_v, near_u = v @ centres.T, u @ centres.T
-    home_v, home_u, at = near_v.argmax(1), near_u.argmax(1), np.arange(len(v))
-    met = (near_v[at, home_u] >= near_v.max(1) - vectors.MARGIN) | (near_u[at, home_v] >= near_u.max(1) - vectors.MARGIN)
-    assert met.mean() >= 0.99
+    pairs = [(v, 0.95 * v + np.sqrt(1 - 0.95 ** 2) * w, centres)]
+    for cosine in (0.9501, 0.97, 0.985, 0.9999):
+        half = np.arccos(cosine) / 2
+        at = np.array([[np.pi / 4 - half], [np.pi / 4 + half]])
+        ends = np.hstack([np.cos(at), np.sin(at)])
+        pairs.append((ends[:1], ends[1:], np.eye(2)))
+    for a, b, centres in pairs:
+        (home_a, met_a), (home_b, met_b) = vectors.visits(a, centres, 0.95), vectors.visits(b, centres, 0.95)
+        at = np.arange(len(a))
+        assert (met_a[at, home_b] | met_b[at, home_a]).all() and met_a[at, home_a].all()
+
+
+def test_links_between_two_cells_are_counted(spark):
+    """Two dense groups fix the centres; pairs either side of the middle are linked with each other only."""
+    random = np.random.default_rng(8)
+    rows = [(np.eye(2)[i % 2] + random.normal(size=2) * 0.03).tolist() for i in range(400)]
+    for cosine in (0.951, 0.97, 0.985):
+        half = np.arccos(cosine) / 2
+        rows += [[float(np.cos(np.pi / 4 + s * half)), float(np.sin(np.pi / 4 + s * half))] for s in (-1, 1)]
+    rows = list(enumerate(rows))
+    got = vectors.near_vectors(spark, frame(spark, rows), cell=16).collect()
+    assert sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in got) == plain(rows)
+
+
+def test_a_sample_is_bounded_and_the_same_at_every_run(spark):
+    some = spark.range(100_000).repartition(5)
+    first, again = ({r["id"] for r in bounded_sample(some, F.col("id"), n).collect()} for n in (500, 400))
+    assert len(first) == 500 and len(again) == 400 and again < first
+    assert bounded_sample(some.limit(30), F.col("id"), 500).count() == 30 and bounded_sample(some.limit(0), F.col("id"), 5).count() == 0
 
 
 def test_odd_rows(spark):
