@@ -26,20 +26,6 @@ PARTS = (11, 11, 11, 11, 10, 10)
 TILE = 2048
 #: 64-lane words compared in one step.
 _STEP = 1 << 15
-#: Near copies of documents: word shingles, and the least likeness (Jaccard, as a fraction) of their sets.
-COPY_SHINGLE = 5
-COPY_LIKENESS = (4, 5)
-#: Fingerprints of long sets alike by 0.8 differ in a bit with a probability of 0.151, those of 4 and 5
-#: shingles with 0.1875, the most of all; by the binomial over 28 of 64 bits differ with 9e-9 and 1e-6.
-#: What is within the radius is compared exactly.
-COPY_RADIUS = 28
-#: Buckets of such documents: BANDS keys of BAND_MINIMA minima each. Sets alike by 0.8 share no bucket
-#: with a probability of (1 - 0.8^4)^24, 3 in a million.
-BANDS, BAND_MINIMA = 24, 4
-#: Shingles of a family that one tile holds.
-TILE_SHINGLES = 2_000_000
-#: Documents to compare exactly are found by broadcast up to so many, of three numbers each.
-BROADCAST_ROWS = 500_000
 
 
 def shingle_hashes(words: list[bytes], shingle: int) -> np.ndarray:
@@ -155,34 +141,6 @@ def near(groups: np.ndarray, prints: np.ndarray, radius: int = RADIUS) -> list[t
     return edges
 
 
-def join_alike(sets: np.ndarray, shingles: list[np.ndarray]) -> list[tuple[int, int]]:
-    """Edges (positions) that join the sets of all pairs alike by COPY_LIKENESS; `sets` tells what is joined already.
-
-    shingles: distinct numbers of each. Of two that are not joined yet at least one is outside the
-    largest set, so each of those is compared with all by way of who has its shingles.
-    """
-    n = len(sets)
-    sizes = np.fromiter(map(len, shingles), np.int64, n)
-    _, codes = np.unique(np.concatenate(shingles), return_inverse=True)
-    holders = np.repeat(np.arange(n), sizes)[np.argsort(codes, kind="stable")]
-    ends = np.cumsum(np.bincount(codes))
-    own_ends = np.cumsum(sizes)
-    _, label = np.unique(sets, return_inverse=True)
-    part, whole = COPY_LIKENESS
-    edges = []
-    for i in np.flatnonzero(label != np.bincount(label).argmax()).tolist():
-        own = codes[own_ends[i] - sizes[i]:own_ends[i]]
-        begins = np.where(own > 0, ends[own - 1], 0)
-        with_it = [holders[b:e] for b, e in zip(begins.tolist(), ends[own].tolist())]
-        common = np.bincount(np.concatenate(with_it), minlength=n)
-        alike = (whole * common >= part * (sizes[i] + sizes - common)) & (label != label[i])
-        for j in np.flatnonzero(alike).tolist():
-            if label[i] != label[j]:
-                edges.append((i, j))
-                label[label == label[j]] = label[i]
-    return edges
-
-
 def _over(counters: list[np.ndarray], radius: int) -> np.ndarray:
     """Lanes whose count is above the radius: by comparison from the highest counter plane down."""
     above = np.zeros_like(counters[0])
@@ -253,36 +211,20 @@ def _link_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays([pa.array(prints[edges[:, 0]]), pa.array(prints[edges[:, 1]])], names=["a", "b"])
 
 
-def _span_copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Spanning edges of the buckets of documents that may be copies: rows (g, id, fp)."""
-    for g, ids, prints in _whole_buckets(batches):
-        edges = np.array(near(g, prints.view(np.uint64), COPY_RADIUS), np.int64).reshape(-1, 2)
-        yield pa.RecordBatch.from_arrays([pa.array(ids[edges[:, 0]]), pa.array(ids[edges[:, 1]])], names=["a", "b"])
-
-
-def _join_families(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Edges that join what is alike in each family: rows (g, id, set, shingles)."""
-    for g, ids, sets, shingles in _whole_buckets(batches):
-        bounds = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1], [True]]))
-        for begin, end in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
-            edges = np.array(join_alike(sets[begin:end], list(shingles[begin:end])), np.int64).reshape(-1, 2) + begin
-            yield pa.RecordBatch.from_arrays([pa.array(ids[edges[:, 0]]), pa.array(ids[edges[:, 1]])], names=["a", "b"])
-
-
 def _and_last(batches):
     yield from batches
     yield None
 
 
-def _dealt(keyed: DataFrame, tile: int, weight: Column | None = None) -> DataFrame:
+def _dealt(keyed: DataFrame, tile: int) -> DataFrame:
     """Rows (key, ...) as (g, ...), dealt to the buckets g and ordered by them.
 
-    A bucket of more than `tile` rows, or that much weight, is dealt into tiles by the hash of its
-    second column and every pair of tiles becomes a bucket of its own, so nothing is left out and no
-    bucket outgrows two tiles.
+    A bucket of more than `tile` rows is dealt into tiles by the hash of its second column and every
+    pair of tiles becomes a bucket of its own, so nothing is left out and no bucket outgrows two
+    tiles.
     """
     rest = [c for c in keyed.columns if c != "key"]
-    full = settle(keyed.groupBy("key").agg(F.sum(F.lit(1) if weight is None else weight).alias("n")).where(F.col("n") > tile).select(
+    full = settle(keyed.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > tile).select(
         "key", F.greatest(F.lit(2), F.ceil(F.col("n") / tile)).cast("int").alias("tiles")), "buckets")
     if full.isEmpty():
         grouped = keyed.select(F.col("key").alias("g"), *rest)
@@ -332,118 +274,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
     return _grouped(spark, marked, classes, "fp", link_fingerprints(spark, classes.select("fp")))
 
 
-_MIXERS = np.random.default_rng(SEED).integers(0, 1 << 63, (2, BANDS * BAND_MINIMA), np.uint64) * np.uint64(2) + np.uint64(1)
-
-
-def band_keys(hashes: np.ndarray) -> np.ndarray:
-    """A key for each band from the minima of a set of distinct hashes.
-
-    Sets of fewer than four are alike only if they are equal, so theirs is one key of the whole set.
-    """
-    if not len(hashes):
-        return np.empty(0, np.int64)
-    if len(hashes) < COPY_LIKENESS[0]:
-        return np.array([xxhash.xxh64_intdigest(np.sort(hashes).tobytes(), SEED)], np.uint64).view(np.int64)
-    least = np.full(BANDS * BAND_MINIMA, (1 << 64) - 1, np.uint64)
-    for at in range(0, len(hashes), 1024):
-        np.minimum(least, ((hashes[at:at + 1024, None] ^ _MIXERS[0]) * _MIXERS[1]).min(0), out=least)
-    key = np.arange(BANDS, dtype=np.uint64)
-    for minimum in least.reshape(BAND_MINIMA, BANDS):
-        key = (key ^ minimum) * np.uint64(0x9E3779B97F4A7C15)
-        key ^= key >> np.uint64(29)
-    return key.view(np.int64)
-
-
-@F.arrow_udf(T.StructType().add("words", T.LongType()).add("fp", T.LongType()).add("bands", T.ArrayType(T.LongType())))
-def copy_profile(texts: pa.Array) -> pa.Array:
-    """Hash of the words, fingerprint and band keys of the set of shingles of each text."""
-    words, prints, bands = [], [], []
-    for text in texts:
-        found = text.as_py().encode().lower().split()
-        hashes = np.unique(shingle_hashes(found, COPY_SHINGLE))
-        words.append(xxhash.xxh64_intdigest(b" ".join(found), SEED))
-        prints.append(majority(hashes))
-        bands.append(band_keys(hashes))
-    signed = lambda values: pa.array(np.array(values, np.uint64).view(np.int64))
-    return pa.StructArray.from_arrays(
-        [signed(words), signed(prints), pa.array(bands, pa.list_(pa.int64()))], names=["words", "fp", "bands"])
-
-
-@F.arrow_udf(T.ArrayType(T.LongType()))
-def shingle_set(texts: pa.Array) -> pa.Array:
-    return pa.array([np.unique(shingle_hashes(t.as_py().encode().lower().split(), COPY_SHINGLE)).view(np.int64) for t in texts],
-                    pa.list_(pa.int64()))
-
-
-def _few(df: DataFrame) -> DataFrame:
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
-
-
-def _shingle_sets(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
-    """words, shingles of the classes in pairs; the text of a class is that of one of its rows."""
-    asked = settle(pairs.select(F.explode(F.array("a", "b")).alias("words")).distinct().join(classes, "words").select("words", "first.*"), "asked")
-    texts = docs.select(F.coalesce("doc_id", F.lit(0)).alias("_id"), F.col("doc_id").isNull().alias("_none"),
-                        F.xxhash64(text_or_empty()).alias("_hash"), text_or_empty().alias("text"))
-    one = texts.join(_few(asked), ["_id", "_none", "_hash"]).select("words", shingle_set("text").alias("shingles"))
-    return settle(one.groupBy("words").agg(F.any_value("shingles").alias("shingles")), "shingle-sets")
-
-
-def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """a, b of each pair of classes whose shingle sets are alike by COPY_LIKENESS."""
-    side = lambda name, value: sets.select(F.col("words").alias(name), F.col("shingles").alias(value))
-    both = pairs.join(side("a", "x"), "a").join(side("b", "y"), "b")
-    common = F.size(F.array_intersect("x", "y"))
-    part, whole = COPY_LIKENESS
-    return settle(both.where(whole * common >= part * (F.size("x") + F.size("y") - common)).select("a", "b"), "compared")
-
-
-def _copy_links(spark: SparkSession, docs: DataFrame, classes: DataFrame, tile: int, tile_shingles: int) -> DataFrame:
-    """Edges a, b between classes that join all candidates that are near copies.
-
-    The spanning edges of the fingerprints within the radius, bucket by bucket, are compared
-    exactly. What they join, right or not, is a family. A family that falls apart because some of
-    its edges failed is compared as a whole, in tiles: each task keeps its pairs to itself and
-    returns no more edges than documents.
-    """
-    keyed = classes.select(F.explode("bands").alias("key"), F.col("words").alias("id"), "fp")
-    pairs = settle(_dealt(keyed, tile).mapInArrow(_span_copies, "a long, b long").distinct(), "copy-pairs")
-    sets = _shingle_sets(pairs, classes, docs)
-    links = _compared(pairs, sets)
-    joined = settle(connected_components(spark, links).select(F.col("node").alias("id"), F.col("component").alias("set")), "copy-groups")
-    family = connected_components(spark, pairs).select(F.col("node").alias("id"), F.col("component").alias("key"))
-    member = settle(family.join(joined, "id", "left").select("key", "id", F.coalesce("set", "id").alias("set")), "copy-families")
-    apart = settle(member.groupBy("key").agg(F.min("set").alias("low"), F.max("set").alias("high")).where("low <> high").select("key"), "copy-apart")
-    rows = member.join(apart, "key").join(sets.withColumnRenamed("words", "id"), "id").select("key", "id", "set", "shingles")
-    return links.unionByName(_dealt(rows, tile_shingles, F.size("shingles")).mapInArrow(_join_families, "a long, b long"))
-
-
-def similar_documents(spark: SparkSession, docs: DataFrame, tile: int = TILE, tile_shingles: int = TILE_SHINGLES) -> DataFrame:
-    """Group documents whose sets of five-word shingles are alike by 0.8 or more, directly or through others.
-
-    docs: doc_id, text; other columns are ignored. Returns one row per input row: doc_id, text_hash,
-    words (hash of the lower-cased words), root, component_id as in near_duplicates. Candidates share
-    a band of set minima and have fingerprints within COPY_RADIUS; each is then compared exactly by
-    its sets. Texts with the same words are one class, compared once; so are all texts without words,
-    null ones included. Texts of fewer than five words are copies of equal ones only.
-    """
-    ship_package(spark)
-    marked = settle(docs.select(
-        F.col("doc_id").alias("doc_id"), F.xxhash64(text_or_empty()).alias("text_hash"),
-        copy_profile(text_or_empty()).alias("p")).select("doc_id", "text_hash", "p.*"), "copies")
-    first = F.struct(F.col("doc_id").isNull().alias("_none"), F.coalesce("doc_id", F.lit(0)).alias("_id"), F.col("text_hash").alias("_hash"))
-    classes = settle(marked.groupBy("words").agg(
-        F.min("doc_id").alias("first_id"), F.min(first).alias("first"), F.any_value("fp").alias("fp"), F.any_value("bands").alias("bands")), "copy-classes")
-    links = _copy_links(spark, docs, classes, tile, tile_shingles)
-    return _grouped(spark, marked.select("doc_id", "text_hash", "words"), classes.select("words", "first_id"), "words", links)
-
-
 def one_of_each_group(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """One whole row of each group of similar documents: that with the smallest doc_id, of repeated rows any one.
+    """One whole row of each group of near duplicates: that with the smallest doc_id, of repeated rows any one.
 
     All columns of docs are returned. A row without doc_id stays only if its group has no id.
     """
     key = F.struct(F.coalesce("doc_id", "text_hash").alias("_id"), F.col("doc_id").isNull().alias("_none"), F.col("text_hash").alias("_hash"))
-    groups = similar_documents(spark, docs).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    groups = near_duplicates(spark, docs).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     stay = settle(groups.groupBy("root").agg(F.min(key).alias("k")).select("k.*"), "simhash-stay")
     rows = docs.select(F.struct("*").alias("_row"), "doc_id", F.xxhash64(text_or_empty()).alias("text_hash"))
     joined = rows.select("_row", key.alias("k")).select("_row", "k.*").join(stay, ["_id", "_none", "_hash"])

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import re
+
+import xxhash
+
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 PAGES = "page_id long, url string, html string"
 
@@ -32,25 +36,33 @@ def no_docs(spark):
     return spark.createDataFrame([], DOCS)
 
 
-def alike_groups(rows):
-    """doc_id -> smallest doc_id it reaches by links of five-word shingle sets alike by 0.8, pair by pair."""
-    words = {r["doc_id"]: (r["text"] or "").encode().lower().split() for r in rows}
-    sets = {d: {tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))} for d, w in words.items()}
-    found = {}
-    for start in sorted(sets):
-        if start in found:
-            continue
-        found[start], queue = start, [start]
-        while queue:
-            at = queue.pop()
-            for other in sets:
-                if other not in found:
-                    small, large = sorted((len(sets[at]), len(sets[other])))
-                    if 5 * small >= 4 * large and 5 * len(sets[at] & sets[other]) >= 4 * len(sets[at] | sets[other]):
-                        found[other] = start
-                        queue.append(other)
-    return found
-
-
-def first_of_alike(rows):
-    return {d for d, first in alike_groups(rows).items() if d == first}
+def plain_fingerprint(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
+    if not words:
+        return 0
+    shingles = [" ".join(words[i:i + 4]) for i in range(max(1, len(words) - 3))]
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def plain_components(n, links):
+    parent = list(range(n))
+
+    def find(x):
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    for a, b in links:
+        a, b = find(a), find(b)
+        parent[max(a, b)] = min(a, b)
+    return [find(x) for x in range(n)]
+
+
+def first_of_linked(rows):
+    """The smallest doc_id of each group of fingerprints linked by 4 bits or fewer."""
+    rows = sorted(rows, key=lambda r: r["doc_id"])
+    prints = [plain_fingerprint(r["text"]) for r in rows]
+    links = [(i, j) for i in range(len(rows)) for j in range(i) if (prints[i] ^ prints[j]).bit_count() <= 4]
+    return {rows[i]["doc_id"] for i, root in enumerate(plain_components(len(rows), links)) if root == i}

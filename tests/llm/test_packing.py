@@ -2,7 +2,7 @@ import random
 from collections import defaultdict
 
 import public_tokenizers
-from frames import first_of_alike, no_docs, odd_docs
+from frames import first_of_linked, no_docs, odd_docs
 
 import __spark_entry__
 import corpus_pipeline
@@ -73,7 +73,7 @@ def test_pipeline_equals_its_stages_done_plainly(spark):
     first = docs.where(docs.doc_id.isin(sorted(good)))
     known = {r["doc_id"] for r in langid.identify(spark, first).collect() if r["lang_pred"] != "und" and r["score"] >= 0.5}
     second = docs.where(docs.doc_id.isin(sorted(known)))
-    single = first_of_alike(second.select("doc_id", "text").collect())
+    single = first_of_linked(second.select("doc_id", "text").collect())
     rows = corpus_pipeline.run(spark, SF).collect()
     assert {r["doc_id"] for r in rows} == single
     check_bins(rows, packing.CAPACITIES)
@@ -89,5 +89,5 @@ def test_stages_keep_the_columns(spark):
 
 def test_queries_are_registered():
     names = __spark_entry__.queries()
-    assert [n for n in range(1, 11) if not any(q.startswith(f"op{n}_") for q in names)] == []
+    assert [n for n in range(1, 14) if not any(q.startswith(f"op{n}_") for q in names)] == []
     assert "pipeline" in names and "op8_urls" in __spark_entry__.oracle_sql()

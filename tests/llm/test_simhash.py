@@ -1,9 +1,7 @@
 import random
-import re
 
 import numpy as np
-import xxhash
-from frames import alike_groups, no_docs, odd_docs
+from frames import first_of_linked, no_docs, odd_docs, plain_components, plain_fingerprint
 from pyspark.sql import Row
 
 from narrakin.llm import components, simhash
@@ -12,30 +10,6 @@ from narrakin.llm.tables import table
 SF = "/root/testdata/sf0.001"
 
 
-def plain_fingerprint(text):
-    words = re.findall(r"[^\x20\x09-\x0D]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
-    if not words:
-        return 0
-    shingles = [" ".join(words[i:i + 4]) for i in range(max(1, len(words) - 3))]
-    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
-    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
-
-
-def plain_components(n, links):
-    parent = list(range(n))
-
-    def find(x):
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    for a, b in links:
-        a, b = find(a), find(b)
-        parent[max(a, b)] = min(a, b)
-    return [find(x) for x in range(n)]
-
-
 def test_groups_equal_brute_force(spark):
     rows = table(spark, SF, "documents").select("doc_id", "text").orderBy("doc_id").collect()
     prints = [plain_fingerprint(r["text"]) for r in rows]
@@ -121,68 +95,15 @@ def test_wide_radius_finds_every_link():
         assert plain_components(150, got) == plain_components(150, links)
 
 
-def test_join_alike_joins_all_pairs():
-    random_ = np.random.default_rng(4)
-    base = random_.choice(10_000, 60, replace=False)
-    shingles = [np.unique(np.where(random_.random(60) < share, random_.integers(0, 10_000, 60), base)) for share in random_.uniform(0, 0.2, 80)]
-    links = [(i, j) for i in range(80) for j in range(i) if 5 * len(set(shingles[i]) & set(shingles[j])) >= 4 * len(set(shingles[i]) | set(shingles[j]))]
-    sets = np.arange(80)
-    for i, j in links[:5]:
-        sets[sets == sets[i]] = sets[j]
-    got = plain_components(80, simhash.join_alike(sets, shingles) + links[:5])
-    assert got == plain_components(80, links)
-
-
-def varied(random_, words, share):
-    """The words with about such a share of the shingles changed."""
-    words = list(words)
-    for i in random_.sample(range(len(words)), max(1, round(len(words) * share / 5))):
-        words[i] = f"w{random_.getrandbits(40)}"
-    return words
+def test_one_of_each_group_of_the_given_table(spark):
+    docs = table(spark, SF, "documents")
+    stay = simhash.one_of_each_group(spark, docs).collect()
+    assert {r["doc_id"] for r in stay} == first_of_linked(docs.select("doc_id", "text").collect()) and len(stay) < docs.count()
 
 
-def test_similar_documents_equal_brute_force(spark):
+def test_copies_of_an_article_leave_one(spark):
     random_ = random.Random(3)
-    texts = []
-    for size in (1, 4, 5, 6, 9, 30, 200, 1500):
-        base = [f"w{random_.getrandbits(12)}" for _ in range(size)]
-        texts += [base, base, base + ["x"], base + ["x", "y"], base[1:]]
-        for share in (0.02, 0.1, 0.16, 0.2, 0.25, 0.35, 0.5):
-            one = varied(random_, base, share)
-            texts += [one, varied(random_, one, 0.05)]
-    rows = [Row(doc_id=i, text=" ".join(t)) for i, t in enumerate(texts)]
-    want = alike_groups(rows)
-    for tiles in ((simhash.TILE, simhash.TILE_SHINGLES), (3, 500)):
-        got = simhash.similar_documents(spark, spark.createDataFrame(rows, "doc_id long, text string"), *tiles).collect()
-        assert {r["doc_id"]: r["component_id"] for r in got} == want
-
-
-def test_repeated_words_of_unequal_length_are_copies(spark):
-    units = [("spam",), ("buy", "now"), ("one", "two", "three"), ("a", "b", "c", "d"), ("now", "buy")]
-    texts = [" ".join(unit * n) for unit in units for n in (40, 60, 75)] + ["spam spam", "buy now buy", "", "spam " * 5, "spam " * 6]
-    rows = [Row(doc_id=i, text=t) for i, t in enumerate(texts)]
-    want = alike_groups(rows)
-    assert want[1] == want[2] == 0 and want[4] == want[5] == 3 and want[15] == 15
-    for tile in (simhash.TILE, 2):
-        got = simhash.similar_documents(spark, spark.createDataFrame(rows, "doc_id long, text string"), tile).collect()
-        assert {r["doc_id"]: r["component_id"] for r in got} == want
-
-
-def test_short_copies_with_distant_fingerprints_are_found(spark):
-    random_ = random.Random(12)
-    print_of = lambda words: simhash.majority(simhash.shingle_hashes([w.encode() for w in words], simhash.COPY_SHINGLE))
-    texts = []
-    while len(texts) < 6:
-        words = [f"w{random_.getrandbits(40)}" for _ in range(9)]
-        if (print_of(words) ^ print_of(words[:8])).bit_count() > 22:
-            texts += [words, words[:8]]
-    rows = [Row(doc_id=i, text=" ".join(t)) for i, t in enumerate(texts)]
-    got = simhash.similar_documents(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()
-    assert {r["doc_id"]: r["component_id"] for r in got} == {i: i - i % 2 for i in range(6)}
-
-
-def test_similar_documents_of_the_given_table(spark):
-    docs = table(spark, SF, "documents")
-    got = {r["doc_id"]: r["component_id"] for r in simhash.similar_documents(spark, docs).collect()}
-    assert got == alike_groups(docs.select("doc_id", "text").collect())
-    assert {r["doc_id"] for r in simhash.one_of_each_group(spark, docs).collect()} == {d for d, first in got.items() if d == first}
+    base = [f"w{random_.getrandbits(40)}" for _ in range(400)]
+    texts = [base, base, [*base[:200], "other", *base[201:]], [f"w{random_.getrandbits(40)}" for _ in range(400)]]
+    frame = spark.createDataFrame([Row(doc_id=i + 5, text=" ".join(t).upper() if i == 1 else " ".join(t)) for i, t in enumerate(texts)])
+    assert {r["doc_id"] for r in simhash.one_of_each_group(spark, frame).collect()} == {5, 8}
