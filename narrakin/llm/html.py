@@ -19,13 +19,15 @@ LEAST_PAGES, LEAST_SHARE = 4, 0.05
 #: Template tables are broadcast up to so many bytes, counted before; beyond that pages are shuffled.
 BROADCAST_BYTES = 16 << 20
 
-_TOKEN = re.compile(
-    r"<!--(?:.*?-->|.*)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)>",
-    re.S)
+_LOOSE = r"<!--(?:.*?-->|.*)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)>"
+_TOKEN = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|" + _LOOSE, re.S)
+#: The same without quoted attributes.
+_PLAIN = re.compile("()()()" + _LOOSE, re.S)
 _NAMES = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
 _WORDS = re.compile(r"[a-z]+|[A-Z][a-z]*")
-_TAG_ONLY = re.compile(r"<(/?[a-zA-Z][a-zA-Z0-9:-]*)[^>]*>")
+#: Subtree hashes grow by one item at a time, modulo 2^64, with this odd factor.
+_FACTOR, _MASK = 0x9E3779B97F4A7C15, (1 << 64) - 1
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _RAW = frozenset("script style textarea title iframe noembed noframes xmp".split())
@@ -78,22 +80,74 @@ def _named_outside(name: str) -> bool:
 
 
 class _Open:
-    __slots__ = ("tag", "own", "outside", "main", "begin", "first", "holds_main")
-
-    def __init__(self, tag: str, own: int, outside: bool, main: int, begin: int, first: int):
-        self.tag, self.own, self.outside, self.main, self.begin, self.first, self.holds_main = tag, own, outside, main, begin, first, False
+    """An open element. `shut` and `wrapped` sum up its ancestors and itself: whether one is outside whatever
+    it holds, and whether all outermost ones that are outside are wrappers. `mark` hashes what it has held so far."""
+
+    __slots__ = ("tag", "outside", "main", "first", "holds_main", "shut", "wrapped", "mark")
+
+    def __init__(self, tag: str, own: int, outside: bool, main: int, first: int, above: _Open | None):
+        self.tag, self.outside, self.main, self.first, self.holds_main, self.mark = tag, outside, main, first, False, 0
+        self.shut = own == _SHUT or bool(above and above.shut)
+        begins = outside and not (above and above.outside)
+        self.wrapped = (not begins or tag in _WRAPPERS) and (above is None or above.wrapped)
+
+    def take(self, item: int) -> None:
+        self.mark = (self.mark * _FACTOR + item) & _MASK
+
+
+class _Stack:
+    """Open elements, with the places of each tag and of those that hold back an end tag or a new block."""
+
+    def __init__(self):
+        self.nodes: list[_Open] = []
+        self.places: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+        self.walls: list[int] = []
+
+    @property
+    def top(self) -> _Open | None:
+        return self.nodes[-1] if self.nodes else None
+
+    def push(self, node: _Open) -> None:
+        at = len(self.nodes)
+        self.nodes.append(node)
+        self.places.setdefault(node.tag, []).append(at)
+        if node.tag not in _INLINE:
+            self.blocks.append(at)
+            if node.tag not in _LINES:
+                self.walls.append(at)
+
+    def pop(self) -> _Open:
+        node = self.nodes.pop()
+        self.places[node.tag].pop()
+        for places in (self.blocks, self.walls):
+            if places and places[-1] == len(self.nodes):
+                places.pop()
+        return node
+
+    def ended_by(self, tag: str) -> int | None:
+        """Place of the element that an end tag ends: inline ones only within their block, lines within what holds them."""
+        at = self.places.get(tag)
+        if not at:
+            return None
+        held_by = self.blocks if tag in _INLINE else self.walls if tag in _LINES else []
+        return at[-1] if not held_by or at[-1] >= held_by[-1] else None
 
 
 def read_page(html: str, templates: frozenset[int] = frozenset()) -> tuple[str, list[int]]:
     """Main text of a page, without the subtrees in `templates`, and the hashes of its subtrees.
 
-    Subtrees that hold an article or main, or stand in one, are not templates and have no hash. Text is that of the article or main element if the page has one, else of the body. An article in
-    a part of another that is outside it, such as its comments, counts only if the page has no other; blocks are
-    parted by \\n. Unclosed and misnested elements are closed as their next block or parent ends.
+    Subtrees that hold an article or main, or stand in one, are not templates and have no hash. Text is that
+    of the article or main element if the page has one, else of the body. An article in a part of
+    another that is outside it, such as its comments, counts only if the page has no other; blocks are
+    parted by \n. Unclosed and misnested elements are closed as their next block or parent ends. The time
+    is in proportion to the length of a page, whatever it holds: each token is read once, an
+    element's hash is made of those of its children, and once a page is found to have an unclosed
+    quote, the rest of it is read without looking for the ends of quotes.
     """
     blocks: list[tuple[int, str]] = []
     piece: list[str] = []
-    stack: list[_Open] = []
+    stack = _Stack()
     hashes: list[int] = []
 
     def flush(outside: bool, main: int) -> None:
@@ -104,27 +158,36 @@ def read_page(html: str, templates: frozenset[int] = frozenset()) -> tuple[str,
                     blocks.append((main, text))
             piece.clear()
 
-    def close(depth: int, end: int) -> None:
-        while len(stack) > depth:
+    def close(depth: int) -> None:
+        while len(stack.nodes) > depth:
             node = stack.pop()
             if node.tag not in _INLINE:
                 flush(node.outside, node.main)
+            mark = xxhash.xxh3_64_intdigest(f"{node.tag} {node.mark}")
+            above = stack.top
+            if above:
+                above.take(mark)
+                above.holds_main |= node.holds_main
             if node.tag in _SUBTREES and not node.holds_main and not node.main:
-                mark = xxhash.xxh3_64_intdigest(" ".join(_TAG_ONLY.sub(r"<\1>", html[node.begin:end]).split())) - (1 << 63)
-                hashes.append(mark)
-                if mark in templates:
+                hashes.append(mark - (1 << 63))
+                if hashes[-1] in templates:
                     del blocks[node.first:]
 
-    pos, size = 0, len(html)
+    pos, size, last, token = 0, len(html), html.rfind(">"), _TOKEN
     while pos < size:
-        found = _TOKEN.search(html, pos)
+        found = token.search(html, pos) if pos <= last or html.find("<!--", pos) >= 0 else None
         start = found.start() if found else size
-        top = stack[-1] if stack else None
+        top = stack.top
         if start > pos and not (top and top.outside):
-            piece.append(html[pos:start])
+            text = html[pos:start]
+            piece.append(text)
+            if top and not text.isspace():
+                top.take(xxhash.xxh3_64_intdigest(" ".join(text.split())))
         if not found:
             break
         pos = found.end()
+        if found[5] and ('"' in found[6] or "'" in found[6]):
+            token = _PLAIN
         ends, tag, attributes = (found[1], found[2], found[3]) if found[2] else (found[4], found[5], found[6])
         if not tag:
             continue
@@ -133,12 +196,9 @@ def read_page(html: str, templates: frozenset[int] = frozenset()) -> tuple[str,
         if ends:
             if tag not in _INLINE:
                 flush(outside, main)
-            for depth in range(len(stack) - 1, -1, -1):
-                if stack[depth].tag == tag:
-                    close(depth, start)
-                    break
-                if tag in _INLINE and stack[depth].tag not in _INLINE or tag in _LINES and stack[depth].tag not in _INLINE | _LINES:
-                    break
+            depth = stack.ended_by(tag)
+            if depth is not None:
+                close(depth)
             continue
         if tag == "br" or tag in _VOID and tag not in _INLINE:
             if tag == "br":
@@ -148,53 +208,45 @@ def read_page(html: str, templates: frozenset[int] = frozenset()) -> tuple[str,
             continue
         if tag not in _INLINE:
             flush(outside, main)
-            for depth in range(len(stack) - 1, -1, -1):
-                kind = stack[depth].tag
+            for depth in reversed(stack.blocks):
+                kind = stack.nodes[depth].tag
                 if kind in _LINES or kind in _ITEMS.get(tag, ()):
-                    close(depth, start)
+                    close(depth)
                     if kind not in _LINES:
                         break
-                elif kind not in _INLINE:
-                    if not (tag in _ITEMS and kind in ("tr", "td", "th", "li", "dt", "dd")):
-                        break
-            top = stack[-1] if stack else None
+                elif not (tag in _ITEMS and kind in ("tr", "td", "th", "li", "dt", "dd")):
+                    break
+            top = stack.top
             outside, main = (top.outside, top.main) if top else (False, _BODY)
         own = _outside(tag, attributes, bool(main))
         is_main = tag in ("article", "main") and not own
         if is_main:
             guest = False
-            if outside and all(n.tag in _WRAPPERS for n in stack if _began_outside(stack, n)):
+            if outside and top.wrapped:
                 outside = False
-            elif outside and all(n.own != _SHUT for n in stack):
+            elif outside and not top.shut:
                 outside, guest = False, bool(main)
             if not outside:
                 if guest or main == _GUEST:
                     main = _GUEST
                 else:
                     main = _ARTICLE if tag == "article" or main == _ARTICLE else _MAIN
-                for node in stack:
-                    node.holds_main = True
+                if top:
+                    top.holds_main = True
         outside = outside or own != _IN
         if tag in _RAW:
             end = re.compile(rf"</{tag}\b[^>]*>?", re.I).search(html, pos)
             pos = end.end() if end else size
             continue
         if not attributes.endswith("/") or tag not in ("svg", "path", "use", "circle", "rect"):
-            node = _Open(tag, own, outside, main, start, len(blocks))
-            node.holds_main = is_main
-            stack.append(node)
-    close(0, size)
+            stack.push(_Open(tag, own, outside, main, len(blocks), top))
+    close(0)
     flush(False, _BODY)
     places = {m for m, _ in blocks}
     counted = {_MAIN, _ARTICLE} if _ARTICLE in places else places - {_BODY} or places
     return "\n".join(t for m, t in blocks if m in counted), hashes
 
 
-def _began_outside(stack: list[_Open], node: _Open) -> bool:
-    at = stack.index(node)
-    return node.outside and not (at and stack[at - 1].outside)
-
-
 def host_of(url: Column) -> Column:
     """Host of a url, ASCII letters lower-cased; empty without `://`."""
     return F.translate(F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^.*?://([^/?#]*)", 1),

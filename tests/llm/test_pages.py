@@ -1,5 +1,6 @@
 import html as library
 import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -41,6 +42,38 @@ def test_pages_without_article_and_broken_pages():
     assert html.read_page("<p>" * 5000 + "deep")[0] == "deep"
 
 
+def test_long_and_malformed_pages_take_time_by_their_length():
+    """A megabyte of each kind that makes a reader look ahead or back again and again."""
+    pages = {
+        "deep": "<div>" * 100_000 + "text" + "</div>" * 80_000, "deep lists": "<ul><li>" * 60_000, "open tags": "<p <b " * 180_000, "no end": "<a" * 500_000,
+        "open quotes": "<p class=\"x>a</p>" * 62_501, "odd quotes": "<p \">x\"y " * 100_001, "comments": "<!-- <!- " * 110_000, "ends only": "</div></b>" * 100_000,
+        "ends beside": "<div>" * 50_000 + "</section></b></p>" * 40_000, "inline": "<b><i>" * 80_000 + "</b><p>" * 70_000, "articles": "<div><article>" * 70_000,
+        "outside": "<aside>" * 40_000 + "<article>x</article>" * 35_000, "scripts": "<script>" * 120_000, "brackets": "<" * 1_000_000, "marks": "<!" * 500_000,
+    }
+    for name, page in pages.items():
+        begin = time.perf_counter()
+        html.read_page(page)
+        assert time.perf_counter() - begin < 8, name
+
+
+def test_broken_pages_keep_their_text():
+    assert html.read_page("<div>" * 3000 + "deep" + "</div>" * 2000 + "after")[0] == "deep\nafter"
+    assert html.read_page("<p class=\"x>lost</p><p>kept</p><p title='a>b'>b")[0].endswith("kept\nb'>b")
+    assert html.read_page("<b>x</p>y</b><p>z</b>w")[0] == "x\ny\nzw"
+    assert html.read_page("tail < 3 and <b")[0] == "tail < 3 and <b"
+
+
+def test_hashes_tell_subtrees_apart_by_structure_and_words():
+    marks = lambda page: html.read_page(page)[1]
+    one = marks("<div class=a><p>Read  our</p> <b>letter</b></div>")
+    assert one == marks("<div id=b>\n<p>Read our</p><b> letter</b>\n</div>") and len(one) == 1
+    others = ["<div><p>Read our letter</p></div>", "<div><p>Read our</p><i>letter</i></div>", "<div><b>letter</b><p>Read our</p></div>",
+              "<section><p>Read our</p><b>letter</b></section>", "<div><p>Read our<b>letter</b></p></div>"]
+    assert len({tuple(marks(o)) for o in others} | {tuple(one)}) == 6
+    assert marks("<div><ul><li>x</ul></div>") == [*marks("<ul><li>x</ul>"), marks("<div><ul><li>x</ul></div>")[-1]]
+    assert marks("<div><section><article>a</article></section><div>b</div></div>") == marks("<div>b</div>")
+
+
 def test_subtrees_repeated_on_a_site_go(spark):
     box = "<div><div>Read our letter</div> every week</div>"
     rows = [(i, f"http://a.example/{i}", f"<body>{box}<p>text number {i}</p></body>") for i in range(8)]
