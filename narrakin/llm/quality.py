@@ -100,7 +100,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_SAMPLE) -> Qu
     known = bounded_sample(known, F.col("doc_id"), rows)
     picked = docs.select("doc_id", text_or_empty().alias("text")).join(F.broadcast(known), "doc_id")
     seen = picked.select(F.xxhash64("text", "doc_id").alias("h"), evidence_column("text").alias("x"), "quality").where("x IS NOT NULL")
-    got = seen.orderBy("h").limit(2 * rows).toArrow()
+    got = seen.orderBy("h").limit(rows).toArrow()
     x = np.array(got.column("x").to_pylist(), float).reshape(-1, len(FEATURES))
     return fit_classifier(x, (np.array(got.column("quality").to_pylist(), float) >= 0.5).astype(float))
 
@@ -140,17 +140,26 @@ def site_rates(sites: DataFrame) -> DataFrame:
     sites: host, path, n, s (sum of probabilities). Hosts are shrunk towards the rate of all
     documents, paths towards their host. The weight of a prior, in documents, follows from how much
     the rates below it vary beyond what their sizes explain; it is one number for hosts and one for
-    paths, from grouped sums over all documents.
+    paths, from grouped sums over all documents. Sums and prior weights come with the rates, so that
+    a document can take itself out of them.
     """
     hosts = sites.groupBy("host").agg(F.sum("n").alias("host_n"), F.sum("s").alias("host_s"))
     whole = hosts.agg(F.sum("host_n"), F.sum("host_s")).first()
     rate = min(max((whole[1] or 0) / (whole[0] or 1), 1e-3), 1 - 1e-3)
     host_prior = _prior_weight(hosts.select(F.col("host_n").alias("n"), F.col("host_s").alias("s"), F.lit(rate).alias("m")))
     hosts = hosts.withColumn("host_rate", (F.col("host_s") + host_prior * rate) / (F.col("host_n") + host_prior))
-    both = settle(sites.join(hosts.select("host", "host_rate"), "host"), "sites")
+    both = settle(sites.join(hosts, "host"), "sites")
     path_prior = _prior_weight(both.select("n", "s", F.col("host_rate").alias("m")))
     path_rate = (F.col("s") + path_prior * F.col("host_rate")) / (F.col("n") + path_prior)
-    return both.select("host", "path", "host_rate", path_rate.alias("path_rate"), F.lit(rate).alias("rate"))
+    return both.select("host", "path", "host_rate", path_rate.alias("path_rate"), F.lit(rate).alias("rate"), "n", "s", "host_n", "host_s",
+                       F.lit(host_prior).alias("host_prior"), F.lit(path_prior).alias("path_prior"))
+
+
+def rate_of_others(p: Column) -> Column:
+    """The rate of a document's path without the document, whose probability is p, itself."""
+    host = (F.col("host_s") - p + F.col("host_prior") * F.col("rate")) / (F.col("host_n") - 1 + F.col("host_prior"))
+    path = (F.col("s") - p + F.col("path_prior") * host) / (F.col("n") - 1 + F.col("path_prior"))
+    return F.least(F.lit(1 - 1e-6), F.greatest(F.lit(1e-6), path))
 
 
 def _prior_weight(groups: DataFrame) -> float:
@@ -168,8 +177,9 @@ def score(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Every row of docs with its quality: struct columns _row (the input) and _q.
 
     _q: host, path, p_text (document alone), host_rate, path_rate, quality (final), keep. The document's
-    log-odds are moved by how far the rate of its path differs from that of all documents. A text
-    without words, null or empty, has quality 0. Null source or lang counts as the empty name.
+    log-odds are moved by how far the rate of the other documents of its path, shrunk to that of
+    the others of its host, differs from that of all documents, so its own evidence counts once. A
+    text without words, null or empty, has quality 0. Null source or lang counts as the empty name.
     """
     ship_package(spark)
     log_odds = classifier(spark, train(docs, labels))
@@ -178,10 +188,10 @@ def score(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFrame:
     p_text = F.coalesce(1 / (1 + F.exp(-F.col("z"))), F.lit(0.0))
     sites = settle(rows.groupBy("host", "path").agg(F.count("*").alias("n"), F.sum(p_text).alias("s")), "sites")
     rates = settle(site_rates(sites), "site-rates")
-    size = rates.agg(F.sum(F.octet_length("host") + F.octet_length("path") + 64)).first()[0] or 0
+    size = rates.agg(F.sum(F.octet_length("host") + F.octet_length("path") + 112)).first()[0] or 0
     rates = F.broadcast(rates) if size <= BROADCAST_BYTES else rates
     final = F.when(F.col("z").isNull(), 0.0).otherwise(
-        1 / (1 + F.exp(-(F.col("z") + _odds(F.col("path_rate")) - _odds(F.col("rate"))))))
+        1 / (1 + F.exp(-(F.col("z") + _odds(rate_of_others(p_text)) - _odds(F.col("rate"))))))
     joined = rows.join(rates, ["host", "path"]).withColumn("quality", final)
     q = F.struct("host", "path", p_text.alias("p_text"), "host_rate", "path_rate", "quality", (F.col("quality") >= THRESHOLD).alias("keep"))
     return joined.select("_row", q.alias("_q"))

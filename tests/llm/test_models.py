@@ -91,3 +91,38 @@ def test_odd_quality(spark):
     assert quality.keep_good(spark, docs, labels).columns == docs.columns
     assert quality.score(spark, docs, labels.limit(0)).count() == docs.count()
     assert quality.keep_good(spark, no_docs(spark), labels).count() == 0
+
+
+def plain_prior(n, s, m):
+    """Beta prior weight of groups with n members, sums s and expected rates m."""
+    q, noise, v = (n * (s / n - m) ** 2).sum(), (m * (1 - m)).sum(), (n * m * (1 - m)).sum()
+    spread = (q - noise) / n.sum()
+    return min(max(v / n.sum() / spread - 1, 1.0), 10_000.0) if spread > 0 else 10_000.0
+
+
+def test_quality_equals_a_plain_restatement(spark):
+    """Posterior of each document from those of the other documents of its path and host, row by row."""
+    docs = table(spark, "/root/testdata/sf0.001", "documents").withColumn(
+        "source", F.when(F.col("doc_id") % 41 == 3, F.concat(F.lit("lone"), F.col("doc_id"))).otherwise(F.concat("source", F.lit("/a"), F.col("doc_id") % 3)))
+    got = quality.score(spark, docs, table(spark, "/root/testdata/sf0.001", "labels")).select("_row.*", "_q.*").toPandas()
+    p = got["p_text"].to_numpy()
+    rate = min(max(p.mean(), 1e-3), 1 - 1e-3)
+    hosts = got.assign(p=p).groupby("host")["p"].agg(["count", "sum"])
+    host_prior = plain_prior(hosts["count"], hosts["sum"], np.full(len(hosts), rate))
+    paths = got.assign(p=p).groupby(["host", "path"])["p"].agg(["count", "sum"])
+    at_host = hosts.loc[paths.index.get_level_values("host")]
+    host_rate = ((at_host["sum"] + host_prior * rate) / (at_host["count"] + host_prior)).to_numpy()
+    path_prior = plain_prior(paths["count"].to_numpy(), paths["sum"].to_numpy(), host_rate)
+    odds = lambda x: np.log(x / (1 - x))
+    for r in got.itertuples():
+        host, path = hosts.loc[r.host], paths.loc[(r.host, r.path)]
+        others = (host["sum"] - r.p_text + host_prior * rate) / (host["count"] - 1 + host_prior)
+        others = (path["sum"] - r.p_text + path_prior * others) / (path["count"] - 1 + path_prior)
+        want = 0.0 if r.p_text == 0 else 1 / (1 + np.exp(-(odds(r.p_text) + odds(min(1 - 1e-6, max(1e-6, others))) - odds(rate))))
+        assert abs(r.quality - want) < 1e-7 and r.keep == (r.quality >= quality.THRESHOLD)
+
+
+def test_a_document_alone_on_its_site_has_the_prior_of_all(spark):
+    docs = table(spark, "/root/testdata/sf0.001", "documents").withColumn("source", F.concat(F.lit("only"), F.col("doc_id")))
+    got = quality.score(spark, docs, table(spark, "/root/testdata/sf0.001", "labels")).select("_q.*").where("p_text > 0").collect()
+    assert max(abs(r["quality"] - r["p_text"]) for r in got) < 1e-7
