@@ -92,8 +92,9 @@ def judge(spark: SparkSession, pages: DataFrame, rules: tuple[tuple[str, str, st
     host, path and query. Repeated rows are judged each; other columns are ignored.
     """
     host, path = host_of(F.col("url")), path_of(F.col("url"))
-    own = pages.select("page_id", "url", host.alias("host"), path.alias("path"), F.xxhash64(url_key(F.col("url"))).alias("node"),
-                       url_key(F.col("url")).isNotNull().alias("named"))
+    named = url_key(F.col("url")).isNotNull()
+    node = F.when(named, F.xxhash64(url_key(F.col("url")))).otherwise(F.xxhash64("page_id", "url", F.lit("no node")))  # not all in one task
+    own = pages.select("page_id", "url", host.alias("host"), path.alias("path"), node.alias("node"), named.alias("named"))
     judged = own.withColumn("own", longest_rule(F.col("host"), F.col("path"), rules))
     linked = pages.select("url", F.explode(aliases(F.col("html"))).alias("link")).select("url", absolute(F.col("url"), F.col("link")).alias("to"))
     linked = linked.where(url_key(F.col("url")).isNotNull() & url_key(F.col("to")).isNotNull())
