@@ -144,7 +144,7 @@ def insertion_gains(table: np.ndarray, before: np.ndarray, after: np.ndarray, se
         added[np.arange(len(at)), at] = 0
         gain += added.sum(0)
     gain += xlogx(diagonal + before + after + self_pairs) - xlogx(diagonal)
-    for counts, totals in ((after, table.sum(1)), (before, table.sum(0))):
+    for counts, totals in ((after, table.sum(1) + before), (before, table.sum(0) + after)):
         gain -= xlogx(totals + counts.sum() + self_pairs) - xlogx(totals)
     return gain
 
@@ -165,51 +165,65 @@ def best_class(table: np.ndarray, own: int, before: np.ndarray, after: np.ndarra
 
 
 def _mover(state, classes: int):
-    """Rows (t, own, self, sides, cs, ns) -> (t, c): the best class of each type, all others staying."""
+    """Rows (t, sides, cs, ns) -> (t, c): the best class of each type, all others staying."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = state.value
+        table, of, twice = state.value
         for batch in batches:
-            moved = []
-            for own, twice, sides, cs, ns in zip(*[batch.column(i).to_pylist() for i in range(1, 6)]):
+            types, moved = batch.column(0).to_numpy(), []
+            for t, sides, cs, ns in zip(types.tolist(), *[batch.column(i).to_pylist() for i in range(1, 4)]):
                 counts = np.zeros((2, len(table)))
-                np.add.at(counts, (sides, cs), ns)
-                moved.append(best_class(table, own, counts[0], counts[1], float(twice), classes))
+                counts[sides, cs] = ns
+                moved.append(best_class(table, int(of[t]), counts[0], counts[1], float(twice[t]), classes))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(moved, pa.int32())], names=["t", "c"])
     return run
 
 
-def _class_table(spark: SparkSession, pairs: DataFrame, of: np.ndarray, classes: int) -> tuple[np.ndarray, DataFrame]:
-    """Class bigrams under an assignment, -1 being no class, and the assignment as a table of (t, c).
+def _neighbours(state):
+    """Rows (a, b, n) -> (t, side, c, n): how often each type follows (side 0) or precedes (1) each class, summed per task.
 
-    Types are bounded in number by their share, so the assignment is broadcast.
+    Types and classes are bounded in number, and so is the sum that a task holds.
     """
-    rows = pa.table({"t": pa.array(np.arange(len(of))), "c": pa.array(of.astype(np.int32))})
-    assigned = spark.createDataFrame(rows)
-    side = lambda t, c: F.broadcast(assigned.select(F.col("t").alias(t), F.col("c").alias(c)))
-    sums = pairs.join(side("a", "ca"), "a").join(side("b", "cb"), "b").where("ca >= 0 AND cb >= 0").groupBy("ca", "cb").agg(F.sum("n").alias("n")).toArrow()
-    table = np.zeros((classes + 1, classes + 1))
-    table[sums.column("ca").to_numpy(), sums.column("cb").to_numpy()] = sums.column("n").to_numpy()
-    return table, assigned
-
-
-def _moves(spark: SparkSession, pairs: DataFrame, of: np.ndarray, table: np.ndarray, assigned: DataFrame, eligible: Column, classes: int) -> np.ndarray:
-    """The assignment after every eligible type has gone to its best class, all others staying."""
-    side = lambda own, other, n: pairs.where("a <> b").select(F.col(own).alias("t"), F.col(other).alias("o"), F.lit(n).alias("side"), "n")
-    end = len(of) - 1
-    near = side("b", "a", 0).unionByName(side("a", "b", 1)).where((F.col("t") != end) & eligible)
-    near = near.join(F.broadcast(assigned.select(F.col("t").alias("o"), "c")), "o").where("c >= 0").groupBy("t", "side", "c").agg(F.sum("n").alias("n"))
-    twice = pairs.where("a = b").select(F.col("a").alias("t"), F.lit(None).cast("int").alias("side"), F.lit(None).cast("int").alias("c"), "n").where(
-        (F.col("t") != end) & eligible)
-    known = F.col("side").isNotNull()
-    packed = spread(near.unionByName(twice), "t").groupBy("t").agg(
-        F.coalesce(F.sum(F.when(~known, F.col("n"))), F.lit(0)).alias("self"), F.collect_list(F.when(known, F.struct("side", "c", "n"))).alias("e"))
-    packed = packed.join(F.broadcast(assigned.withColumnRenamed("c", "own")), "t").select(
-        "t", "own", "self", F.col("e.side").alias("sides"), F.col("e.c").alias("cs"), F.col("e.n").alias("ns"))
-    state = spark.sparkContext.broadcast(table)
-    found = packed.mapInArrow(_mover(state, classes), "t long, c int").toArrow()
-    out = of.copy()
-    out[found.column("t").to_numpy()] = found.column("c").to_numpy()
-    return out
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of, width = state.value
+        total = np.zeros(2 * len(of) * width)
+        for batch in batches:
+            a, b, n = (batch.column(i).to_numpy() for i in range(3))
+            for side, (own, other) in enumerate(((b, a), (a, b))):
+                use = (a != b) & (of[other] >= 0)
+                total += np.bincount((2 * own[use] + side) * width + of[other[use]], n[use], len(total))
+        cells = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([
+            pa.array(cells // (2 * width)), pa.array((cells // width % 2).astype(np.int32)), pa.array((cells % width).astype(np.int32)),
+            pa.array(total[cells].astype(np.int64))], names=["t", "side", "c", "n"])
+    return run
+
+
+class _Round:
+    """An assignment of types to classes (-1: none yet), the counts of each type by class of its neighbours, and the class bigrams."""
+
+    def __init__(self, spark: SparkSession, pairs: DataFrame, twice: np.ndarray, of: np.ndarray, classes: int):
+        self.spark, self.pairs, self.twice, self.of, self.classes = spark, pairs, twice, of, classes
+        width = classes + 1
+        state = spark.sparkContext.broadcast((of, width))
+        near = pairs.mapInArrow(_neighbours(state), "t long, side int, c int, n long").groupBy("t", "side", "c").agg(F.sum("n").alias("n"))
+        self.near = settle(near, "brown-near")
+        rows = pa.table({"t": pa.array(np.arange(len(of))), "own": pa.array(of.astype(np.int32))})
+        sums = self.near.where("side = 1").join(F.broadcast(spark.createDataFrame(rows)), "t").where("own >= 0").groupBy("own", "c").agg(
+            F.sum("n").alias("n")).toArrow()
+        self.table = np.zeros((width, width))
+        self.table[sums.column("own").to_numpy(), sums.column("c").to_numpy()] = sums.column("n").to_numpy()
+        np.add.at(self.table, (of[of >= 0], of[of >= 0]), twice[of >= 0])
+        self.likelihood = likelihood(self.table)
+
+    def moved(self, eligible: Column) -> np.ndarray:
+        """The assignment after every eligible type has gone to its best class, all others staying."""
+        packed = spread(self.near.where((F.col("t") < len(self.of) - 1) & eligible), "t").groupBy("t").agg(
+            F.collect_list(F.struct("side", "c", "n")).alias("e")).select("t", F.col("e.side").alias("sides"), F.col("e.c").alias("cs"), F.col("e.n").alias("ns"))
+        state = self.spark.sparkContext.broadcast((self.table, self.of, self.twice))
+        found = packed.mapInArrow(_mover(state, self.classes), "t long, c int").toArrow()
+        out = self.of.copy()
+        out[found.column("t").to_numpy()] = found.column("c").to_numpy()
+        return out
 
 
 def exchange(spark: SparkSession, pairs: DataFrame, counts: np.ndarray, classes: int, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray, list[float]]:
@@ -219,31 +233,33 @@ def exchange(spark: SparkSession, pairs: DataFrame, counts: np.ndarray, classes:
     class `classes`. The most frequent types start a class each and the others join the best of
     these; in each round a share of the types, by hash, then move to the class that raises the
     likelihood most. Moves of one round do not see each other, so a round that lowers the
-    likelihood is taken back and the share halved.
+    likelihood is taken back and the share halved. Each round reads the pairs once; types are bounded
+    in number by their share, so an assignment is sent to every task.
     """
     types = len(counts) - 1
     order = np.argsort(-counts[:-1], kind="stable")
+    twice = np.zeros(len(counts))
+    same = pairs.where("a = b").select("a", "n").toArrow()
+    twice[same.column("a").to_numpy()] = same.column("n").to_numpy()
     of = np.full(len(counts), -1)
     of[order[:classes]] = np.arange(min(classes, types))
     of[-1] = classes
-    table, assigned = _class_table(spark, pairs, of, classes)
-    of = _moves(spark, pairs, of, table, assigned, F.lit(True), classes) if types > classes else of
-    of = np.where(of < 0, np.arange(len(of)) % classes, of)
-    table, assigned = _class_table(spark, pairs, of, classes)
-    course, share = [likelihood(table)], 2
+    if types > classes:
+        of = _Round(spark, pairs, twice, of, classes).moved(F.lit(True))
+    now = _Round(spark, pairs, twice, np.where(of < 0, np.arange(len(of)) % classes, of), classes)
+    course, share = [now.likelihood], 2
     for turn in range(rounds):
         eligible = F.pmod(F.xxhash64("t", F.lit(turn // share)), F.lit(share)) == turn % share
-        new = _moves(spark, pairs, of, table, assigned, eligible, classes)
-        new_table, new_assigned = _class_table(spark, pairs, new, classes)
-        course.append(likelihood(new_table))
-        if course[-1] < course[-2]:
-            course[-1], share = course[-2], share * 2
+        new = _Round(spark, pairs, twice, now.moved(eligible), classes)
+        if new.likelihood < now.likelihood:
+            course.append(now.likelihood)
+            share *= 2
             continue
-        gain = course[-1] - course[-2]
-        of, table, assigned = new, new_table, new_assigned
-        if turn % share == share - 1 and gain <= LEAST_GAIN * abs(course[-1]):
+        course.append(new.likelihood)
+        gain, now = new.likelihood - now.likelihood, new
+        if turn % share == share - 1 and gain <= LEAST_GAIN * abs(now.likelihood):
             break
-    return of, table, course
+    return now.of, now.table, course
 
 
 @dataclass

@@ -48,7 +48,7 @@ def solve_right(rows: np.ndarray, upper: np.ndarray) -> np.ndarray:
 
 def cholesky(gram: np.ndarray, shift: float = 0.0) -> np.ndarray:
     """Upper triangular R with R'R = gram + shift; the shift grows as far as rounding makes it necessary."""
-    least = 10 * len(gram) * _UNIT * max(float(np.abs(gram).max(initial=0.0)), 1e-300)
+    least = 10 * len(gram) * _UNIT * float(np.abs(gram).max())
     while True:
         try:
             return np.linalg.cholesky(gram + shift * np.eye(len(gram))).T
@@ -177,7 +177,10 @@ def factorise(spark: SparkSession, rows: DataFrame, models: dict[int, Centred])
         grams = _grams(some, lambda dim, x: state.value[dim].orthogonal(x))
         for dim in sorted(waiting):
             model, gram = models[dim], grams[dim]
-            if model.factors:
+            if not gram.any():
+                model.factors.append(gram)
+                waiting.discard(dim)
+            elif model.factors:
                 values = np.linalg.eigvalsh(gram)
                 if np.all((np.abs(values - 1) < 1e-11) | (values < 1e-9)):
                     waiting.discard(dim)
