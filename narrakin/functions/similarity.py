@@ -192,3 +192,46 @@ def word_set_ratio(shared: Column, only_a: Column, only_b: Column) -> Column:
             .when((n > 0) & ((na == 0) | (nb == 0)), F.lit(100.0))
             .when(n > 0, F.greatest(rest, kept(n + left, gap + na), kept(n + right, gap + nb)))
             .otherwise(rest))
+
+
+#: Letters that are counted one by one for bounds; all other characters count together.
+COUNTED = " abcdefghijklmnopqrstuvwxyz0123456789"
+
+
+def letter_counts(c: Column) -> Column:
+    """How often a text has each counted letter, and how many other characters."""
+    each = [F.length(c) - F.length(F.replace(c, F.lit(x))) for x in COUNTED]
+    return F.array(*each, F.length(F.translate(c, COUNTED, "")))
+
+
+def most_common(a: Column, b: Column) -> Column:
+    """The most characters two texts with these letter counts can have in common, in any order."""
+    return F.aggregate(F.zip_with(a, b, lambda x, y: F.least(x, y)), F.lit(0), lambda total, n: total + n)
+
+
+def highest_ratio(common: Column, a: Column, b: Column) -> Column:
+    """Bound of the indel ratio of two texts of lengths a and b."""
+    return _share(F.least(common, a, b), a + b)
+
+
+def highest_partial(common: Column, a: Column, b: Column) -> Column:
+    """Bound of the best window: one that holds all common characters and no other."""
+    short = F.least(a, b)
+    return F.when((a == 0) & (b == 0), F.lit(100.0)).when(short == 0, F.lit(0.0)).otherwise(
+        F.lit(200.0) * F.least(common, short) / (short + F.least(common, short)))
+
+
+def word_set_bound(common: Column, n: Column, na: Column, nb: Column) -> Column:
+    """The ratio by word sets if the words that one side has alone shared so many characters in order.
+
+    n, na and nb are the lengths of the joined words that both have and that one has alone; with
+    nothing in common it is the least the ratio can be.
+    """
+    gap = F.when(n > 0, 1).otherwise(0)
+    left, right = n + gap + na, n + gap + nb
+    kept = lambda total, dist: F.lit(100.0) * (total - dist) / total
+    rest = kept(left + right, na + nb - 2 * F.least(common, na, nb))
+    return (F.when((n + na == 0) | (n + nb == 0), F.lit(0.0))
+            .when((n > 0) & ((na == 0) | (nb == 0)), F.lit(100.0))
+            .when(n > 0, F.greatest(rest, kept(n + left, gap + na), kept(n + right, gap + nb)))
+            .otherwise(rest))

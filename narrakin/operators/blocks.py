@@ -48,34 +48,7 @@ def best_targets(scores: np.ndarray, order: np.ndarray, k: int, floor: float):
     return rows[first], cols[first], values[first]
 
 
-class SparseTargets:
-    """Sparse vectors turned round: for each piece, who has it and how heavily."""
-
-    def __init__(self, grams, weights):
-        sizes = np.fromiter(map(len, grams), np.int64, len(grams))
-        flat = np.concatenate(grams).astype(np.int64)
-        order = np.argsort(flat, kind="stable")
-        self.size = len(sizes)
-        self.owner = np.repeat(np.arange(self.size), sizes)[order]
-        self.weight = np.concatenate(weights)[order]
-        self.codes, self.start = np.unique(flat[order], return_index=True)
-        self.stop = np.append(self.start[1:], len(flat))
-
-    def scores(self, grams, weights) -> np.ndarray:
-        out = np.zeros((len(grams), self.size))
-        for row, code, weight in zip(out, grams, weights, strict=True):
-            at = np.minimum(np.searchsorted(self.codes, code), len(self.codes) - 1)
-            known = np.flatnonzero(self.codes[at] == code)
-            if len(known):
-                first, last = self.start[at[known]], self.stop[at[known]]
-                lists = [slice(a, b) for a, b in zip(first, last, strict=True)]
-                shares = np.concatenate([self.weight[s] for s in lists])
-                shares *= np.repeat(weight[known], last - first)
-                row[:] = np.bincount(np.concatenate([self.owner[s] for s in lists]), shares, self.size)
-        return out
-
-
-def _unit_rows(vectors) -> np.ndarray:
+def unit_rows(vectors) -> np.ndarray:
     matrix = np.stack(vectors).astype(np.float64)
     length = np.linalg.norm(matrix, axis=1, keepdims=True)
     return np.divide(matrix, length, out=np.zeros_like(matrix), where=length > 0)
@@ -83,11 +56,11 @@ def _unit_rows(vectors) -> np.ndarray:
 
 class DenseTargets:
     def __init__(self, vectors):
-        self.matrix = _unit_rows(vectors)
+        self.matrix = unit_rows(vectors)
         self.size = len(self.matrix)
 
     def scores(self, vectors) -> np.ndarray:
-        return _unit_rows(vectors) @ self.matrix.T
+        return unit_rows(vectors) @ self.matrix.T
 
 
 def search(payload: list[list], targets, target_ids: np.ndarray, k: int, floor: float):

@@ -72,6 +72,21 @@ def location_dictionary(texts: DataFrame, *prior: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, [p.select("location") for p in prior], known).distinct()
 
 
+def location_counts(rows: DataFrame, weight: Column, gazetteer: DataFrame | None = None) -> DataFrame:
+    """How many rows show each location by their own words or the supplied table: (location, n).
+
+    weight is the number of rows that a line stands for. Counts of parts of the rows add up to those
+    of the whole.
+    """
+    counts = rows.groupBy("loc_text").agg(F.sum(weight).alias("n"))
+    texts = distinct_location_texts(counts)
+    if gazetteer is not None:
+        texts = texts.join(gazetteer_hits(texts, gazetteer), "loc_text", "left")
+    found = [F.coalesce(F.col(c), _no_names()) for c in ("gazetteer_locations", "suffix_locations") if c in texts.columns]
+    shown = texts.select("loc_text", F.explode(F.array_distinct(F.concat(*found))).alias("location"))
+    return shown.join(counts, "loc_text").groupBy("location").agg(F.sum("n").alias("n"))
+
+
 def dictionary_hits(texts: DataFrame, dictionary: DataFrame, key: str = "loc_text") -> DataFrame:
     """Dictionary entries longer than three letters that occur inside each text.
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import hashlib
 import math
-from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -12,18 +11,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from narrakin.operators.blocks import (
-    DenseTargets, SparseTargets, broadcast_search, bucket_search,
-)
+from narrakin.operators.blocks import DenseTargets, broadcast_search, bucket_search
+from narrakin.operators.cells import build_cells, cell_topk
+from narrakin.operators.postings import search_in_one_part, search_in_parts
 from narrakin.operators.skew import company_join, fan_out_join
-from narrakin.session import settle
 
-SPARSE = ["grams", "weights"]
-SEED_GRAMS = 3
 PART_ROWS = 100_000
-#: Numbers of company vectors that one search broadcasts; more are searched in several rounds.
+#: Numbers of company vectors that one search broadcasts; more are placed in cells.
 BROADCAST_NUMBERS = 8_000_000
-SLACK = 1e-9
 
 
 def keep_best(found: DataFrame, key: str, target: str, k: int) -> DataFrame:
@@ -49,78 +44,43 @@ def company_texts(companies: DataFrame) -> tuple[DataFrame, DataFrame]:
     return texts.select("match_text", "target"), members.select("target", "company_id", "place")
 
 
-def _by_piece(packed: DataFrame, key: str, *extra: str) -> DataFrame:
-    """One line per text and piece, the whole vector on each line; place 0 is the rarest."""
-    return packed.select(key, *SPARSE, "masses", *extra, F.posexplode("grams").alias("place", "bucket")).select(
-        key, *SPARSE, *extra, "bucket", "place", F.get("masses", "place").alias("mass"))
-
-
-def sparse_bucket_search(queries: DataFrame, targets: DataFrame, k: int, floor: float,
-                         key: str = "match_text") -> DataFrame:
-    """Exact sparse top-k for company sides of any size: (key, target, similarity).
-
-    Two unit vectors whose cosine reaches t share a piece that, with all commoner
-    pieces, still holds a squared length of t*t on both sides. So only pieces with
-    that much mass are buckets; the commonest ones drop out. A first pass over the
-    rarest pieces of each query finds its k-th best similarity so far, which raises
-    t for the second pass.
-    """
-    base = floor * floor - SLACK
-    unseen = F.size(F.filter("dfs", lambda n: n == 0))
-    queries = settle(queries.withColumn("unseen", unseen), "query-vectors")
-    t_side = _by_piece(targets, "target").filter(F.col("mass") >= base).select("bucket", "target", *SPARSE)
-    q_side = _by_piece(queries, key, "unseen").filter(
-        (F.col("mass") >= base) & (F.col("place") >= F.col("unseen")))
-    is_seed = F.col("place") < F.col("unseen") + SEED_GRAMS
-
-    def run(rows: DataFrame) -> DataFrame:
-        return bucket_search(rows.select("bucket", key, *SPARSE), t_side, key, SPARSE,
-                             SparseTargets, k, floor)
-
-    def merged(found: DataFrame) -> DataFrame:
-        distinct = found.groupBy(key, "target").agg(F.max("similarity").alias("similarity"))
-        return keep_best(distinct, key, "target", k).select(key, "target", "similarity")
-
-    seed = settle(merged(run(q_side.filter(is_seed))), "seed")
-    reached = (seed.groupBy(key).agg(F.count("*").alias("n"), F.min("similarity").alias("least"))
-               .filter(F.col("n") >= k).select(key, "least"))
-    bar = F.coalesce("least", F.lit(floor))
-    rest = (q_side.filter(~is_seed).join(reached, key, "left")
-            .filter(F.col("mass") >= bar * bar - SLACK))
-    return merged(seed.unionByName(run(rest)))
-
-
 def sparse_topk(queries: DataFrame, targets: DataFrame, members: DataFrame, postings: int,
                 member_bytes: int, k: int, floor: float, index_postings: int, key: str = "match_text") -> DataFrame:
     """Exact top-k companies per query text: (key, company_id, similarity, rank).
 
     ``postings`` is the measured number of text pieces on the company side; up to
-    ``index_postings`` the company side is one broadcast block.
+    ``index_postings`` the company side is one part that is sent to every task.
     """
     if postings <= index_postings:
-        found = broadcast_search(queries, targets, key, SPARSE, SparseTargets, k, floor)
+        found = search_in_one_part(queries, targets, key, k, floor)
     else:
-        found = sparse_bucket_search(queries, targets, k, floor, key)
+        found = keep_best(search_in_parts(queries, targets, key, k, floor, postings), key, "target", k)
+        found = found.select(key, "target", "similarity")
     first = members.filter(F.col("place") <= k).select("target", "company_id")
     return keep_best(company_join(found, first, "target", member_bytes, [key]).drop("target"), key, "company_id", k)
 
 
+def dense_numbers(companies: DataFrame, vector: str = "vector") -> int:
+    """How many numbers the vectors of a table hold."""
+    return companies.agg(F.sum(F.size(vector).cast("long"))).first()[0] or 0
+
+
 def dense_topk(queries: DataFrame, companies: DataFrame, k: int, floor: float,
                query_id: str = "txn_id", company_id: str = "company_id",
                vector: str = "vector", numbers: int = BROADCAST_NUMBERS) -> DataFrame:
     """Exact top-k over supplied vectors, for company sides of any size.
 
-    The company side is cut into blocks of at most about ``numbers`` numbers, by counts,
-    and each block is broadcast past the queries, which are never shuffled; the k best
-    of each block are merged.
+    A company side of at most ``numbers`` numbers, by count, is one block that is sent to
+    every task; a larger one is placed in cells, of which queries visit those that bounds
+    do not rule out, and never leaves the tasks.
     """
     queries, companies = (df.filter(F.col(vector).isNotNull()) for df in (queries, companies))
-    targets = companies.select(F.col(company_id).alias("target"), vector)
-    blocks = -(-(targets.agg(F.sum(F.size(vector).cast("long"))).first()[0] or 0) // numbers) or 1
-    part = F.pmod(F.xxhash64("target"), F.lit(blocks))
-    found = [broadcast_search(queries, targets.filter(part == n), query_id, [vector], DenseTargets, k, floor)
-             for n in range(blocks)]
-    return keep_best(reduce(DataFrame.unionByName, found).withColumnRenamed("target", company_id), query_id, company_id, k)
+    if dense_numbers(companies, vector) <= numbers:
+        targets = companies.select(F.col(company_id).alias("target"), vector)
+        found = broadcast_search(queries, targets, query_id, [vector], DenseTargets, k, floor)
+        return keep_best(found.withColumnRenamed("target", company_id), query_id, company_id, k)
+    found = cell_topk(queries, build_cells(companies, company_id, vector), k, floor, query_id, vector)
+    return found.withColumnRenamed("target", company_id).select(query_id, company_id, "similarity", "rank")
 
 
 def lsh_tables(bits: int, floor: float, recall: float) -> int:

@@ -16,10 +16,13 @@ class MatchOptions:
     """A missing output flag means the column is shown.
 
     ``search`` picks the similarity join: ``sparse`` (n-gram TF-IDF, exact),
-    ``exact`` or ``lsh`` over supplied vectors, or ``auto``: sparse without
+    ``exact``, ``lsh`` or ``probed`` over supplied vectors, or ``auto``: sparse without
     supplied vectors, and with them exact, at any size. ``lsh`` is approximate and
     taken only when named; unless ``lsh_tables`` is set, there are so many tables that
-    a pair at the similarity floor is compared with probability ``lsh_recall``.
+    a pair at the similarity floor is compared with probability ``lsh_recall``. ``probed``
+    is approximate as well: it looks into as many cells of stored vectors as ``probes``
+    says, or as many as find a share of ``probe_recall`` of the true neighbours. The exact
+    search goes by cells too where the company side has over ``dense_numbers`` numbers.
 
     ``keep_input_columns`` returns all columns of the narration table with the results.
     """
@@ -38,6 +41,9 @@ class MatchOptions:
     lsh_tables: int | None = None
     lsh_bits: int = 4
     lsh_seed: int = 42
+    probe_recall: float = 0.9
+    probes: int | None = None
+    dense_numbers: int = 8_000_000
     index_postings: int = 4_000_000
     confidence_threshold: float | None = None
     drop_below_threshold: bool = False

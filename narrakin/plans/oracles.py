@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from narrakin.functions import lexicons as L
+from narrakin.functions.similarity import COUNTED
 from narrakin.functions.text import _bank_word_runs
 from narrakin.operators.topk import lsh_tables
 from narrakin.options import MatchOptions
@@ -166,10 +167,19 @@ def _weights(grams: str) -> str:
       FROM {grams} g LEFT JOIN df d USING (gram), n_texts n)"""
 
 
+def _cut(pairs: str) -> str:
+    """Pairs with the sorted words of a and b, those that both have, and those that one has alone."""
+    sort = "array_to_string(list_sort({}), ' ')"
+    return f"""SELECT *, length(shared) AS ns, length(da) AS na, length(db) AS nb
+      FROM (SELECT *, {sort.format("ta")} AS sa, {sort.format("tb")} AS sb,
+                   {sort.format("list_filter(ta, lambda w: NOT list_contains(tb, w))")} AS da,
+                   {sort.format("list_filter(tb, lambda w: NOT list_contains(ta, w))")} AS db,
+                   {sort.format("list_filter(ta, lambda w: list_contains(tb, w))")} AS shared
+            FROM (SELECT *, list_distinct({_words("a")}) AS ta, list_distinct({_words("b")}) AS tb FROM {pairs}))"""
+
+
 def _ratios(pairs: str) -> str:
     """Pairs with every ratio of the columns a and b."""
-    sort = "array_to_string(list_sort({}), ' ')"
-    ta, tb = _words("a"), _words("b")
     return f"""SELECT *,
       {_ratio('a', 'b', 'm_ab')} AS ratio,
       CASE WHEN a = '' AND b = '' THEN 100.0::DOUBLE WHEN a = '' OR b = '' THEN 0.0::DOUBLE
@@ -185,13 +195,36 @@ def _ratios(pairs: str) -> str:
              100.0::DOUBLE * (2 * ns + 1 + nb - (1 + nb)) / (2 * ns + 1 + nb))
            ELSE 100.0::DOUBLE * (na + nb - (na + nb - 2 * l_own)) / (na + nb) END AS token_set_ratio
     FROM (SELECT *, {_masks('a', 'b')} AS m_ab, {_masks('b', 'a')} AS m_ba, {_masks('sa', 'sb')} AS m_sorted,
-                 {_lcs('length(da)', _masks('da', 'db'))} AS l_own,
-                 length(shared) AS ns, length(da) AS na, length(db) AS nb
-          FROM (SELECT *, {sort.format(ta)} AS sa, {sort.format(tb)} AS sb,
-                       {sort.format("list_filter(ta, lambda w: NOT list_contains(tb, w))")} AS da,
-                       {sort.format("list_filter(tb, lambda w: NOT list_contains(ta, w))")} AS db,
-                       {sort.format("list_filter(ta, lambda w: list_contains(tb, w))")} AS shared
-                FROM (SELECT *, list_distinct({ta}) AS ta, list_distinct({tb}) AS tb FROM {pairs})))"""
+                 {_lcs('length(da)', _masks('da', 'db'))} AS l_own
+          FROM ({_cut(pairs)}))"""
+
+
+def _common(a: str, b: str) -> str:
+    """The most characters two texts can have in common: letter by letter, all others together."""
+    count = "length({0}) - length(replace({0}, x, ''))"
+    each = f"list_transform({_list([*COUNTED])}, lambda x: least({count.format(a)}, {count.format(b)}))"
+    other = f"length(translate({{0}}, '{COUNTED}', ''))"
+    return f"(CAST(list_sum({each}) AS BIGINT) + least({other.format(a)}, {other.format(b)}))"
+
+
+def _bounds(pairs: str) -> str:
+    """Pairs with the least and greatest fuzzy score that their letters and words allow."""
+    share = lambda common, total: f"CASE WHEN {total} = 0 THEN 100.0::DOUBLE ELSE 200.0::DOUBLE * {common} / ({total}) END"
+    short = "least(length(a), length(b))"
+    by_words = lambda common: f"""CASE WHEN len(ta) = 0 OR len(tb) = 0 THEN 0.0::DOUBLE
+           WHEN ns > 0 AND (na = 0 OR nb = 0) THEN 100.0::DOUBLE
+           WHEN ns > 0 THEN greatest(
+             100.0::DOUBLE * (2 * ns + 2 + 2 * {common}) / (2 * ns + 2 + na + nb),
+             100.0::DOUBLE * (2 * ns) / (2 * ns + 1 + na), 100.0::DOUBLE * (2 * ns) / (2 * ns + 1 + nb))
+           ELSE 100.0::DOUBLE * (2 * {common}) / (na + nb) END"""
+    return f"""SELECT *, {by_words('0')} AS fuzzy_low, greatest(
+        {share(f'least(m, {short})', 'length(a) + length(b)')},
+        CASE WHEN a = '' AND b = '' THEN 100.0::DOUBLE WHEN a = '' OR b = '' THEN 0.0::DOUBLE
+             ELSE 200.0::DOUBLE * least(m, {short}) / ({short} + least(m, {short})) END,
+        {share('least(m_sorted, length(sa), length(sb))', 'length(sa) + length(sb)')},
+        {by_words('least(m_own, na, nb)')}) AS fuzzy_high
+    FROM (SELECT *, {_common('a', 'b')} AS m, {_common('sa', 'sb')} AS m_sorted, {_common('da', 'db')} AS m_own
+          FROM ({_cut(pairs)}))"""
 
 
 FUZZY = "greatest(ratio, partial_ratio, token_sort_ratio, token_set_ratio)"
@@ -454,6 +487,21 @@ ORACLES = {
             FROM (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings) q,
                  (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings) k)
       WHERE similarity >= {FLOOR}::DOUBLE) WHERE rank <= {MATCHES}""",
+    "topk_probed": f"""WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
+    near AS (
+      SELECT v.vec_id, c.vec_id AS cell, list_cosine_similarity(v.e, c.e) AS raw, round(list_cosine_similarity(v.e, c.e), 9) AS s
+      FROM v JOIN v c ON c.vec_id % 40 = 0),
+    home AS (SELECT vec_id, cell, acos(greatest(-1.0, least(1.0, raw))) AS away FROM near
+      QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY s DESC, cell) = 1),
+    radii AS (SELECT cell, max(away) AS radius FROM home GROUP BY cell),
+    probed AS (SELECT vec_id AS txn_id, cell FROM near JOIN radii USING (cell)
+      WHERE cos(greatest(0.0, acos(greatest(-1.0, least(1.0, raw))) - radius)) >= {FLOOR}::DOUBLE - 1e-9
+      QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY s DESC, cell) <= 4),
+    found AS (
+      SELECT txn_id, home.vec_id AS company_id, round(list_cosine_similarity(q.e, k.e), 9) AS similarity
+      FROM probed JOIN home USING (cell) JOIN v q ON q.vec_id = txn_id JOIN v k ON k.vec_id = home.vec_id)
+    SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY txn_id ORDER BY similarity DESC, company_id) AS INTEGER) AS rank
+      FROM found WHERE similarity >= {FLOOR}::DOUBLE) WHERE rank <= {MATCHES}""",
     "candidates_enriched": sql("""SELECT match_text, company_id, similarity, rank, company_name, company_text
       FROM enriched""", "enriched"),
     "score_tiers": sql(f"""SELECT txn_id, similarity, fuzzy_score, city_boost, base_score, {FINAL} AS final_score
@@ -461,6 +509,17 @@ ORACLES = {
         SELECT r.txn_id, coalesce(k.similarity, 0.0::DOUBLE) AS similarity, {FUZZY} AS fuzzy_score, b.city_boost
         FROM true_ratios r JOIN true_boost b USING (txn_id) LEFT JOIN candidates k USING (match_text, company_id)))""",
                        "true_ratios", "true_boost", "candidates"),
+    "fuzzy_bounds": sql("SELECT txn_id, fuzzy_low, fuzzy_high FROM (" + _bounds("true_pairs") + ")", "true_pairs"),
+    "contenders": sql(f"""WITH bounded AS ({_bounds("pairs")}),
+      low AS (SELECT match_text, company_id, {FINAL} AS low FROM (SELECT *, {BASE} AS base_score, 0.0::DOUBLE AS city_boost
+        FROM (SELECT *, fuzzy_low AS fuzzy_score FROM bounded))),
+      high AS (SELECT match_text, company_id, {FINAL} AS high FROM (SELECT *, {BASE} AS base_score, 3.0::DOUBLE AS city_boost
+        FROM (SELECT *, fuzzy_high AS fuzzy_score FROM bounded)))
+      SELECT match_text, count(*) AS candidates, count(*) FILTER (high >= reached - 1e-6) AS scored
+      FROM (SELECT *, max(low) OVER (PARTITION BY match_text) AS reached FROM low JOIN high USING (match_text, company_id))
+      GROUP BY match_text""".replace("WITH bounded", ", bounded", 1), "pairs"),
+    "location_runs": sql(f"""SELECT location, count(*) AS n, count(DISTINCT txn_id % 2) AS runs
+      FROM (SELECT txn_id, unnest(list_distinct({_suffixed('loc_text')})) AS location FROM t) GROUP BY location""", "t"),
     "best_match": sql("""SELECT txn_id, company_id, company_name, final_score FROM results
       WHERE company_id IS NOT NULL""", "results"),
     "no_match": sql("""SELECT txn_id, final_score, txn_cities, company_cities, detected_company_name FROM results
@@ -490,6 +549,12 @@ ORACLES = {
       FROM companies""", "companies"),
     "csv_roundtrip": sql("""SELECT CAST(txn_id AS VARCHAR) AS txn_id, CAST(amount AS VARCHAR) AS amount, narration
       FROM narrations""", "narrations"),
+    "rejected_rows": sql("""SELECT CASE WHEN line = '' THEN CAST(txn_id AS VARCHAR) ELSE '' END AS txn_id,
+        CASE WHEN line = '' THEN day ELSE '' END AS txn_date, CASE WHEN line = '' THEN narration ELSE '' END AS narration, line
+      FROM (SELECT txn_id, day, narration, CASE txn_id % 50 WHEN 0 THEN txn_id || ',' || narration
+            WHEN 1 THEN txn_id || ',' || day || ',' || narration || ',more' ELSE '' END AS line
+        FROM (SELECT o.o_orderkey AS txn_id, CAST(CAST(o.o_orderdate AS DATE) AS VARCHAR) AS day, n.narration
+              FROM narrations n JOIN orders o ON o.o_orderkey = n.txn_id))""", "narrations"),
     "resolve_columns": """SELECT 'part' AS table_name, 'Memo' AS narration_column, 'p_partkey' AS company_column,
         count(p_name) AS filled FROM part
       UNION ALL SELECT 'customer', 'Details', 'c_custkey', count(c_name) FROM customer
@@ -499,3 +564,7 @@ ORACLES = {
       FROM c JOIN cities USING (loc_text)""", "c", "cities"),
     "topk_lsh": _lsh_sql(),
 }
+
+ORACLES["topk_dense_cells"] = ORACLES["topk_dense"]
+ORACLES["run_files_summary"] = ORACLES["run_summary"]
+ORACLES["index_after_changes"] = ORACLES["topk_sparse"].replace("FROM customer", "FROM customer WHERE c_custkey % 7 <> 3")

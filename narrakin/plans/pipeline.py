@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from narrakin.operators import fuzzy, locations, ranking, topk, vectors
+from narrakin.operators import cells, fuzzy, locations, ranking, topk, vectors
 from narrakin.operators.preprocess import preprocess_companies, preprocess_narrations
 from narrakin.operators.skew import company_join, fan_out_join
 from narrakin.options import MatchOptions
@@ -31,15 +32,16 @@ class CompanyIndex:
     n_companies: int
     company_bytes: int
     vectors: DataFrame | None = None
+    cells: cells.CellIndex | None = None
 
 
 def _sized(companies: DataFrame, members: DataFrame, frequencies: DataFrame, packed: DataFrame,
-           dense: DataFrame | None) -> CompanyIndex:
+           dense: DataFrame | None, placed: cells.CellIndex | None = None) -> CompanyIndex:
     sparse = packed.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.size("grams")), F.lit(0)).alias("p")).first()
     width = sum(F.octet_length(c) for c in ("original_name", "match_text", "loc_text")) + 64
     table = companies.agg(F.count("*").alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("b")).first()
     return CompanyIndex(companies, members, frequencies, packed, sparse["n"], frequencies.count(),
-                        sparse["p"], table["n"], table["b"], dense)
+                        sparse["p"], table["n"], table["b"], dense, placed)
 
 
 def build_company_index(companies: DataFrame, opts: MatchOptions = MatchOptions(),
@@ -60,21 +62,104 @@ def build_company_index(companies: DataFrame, opts: MatchOptions = MatchOptions(
     if id_col is None:
         companies, id_col = files.with_ordinal(companies, [text_col]), "company_id"
     files.remove(spark, f"{path}/manifest")
+    for stale in ("versions", "cells", "vectors"):
+        files.remove(spark, f"{path}/{stale}")
     table = settle(preprocess_companies(companies, id_col, text_col, opts), "companies-plain")
     _, cities = find_locations([table], opts, gazetteer=gazetteer)
     table = settle(with_cities(table, cities, "company_id"), "companies", f"{path}/companies")
     texts, members = topk.company_texts(table)
     members = settle(members, "members", f"{path}/members")
     texts = settle(texts, "texts", f"{path}/texts")
-    counts = vectors.gram_counts(spread(texts, "match_text"))
-    frequencies = settle(vectors.gram_frequencies(counts), "frequencies", f"{path}/frequencies")
-    rows = vectors.tfidf(counts, frequencies, frequencies.count(), texts.count())
-    packed = settle(vectors.pack(rows).join(texts, "match_text").drop("match_text"), "packed", f"{path}/packed")
-    dense = None
-    if vectors_table is not None:
-        dense = settle(vectors_table.select("company_id", "vector"), "vectors", f"{path}/vectors")
+    frequencies = settle(vectors.gram_frequencies(vectors.gram_counts(spread(texts, "match_text"))), "frequencies", f"{path}/frequencies")
+    packed = settle(_weighed(texts, frequencies), "packed", f"{path}/packed")
+    dense, placed = _placed_vectors(vectors_table, opts, path)
     settle(made_of, "manifest", f"{path}/manifest")
-    return _sized(table, members, frequencies, packed, dense)
+    return _sized(table, members, frequencies, packed, dense, placed)
+
+
+def _weighed(texts: DataFrame, frequencies: DataFrame) -> DataFrame:
+    """Packed sparse vectors of company texts, by target."""
+    rows = vectors.tfidf(vectors.gram_counts(spread(texts, "match_text")), frequencies, frequencies.count(), texts.count())
+    return vectors.pack(rows).join(texts, "match_text").drop("match_text")
+
+
+def _placed_vectors(vectors_table: DataFrame | None, opts: MatchOptions, folder: str) -> tuple[DataFrame | None, cells.CellIndex | None]:
+    """Supplied vectors stored below a folder, and in cells if they are many or probed."""
+    if vectors_table is None:
+        return None, None
+    dense = settle(vectors_table.select("company_id", "vector"), "vectors", f"{folder}/vectors")
+    by_cells = opts.search == "probed" or topk.dense_numbers(dense) > opts.dense_numbers
+    return dense, cells.build_cells(dense, path=f"{folder}/cells") if by_cells else None
+
+
+def change_company_index(spark: SparkSession, path: str, opts: MatchOptions = MatchOptions(), added: DataFrame | None = None,
+                         withdrawn: DataFrame | None = None, id_col: str = "company_id", text_col: str = "company_name",
+                         added_vectors: DataFrame | None = None, gazetteer: DataFrame | None = None) -> CompanyIndex:
+    """Add companies to stored tables and withdraw others, without their source.
+
+    ``withdrawn`` has the ids in ``id_col``; an added id that is already there replaces it. The
+    outcome is that of building anew with the companies that are left. Only texts that a company
+    joins or leaves are numbered anew, and piece frequencies change by those that appear or vanish;
+    weights depend on the number of texts and are worked out again only if that, or a frequency,
+    has changed. Each change is a version of its own below the path; the last complete one counts,
+    so a change that breaks off leaves the one before it, which is kept until the next change.
+    """
+    ship_package(tune(spark))
+    path = path.rstrip("/")
+    last, folder = _version(spark, path)
+    new = f"{path}/versions/{last + 1}"
+    files.remove(spark, new)
+    read = lambda name: spark.read.parquet(f"{folder}/{name}")
+    companies, texts, members, frequencies = (read(name) for name in ("companies", "texts", "members", "frequencies"))
+    kind = companies.schema["company_id"].dataType
+    fresh = companies.drop("cities").limit(0) if added is None else preprocess_companies(added, id_col, text_col, opts).withColumn(
+        "company_id", F.col("company_id").cast(kind))
+    fresh = settle(fresh, "added")
+    gone = fresh.select("company_id")
+    if withdrawn is not None:
+        gone = gone.unionByName(withdrawn.select(F.col(id_col).cast(kind).alias("company_id")))
+    gone = settle(gone.distinct(), "gone")
+    left = settle(companies.join(gone, "company_id", "left_semi"), "left")
+    live = settle(companies.join(gone, "company_id", "left_anti").drop("cities").unionByName(fresh), "live")
+    _, cities = find_locations([live], opts, gazetteer=gazetteer)
+    table = settle(with_cities(live, cities, "company_id"), "companies", f"{new}/companies")
+    touched = settle(left.select("match_text").unionByName(fresh.select("match_text")).distinct(), "touched")
+    before = settle(texts.join(touched, "match_text", "left_semi"), "before")
+    now, its_members = topk.company_texts(settle(live.join(touched, "match_text", "left_semi"), "touched-companies"))
+    now = settle(now, "now")
+    members = settle(members.join(before.select("target"), "target", "left_anti").unionByName(its_members), "members", f"{new}/members")
+    texts = settle(texts.join(touched, "match_text", "left_anti").unionByName(now), "texts", f"{new}/texts")
+    shift = lambda some, sign: vectors.gram_frequencies(vectors.gram_counts(some)).select("gram", (F.col("df") * sign).alias("df"))
+    appeared, vanished = now.join(before, "match_text", "left_anti"), before.join(now, "match_text", "left_anti")
+    same_texts = appeared.isEmpty() and vanished.isEmpty()
+    if not same_texts:
+        frequencies = frequencies.unionByName(shift(appeared, 1)).unionByName(shift(vanished, -1)).groupBy("gram").agg(
+            F.sum("df").alias("df")).filter(F.col("df") > 0)
+    frequencies = settle(frequencies, "frequencies", f"{new}/frequencies")
+    if same_texts:
+        renamed = before.join(now.withColumnRenamed("target", "now"), "match_text").select("target", "now")
+        packed = read("packed").join(renamed, "target", "left").withColumn("target", F.coalesce("now", "target")).drop("now")
+    else:
+        packed = _weighed(texts, frequencies)
+    packed = settle(packed, "packed", f"{new}/packed")
+    dense = None
+    if files.path_exists(spark, f"{folder}/vectors/_SUCCESS"):
+        dense = read("vectors").join(gone, "company_id", "left_anti")
+        if added_vectors is not None:
+            dense = dense.unionByName(added_vectors.select(F.col("company_id").cast(kind).alias("company_id"), F.col("vector").cast(dense.schema["vector"].dataType).alias("vector")))
+    dense, placed = _placed_vectors(dense, opts, new)
+    settle(spark.createDataFrame([(last + 1,)], "version long"), "complete", f"{new}/complete")
+    if last > 1:
+        files.remove(spark, f"{path}/versions/{last - 1}")
+    return _sized(table, members, frequencies, packed, dense, placed)
+
+
+def _version(spark: SparkSession, path: str) -> tuple[int, str]:
+    """Number and folder of the last complete version of stored company tables; 0 is the first one, as built."""
+    if not files.path_exists(spark, f"{path}/manifest/_SUCCESS"):
+        raise ValueError(f"{path} holds no complete company tables")
+    complete = [n for n in map(int, files.folders(spark, f"{path}/versions")) if files.path_exists(spark, f"{path}/versions/{n}/complete/_SUCCESS")]
+    return (max(complete), f"{path}/versions/{max(complete)}") if complete else (0, path)
 
 
 def manifest(companies: DataFrame, opts: MatchOptions, id_col: str | None, text_col: str,
@@ -110,13 +195,11 @@ def stored_index_fits(spark: SparkSession, path: str, opts: MatchOptions, wanted
 def load_company_index(spark: SparkSession, path: str) -> CompanyIndex:
     """Company tables stored by build_company_index."""
     ship_package(tune(spark))
-    path = path.rstrip("/")
-    if not files.path_exists(spark, f"{path}/manifest/_SUCCESS"):
-        raise ValueError(f"{path} holds no complete company tables")
-    dense = f"{path}/vectors"
-    return _sized(files.read_companies(spark, f"{path}/companies"),
-                  *[spark.read.parquet(f"{path}/{t}") for t in ("members", "frequencies", "packed")],
-                  spark.read.parquet(dense) if spark.read.parquet(f"{path}/manifest").first().n_vectors >= 0 else None)
+    _, path = _version(spark, path.rstrip("/"))
+    read = lambda name: spark.read.parquet(f"{path}/{name}")
+    dense = read("vectors") if files.path_exists(spark, f"{path}/vectors/_SUCCESS") else None
+    placed = cells.load_cells(spark, f"{path}/cells") if files.path_exists(spark, f"{path}/cells/rows/_SUCCESS") else None
+    return _sized(files.read_companies(spark, f"{path}/companies"), read("members"), read("frequencies"), read("packed"), dense, placed)
 
 
 def query_vectors(texts: DataFrame, index: CompanyIndex) -> DataFrame:
@@ -133,13 +216,31 @@ def sparse_candidates(texts: DataFrame, index: CompanyIndex, opts: MatchOptions)
 
 
 def vector_candidates(queries: DataFrame, index: CompanyIndex, opts: MatchOptions) -> tuple[DataFrame, str]:
-    """(txn_id, company_id, similarity, rank) from supplied vectors, and the search used."""
-    queries = settle(queries, "query-vectors")
-    k, floor = opts.max_candidates, opts.similarity_floor
+    """(txn_id, company_id, similarity, rank) from supplied vectors, and the search used.
+
+    Each distinct vector is searched once; its companies are joined back to the narrations.
+    """
+    queries = settle(queries.filter(F.col("vector").isNotNull()), "query-vectors")
+    counts = settle(queries.groupBy("vector").agg(F.count("*").alias("n_rows")).withColumn("query", F.monotonically_increasing_id()), "distinct-vectors")
+    found, used = _search_vectors(counts.select("query", "vector"), index, opts)
+    named = found.join(counts.select("query", "vector"), "query").select("vector", "company_id", "similarity", "rank")
+    back = fan_out_join(queries, named, counts.drop("query"), ["vector"], ["txn_id"], "inner")
+    return back.select("txn_id", "company_id", "similarity", "rank"), used
+
+
+def _search_vectors(queries: DataFrame, index: CompanyIndex, opts: MatchOptions) -> tuple[DataFrame, str]:
+    """(query, company_id, similarity, rank) by the search the options name, and its name."""
+    k, floor, key = opts.max_candidates, opts.similarity_floor, "query"
     if opts.search == "lsh":
         tables = opts.lsh_tables or topk.lsh_tables(opts.lsh_bits, floor, opts.lsh_recall)
-        return topk.lsh_topk(queries, index.vectors, k, floor, tables, opts.lsh_bits, opts.lsh_seed), "lsh"
-    return topk.dense_topk(queries, index.vectors, k, floor), "exact"
+        return topk.lsh_topk(queries, index.vectors, k, floor, tables, opts.lsh_bits, opts.lsh_seed, key), "lsh"
+    if opts.search != "probed" and index.cells is None:
+        return topk.dense_topk(queries, index.vectors, k, floor, key, numbers=opts.dense_numbers), "exact"
+    placed = index.cells or cells.build_cells(index.vectors)
+    if opts.search == "probed":
+        probes = opts.probes or cells.probes_for(placed, opts.probe_recall, k, floor)
+        return cells.probed_topk(queries, placed, k, floor, probes, key).withColumnRenamed("target", "company_id"), "probed"
+    return cells.cell_topk(queries, placed, k, floor, key).withColumnRenamed("target", "company_id"), "exact"
 
 
 def attach_companies(candidates: DataFrame, index: CompanyIndex, company_cities: DataFrame | None = None,
@@ -167,6 +268,11 @@ def fuzzy_pairs(pairs: DataFrame, salt_on: str) -> DataFrame:
     return fan_out_join(pairs, scored, counts, texts, [salt_on])
 
 
+def _contenders(pairs: DataFrame, keys: list[str], opts: MatchOptions) -> DataFrame:
+    """Candidates whose bounds let them win, which are the only ones worth scoring."""
+    return ranking.contenders(fuzzy.with_bounds(pairs, "match_text", "company_text"), keys, opts)
+
+
 def find_locations(texts: list[DataFrame], opts: MatchOptions, prior: DataFrame | None = None,
                    gazetteer: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Dictionary of all discovered locations, then the cities of every location text."""
@@ -182,6 +288,7 @@ def find_locations(texts: list[DataFrame], opts: MatchOptions, prior: DataFrame
 class MatchRun:
     results: DataFrame
     locations: DataFrame
+    mentions: DataFrame
 
 
 _KEY = ["_id", "_no_id"]
@@ -203,7 +310,7 @@ def match_transactions(txns: DataFrame, index: CompanyIndex, opts: MatchOptions
     Equal narrations are scored once. With ``txn_vectors`` (txn_id, vector) the
     candidates come from the vectors, narration by narration.
     """
-    if opts.search in ("exact", "lsh") and txn_vectors is None:
+    if opts.search in ("exact", "lsh", "probed") and txn_vectors is None:
         raise ValueError(f"search={opts.search!r} needs txn_vectors")
     if txn_vectors is not None and opts.search != "sparse" and index.vectors is None:
         raise ValueError("the company index was built without vectors_table")
@@ -221,13 +328,13 @@ def match_transactions(txns: DataFrame, index: CompanyIndex, opts: MatchOptions
     if by_vector:
         candidates, backend = vector_candidates(txn_vectors, index, opts)
         named = _keyed(candidates).drop("txn_id").join(mentions.select(*_KEY, "match_text"), _KEY)
-        pairs = fuzzy_pairs(attach_companies(named, index, cities, _KEY[0]), _KEY[0])
         join_on = [*_KEY, "match_text"]
+        pairs = fuzzy_pairs(_contenders(attach_companies(named, index, cities, _KEY[0]), join_on, opts), _KEY[0])
     else:
         candidates, backend = sparse_candidates(mentions, index, opts), "sparse"
-        pairs = fuzzy.with_fuzzy_score(
-            attach_companies(candidates, index, cities), "match_text", "company_text")
         join_on = ["match_text"]
+        pairs = fuzzy.with_fuzzy_score(
+            _contenders(attach_companies(candidates, index, cities), join_on, opts), "match_text", "company_text")
     placed = settle(with_cities(mentions.drop("n_rows"), cities, keys[0]), "placed")
     scored = placed.join(pairs, join_on).withColumn(
         "city_boost", locations.city_boost(F.col("cities"), F.col("company_cities")))
@@ -240,41 +347,83 @@ def match_transactions(txns: DataFrame, index: CompanyIndex, opts: MatchOptions
         taken = {c.lower() for c in results.columns}
         more = [c for c in txns.columns if c.lower() not in taken and c not in (text_col, txn_id)]
         results = results.select("*", *[F.col("_input").getField(c).alias(c) for c in more]).drop("_input")
-    return MatchRun(results, dictionary)
+    return MatchRun(results, dictionary, mentions)
+
 
+def finish(run: MatchRun, opts: MatchOptions, observed: Observation | None = None) -> DataFrame:
+    """Chosen columns, sorted if asked for.
 
-def finish(run: MatchRun, opts: MatchOptions) -> DataFrame:
-    """Chosen columns, sorted if asked for."""
-    shown = ranking.project(run.results, opts)
-    return ranking.sort_by_score(shown) if opts.sort_by_score else shown
+    An observation gets the counts of the summary while the rows are written. It stands after the
+    sort, which reads its input twice.
+    """
+    seen = [F.col("company_name").alias("_company"), F.col("final_score").alias("_score")] if observed else []
+    shown = ranking.project(run.results, opts, ("txn_id", "company_id"), *seen)
+    shown = ranking.sort_by_score(shown) if opts.sort_by_score else shown
+    if observed is None:
+        return shown
+    return shown.observe(observed, *ranking.summary_counts(F.col("_company"), F.col("_score"))).drop("_company", "_score")
+
+
+@dataclass(frozen=True)
+class RunOutcome:
+    """Where the results of a run lie, and what was counted while they were written."""
+
+    path: str
+    summary: dict[str, int]
+
+
+def _read(spark: SparkSession, path: str, rejects: list[DataFrame] | None) -> DataFrame:
+    """A table; rows of a CSV that have too few or too many fields go to the rejects, if these are asked for."""
+    if rejects is None or not path.lower().endswith(".csv"):
+        return files.read_table(spark, path)
+    good, bad = files.read_csv_apart(spark, path)
+    rejects.append(bad.select(F.lit(path).alias("source"), "file", "line"))
+    return good
 
 
 def run(spark: SparkSession, companies_path: str, transactions_path: str, results_path: str,
         opts: MatchOptions = MatchOptions(), index_path: str | None = None,
         locations_path: str | None = None, company_id: str | None = None,
         txn_id: str | None = None, gazetteer: DataFrame | None = None,
-        vectors_table: DataFrame | None = None, txn_vectors: DataFrame | None = None) -> str:
+        vectors_table: DataFrame | None = None, txn_vectors: DataFrame | None = None,
+        rejects_path: str | None = None, run_id: str | None = None) -> RunOutcome:
     """Whole run over files: stored company tables and known locations are reused.
 
     Stored tables that are not complete, or were made with other options or of other companies or
     vectors, are made anew; they are taken as they are if the company file is no longer there.
+    Rows of CSV files with too few or too many fields are written to ``rejects_path`` as (source,
+    file, line) and left out, if it is given. The summary is counted while the results are written.
+    With ``run_id`` the locations path is a folder that keeps what each run found: earlier runs are
+    known before, and a run done again takes its own place.
     Scratch tables are deleted at the end.
     """
+    rejects = None if rejects_path is None else []
     with temporary_tables(spark):
         source = wanted = None
         if files.path_exists(spark, companies_path):
-            source = files.read_table(spark, companies_path)
+            source = _read(spark, companies_path, rejects)
             text_col = files.company_text_column(source, opts.company_column)
             wanted = manifest(source, opts, company_id, text_col, vectors_table) if index_path else None
         if index_path and stored_index_fits(spark, index_path, opts, wanted):
             index = load_company_index(spark, index_path)
         else:
-            source = source if source is not None else files.read_table(spark, companies_path)
+            source = source if source is not None else _read(spark, companies_path, rejects)
             index = build_company_index(source, opts, company_id, vectors_table=vectors_table, path=index_path, gazetteer=gazetteer)
-        prior = files.read_locations(spark, locations_path) if locations_path else None
-        done = match_transactions(files.read_table(spark, transactions_path), index, opts, txn_id,
-                                  prior_locations=prior, gazetteer=gazetteer, txn_vectors=txn_vectors)
-        files.write_results(finish(done, opts), results_path)
+        prior = None
         if locations_path:
+            prior = files.read_location_runs(spark, locations_path, run_id) if run_id else files.read_locations(spark, locations_path)
+        done = match_transactions(_read(spark, transactions_path, rejects), index, opts, txn_id,
+                                  prior_locations=prior, gazetteer=gazetteer, txn_vectors=txn_vectors)
+        observed = Observation("results")
+        files.write_results(finish(done, opts, observed), results_path)
+        summary = {**observed.get, "discovered_locations": done.locations.count()}
+        if rejects:
+            counted = Observation("rejects")
+            reduce(DataFrame.unionByName, rejects).observe(counted, F.count(F.lit(1)).alias("rejected_rows")).write.mode("overwrite").parquet(rejects_path)
+            summary |= counted.get
+        if locations_path and run_id:
+            shown = done.mentions.select("loc_text", "n_rows").unionByName(index.companies.select("loc_text", F.lit(1).cast("long").alias("n_rows")))
+            files.add_location_run(locations.location_counts(shown, F.col("n_rows"), gazetteer), locations_path, run_id)
+        elif locations_path:
             files.write_locations(done.locations, locations_path)
-    return results_path
+    return RunOutcome(results_path, summary)

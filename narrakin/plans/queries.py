@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from narrakin.functions import places, text
-from narrakin.operators import fuzzy, locations, ranking, topk, vectors
+from narrakin.operators import cells, fuzzy, locations, ranking, topk, vectors
 from narrakin.operators.preprocess import preprocess_companies, preprocess_narrations
 from narrakin.options import MatchOptions
 from narrakin.plans import fixtures, pipeline
@@ -142,6 +142,15 @@ def location_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return files.read_locations(spark, path)
 
 
+def location_runs(spark: SparkSession, sf: str) -> DataFrame:
+    """A dictionary kept between runs: two halves of the narrations, the first of them done twice."""
+    path = scratch_path(spark, "location-runs")
+    rows = settle(_ready_narrations(spark, sf).select("txn_id", "loc_text"), "loc-texts")
+    for run_id, half in (("even", 0), ("odd", 1), ("even", 0)):
+        files.add_location_run(locations.location_counts(rows.where(F.col("txn_id") % 2 == half), F.lit(1)), path, run_id)
+    return files.read_location_runs(spark, path)
+
+
 def discovered_lookup(spark: SparkSession, sf: str) -> DataFrame:
     texts = settle(_location_texts(spark, sf), "location-texts")
     hits = locations.dictionary_hits(texts, locations.location_dictionary(texts))
@@ -238,6 +247,38 @@ def topk_dense(spark: SparkSession, sf: str) -> DataFrame:
                            OPTS.max_candidates, OPTS.similarity_floor)
 
 
+def topk_dense_cells(spark: SparkSession, sf: str) -> DataFrame:
+    """The same search by way of cells, as for a company side of any size."""
+    return topk.dense_topk(_vectors(spark, sf, "txn_id"), _vectors(spark, sf, "company_id"),
+                           OPTS.max_candidates, OPTS.similarity_floor, numbers=0)
+
+
+def _given_cells(spark: SparkSession, sf: str) -> cells.CellIndex:
+    """Cells around given centres: every fortieth vector, with the vectors that are nearest to it."""
+    return cells.cells_around(_vectors(spark, sf, "company_id"), _vectors(spark, sf, "cell").where("cell % 40 = 0"))
+
+
+def topk_probed(spark: SparkSession, sf: str) -> DataFrame:
+    """The best among the vectors of the four cells nearest to each query, around given centres."""
+    found = cells.probed_topk(_vectors(spark, sf, "txn_id"), _given_cells(spark, sf), OPTS.max_candidates, OPTS.similarity_floor, 4)
+    return found.withColumnRenamed("target", "company_id").select("txn_id", "company_id", "similarity", "rank")
+
+
+def topk_probed_recall(spark: SparkSession, sf: str) -> DataFrame:
+    """Share of the exact neighbours that the stated recall of 0.9 finds, and the share of all pairs compared."""
+    queries = _vectors(spark, sf, "txn_id")
+    index = cells.build_cells(_vectors(spark, sf, "company_id"), cell_rows=64)
+    k, floor = OPTS.max_candidates, OPTS.similarity_floor
+    compared, tried = [], []
+    truth = cells.cell_topk(queries, index, k, floor, compared=compared)
+    probes = cells.probes_for(index, OPTS.probe_recall, k, floor)
+    found = cells.probed_topk(queries, index, k, floor, probes, compared=tried)
+    pairs = queries.count() ** 2
+    hit = truth.join(found.select("txn_id", "target", F.lit(1).alias("hit")), ["txn_id", "target"], "left")
+    return hit.agg((F.count("hit") / F.count("*")).alias("recall")).select(
+        "recall", F.lit(probes).alias("probes"), F.lit(sum(tried) / pairs).alias("probed_share"), F.lit(sum(compared) / pairs).alias("exact_share"))
+
+
 def topk_lsh(spark: SparkSession, sf: str) -> DataFrame:
     tables = topk.lsh_tables(OPTS.lsh_bits, OPTS.similarity_floor, OPTS.lsh_recall)
     return topk.lsh_topk(_vectors(spark, sf, "txn_id"), _vectors(spark, sf, "company_id"), OPTS.max_candidates,
@@ -261,6 +302,20 @@ def score_tiers(spark: SparkSession, sf: str) -> DataFrame:
         "txn_id", "similarity", "fuzzy_score", "city_boost", "base_score", "final_score")
 
 
+def fuzzy_bounds(spark: SparkSession, sf: str) -> DataFrame:
+    """Bounds of the fuzzy score of every narration with the company it was made from."""
+    return fuzzy.with_bounds(_true_pairs(spark, sf), "match_text", "company_text").select("txn_id", "fuzzy_low", "fuzzy_high")
+
+
+def contenders(spark: SparkSession, sf: str) -> DataFrame:
+    """How many candidates each text has, and how many of them the bounds leave to be scored."""
+    index = _index(spark, sf)
+    found = settle(pipeline.attach_companies(pipeline.sparse_candidates(_query_texts(spark, sf), index, OPTS), index), "pairs")
+    left = ranking.contenders(fuzzy.with_bounds(found, "match_text", "company_text"), ["match_text"], OPTS)
+    scored = left.groupBy("match_text").agg(F.count("*").alias("scored"))
+    return found.groupBy("match_text").agg(F.count("*").alias("candidates")).join(scored, "match_text", "left")
+
+
 def _match(spark: SparkSession, sf: str, opts: MatchOptions = OPTS) -> pipeline.MatchRun:
     return pipeline.match_transactions(
         _narrations(spark, sf), _index(spark, sf, opts), opts, "txn_id", "narration")
@@ -384,6 +439,17 @@ def stored_index_wider_k(spark: SparkSession, sf: str) -> DataFrame:
         _query_texts(spark, sf), pipeline.load_company_index(spark, path), replace(OPTS, max_candidates=20))
 
 
+def index_after_changes(spark: SparkSession, sf: str) -> DataFrame:
+    """Candidates from stored company tables to which a fifth was added later, a seventh being withdrawn."""
+    path = scratch_path(spark, "index")
+    companies = _companies(spark, sf)
+    late = F.col("company_id") % 5 == 0
+    pipeline.build_company_index(companies.where(~late), OPTS, "company_id", "company_name", path=path)
+    pipeline.change_company_index(spark, path, OPTS, added=companies.where(late))
+    pipeline.change_company_index(spark, path, OPTS, withdrawn=companies.where("company_id % 7 = 3"))
+    return pipeline.sparse_candidates(_query_texts(spark, sf), pipeline.load_company_index(spark, path), OPTS)
+
+
 def run_files(spark: SparkSession, sf: str) -> DataFrame:
     """The whole run from CSV files to a CSV result, with all columns of the narration file."""
     base = scratch_path(spark, "run")
@@ -395,12 +461,37 @@ def run_files(spark: SparkSession, sf: str) -> DataFrame:
     out = pipeline.run(spark, f"{base}/companies.csv", f"{base}/transactions.csv", f"{base}/matches.csv",
                        opts, f"{base}/index", f"{base}/locations.txt", "company_id", "txn_id")
     number = lambda c, kind: F.col(c).cast(kind).alias(c)
-    return files.read_table(spark, out).select(
+    return files.read_table(spark, out.path).select(
         number("txn_id", "long"), F.coalesce(F.col("company_id").cast("long"), F.lit(-1)).alias("company_id"), "transaction_text",
         "company_name", *[number(c, "double") for c in ranking.SCORES], "backend_used",
         *[F.coalesce(c, F.lit("")).alias(c) for c in ("txn_cities", "company_cities", "detected_company_name")], "txn_date", "amount")
 
 
+def run_files_summary(spark: SparkSession, sf: str) -> DataFrame:
+    """The summary that a whole run over files counts while it writes the results."""
+    base = scratch_path(spark, "run")
+    files.write_results(_companies(spark, sf), f"{base}/companies.csv")
+    files.write_results(_narrations(spark, sf).select("txn_id", F.col("narration").alias("Narration")), f"{base}/transactions.csv")
+    opts = replace(OPTS, company_column=("company_name",), output_columns={"final_score": False})
+    out = pipeline.run(spark, f"{base}/companies.csv", f"{base}/transactions.csv", f"{base}/matches.csv", opts,
+                       company_id="company_id", txn_id="txn_id")
+    return spark.createDataFrame([out.summary], ", ".join(f"{name} long" for name in out.summary))
+
+
+def rejected_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Narrations through CSV files in which some lines have a field too few or too many."""
+    path = scratch_path(spark, "narrations") + ".csv"
+    lines = _narrations(spark, sf).withColumn("txn_date", F.to_date("txn_date").cast("string")).select(F.when(F.col("txn_id") % 50 == 0, F.concat_ws(",", "txn_id", "narration"))
+                                          .when(F.col("txn_id") % 50 == 1, F.concat_ws(",", "txn_id", "txn_date", "narration", F.lit("more")))
+                                          .otherwise(F.concat_ws(",", "txn_id", "txn_date", "narration")).alias("txn_id,txn_date,narration"))
+    lines.write.option("header", True).option("sep", "\u0001").csv(path)  # one column, whose commas part the fields
+    good, bad = files.read_csv_apart(spark, path)
+    none = F.lit(None).cast("string")
+    return good.withColumn("line", none).unionByName(bad.select(
+        *[none.alias(c) for c in ("txn_id", "txn_date", "narration")], "line")).select(
+            *[F.coalesce(c, F.lit("")).alias(c) for c in ("txn_id", "txn_date", "narration", "line")])
+
+
 def match_text_ids(spark: SparkSession, sf: str) -> DataFrame:
     """Ids that are text, through CSV files and the whole run."""
     base = scratch_path(spark, "run")
@@ -410,7 +501,7 @@ def match_text_ids(spark: SparkSession, sf: str) -> DataFrame:
     opts = replace(OPTS, company_column=("company_name",))
     out = pipeline.run(spark, f"{base}/companies.csv", f"{base}/transactions.csv", f"{base}/matches.csv", opts,
                        company_id="company_id", txn_id="txn_id")
-    return files.read_table(spark, out).select(
+    return files.read_table(spark, out.path).select(
         "txn_id", F.coalesce("company_id", F.lit("none")).alias("company_id"), "company_name", F.col("final_score").cast("double"))
 
 
@@ -433,6 +524,7 @@ QUERIES = {
     "major_cities": major_cities,
     "gazetteer_lookup": gazetteer_lookup,
     "named_locations": named_locations,
+    "location_runs": location_runs,
     "discovered_lookup": discovered_lookup,
     "location_dictionary": location_dictionary,
     "location_dictionary_learned": location_dictionary_learned,
@@ -450,9 +542,14 @@ QUERIES = {
     "topk_sparse": topk_sparse,
     "topk_sparse_joined": topk_sparse_joined,
     "topk_dense": topk_dense,
+    "topk_dense_cells": topk_dense_cells,
+    "topk_probed": topk_probed,
+    "topk_probed_recall": topk_probed_recall,
     "topk_lsh": topk_lsh,
     "candidates_enriched": candidates_enriched,
     "score_tiers": score_tiers,
+    "fuzzy_bounds": fuzzy_bounds,
+    "contenders": contenders,
     "best_match": best_match,
     "no_match": no_match,
     "ranked_results": ranked_results,
@@ -467,6 +564,9 @@ QUERIES = {
     "company_table_roundtrip": company_table_roundtrip,
     "stored_index": stored_index,
     "stored_index_wider_k": stored_index_wider_k,
+    "index_after_changes": index_after_changes,
     "run_files": run_files,
+    "run_files_summary": run_files_summary,
+    "rejected_rows": rejected_rows,
     "match_text_ids": match_text_ids,
 }

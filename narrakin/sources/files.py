@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,17 +13,42 @@ from narrakin.functions.lexicons import NARRATION_COLUMNS
 from narrakin.session import shared_dir
 
 
+def _csv_reader(spark: SparkSession, path: str, multi_line: bool) -> tuple[DataFrameReader, T.StructType]:
+    """A reader and the columns that the header of one file names, every column as text.
+
+    Files whose header differs are refused by name when they are read, unless the names
+    cannot be compared because some are empty or repeated.
+    """
+    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
+    names = reader.csv(path).columns
+    line = spark.read.option("escape", '"').option("multiLine", multi_line).csv(path).first()
+    plain = line is not None and [*line] == names
+    return reader.option("enforceSchema", not plain), T.StructType([T.StructField(name, T.StringType()) for name in names])
+
+
 def read_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """CSV with a header line, every column as text.
 
-    The header of one file decides the names, so a file of any size is read once.
-    Texts with line breaks need ``multi_line``, which reads each file in one task.
+    The header of one file decides the names, so a file of any size is read once; a file
+    with another header, or the columns in another order, fails with its name. Missing
+    fields of a row are null, fields beyond the header are left out. Texts with line breaks
+    need ``multi_line``, which reads each file in one task.
     """
-    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
-    schema = T.StructType([T.StructField(name, T.StringType()) for name in reader.csv(path).columns])
+    reader, schema = _csv_reader(spark, path, multi_line)
     return reader.schema(schema).csv(path)
 
 
+def read_csv_apart(spark: SparkSession, path: str, multi_line: bool = False) -> tuple[DataFrame, DataFrame]:
+    """The rows of a CSV that have as many fields as its header, and (file, line) of all others."""
+    reader, schema = _csv_reader(spark, path, multi_line)
+    line = "_line" if "_line" not in schema.names else f"_line_{len(schema)}"
+    rows = reader.schema(schema.add(line, T.StringType())).option("columnNameOfCorruptRecord", line).csv(path)
+    good = rows.filter(F.col(line).isNull()).drop(line)
+    # A plan that reads nothing but the set-aside line is refused, so the condition looks at a column as well.
+    whole = F.length(F.concat_ws("", F.col(f"`{schema.names[0]}`"), F.col(line))) >= 0
+    return good, rows.filter(F.col(line).isNotNull() & whole).select(F.col("_metadata.file_path").alias("file"), F.col(line).alias("line"))
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """CSV by its ending, otherwise Parquet; an unreadable path fails here."""
     return read_csv(spark, path) if path.lower().endswith(".csv") else spark.read.parquet(path)
@@ -102,6 +128,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
 
 
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders below a path, none if it is not there."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [s.getPath().getName() for s in system.listStatus(target) if s.isDirectory()] if system.exists(target) else []
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder that this package has written, if it is there."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
@@ -131,3 +164,20 @@ def read_locations(spark: SparkSession, path: str) -> DataFrame:
     line = F.trim("value")
     return (spark.read.text(path).select(line.alias("location"))
             .filter((F.col("location") != "") & ~F.col("location").startswith("#")).distinct())
+
+
+def add_location_run(counts: DataFrame, path: str, run_id: str) -> None:
+    """Keep what one run found, as (location, n), in a folder of its own; the same run again takes its place."""
+    if not re.fullmatch(r"[\w.-]+", run_id):
+        raise ValueError(f"a run id has letters, digits, dots, dashes and underscores only, not {run_id!r}")
+    counts.select("location", F.col("n").cast("long").alias("n")).write.mode("overwrite").parquet(f"{path}/run={run_id}")
+
+
+def read_location_runs(spark: SparkSession, path: str, without: str | None = None) -> DataFrame:
+    """Locations of all complete runs but one: location, n (rows that showed it), runs (how many found it)."""
+    runs = [name for name in folders(spark, path) if name.startswith("run=") and name != f"run={without}"
+            and path_exists(spark, f"{path}/{name}/_SUCCESS")]
+    if not runs:
+        return spark.createDataFrame([], "location string, n long, runs long")
+    found = spark.read.schema("location string, n long").parquet(*[f"{path}/{name}" for name in runs])
+    return found.groupBy("location").agg(F.sum("n").alias("n"), F.count("*").alias("runs"))

@@ -1,3 +1,5 @@
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -72,11 +74,64 @@ def test_run_over_files_reuses_tables_and_locations(spark):
     assert any(x.startswith("#") for x in lines) and "tirupur" in lines
     second = pipeline.run(spark, f"{base}/missing.csv", args[1], f"{base}/two.csv", opts, f"{base}/index",
                           f"{base}/places.txt", txn_id="Transaction_ID")
-    one, two = (files.read_table(spark, p) for p in (first, second))
+    one, two = (files.read_table(spark, p.path) for p in (first, second))
     assert "backend_used" not in one.columns
     assert sorted(map(tuple, one.collect()), key=str) == sorted(map(tuple, two.collect()), key=str)
 
 
+def test_summary_is_counted_while_results_are_written(spark):
+    base = scratch_path(spark, "summary-test")
+    files.write_results(spark.createDataFrame(COMPANIES[:3], "Company_ID long, Company_Name string"), f"{base}/c.csv")
+    files.write_results(spark.createDataFrame(NARRATIONS, "Transaction_ID long, Narration string"), f"{base}/t.csv")
+    opts = MatchOptions(company_column=("Company_Name",), output_columns={"final_score": False})
+    for sort in (True, False):
+        out = pipeline.run(spark, f"{base}/c.csv", f"{base}/t.csv", f"{base}/o.csv", replace(opts, sort_by_score=sort),
+                           company_id="Company_ID", txn_id="Transaction_ID")
+        shown = files.read_table(spark, out.path)
+        assert "final_score" not in shown.columns and "_score" not in shown.columns
+        assert out.summary["total_results"] == shown.count() == len(NARRATIONS)
+        assert out.summary["unmatched"] == shown.where("company_name = 'NO_MATCH'").count()
+        assert out.summary["matched"] == sum(out.summary[f"{tier}_scores"] for tier in ("high", "medium", "low"))
+
+
+def _files(spark, base, *texts):
+    for n, text in enumerate(texts):
+        spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(f"{base}/{n}")
+    return f"{base}/*"
+
+
+def test_rows_with_too_few_or_too_many_fields_are_set_aside(spark):
+    base = scratch_path(spark, "rejects-test")
+    path = _files(spark, base, 'id,name\n1,ALPHA FOODS\n2\n3,"B, C",x\n4,"D ""E"" F"\n5,')
+    good, bad = files.read_csv_apart(spark, path)
+    assert sorted(map(tuple, good.collect())) == [("1", "ALPHA FOODS"), ("4", 'D "E" F'), ("5", None)]
+    assert sorted(r["line"] for r in bad.collect()) == ["2", '3,"B, C",x'] and base.split("/")[-1] in bad.first()["file"]
+    kept = files.read_csv(spark, path)
+    assert sorted(map(tuple, kept.collect()), key=str) == [("1", "ALPHA FOODS"), ("2", None), ("3", "B, C"), ("4", 'D "E" F'), ("5", None)]
+
+
+def test_files_whose_header_differs_are_named(spark):
+    base = scratch_path(spark, "headers-test")
+    for other in ("name,id\nALPHA,1", "id,title\n1,ALPHA", "id,name,more\n1,ALPHA,x"):
+        path = _files(spark, f"{base}/{abs(hash(other))}", "id,name\n1,ALPHA\n2,BETA", other)
+        with pytest.raises(Exception, match="(?i)header"):
+            files.read_csv(spark, path).collect()
+    same = files.read_csv(spark, _files(spark, f"{base}/same", "id,name\n1,A", "id,name\n2,B"))
+    assert same.count() == 2
+    assert files.read_csv(spark, _files(spark, f"{base}/repeated", "id,id,\n1,A,B")).count() == 1
+    assert files.read_csv(spark, _files(spark, f"{base}/only", "id,name")).count() == 0
+
+
+def test_a_run_writes_what_it_rejects(spark):
+    base = scratch_path(spark, "rejecting-run")
+    for name, text in (("c.csv", "id,name\n1,ALPHA FOODS\n2,BETA MOTORS,x"), ("t.csv", "t,Narration\n1,NEFT/ALPHA FOODS\n2")):
+        spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(f"{base}/{name}")
+    out = pipeline.run(spark, f"{base}/c.csv", f"{base}/t.csv", f"{base}/o.csv", MatchOptions(company_column=("name",)), company_id="id",
+                       txn_id="t", rejects_path=f"{base}/rejects")
+    assert out.summary["rejected_rows"] == 2 and out.summary["total_results"] == 1
+    assert sorted(r["line"] for r in spark.read.parquet(f"{base}/rejects").collect()) == ["2", "2,BETA MOTORS,x"]
+
+
 def test_unreadable_input_fails(spark):
     with pytest.raises(Exception):
         files.read_table(spark, "/nonexistent/companies.csv")
@@ -179,7 +234,7 @@ def test_stale_and_half_written_indexes_are_made_anew(spark):
     files.write_results(spark.createDataFrame([(1, "BETA MOTORS")], "t long, Narration string"), f"{base}/t.csv")
     opts = MatchOptions(company_column=("name",))
     out = pipeline.run(spark, f"{base}/c.csv", f"{base}/t.csv", f"{base}/o.csv", opts, path, company_id="id", txn_id="t")
-    assert files.read_table(spark, out).first()["company_name"] == "BETA MOTORS"
+    assert files.read_table(spark, out.path).first()["company_name"] == "BETA MOTORS"
     files.remove(spark, f"{path}/manifest")
     with pytest.raises(ValueError):
         pipeline.load_company_index(spark, path)

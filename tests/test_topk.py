@@ -3,9 +3,10 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from narrakin.operators import blocks, topk, vectors
+from narrakin.operators import blocks, postings, topk, vectors
 from narrakin.plans import pipeline
 from narrakin.options import MatchOptions
 
@@ -47,14 +48,14 @@ def as_lists(df, key="match_text"):
     return got
 
 
-@pytest.mark.parametrize("path", ["broadcast", "joined", "joined in small blocks"])
+@pytest.mark.parametrize("path", ["broadcast", "joined", "joined in small parts"])
 def test_sparse_search_is_exact_with_duplicates(spark, monkeypatch, path):
     rng = random.Random(5)
     company_texts = names(rng, 120) + ["star foods"] * 40  # a quarter share one name
     query_texts = names(rng, 60) + ["star foods", "qqq www", "s"]
-    if path == "joined in small blocks":
-        monkeypatch.setattr(blocks, "QUERY_BLOCK", 7)
-        monkeypatch.setattr(blocks, "TARGET_BLOCK", 5)
+    if path == "joined in small parts":
+        monkeypatch.setattr(postings, "PART_POSTINGS", 300)
+        monkeypatch.setattr(postings, "PART_QUERIES", 7)
     opts = MatchOptions(max_candidates=K, index_postings=10**9 if path == "broadcast" else 0)
     companies = spark.createDataFrame(list(enumerate(company_texts)), "company_id long, name string")
     index = pipeline.build_company_index(companies, opts, "company_id", "name")
@@ -119,12 +120,38 @@ def test_model_vectors(spark):
     assert got == {"ab": [2.0, 1.0], "abcd": [4.0, 1.0]}
 
 
-def test_dense_blocks_give_the_result_of_one(spark):
-    rng = np.random.default_rng(3)
-    left = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rng.normal(size=(40, 6)))], "txn_id long, vector array<double>")
-    right = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rng.normal(size=(90, 6)))], "company_id long, vector array<double>")
-    whole = topk.dense_topk(left, right, K, FLOOR).orderBy("txn_id", "rank").collect()
-    assert whole and whole == topk.dense_topk(left, right, K, FLOOR, numbers=100).orderBy("txn_id", "rank").collect()
+def sparse_table(rng, n, pieces, first=0):
+    rows = []
+    for i in range(n):
+        codes = rng.choice(pieces, size=int(rng.integers(0, 12)), replace=False, p=np.arange(pieces, 0, -1) / (pieces * (pieces + 1) / 2))
+        weights = rng.random(len(codes))
+        rows.append((first + i, codes.tolist(), (weights / max(np.linalg.norm(weights), 1e-12)).tolist()))
+    return pa.table({"target": pa.array([r[0] for r in rows], pa.int64()), "grams": pa.array([r[1] for r in rows], pa.list_(pa.int64())),
+                     "weights": pa.array([r[2] for r in rows], pa.list_(pa.float64()))})
+
+
+@pytest.mark.parametrize("size", [0, 1, 100, 3000])
+def test_blocks_that_cannot_hold_a_better_target_are_skipped(size):
+    rng = np.random.default_rng(size)
+    held, asked = sparse_table(rng, size, 200), sparse_table(rng, 80, 260)
+    index = postings.PostingBlocks(held)
+    rows, at, values = index.search(asked, K, FLOOR)
+    got = {}
+    for r, t, v in zip(rows, at, values):
+        got.setdefault(int(r), []).append((-v, int(t)))
+    touched = 0
+    for i in range(len(asked)):
+        mine = dict(zip(asked["grams"][i].as_py(), asked["weights"][i].as_py()))
+        scored = []
+        for j in range(size):
+            pairs = [(g, w) for g, w in zip(held["grams"][j].as_py(), held["weights"][j].as_py()) if g in mine]
+            touched += len(pairs)
+            score = round(sum(mine[g] * w for g, w in pairs), 9)
+            if pairs and score >= FLOOR:
+                scored.append((-score, j))
+        assert [j for _, j in got.get(i, [])] == [j for _, j in sorted(scored)[:K]]
+        assert [-s for s, _ in got.get(i, [])] == pytest.approx([-s for s, _ in sorted(scored)[:K]], abs=2e-9)
+    assert index.read <= touched and (size < 3000 or index.read < touched)
 
 
 def test_tables_follow_from_bits_and_recall():
