@@ -31,19 +31,14 @@ def tfidf(counts: DataFrame, frequencies: DataFrame, n_grams: int, n_texts: int,
     """Unit-length weights, one row per text and piece.
 
     A piece the company side never shows has frequency 0; it adds to the length of
-    a text but matches nothing. ``mass`` is the squared length left in this piece
-    and all commoner ones.
+    a text but matches nothing.
     """
     weight = F.col("tf") * (F.log((F.lit(1.0) + n_texts) / (F.lit(1.0) + F.col("df"))) + 1.0)
     rows = (lookup_join(counts, frequencies, ["gram"], n_grams, salt_on=[key], how="left")
             .withColumn("df", F.coalesce("df", F.lit(0)))
             .withColumn("weight", weight))
     whole = Window.partitionBy(key)
-    rows = rows.withColumn("weight", F.col("weight") / F.sqrt(
-        F.sum(F.col("weight") * F.col("weight")).over(whole)))
-    commonest_first = whole.orderBy(F.desc("df"), F.desc("gram"))
-    return rows.withColumn("mass", F.sum(F.col("weight") * F.col("weight")).over(
-        commonest_first.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    return rows.withColumn("weight", F.col("weight") / F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(whole)))
 
 
 def gram_code(gram: Column) -> Column:
@@ -53,12 +48,10 @@ def gram_code(gram: Column) -> Column:
 
 
 def pack(rows: DataFrame, key: str = "match_text") -> DataFrame:
-    """One line per text with its pieces as arrays, rarest first."""
-    entry = F.struct("df", gram_code(F.col("gram")).alias("code"), "weight", "mass")
+    """One line per text with its pieces and their weights as arrays, rarest first."""
+    entry = F.struct("df", gram_code(F.col("gram")).alias("code"), "weight")
     packed = rows.groupBy(key).agg(F.array_sort(F.collect_list(entry)).alias("entries"))
-    return packed.select(
-        key, F.col("entries.code").alias("grams"), F.col("entries.weight").alias("weights"),
-        F.col("entries.mass").alias("masses"), F.col("entries.df").alias("dfs"))
+    return packed.select(key, F.col("entries.code").alias("grams"), F.col("entries.weight").alias("weights"))
 
 
 def with_model_vectors(df: DataFrame, text_col: str, load_model: Callable[[], Callable],

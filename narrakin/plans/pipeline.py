@@ -12,7 +12,7 @@ from narrakin.operators import cells, fuzzy, locations, ranking, topk, vectors
 from narrakin.operators.preprocess import preprocess_companies, preprocess_narrations
 from narrakin.operators.skew import company_join, fan_out_join
 from narrakin.options import MatchOptions
-from narrakin.session import scratch_path, settle, ship_package, spread, temporary_tables, tune
+from narrakin.session import scratch_path, settle, ship_package, spread, temporary_tables, together, tune
 from narrakin.sources import files
 
 MENTION = ["match_text", "loc_text"]
@@ -64,15 +64,20 @@ def build_company_index(companies: DataFrame, opts: MatchOptions = MatchOptions(
     files.remove(spark, f"{path}/manifest")
     for stale in ("versions", "cells", "vectors"):
         files.remove(spark, f"{path}/{stale}")
-    table = settle(preprocess_companies(companies, id_col, text_col, opts), "companies-plain")
-    _, cities = find_locations([table], opts, gazetteer=gazetteer)
-    table = settle(with_cities(table, cities, "company_id"), "companies", f"{path}/companies")
-    texts, members = topk.company_texts(table)
-    members = settle(members, "members", f"{path}/members")
-    texts = settle(texts, "texts", f"{path}/texts")
-    frequencies = settle(vectors.gram_frequencies(vectors.gram_counts(spread(texts, "match_text"))), "frequencies", f"{path}/frequencies")
-    packed = settle(_weighed(texts, frequencies), "packed", f"{path}/packed")
-    dense, placed = _placed_vectors(vectors_table, opts, path)
+    plain = settle(preprocess_companies(companies, id_col, text_col, opts), "companies-plain")
+    texts, of_texts = topk.company_texts(plain)
+
+    def located() -> DataFrame:
+        _, cities = find_locations([plain], opts, gazetteer=gazetteer)
+        return settle(with_cities(plain, cities, "company_id"), "companies", f"{path}/companies")
+
+    def weighed() -> tuple[DataFrame, DataFrame]:
+        stored = settle(texts, "texts", f"{path}/texts")
+        frequencies = settle(vectors.gram_frequencies(vectors.gram_counts(spread(stored, "match_text"))), "frequencies", f"{path}/frequencies")
+        return frequencies, settle(_weighed(stored, frequencies), "packed", f"{path}/packed")
+
+    table, members, (frequencies, packed), (dense, placed) = together(
+        located, lambda: settle(of_texts, "members", f"{path}/members"), weighed, lambda: _placed_vectors(vectors_table, opts, path))
     settle(made_of, "manifest", f"{path}/manifest")
     return _sized(table, members, frequencies, packed, dense, placed)
 

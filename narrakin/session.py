@@ -6,8 +6,9 @@ import tempfile
 import uuid
 import zipfile
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
-from contextvars import ContextVar
+from contextvars import ContextVar, copy_context
 from pathlib import Path
 
 from pyspark.sql import SparkSession
@@ -90,6 +91,12 @@ def settle(df, name: str, path: str | None = None):
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def together(*steps):
+    """Results of steps that do not need each other, which submit their Spark jobs at the same time."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        return [done.result() for done in [pool.submit(copy_context().run, step) for step in steps]]
+
+
 def spread(df, key: str):
     """Hash rows over at least as many partitions as there are cores.
 

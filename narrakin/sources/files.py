@@ -43,10 +43,10 @@ def read_csv_apart(spark: SparkSession, path: str, multi_line: bool = False) ->
     reader, schema = _csv_reader(spark, path, multi_line)
     line = "_line" if "_line" not in schema.names else f"_line_{len(schema)}"
     rows = reader.schema(schema.add(line, T.StringType())).option("columnNameOfCorruptRecord", line).csv(path)
-    good = rows.filter(F.col(line).isNull()).drop(line)
-    # A plan that reads nothing but the set-aside line is refused, so the condition looks at a column as well.
-    whole = F.length(F.concat_ws("", F.col(f"`{schema.names[0]}`"), F.col(line))) >= 0
-    return good, rows.filter(F.col(line).isNotNull() & whole).select(F.col("_metadata.file_path").alias("file"), F.col(line).alias("line"))
+    # Lines are told apart by the columns that a plan reads, so the condition looks at all of them.
+    whole = F.length(F.concat_ws("", *[F.col(f"`{name}`") for name in schema.names])) >= 0
+    good, bad = rows.filter(F.col(line).isNull() & whole), rows.filter(F.col(line).isNotNull() & whole)
+    return good.drop(line), bad.select(F.col("_metadata.file_path").alias("file"), F.col(line).alias("line"))
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:

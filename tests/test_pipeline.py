@@ -106,6 +106,7 @@ def test_rows_with_too_few_or_too_many_fields_are_set_aside(spark):
     good, bad = files.read_csv_apart(spark, path)
     assert sorted(map(tuple, good.collect())) == [("1", "ALPHA FOODS"), ("4", 'D "E" F'), ("5", None)]
     assert sorted(r["line"] for r in bad.collect()) == ["2", '3,"B, C",x'] and base.split("/")[-1] in bad.first()["file"]
+    assert sorted(r["id"] for r in good.select("id").collect()) == ["1", "4", "5"] and good.select("name").count() == 3
     kept = files.read_csv(spark, path)
     assert sorted(map(tuple, kept.collect()), key=str) == [("1", "ALPHA FOODS"), ("2", None), ("3", "B, C"), ("4", 'D "E" F'), ("5", None)]
 
