@@ -13,19 +13,24 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from narrakin.llm.tables import text_or_empty
-from narrakin.session import settle, ship_package, spread
+from narrakin.session import settle, ship_package
 
 #: Classes of words; the end of a text has one more of its own.
 CLASSES = 64
 #: Most rounds of exchange, and the gain in likelihood (relative) below which they stop.
-ROUNDS, LEAST_GAIN = 8, 1e-4
+ROUNDS, LEAST_GAIN = 8, 3e-4
 #: A word with at least this share of all tokens is a type of its own; there are at most 100,000 of these.
 #: All other words, unknown ones included, belong to one of so many types by their last three characters.
 TYPE_SHARE, ENDINGS = 1e-5, 4096
 #: Counts of words with at least this share (at most a million words) are sent to every task, others are joined.
 KNOWN_SHARE = 1e-6
 #: Bytes of text that are cut into words at a time.
-STEP_BYTES = 16 << 20
+STEP_BYTES = 2 << 20
+#: Neighbouring types are summed in so many parts, by type; a task passes on what it has summed whenever it holds so many
+#: pairs; and what over so many tasks pass on is summed in two steps.
+LINK_PARTS, HELD_PAIRS, ONE_STEP = 256, 700_000, 512
+#: Neighbours of types whose classes are looked up at a time.
+STEP_LINKS = 500_000
 
 
 def _pieces(texts: pa.Array) -> Iterator[tuple[int, pa.Array]]:
@@ -108,19 +113,97 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([words, pa.array(np.bincount(codes, minlength=len(words)))], names=["word", "n"])
 
 
-def _count_pairs(vocabulary):
-    """Counts of neighbouring types as one number a pair: the first times 2^32 plus the second."""
+def _merged(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Keys in order, each once, with the sum of its counts."""
+    keys, n = (np.concatenate(x) for x in zip(*held))
+    order = np.argsort(keys, kind="stable")
+    keys, n = keys[order], n[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.empty(0, np.int64)
+    return keys[first], np.add.reduceat(n, first) if len(first) else n
+
+
+def _in_parts(part: np.ndarray, keys: np.ndarray, n: np.ndarray, parts: int) -> pa.RecordBatch:
+    """One row per part: its keys in order and their counts, as bytes."""
+    order = np.lexsort((keys, part))
+    bounds = np.searchsorted(part[order], np.arange(parts + 1))
+    keys, n = keys[order], n[order]
+    filled = np.flatnonzero(np.diff(bounds))
+    cut = lambda values: pa.array([values[bounds[p]:bounds[p + 1]].tobytes() for p in filled], pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(filled.astype(np.int32)), cut(keys), cut(n)], names=["part", "keys", "n"])
+
+
+def _count_links(vocabulary, parts: int):
+    """How often types stand beside each other. A key is a type (times 2^33), a side and the other type.
+
+    On side 0 the other type stands before the type, on side 1 behind it.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = vocabulary.value
+        held, size = [], 0
+
+        def passed_on() -> Iterator[pa.RecordBatch]:
+            pairs, n = _merged(held)
+            held.clear()
+            a, b = pairs >> 32, pairs & 0xFFFFFFFF
+            yield _in_parts(b % parts, b << 33 | a, n, parts)
+            yield _in_parts(a % parts, a << 33 | 1 << 32 | b, n, parts)
+
         for batch in batches:
             for _, texts in _pieces(batch.column(0)):
                 words, codes, sizes = words_of(texts)
                 types, ends = with_ends(known.look_up(words)[0][codes], sizes, known.end)
                 pairs, n = np.unique(previous(types, ends, known.end) << 32 | types, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(pairs), pa.array(n)], names=["pair", "n"])
+                held.append((pairs, n))
+                size += len(pairs)
+                if size >= HELD_PAIRS:
+                    held[:] = [_merged(held)]
+                    size = len(held[0][0])
+                    if 2 * size >= HELD_PAIRS:
+                        yield from passed_on()
+                        size = 0
+        if held:
+            yield from passed_on()
     return run
 
 
+def _sum_links(packed: bool):
+    """Sums of the rows (part, keys, n) of each part: such rows again, or one row per type with its neighbours."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+        for batch in batches:
+            for part, keys, n in zip(*(batch.column(name).to_pylist() for name in ("part", "keys", "n"))):
+                mine = held.setdefault(part, [])
+                mine.append((np.frombuffer(keys, np.int64), np.frombuffer(n, np.int64)))
+                if len(mine) > 1 and sum(len(k) for k, _ in mine[1:]) > max(len(mine[0][0]), HELD_PAIRS // 8):
+                    held[part] = [_merged(mine)]
+        for part in list(held):
+            keys, n = _merged(held.pop(part))
+            if not packed:
+                yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([keys.tobytes()]), pa.array([n.tobytes()])], names=["part", "keys", "n"])
+                continue
+            types = keys >> 33
+            first = np.flatnonzero(np.concatenate([[True], types[1:] != types[:-1]]))
+            offsets = pa.array(np.append(first, len(keys)).astype(np.int32))
+            codes = ((keys & 0xFFFFFFFF) << 1 | (keys >> 32 & 1)).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(types[first]), pa.ListArray.from_arrays(offsets, pa.array(codes)),
+                                              pa.ListArray.from_arrays(offsets, pa.array(n))], names=["t", "codes", "ns"])
+    return run
+
+
+def type_links(texts: DataFrame, vocabulary, parts: int = LINK_PARTS) -> DataFrame:
+    """t, codes, ns: for each type its neighbours (twice their type, plus 1 for those behind it) and how often.
+
+    Tasks sum what they read and pass on whole sorted runs, so rows of single pairs are never
+    shuffled. Types are bounded in number by their share, and with them a row.
+    """
+    blobs = texts.mapInArrow(_count_links(vocabulary, parts), "part int, keys binary, n binary")
+    tasks = texts.rdd.getNumPartitions()
+    if tasks > ONE_STEP:
+        salted = blobs.repartition(parts * (tasks // ONE_STEP + 1), "part", F.pmod(F.spark_partition_id(), F.lit(tasks // ONE_STEP + 1)))
+        blobs = salted.mapInArrow(_sum_links(False), "part int, keys binary, n binary")
+    return settle(blobs.repartition(parts, "part").mapInArrow(_sum_links(True), "t long, codes array<int>, ns array<long>"), "brown-links")
+
+
 def xlogx(x: np.ndarray) -> np.ndarray:
     return x * np.log(np.maximum(x, 1.0))
 
@@ -164,102 +247,103 @@ def best_class(table: np.ndarray, own: int, before: np.ndarray, after: np.ndarra
     return own if own >= 0 and gains[best] <= gains[own] + 1e-9 * abs(gains[own]) else best
 
 
-def _mover(state, classes: int):
-    """Rows (t, sides, cs, ns) -> (t, c): the best class of each type, all others staying."""
+def _class_counts(batch: pa.RecordBatch, of: np.ndarray, width: int, same: bool) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Types of a batch, how often each has each class before (0) and behind it (1), and how often itself behind it.
+
+    Pairs of a type with itself are among the first counts only if `same`; neighbours without class
+    never. A batch is worked on some types at a time.
+    """
+    all_types, ends = batch.column("t").to_numpy(), batch.column("codes").offsets.to_numpy().astype(np.int64)
+    all_codes, all_n = batch.column("codes").flatten().to_numpy(), batch.column("ns").flatten().to_numpy()
+    ends, start = ends - ends[0], 0
+    while start < len(all_types):
+        stop = max(start + 1, int(np.searchsorted(ends, ends[start] + STEP_LINKS, "right")) - 1)
+        types, codes, n = all_types[start:stop], all_codes[ends[start]:ends[stop]], all_n[ends[start]:ends[stop]]
+        row = np.repeat(np.arange(len(types)), np.diff(ends[start:stop + 1]))
+        side, other = codes & 1, codes >> 1
+        own = other == types[row]
+        use = of[other] >= 0 if same else (of[other] >= 0) & ~own
+        counts = np.bincount((2 * row[use] + side[use]) * width + of[other[use]], n[use], 2 * len(types) * width).reshape(len(types), 2, width)
+        twice = own & (side == 1)
+        yield types, counts, np.bincount(row[twice], n[twice], len(types))
+        start = stop
+
+
+def _tables(state):
+    """Class bigrams of the types of a task: own class, class behind it, n."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, of, twice = state.value
+        of, width = state.value
+        total = np.zeros((width, width))
         for batch in batches:
-            types, moved = batch.column(0).to_numpy(), []
-            for t, sides, cs, ns in zip(types.tolist(), *[batch.column(i).to_pylist() for i in range(1, 4)]):
-                counts = np.zeros((2, len(table)))
-                counts[sides, cs] = ns
-                moved.append(best_class(table, int(of[t]), counts[0], counts[1], float(twice[t]), classes))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(moved, pa.int32())], names=["t", "c"])
+            for types, counts, _ in _class_counts(batch, of, width, True):
+                held = of[types] >= 0
+                np.add.at(total, of[types[held]], counts[held, 1])
+        a, b = np.nonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(total[a, b].astype(np.int64))], names=["a", "b", "n"])
     return run
 
 
-def _neighbours(state):
-    """Rows (a, b, n) -> (t, side, c, n): how often each type follows (side 0) or precedes (1) each class, summed per task.
-
-    Types and classes are bounded in number, and so is the sum that a task holds.
-    """
+def _mover(state, classes: int):
+    """The best class of each type, all others staying: rows (t, c)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of, width = state.value
-        total = np.zeros(2 * len(of) * width)
+        of, table = state.value
         for batch in batches:
-            a, b, n = (batch.column(i).to_numpy() for i in range(3))
-            for side, (own, other) in enumerate(((b, a), (a, b))):
-                use = (a != b) & (of[other] >= 0)
-                total += np.bincount((2 * own[use] + side) * width + of[other[use]], n[use], len(total))
-        cells = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([
-            pa.array(cells // (2 * width)), pa.array((cells // width % 2).astype(np.int32)), pa.array((cells % width).astype(np.int32)),
-            pa.array(total[cells].astype(np.int64))], names=["t", "side", "c", "n"])
+            for types, counts, twice in _class_counts(batch, of, len(table), False):
+                moved = [best_class(table, int(of[t]), c[0], c[1], float(s), classes) for t, c, s in zip(types.tolist(), counts, twice.tolist())]
+                yield pa.RecordBatch.from_arrays([pa.array(types), pa.array(moved, pa.int32())], names=["t", "c"])
     return run
 
 
-class _Round:
-    """An assignment of types to classes (-1: none yet), the counts of each type by class of its neighbours, and the class bigrams."""
-
-    def __init__(self, spark: SparkSession, pairs: DataFrame, twice: np.ndarray, of: np.ndarray, classes: int):
-        self.spark, self.pairs, self.twice, self.of, self.classes = spark, pairs, twice, of, classes
-        width = classes + 1
-        state = spark.sparkContext.broadcast((of, width))
-        near = pairs.mapInArrow(_neighbours(state), "t long, side int, c int, n long").groupBy("t", "side", "c").agg(F.sum("n").alias("n"))
-        self.near = settle(near, "brown-near")
-        rows = pa.table({"t": pa.array(np.arange(len(of))), "own": pa.array(of.astype(np.int32))})
-        sums = self.near.where("side = 1").join(F.broadcast(spark.createDataFrame(rows)), "t").where("own >= 0").groupBy("own", "c").agg(
-            F.sum("n").alias("n")).toArrow()
-        self.table = np.zeros((width, width))
-        self.table[sums.column("own").to_numpy(), sums.column("c").to_numpy()] = sums.column("n").to_numpy()
-        np.add.at(self.table, (of[of >= 0], of[of >= 0]), twice[of >= 0])
-        self.likelihood = likelihood(self.table)
-
-    def moved(self, eligible: Column) -> np.ndarray:
-        """The assignment after every eligible type has gone to its best class, all others staying."""
-        packed = spread(self.near.where((F.col("t") < len(self.of) - 1) & eligible), "t").groupBy("t").agg(
-            F.collect_list(F.struct("side", "c", "n")).alias("e")).select("t", F.col("e.side").alias("sides"), F.col("e.c").alias("cs"), F.col("e.n").alias("ns"))
-        state = self.spark.sparkContext.broadcast((self.table, self.of, self.twice))
-        found = packed.mapInArrow(_mover(state, self.classes), "t long, c int").toArrow()
-        out = self.of.copy()
-        out[found.column("t").to_numpy()] = found.column("c").to_numpy()
-        return out
-
-
-def exchange(spark: SparkSession, pairs: DataFrame, counts: np.ndarray, classes: int, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray, list[float]]:
+def class_table(spark: SparkSession, links: DataFrame, of: np.ndarray, classes: int) -> np.ndarray:
+    """Class bigrams under an assignment, in which -1 is no class."""
+    state = spark.sparkContext.broadcast((of, classes + 1))
+    sums = links.mapInArrow(_tables(state), "a long, b long, n long").groupBy("a", "b").agg(F.sum("n").alias("n")).toArrow()
+    table = np.zeros((classes + 1, classes + 1))
+    table[sums.column("a").to_numpy(), sums.column("b").to_numpy()] = sums.column("n").to_numpy()
+    return table
+
+
+def moves(spark: SparkSession, links: DataFrame, of: np.ndarray, table: np.ndarray, eligible: Column, classes: int) -> np.ndarray:
+    """The assignment after every eligible type has gone to its best class, all others staying."""
+    state = spark.sparkContext.broadcast((of, table))
+    found = links.where((F.col("t") < len(of) - 1) & eligible).mapInArrow(_mover(state, classes), "t long, c int").toArrow()
+    out = of.copy()
+    out[found.column("t").to_numpy()] = found.column("c").to_numpy()
+    return out
+
+
+def exchange(spark: SparkSession, links: DataFrame, counts: np.ndarray, classes: int, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray, list[float]]:
     """Classes of types by exchange clustering, the class bigrams, and the likelihood after each round.
 
-    pairs: a, b, n, counts of neighbouring types, of which the last is the end of a text and keeps
-    class `classes`. The most frequent types start a class each and the others join the best of
-    these; in each round a share of the types, by hash, then move to the class that raises the
-    likelihood most. Moves of one round do not see each other, so a round that lowers the
-    likelihood is taken back and the share halved. Each round reads the pairs once; types are bounded
-    in number by their share, so an assignment is sent to every task.
+    The last type is the end of a text and keeps class `classes`. The most frequent types start a
+    class each and the others join the best of these; in each round a share of the types, by hash,
+    then move to the class that raises the likelihood most. Moves of one round do not see each
+    other, so a round that lowers the likelihood is taken back and the share halved. An assignment
+    is one number per type, of which there is a bounded number, and is sent to every task.
     """
     types = len(counts) - 1
     order = np.argsort(-counts[:-1], kind="stable")
-    twice = np.zeros(len(counts))
-    same = pairs.where("a = b").select("a", "n").toArrow()
-    twice[same.column("a").to_numpy()] = same.column("n").to_numpy()
     of = np.full(len(counts), -1)
     of[order[:classes]] = np.arange(min(classes, types))
     of[-1] = classes
     if types > classes:
-        of = _Round(spark, pairs, twice, of, classes).moved(F.lit(True))
-    now = _Round(spark, pairs, twice, np.where(of < 0, np.arange(len(of)) % classes, of), classes)
-    course, share = [now.likelihood], 2
+        of = moves(spark, links, of, class_table(spark, links, of, classes), F.lit(True), classes)
+    of = np.where(of < 0, np.arange(len(of)) % classes, of)
+    table = class_table(spark, links, of, classes)
+    course, share = [likelihood(table)], 2
     for turn in range(rounds):
         eligible = F.pmod(F.xxhash64("t", F.lit(turn // share)), F.lit(share)) == turn % share
-        new = _Round(spark, pairs, twice, now.moved(eligible), classes)
-        if new.likelihood < now.likelihood:
-            course.append(now.likelihood)
+        new = moves(spark, links, of, table, eligible, classes)
+        new_table = class_table(spark, links, new, classes)
+        if likelihood(new_table) < course[-1]:
+            course.append(course[-1])
             share *= 2
             continue
-        course.append(new.likelihood)
-        gain, now = new.likelihood - now.likelihood, new
-        if turn % share == share - 1 and gain <= LEAST_GAIN * abs(now.likelihood):
+        course.append(likelihood(new_table))
+        of, table = new, new_table
+        if turn % share == share - 1 and course[-1] - course[-2] <= LEAST_GAIN * abs(course[-1]):
             break
-    return now.of, now.table, course
+    return of, table, course
 
 
 @dataclass
@@ -320,8 +404,7 @@ def fit(spark: SparkSession, learnt: DataFrame, classes: int = CLASSES, rounds:
     counts = known.column("n").to_numpy()
     vocabulary = Vocabulary(known.column("word").combine_chunks().cast(pa.string()), counts, int((counts >= tokens * type_share).sum()), endings)
     state = spark.sparkContext.broadcast(vocabulary)
-    pairs = settle(texts.mapInArrow(_count_pairs(state), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).select(
-        F.shiftright("pair", 32).alias("a"), F.col("pair").bitwiseAND(F.lit((1 << 32) - 1)).alias("b"), "n"), "brown-pairs")
+    links = type_links(texts, state)
 
     def single_endings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -329,11 +412,12 @@ def fit(spark: SparkSession, learnt: DataFrame, classes: int = CLASSES, rounds:
             yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(n)], names=["t", "n"])
 
     by_type, singles = np.zeros(vocabulary.end + 1), np.zeros(endings)
-    for out, rows in ((by_type, pairs.groupBy(F.col("b").alias("t")).agg(F.sum("n").alias("n"))),
+    before = F.filter(F.arrays_zip("codes", "ns"), lambda x: x["codes"] % 2 == 0)
+    for out, rows in ((by_type, links.select("t", F.aggregate(before, F.lit(0).cast("long"), lambda n, x: n + x["ns"]).alias("n"))),
                       (singles, counted.where("n = 1").select("word").mapInArrow(single_endings, "t long, n long").groupBy("t").agg(F.sum("n").alias("n")))):
         found = rows.toArrow()
         out[found.column("t").to_numpy()] = found.column("n").to_numpy()
-    of, table, _ = exchange(spark, pairs, by_type, classes, rounds)
+    of, table, _ = exchange(spark, links, by_type, classes, rounds)
     return probabilities(vocabulary, of, table, by_type, singles, tokens, distinct + (n_texts > 0), n_texts), counted
 
 
