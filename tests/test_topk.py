@@ -153,6 +153,21 @@ def test_blocks_that_cannot_hold_a_better_target_are_skipped(size):
     assert index.read <= touched and (size < 3000 or index.read < touched)
 
 
+def test_blocks_of_texts_from_few_words_are_mostly_skipped():
+    rng = np.random.default_rng(4)
+    word = lambda first, n: (first + 10 * rng.integers(n) + np.arange(6)).tolist()
+    rare = rng.choice(90000, 60000, replace=False)
+    codes = [word(0, 20) + word(1000, 12) + word(2000, 16) + [3000 + int(r) // 90, 10000 + int(r)] for r in rare]
+    weights = np.array([1.0] * 18 + [2.0, 3.0])
+    weights = [(weights / np.linalg.norm(weights)).tolist()] * len(codes)
+    held = pa.table({"target": pa.array(range(len(codes)), pa.int64()), "grams": pa.array(codes, pa.list_(pa.int64())),
+                     "weights": pa.array(weights, pa.list_(pa.float64()))})
+    index = postings.PostingBlocks(held)
+    index.search(held.slice(0, 100), K, FLOOR)
+    touched = sum(np.bincount(np.concatenate(codes))[codes[i]].sum() for i in range(100))
+    assert index.read < touched / 5
+
+
 def test_tables_follow_from_bits_and_recall():
     assert topk.lsh_tables(4, 0.3, 0.9) == 17
     assert topk.lsh_tables(8, 0.3, 0.9) > 100 > topk.lsh_tables(8, 0.8, 0.9)
