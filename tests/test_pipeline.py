@@ -271,6 +271,22 @@ def test_vectors_are_worked_out_once_and_null_ids_stay(spark):
         assert all(r.company_id is not None for r in rows)
 
 
+def test_candidates_of_vectors_are_not_repeated_for_each_narration(spark, monkeypatch):
+    companies = spark.createDataFrame([(i, f"FIRM {chr(65 + i) * 3} FOODS") for i in range(5)], "id long, name string")
+    held = spark.createDataFrame([(i, [1.0, 0.2 * i]) for i in range(5)], "company_id long, vector array<double>")
+    txns = spark.createDataFrame([(i, "NEFT/X/FIRM BBB") for i in range(40)] + [(40, "FIRM DDD"), (41, "FIRM DDD"), (42, None)], "t long, Narration string")
+    asked = spark.createDataFrame([(i, [1.0, 0.2]) for i in range(41)] + [(40, [-1.0, 0.0]), (41, None), (42, [1.0, 0.0])],
+                                  "txn_id long, vector array<double>")
+    index = pipeline.build_company_index(companies, MatchOptions(), "id", "name", held)
+    scored = []
+    contenders = pipeline._contenders
+    monkeypatch.setattr(pipeline, "_contenders", lambda pairs, *more: (scored.append(pairs.count()), contenders(pairs, *more))[1])
+    rows = {r.txn_id: r for r in pipeline.match_transactions(txns, index, MatchOptions(), "t", txn_vectors=asked).results.collect()}
+    assert scored == [5 * 3]
+    assert [rows[i].company_id for i in range(41)] == [1] * 40 + [3]
+    assert rows[41].company_name == "NO_MATCH" and len(rows) == 43
+
+
 def test_a_vector_search_without_vectors_is_refused(spark):
     companies = spark.createDataFrame([(1, "ALPHA FOODS")], "id long, name string")
     txns = spark.createDataFrame([(1, "ALPHA FOODS")], "t long, Narration string")
