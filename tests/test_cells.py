@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -135,3 +136,19 @@ def test_large_company_sides_are_placed_in_cells(spark):
     left, right = clustered(40, seed=7), clustered(300, seed=7)
     found = topk.dense_topk(frame(spark, left, "txn_id"), frame(spark, right, "company_id"), K, FLOOR, numbers=100)
     same(as_lists(found.withColumnRenamed("company_id", "target")), exact(left, right))
+
+
+def test_ranking_many_cells_takes_bounded_products(monkeypatch):
+    rng = np.random.default_rng(3)
+    vectors, centres = rng.normal(size=(500, 6)), rng.normal(size=(40, 6))
+    asked = pa.table({"q": np.arange(500), "vector": cells._lists(vectors), "least": np.full(500, 0.3)})
+    held = pa.table({"cell": np.arange(40), "centre": cells._lists(centres), "radius": np.full(40, 0.4)})
+    rows = pa.table({"group": np.zeros(500, np.int64), "target": np.arange(500), "vector": cells._lists(vectors)})
+    rank = [cells._cell_ranker("q", by_bound, first) for by_bound, first in ((True, 3), (False, 3), (True, None))]
+    wanted = [r(asked, held) for r in rank] + [cells._cell_placer(rows, held)]
+    sizes = []
+    possible = cells.best_possible
+    monkeypatch.setattr(cells, "SCORE_CELLS", 400)
+    monkeypatch.setattr(cells, "best_possible", lambda near, radii: (sizes.append(near.size), possible(near, radii))[1])
+    assert [r(asked, held) for r in rank] + [cells._cell_placer(rows, held)] == wanted
+    assert max(sizes) <= 400
