@@ -5,10 +5,12 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from narrakin.operators import blocks, postings, topk, vectors
 from narrakin.plans import pipeline
 from narrakin.options import MatchOptions
+from narrakin.session import slot_keys
 
 K, FLOOR = 5, 0.3
 
@@ -171,3 +173,9 @@ def test_blocks_of_texts_from_few_words_are_mostly_skipped():
 def test_tables_follow_from_bits_and_recall():
     assert topk.lsh_tables(4, 0.3, 0.9) == 17
     assert topk.lsh_tables(8, 0.3, 0.9) > 100 > topk.lsh_tables(8, 0.8, 0.9)
+
+
+def test_every_pair_of_parts_is_a_task_of_its_own(spark):
+    pairs = spark.range(45 * 3).withColumn("slot", F.get(slot_keys(spark, 45), (F.col("id") % 45).cast("int")))
+    held = pairs.repartition(45, "slot").groupBy(F.spark_partition_id()).agg(F.count("*").alias("rows"), F.count_distinct("slot").alias("n"))
+    assert [(r["rows"], r["n"]) for r in held.collect()] == [(3, 1)] * 45
