@@ -69,3 +69,12 @@ def test_gazetteer_entries_of_any_number_of_words(spark):
 def test_locations_that_rows_name(spark):
     rows = spark.createDataFrame([("a", [" Erode ", "ab", "ERODE", None]), ("a", ["Salem"]), ("b", None), ("b", ["x" * 30])], "loc_text string, e array<string>")
     assert [tuple(r) for r in locations.entity_locations(rows, "e").collect()] == [("a", ["erode", "salem"])]
+
+
+def test_tasks_that_look_for_places_have_bounded_rows(spark, monkeypatch):
+    monkeypatch.setattr("narrakin.session.TASK_ROWS", 10)
+    texts = spark.createDataFrame([(f"shop {i} nagarpur pune",) for i in range(400)] * 2, "loc_text string")
+    found = locations.distinct_location_texts(texts)
+    sizes = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 400 and len(sizes) > 25 and max(sizes) < 40
+    assert {tuple(r.major_cities) for r in found.collect()} == {("pune",)}
