@@ -179,3 +179,23 @@ def test_every_pair_of_parts_is_a_task_of_its_own(spark):
     pairs = spark.range(45 * 3).withColumn("slot", F.get(slot_keys(spark, 45), (F.col("id") % 45).cast("int")))
     held = pairs.repartition(45, "slot").groupBy(F.spark_partition_id()).agg(F.count("*").alias("rows"), F.count_distinct("slot").alias("n"))
     assert [(r["rows"], r["n"]) for r in held.collect()] == [(3, 1)] * 45
+
+
+def test_buckets_are_cut_by_the_numbers_they_hold(spark, monkeypatch):
+    called = spark.sparkContext.accumulator(0)
+
+    def targets(vectors):
+        called.add(1)
+        return blocks.DenseTargets(vectors)
+
+    rows = spark.range(9000).select(F.lit(0).cast("long").alias("bucket"), F.col("id").alias("target"),
+                                    F.array(F.lit(1.0), (F.col("id") / 9000).cast("double")).alias("vector"))
+    asked = rows.withColumnRenamed("target", "txn_id")
+    best = []
+    for numbers, calls in ((blocks.BLOCK_NUMBERS, 1), (9000, 4)):
+        monkeypatch.setattr(blocks, "BLOCK_NUMBERS", numbers)
+        called.value = 0
+        found = topk.keep_best(blocks.bucket_search(asked, rows, "txn_id", ["vector"], targets, K, FLOOR), "txn_id", "target", K)
+        best.append(found.orderBy("txn_id", "rank").collect())
+        assert called.value == calls
+    assert best[0] == best[1]
