@@ -152,3 +152,23 @@ def test_ranking_many_cells_takes_bounded_products(monkeypatch):
     monkeypatch.setattr(cells, "best_possible", lambda near, radii: (sizes.append(near.size), possible(near, radii))[1])
     assert [r(asked, held) for r in rank] + [cells._cell_placer(rows, held)] == wanted
     assert max(sizes) <= 400
+
+
+def test_a_query_is_sent_once_for_neighbouring_cells(spark, monkeypatch):
+    sent, seen = [], cells.bucket_search
+    monkeypatch.setattr(cells, "bucket_search", lambda asked, *more: (sent.append(asked.count()), seen(asked, *more))[1])
+    left, right = clustered(100, seed=7, noise=2.0), clustered(1500, seed=7, noise=2.0)
+    index = cells.build_cells(frame(spark, right, "company_id"), cell_rows=16)
+    found = cells.cell_topk(frame(spark, left, "txn_id"), index, K, FLOOR, waves=(None,))
+    same(as_lists(found), exact(left, right))
+    assert index.cells.count() > 60 and sent[0] <= 2 * len(left)
+
+
+def test_given_cells_that_come_twice_change_nothing(spark):
+    left, right = frame(spark, clustered(40, seed=8), "txn_id"), frame(spark, clustered(400, seed=8), "company_id")
+    centres = right.where("company_id % 20 = 0").withColumnRenamed("company_id", "cell")
+    held = cells.cells_around(right, centres)
+    twice = cells.CellIndex(held.groups, held.cells.unionByName(held.cells), held.rows)
+    best = [as_lists(cells._best(cells._search(left, left.select("txn_id").crossJoin(held.cells.select("cell")), index, "txn_id", K, FLOOR), "txn_id", K))
+            for index in (held, twice)]
+    assert best[0] == best[1]
