@@ -1,11 +1,15 @@
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from narrakin import session
+from narrakin.functions import similarity
 from narrakin.operators import fuzzy, ranking
 from narrakin.options import MatchOptions
+from narrakin.plans import pipeline
 
 
 def texts(n, seed):
@@ -53,3 +57,28 @@ def test_ties_stay(spark):
     given = spark.createDataFrame(rows, "a string, b string, similarity double, company_id long")
     left = ranking.contenders(fuzzy.with_bounds(given, "a", "b"), ["a"])
     assert sorted(r["company_id"] for r in left.collect()) == [1, 2]
+
+
+def test_letters_are_counted_for_many_pairs_at_once(spark, monkeypatch):
+    kinds = lambda text: Counter(c if c in similarity.COUNTED else "" for c in text)
+    a, b = texts(300, 5), texts(300, 6)
+    wanted = [sum((kinds(x) & kinds(y)).values()) for x, y in zip(a, b)]
+    for chars in (1, 50, 1 << 20):
+        monkeypatch.setattr(similarity, "_COUNT_CHARS", chars)
+        assert similarity.most_common(a, b).tolist() == wanted
+    assert similarity.most_common([], []).tolist() == []
+    given = spark.createDataFrame([("star", None), (None, "star"), ("star", "rats")], "a string, b string")
+    found = fuzzy.with_bounds(given, "a", "b").select("a", "b", "fuzzy_high").collect()
+    assert [r["fuzzy_high"] for r in found if r["a"] and r["b"]] == [100.0]
+
+
+def test_pairs_to_score_get_a_task_for_every_so_many(spark, monkeypatch):
+    companies = spark.createDataFrame([(i, f"STAR {x} MOTORS") for i, x in enumerate(("ASHA", "RAMCO", "PUNE"))], "id long, name string")
+    txns = spark.createDataFrame([(i, f"STAR {x} MOTORS {i}") for i, x in enumerate(("ASHA", "RAMCO", "PUNE"))], "t long, Narration string")
+    index = pipeline.build_company_index(companies, MatchOptions(), "id", "name")
+    tasks, contenders = [], pipeline._contenders
+    monkeypatch.setattr(session, "TASK_ROWS", 1)
+    monkeypatch.setattr(pipeline, "_contenders", lambda pairs, *more: (tasks.append(pairs.rdd.getNumPartitions()), contenders(pairs, *more))[1])
+    found = pipeline.match_transactions(txns, index, MatchOptions(), "t").results.collect()
+    assert sorted((r["txn_id"], r["company_id"]) for r in found) == [(0, 0), (1, 1), (2, 2)]
+    assert tasks == [30]
