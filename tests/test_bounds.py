@@ -72,13 +72,14 @@ def test_letters_are_counted_for_many_pairs_at_once(spark, monkeypatch):
     assert [r["fuzzy_high"] for r in found if r["a"] and r["b"]] == [100.0]
 
 
-def test_pairs_to_score_get_a_task_for_every_so_many(spark, monkeypatch):
+@pytest.mark.parametrize("rows, wanted", [(1, 30), (100_000, 9)])
+def test_pairs_to_score_get_a_task_for_every_so_many(spark, monkeypatch, rows, wanted):
     companies = spark.createDataFrame([(i, f"STAR {x} MOTORS") for i, x in enumerate(("ASHA", "RAMCO", "PUNE"))], "id long, name string")
     txns = spark.createDataFrame([(i, f"STAR {x} MOTORS {i}") for i, x in enumerate(("ASHA", "RAMCO", "PUNE"))], "t long, Narration string")
     index = pipeline.build_company_index(companies, MatchOptions(), "id", "name")
     tasks, contenders = [], pipeline._contenders
-    monkeypatch.setattr(session, "TASK_ROWS", 1)
+    monkeypatch.setattr(session, "TASK_ROWS", rows)
     monkeypatch.setattr(pipeline, "_contenders", lambda pairs, *more: (tasks.append(pairs.rdd.getNumPartitions()), contenders(pairs, *more))[1])
     found = pipeline.match_transactions(txns, index, MatchOptions(), "t").results.collect()
     assert sorted((r["txn_id"], r["company_id"]) for r in found) == [(0, 0), (1, 1), (2, 2)]
-    assert tasks == [30]
+    assert tasks == [wanted]
