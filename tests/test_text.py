@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from narrakin.functions import text
+from narrakin.functions import lexicons, text
 from narrakin.functions.lexicons import BANKS
 
 
@@ -75,3 +75,19 @@ def test_cleaning_twice_changes_nothing_for_punctuation(spark):
     lines = ["a,b  c", "x--y", " p.q "]
     once = apply(spark, text.punctuation_to_space, lines)
     assert apply(spark, text.punctuation_to_space, once) == once
+
+
+@pytest.mark.parametrize("phrases", [lexicons.BANKS, lexicons.NOISE_PHRASES, lexicons.LEGAL_WORDS, lexicons.ARTICLES])
+def test_phrase_patterns_find_what_plain_alternatives_find(spark, phrases):
+    rng = random.Random(3)
+    words = [w for p in phrases for w in [p, *p.split(" ")]] + ["ſbi", "ıdfc", "Kotak", "x", "é", "and", "ań"]
+    values = [rng.choice([" ", "/", "", "_", "  "]).join(rng.choices(words, k=rng.randint(1, 6))) for _ in range(600)]
+    plain = rf"(?iu)(?<!{text.WORD})(?:{'|'.join(lexicons.longest_first(phrases))})(?!{text.WORD})"
+    for c in (lambda c: c, F.upper):
+        assert apply(spark, lambda v: F.regexp_replace(c(v), text._whole(phrases), "<>"), values) == apply(
+            spark, lambda v: F.regexp_replace(c(v), plain, "<>"), values)
+    assert text._tree(["ab", "a", "abc", "xy"]) == "(?:a(?:b(?:c|)|)|xy)"
+
+
+def test_words_leave_out_empty_ones(spark):
+    assert apply(spark, text.words, ["a  b", "", " a ", None]) == [["a", "b"], [], ["a"], None]

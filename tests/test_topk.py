@@ -7,7 +7,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from narrakin.operators import blocks, postings, topk, vectors
+from narrakin.operators import blocks, postings, skew, topk, vectors
 from narrakin.plans import pipeline
 from narrakin.options import MatchOptions
 from narrakin.session import slot_keys
@@ -79,6 +79,46 @@ def test_weights_have_unit_length(spark):
         assert sum(r.weight ** 2 for r in rows if r.match_text == text) == pytest.approx(1.0)
 
 
+@pytest.mark.parametrize("chars", [1, 40, 1 << 20])
+def test_texts_are_weighed_where_they_lie(spark, monkeypatch, chars):
+    monkeypatch.setattr(vectors, "_STEP_CHARS", chars)
+    stored = names(random.Random(7), 60) + ["aaaaa aaaa", "", "x", "\U0001f600 pune \U0001f600"]
+    rows = spark.createDataFrame([(t, i) for i, t in enumerate(sorted(set(stored)))] + [(None, -1)], "match_text string, target long")
+    frequencies = vectors.gram_frequencies(vectors.gram_counts(rows))
+    pairs = lambda df: sorted((r["gram"], r["df"]) for r in df.collect())
+    assert pairs(vectors.piece_frequencies(rows)) == pairs(frequencies)
+    asked = rows.unionByName(spark.createDataFrame([("qqq \u00e9\u00e9 star", 99)], rows.schema))
+    for known in (frequencies, frequencies.limit(0)):
+        plain = {r["match_text"]: (r["grams"], r["weights"]) for r in vectors.pack(vectors.tfidf(vectors.gram_counts(asked), known, 9, 60)).collect()}
+        for limit in (skew.BROADCAST_ROWS, 8):
+            monkeypatch.setattr(skew, "BROADCAST_ROWS", limit)
+            got = vectors.packed_tfidf(asked, known, 9, 60)
+            assert got.columns == ["match_text", "target", "grams", "weights"]
+            found = {r["match_text"]: r for r in got.collect()}
+            assert {t: r["grams"] for t, r in found.items()} == {t: g for t, (g, _) in plain.items()}
+            for t, (_, weights) in plain.items():
+                assert found[t]["weights"] == pytest.approx(weights, abs=1e-12)
+        monkeypatch.undo()
+        monkeypatch.setattr(vectors, "_STEP_CHARS", chars)
+
+
+def test_query_texts_are_not_taken_apart_into_rows(spark):
+    companies = spark.createDataFrame(list(enumerate(names(random.Random(8), 30))), "company_id long, name string")
+    index = pipeline.build_company_index(companies, MatchOptions(), "company_id", "name")
+    plan = pipeline.query_vectors(companies.withColumnRenamed("name", "match_text"), index)._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and "Window" not in plan
+
+
+def test_parts_meet_in_no_more_tasks_than_their_queries_need(spark, monkeypatch):
+    monkeypatch.setattr(postings, "PART_QUERIES", 100)
+    keys, taken = postings.slot_keys, []
+    monkeypatch.setattr(postings, "slot_keys", lambda session, n: (taken.append(n), keys(session, n))[1])
+    held, asked = sparse_table(np.random.default_rng(9), 400, 200), sparse_table(np.random.default_rng(10), 3000, 200)
+    held, asked = (spark.createDataFrame(t.to_pylist(), "target long, grams array<long>, weights array<double>") for t in (held, asked))
+    found = postings.search_in_parts(asked.withColumnRenamed("target", "t"), held, "t", K, FLOOR, 3, 1)
+    assert found.count() and taken == [3 * 10, 3 * 20]  # 3,000 meetings of a query and a part first, then 6,000
+
+
 def dense_sides(spark, seed=6, n=400):
     rng = np.random.default_rng(seed)
     centres = rng.normal(size=(8, 16))
