@@ -8,11 +8,13 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from narrakin.llm.components import connected_components, forest
 from narrakin.llm.tables import bounded_sample
-from narrakin.session import settle, ship_package
+from narrakin.session import in_turn, scratch_path, settle, ship_package, temporary_tables
 
 THRESHOLD = 0.95
 #: The cells are fitted on at most so many numbers (vectors times dimensions), chosen by hash.
@@ -23,6 +25,8 @@ CELL, MOST_CELLS = 64, 4096
 ROUNDING = 1e-9
 #: Vectors of one side of a block.
 TILE = 512
+#: Rows that blocks of one wave hold, or as many as there are distinct vectors if they are more.
+WAVE_ROWS = 1 << 20
 
 
 def fit_cells(sample: np.ndarray, cells: int, rounds: int = 8) -> np.ndarray:
@@ -66,7 +70,7 @@ def visits(rows: np.ndarray, centres: np.ndarray, threshold: float) -> tuple[np.
 
 
 def _assigner(centres, threshold: float):
-    """(cid, embedding, m) -> (cid, m, dim, home, visits, vec): own cell, all cells to be compared in."""
+    """(cid, embedding, m) -> (cid, m, dim, home, visits, vec): own cell, all cells to be compared in, the vector as it is."""
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes = np.diff(batch.column(1).offsets.to_numpy())
@@ -85,13 +89,13 @@ def _assigner(centres, threshold: float):
                         batch.column(0).take(pa.array(part)), batch.column(2).take(pa.array(part)),
                         pa.array(np.full(len(part), dim, np.int64)), pa.array(home.astype(np.int64)),
                         pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(visited.astype(np.int64))),
-                        pa.ListArray.from_arrays(pa.array(np.arange(len(part) + 1) * dim, pa.int32()), pa.array(rows.ravel())),
+                        batch.column(1).take(pa.array(part)),
                     ], names=["cid", "m", "dim", "home", "visits", "vec"])
     return assign
 
 
 def _matrix(column: pa.ChunkedArray, dim: int) -> np.ndarray:
-    return column.combine_chunks().flatten().to_numpy().reshape(-1, dim)
+    return column.combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
 
 
 def block_links(left: pa.Table, right: pa.Table, cell: int, dim: int, threshold: float):
@@ -101,7 +105,7 @@ def block_links(left: pa.Table, right: pa.Table, cell: int, dim: int, threshold:
     counted in the cell with the smaller number only.
     """
     a, b = left.column("cid").to_numpy(), right.column("cid").to_numpy()
-    hit = _matrix(left.column("vec"), dim) @ _matrix(right.column("vec"), dim).T >= threshold
+    hit = unit(_matrix(left.column("vec"), dim)) @ unit(_matrix(right.column("vec"), dim)).T >= threshold
     hit &= a[:, None] != b[None, :]
     rows, cols = np.nonzero(hit)
     if not len(rows):
@@ -136,22 +140,37 @@ def _comparer(threshold: float):
     return compare
 
 
-def _dealt(placed: DataFrame, tile: int) -> DataFrame:
-    """Rows of every block: a tile of a cell's visitors against a tile of its own vectors.
+def _tiles(placed: DataFrame, tile: int, most: int) -> DataFrame:
+    """Into how many tiles the visitors of a cell and its own vectors are cut, and in which waves its blocks are compared.
 
-    The tiles of a cell follow from counts, so no block outgrows two tiles by more than chance.
+    The tiles of a cell follow from counts, so no block outgrows two tiles by more than chance. Waves take
+    cells in order, about `most` rows of blocks each; a cell of more is compared in several, by the tiles of its own vectors.
     """
     guests = placed.select("dim", F.explode("visits").alias("cell")).groupBy("dim", "cell").agg(F.count("*").alias("guests"))
     own = placed.groupBy("dim", F.col("home").alias("cell")).agg(F.count("*").alias("own"))
-    tiles = settle(own.join(guests, ["dim", "cell"]).select(
-        "dim", "cell", F.ceil(F.col("guests") / tile).alias("lefts"), F.ceil(F.col("own") / tile).alias("rights")), "tiles")
+    cut = own.join(guests, ["dim", "cell"]).withColumns({"lefts": F.ceil(F.col("guests") / tile), "rights": F.ceil(F.col("own") / tile)})
+    rows = F.col("guests") * F.col("rights") + F.col("own") * F.col("lefts")
+    before = F.sum("rows").over(Window.orderBy("dim", "cell")) - F.col("rows")
+    return cut.withColumn("rows", rows).select(
+        "dim", "cell", "lefts", "rights", F.floor(before / most).alias("wave"), F.least("rights", F.ceil(F.col("rows") / most)).alias("waves"))
+
+
+def _dealt(placed: DataFrame, tiles: DataFrame, wave: int, low: int, high: int) -> DataFrame:
+    """Rows of every block of a wave, whose cells are from low to high: a tile of a cell's visitors against a tile of its own vectors.
+
+    Only the cell's own vectors carry their visits.
+    """
+    tiles = F.broadcast(tiles.where((F.col("wave") <= wave) & (F.col("wave") + F.col("waves") > wave)))
     spread = lambda n: F.sequence(F.lit(0).cast("long"), n - 1)
     mine = lambda n, seed: F.pmod(F.xxhash64("cid", F.lit(seed)), n)
-    columns = ["cid", "m", "home", "visits", "vec"]
-    left = placed.withColumn("cell", F.explode("visits")).join(tiles, ["dim", "cell"]).select(
-        "dim", "cell", mine(F.col("lefts"), 1).alias("i"), F.explode(spread(F.col("rights"))).alias("j"), F.lit(True).alias("left"), *columns)
-    right = placed.withColumn("cell", F.col("home")).join(tiles, ["dim", "cell"]).select(
-        "dim", "cell", F.explode(spread(F.col("lefts"))).alias("i"), mine(F.col("rights"), 2).alias("j"), F.lit(False).alias("left"), *columns)
+    now = lambda j: F.col("wave") + j % F.col("waves") == wave
+    columns = ["cid", "m", "home"]
+    here = F.filter("visits", lambda v: v.between(low, high))
+    left = placed.withColumn("cell", F.explode(here)).join(tiles, ["dim", "cell"]).select(
+        "dim", "cell", mine(F.col("lefts"), 1).alias("i"), F.explode(F.filter(spread(F.col("rights")), now)).alias("j"), F.lit(True).alias("left"),
+        *columns, F.array().cast("array<long>").alias("visits"), "vec")
+    right = placed.withColumn("cell", F.col("home")).join(tiles, ["dim", "cell"]).withColumn("j", mine(F.col("rights"), 2)).where(now(F.col("j"))).select(
+        "dim", "cell", F.explode(spread(F.col("lefts"))).alias("i"), "j", F.lit(False).alias("left"), *columns, "visits", "vec")
     return left.unionByName(right)
 
 
@@ -165,7 +184,9 @@ def near_vectors(spark: SparkSession, vectors: DataFrame, threshold: float = THR
     rows without vec_id take part, but name no component unless all its ids are null.
     """
     ship_package(spark)
-    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
+    given = vectors.schema["embedding"].dataType
+    kind = "float" if isinstance(given, T.ArrayType) and isinstance(given.elementType, T.FloatType) else "double"
+    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast(f"array<{kind}>").alias("embedding"))
     sound = F.coalesce(
         F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("embedding", lambda x: x != 0), F.lit(False))
     classes = settle(rows.where(sound).groupBy("embedding").agg(F.min("vec_id").alias("low"), F.count("*").alias("m")).select(
@@ -178,16 +199,21 @@ def near_vectors(spark: SparkSession, vectors: DataFrame, threshold: float = THR
     sample = unit(_matrix(some.column(0), dim))
     cells = int(min(MOST_CELLS, max(1, n // cell), max(1, len(sample) // 8)))
     centres = spark.sparkContext.broadcast(fit_cells(sample, cells))
-    placed = settle(classes.select("cid", "embedding", "m").mapInArrow(
-        _assigner(centres, threshold), "cid long, m long, dim long, home long, visits array<long>, vec array<double>"), "vectors-placed")
-    blocks = _dealt(placed, tile).groupBy("dim", "cell", "i", "j")
-    links = settle(blocks.applyInArrow(_comparer(threshold), "a long, b long, n long"), "vector-links")
+    links = scratch_path(spark, "vector-links")
+    with temporary_tables(spark):
+        placed = settle(classes.select("cid", "embedding", "m").mapInArrow(
+            _assigner(centres, threshold), f"cid long, m long, dim long, home long, visits array<long>, vec array<{kind}>"), "vectors-placed")
+        tiles = settle(_tiles(placed, tile, max(WAVE_ROWS, n)), "tiles")
+        compare = lambda *wave: _dealt(placed, tiles, *wave).groupBy("dim", "cell", "i", "j").applyInArrow(_comparer(threshold), "a long, b long, n long")
+        waves = tiles.select("cell", F.explode(F.sequence("wave", F.col("wave") + F.col("waves") - 1)).alias("wave")).groupBy("wave").agg(F.min("cell"), F.max("cell")).collect()
+        links = in_turn(spark, "vector-links", [lambda wave=tuple(wave): compare(*wave) for wave in sorted(waves)], links)
     counts = links.where("b IS NULL").groupBy(F.col("a").alias("cid")).agg(F.sum("n").alias("n"))
     joined = connected_components(spark, links.where("b IS NOT NULL").select("a", "b")).select(F.col("node").alias("cid"), "component")
-    found = settle(classes.join(joined, "cid", "left").join(counts, "cid", "left").select(
-        "embedding", "low", F.coalesce("component", "cid").alias("component"), (F.coalesce("n", F.lit(0)) + F.col("m") - 1).alias("n_links")), "vector-found")
+    found = settle(classes.drop("embedding").join(joined, "cid", "left").join(counts, "cid", "left").select(
+        "cid", "low", F.coalesce("component", "cid").alias("component"), (F.coalesce("n", F.lit(0)) + F.col("m") - 1).alias("n_links")), "vector-found")
     lowest = settle(found.groupBy("component").agg(F.min("low").alias("component_id")), "vector-lowest")
-    per_class = settle(found.join(lowest, "component").select("embedding", "n_links", "component_id"), "vector-groups")
+    grouped = settle(found.join(lowest, "component").select("cid", "n_links", "component_id"), "vector-groups")
+    per_class = classes.select("cid", "embedding").join(grouped, "cid").drop("cid")
     told = rows.where(sound).join(per_class, "embedding").select("vec_id", "n_links", "component_id")
     lone = rows.where(~sound).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return told.unionByName(lone).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))

@@ -101,3 +101,28 @@ def test_odd_rows(spark):
     assert sorted(r["n_links"] for r in got if r["vec_id"] is None) == [0, 6]
     assert vectors.near_vectors(spark, frame(spark, []) if False else frame(spark, rows).limit(0)).count() == 0
     assert vectors.near_vectors(spark, frame(spark, rows).where("vec_id = 4")).collect()[0]["kept"]
+
+
+def test_blocks_are_compared_in_waves_of_bounded_rows(spark, monkeypatch):
+    """Vectors in all directions visit many cells, those of a dense group meet in many tiles; no wave holds all of it."""
+    random = np.random.default_rng(5)
+    dense = random.normal(size=6)
+    rows = random.normal(size=(400, 6)).tolist() + [(dense + random.normal(size=6) * 0.1).tolist() for _ in range(200)]
+    rows = list(enumerate(rows + rows[:50] + [[1.0, 2.0], [2.0, 4.1]]))
+    dealt, held = vectors._dealt, []
+
+    def counted(*wave):
+        blocks = dealt(*wave)
+        held.append(blocks.count())
+        assert blocks.where("left AND size(visits) > 0").count() == 0
+        return blocks
+
+    monkeypatch.setattr(vectors, "_dealt", counted)
+    monkeypatch.setattr(vectors, "WAVE_ROWS", 1)
+    narrow = frame(spark, rows).withColumn("embedding", F.col("embedding").cast("array<float>"))
+    for given in (frame(spark, rows), narrow):
+        held.clear()
+        got = vectors.near_vectors(spark, given, cell=16, tile=16).collect()
+        exact = [(r["vec_id"], r["embedding"]) for r in given.orderBy("vec_id").collect()]
+        assert sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in got) == plain(exact)
+        assert len(held) > 4 and max(held) <= 3 * 600 < sum(held) / 2
