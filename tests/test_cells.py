@@ -3,6 +3,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from narrakin import session
 from narrakin.operators import blocks, cells, topk
 from narrakin.options import MatchOptions
 from narrakin.plans import pipeline
@@ -61,6 +62,23 @@ def test_two_levels_hot_cells_and_small_parts(spark, monkeypatch):
     same(as_lists(found), exact(left, right))
 
 
+def test_queries_searched_in_slices_find_and_compare_the_same(spark, monkeypatch, tmp_path):
+    left, right = clustered(90, seed=7), clustered(800, seed=7)
+    index, asked = cells.build_cells(frame(spark, right, "company_id"), cell_rows=32), frame(spark, left, "txn_id")
+    monkeypatch.setattr(session, "shared_dir", lambda _: str(tmp_path))
+    whole, sliced, probed = [], [], [[], []]
+    same(as_lists(cells.cell_topk(asked, index, K, FLOOR, compared=whole)), exact(left, right))
+    near = as_lists(cells.probed_topk(asked, index, K, FLOOR, 2, compared=probed[0]))
+    monkeypatch.setattr(cells, "SLICE_PAIRS", 30 * index.cells.count())
+    monkeypatch.setattr(cells, "SLICE_NEAR", 30 * index.groups.count())
+    for old in tmp_path.iterdir():
+        old.rename(tmp_path.parent / f"{tmp_path.name}-{old.name}")
+    same(as_lists(cells.cell_topk(asked, index, K, FLOOR, compared=sliced)), exact(left, right))
+    assert as_lists(cells.probed_topk(asked, index, K, FLOOR, 2, compared=probed[1])) == near
+    assert sliced == whole and probed[0] == probed[1]
+    assert sorted(p.name.rsplit("-", 1)[0] for p in tmp_path.iterdir()) == ["cell-queries", "cell-queries", "cell-slices", "probe-slices"]
+
+
 def test_radii_bound_every_similarity(spark):
     right = clustered(400, seed=6)
     index = cells.build_cells(frame(spark, right, "company_id"), cell_rows=20)

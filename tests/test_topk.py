@@ -1,5 +1,6 @@
 import math
 import random
+import time
 from collections import Counter
 
 import numpy as np
@@ -7,6 +8,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from narrakin import session
 from narrakin.operators import blocks, postings, skew, topk, vectors
 from narrakin.plans import pipeline
 from narrakin.options import MatchOptions
@@ -70,6 +72,37 @@ def test_sparse_search_is_exact_with_duplicates(spark, monkeypatch, path):
         assert [s for s, _ in got[q]] == pytest.approx([s for s, _ in hits], abs=2e-9)
 
 
+def test_texts_searched_in_slices_find_the_same_and_leave_only_that(spark, monkeypatch, tmp_path):
+    rng = random.Random(6)
+    company_texts, query_texts = names(rng, 150), sorted(set(names(rng, 90)))
+    opts = MatchOptions(max_candidates=K, index_postings=0)
+    companies = spark.createDataFrame(list(enumerate(company_texts)), "company_id long, name string")
+    index = pipeline.build_company_index(companies, opts, "company_id", "name")
+    queries = spark.createDataFrame([(q,) for q in query_texts], "match_text string")
+    monkeypatch.setattr(postings, "PART_POSTINGS", 300)
+    monkeypatch.setattr(postings, "PART_QUERIES", 1)
+    monkeypatch.setattr(postings, "SLICE_MEETINGS", 1)
+    monkeypatch.setattr(session, "SLICE_ROWS", 30)
+    monkeypatch.setattr(session, "SLICE_ROWS_PER_CORE", 1)
+    monkeypatch.setattr(session, "shared_dir", lambda _: str(tmp_path))
+    got = as_lists(pipeline.sparse_candidates(queries, index, opts))
+    assert {q: [i for _, i in hits] for q, hits in got.items()} == {
+        q: [i for _, i in hits] for q, hits in brute_force(company_texts, query_texts).items()}
+    assert [p.name.split("-")[0] for p in tmp_path.iterdir()] == ["candidates"]
+
+
+def test_stored_tables_leave_no_shuffle_files(spark):
+    files = lambda: spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n").split("\n")
+    held = lambda: {f for f in files() if "shuffle_" in f}
+    before = held()
+    rows = session.settle(spark.range(10_000).repartition(7, "id").groupBy((F.col("id") % 100).alias("k")).count(), "shuffled")
+    until = time.time() + 20
+    while held() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not held() - before and rows.count() == 100
+    assert spark.conf.get(session._CLEANUP) == "false"
+
+
 def test_weights_have_unit_length(spark):
     texts = spark.createDataFrame([("star motors",), ("star foods",), ("aaa",)], "match_text string")
     counts = vectors.gram_counts(texts)
