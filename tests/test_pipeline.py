@@ -3,6 +3,7 @@ from dataclasses import replace
 import pytest
 from pyspark.sql import functions as F
 
+from narrakin import session
 from narrakin.operators.skew import fan_out_join
 from narrakin.options import MatchOptions
 from narrakin.plans import fixtures, pipeline
@@ -32,6 +33,33 @@ def test_every_narration_gets_exactly_one_line(spark):
     assert got[3].detected_company_name == "qqqqwww"
 
 
+def test_texts_matched_in_slices_get_the_same_results(spark, monkeypatch):
+    names = ["STAR FOODS PUNE", "RAMCO SYSTEMS VELLORE", "GANESH AGENCIES CHENNAI", "ANAND MOTORS SALEM"]
+    companies = spark.createDataFrame([(i, f"{names[i % 4]} {chr(65 + i)}{chr(70 + i)}") for i in range(16)], "id long, name string")
+    shown = [f"{names[i % 4]} {chr(65 + i % 14)}{chr(70 + i % 14)}" for i in range(40)] + ["QQQQWWW", None, "", "STAR FOODS"]
+    txns = spark.createDataFrame([(i, t if t is None else f"NEFT/IQOV94360237845587/{t}") for i, t in enumerate(shown)], "txn_id long, Narration string")
+    near = [(i, [float(i % 5), 1.0, float(i % 3)]) for i in range(44)]
+    given = spark.createDataFrame(near[:16], "company_id long, vector array<double>")
+    asked = spark.createDataFrame(near + [(3, [9.0, 1.0, 2.0])], "txn_id long, vector array<double>")  # one id has two vectors
+    slices = []
+
+    def results(**vectors):
+        index = pipeline.build_company_index(companies, MatchOptions(), "id", "name", vectors_table=given if vectors else None)
+        return sorted(map(str, pipeline.match_transactions(txns, index, MatchOptions(), "txn_id", **vectors).results.collect()))
+
+    whole = results(), results(txn_vectors=asked)
+    monkeypatch.setattr(session, "SLICE_ROWS", 3)
+    monkeypatch.setattr(session, "SLICE_ROWS_PER_CORE", 0)
+    turns = session.in_turn
+    monkeypatch.setattr(session, "in_turn", lambda spark, name, steps, path=None: (slices.append((name, len(steps))), turns(spark, name, steps, path))[1])
+    assert results() == whole[0]
+    assert [n > 1 for name, n in slices if name == "winners"] == [True]
+    monkeypatch.setattr(session, "SLICE_ROWS", 15)
+    monkeypatch.setattr(pipeline, "_HASHES", {"_hash": lambda c: F.size(c), "_hash_too": lambda c: F.size(c)})  # all vectors have the same hashes
+    assert results(txn_vectors=asked) == whole[1]
+    assert [n > 1 for name, n in slices if name == "winners"] == [True, True]
+
+
 def test_hot_narration_is_complete(spark):
     hot = [(i, NARRATIONS[0][1] if i % 3 == 0 else f"UPI/X/SHOP {i}") for i in range(3000)]
     results = run(spark, narrations=hot).results
