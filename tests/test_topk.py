@@ -81,7 +81,7 @@ def test_texts_searched_in_slices_find_the_same_and_leave_only_that(spark, monke
     queries = spark.createDataFrame([(q,) for q in query_texts], "match_text string")
     monkeypatch.setattr(postings, "PART_POSTINGS", 300)
     monkeypatch.setattr(postings, "PART_QUERIES", 1)
-    monkeypatch.setattr(postings, "SLICE_MEETINGS", 1)
+    monkeypatch.setattr(postings, "SLICE_MEETINGS", 80)
     monkeypatch.setattr(session, "SLICE_ROWS", 30)
     monkeypatch.setattr(session, "SLICE_ROWS_PER_CORE", 1)
     monkeypatch.setattr(session, "shared_dir", lambda _: str(tmp_path))
